@@ -94,3 +94,82 @@ WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.agency = s.agency AND f.stream =
 SQL["q_agency_span"] = with_feed("""
 SELECT agency, min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS days_covered
 FROM feed WHERE year(day) = 2024 GROUP BY agency""")
+
+
+def iso_local_sql(utc_ts: str) -> str:
+    """``YYYY-MM-DDTHH:MM:SS±HHMM`` of a UTC instant in the local zone."""
+    loc = local(utc_ts)
+    d = f"CAST(round((epoch({loc}) - epoch({utc_ts})) / 60) AS INTEGER)"
+    return (f"(strftime({loc}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {d} < 0 THEN '-' ELSE '+' END"
+            f" || lpad(CAST(abs({d}) // 60 AS VARCHAR), 2, '0') || lpad(CAST(abs({d}) % 60 AS VARCHAR), 2, '0'))")
+
+
+ORDERS_HIST = """
+o AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+             o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders),
+h AS (SELECT *, sha256('{"row":' || CAST(json_object('o_custkey', o_custkey, 'o_orderdate', o_orderdate,
+                  'o_orderkey', o_orderkey, 'o_orderpriority', o_orderpriority, 'o_orderstatus', o_orderstatus) AS VARCHAR)
+                  || ',"table":"orders"}') AS hash_id FROM o),
+u AS (SELECT *, TIMESTAMP '2024-01-01 08:00:00' AS t FROM h WHERE o_orderdate < '1998-01-01'
+      UNION ALL SELECT *, TIMESTAMP '2024-02-01 08:00:00' AS t FROM h WHERE o_orderdate >= '1997-01-01'),
+m AS (SELECT hash_id, any_value(o_orderkey) AS o_orderkey, any_value(o_custkey) AS o_custkey,
+             any_value(o_orderstatus) AS o_orderstatus, any_value(o_orderpriority) AS o_orderpriority,
+             any_value(o_orderdate) AS o_orderdate, min(t) AS first_t, max(t) AS last_t FROM u GROUP BY hash_id)"""
+
+SQL["q_snapshot_merge"] = f"""WITH {ORDERS_HIST}
+SELECT hash_id, o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate, CAST(NULL AS VARCHAR) AS o_note,
+       {iso_local_sql('first_t')} AS first_logged, {iso_local_sql('last_t')} AS last_logged
+FROM m"""
+
+SQL["q_point_in_time"] = f"""WITH {ORDERS_HIST}
+SELECT hash_id, o_orderkey FROM m
+WHERE first_t <= TIMESTAMP '2024-01-15 17:00:00' AND last_t >= TIMESTAMP '2024-01-15 17:00:00'"""
+
+SQL["q_gtfs_row_hash"] = """
+SELECT 'nation' AS table_name, CAST(n_nationkey AS VARCHAR) AS row_key,
+       sha256('{"row":' || CAST(json_object('n_name', n_name, 'n_nationkey', CAST(n_nationkey AS VARCHAR),
+              'n_regionkey', CAST(n_regionkey AS VARCHAR)) AS VARCHAR) || ',"table":"nation"}') AS hash_id FROM nation
+UNION ALL
+SELECT 'region', CAST(r_regionkey AS VARCHAR),
+       sha256('{"row":' || CAST(json_object('r_name', r_name, 'r_regionkey', CAST(r_regionkey AS VARCHAR)) AS VARCHAR)
+              || ',"table":"region"}') FROM region
+UNION ALL
+SELECT 'supplier', CAST(s_suppkey AS VARCHAR),
+       sha256('{"row":' || CAST(json_object('s_name', s_name, 's_nationkey', CAST(s_nationkey AS VARCHAR),
+              's_suppkey', CAST(s_suppkey AS VARCHAR)) AS VARCHAR) || ',"table":"supplier"}') FROM supplier"""
+
+SQL["q_align_schema"] = """
+SELECT TRY_CAST(CAST(p_partkey AS VARCHAR) AS BIGINT) AS p_partkey, p_name,
+       TRY_CAST(CAST(p_size AS VARCHAR) AS INTEGER) AS p_size, TRY_CAST(p_brand AS INTEGER) AS p_brand,
+       CAST(NULL AS VARCHAR) AS p_container, TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DOUBLE) AS p_retailprice
+FROM part"""
+
+SQL["q_agency_lookup"] = """
+SELECT l_orderkey, l_linenumber, n_name AS agency,
+       CASE l_returnflag WHEN 'R' THEN 'returned_items' WHEN 'A' THEN 'accepted_items'
+            ELSE lower(coalesce(nullif(regexp_replace(regexp_replace(trim(l_returnflag), '[^\\w-]', '_', 'g'),
+                                       '^_+|_+$', '', 'g'), ''), 'stream')) END AS stem
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
+
+SQL["q_fan_out"] = """
+SELECT n_name AS agency, (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders) AS feed_version FROM nation"""
+
+SQL["q_fetched_per_agency"] = """
+SELECT n_name AS agency, COALESCE(v, 0) AS vehicles, COALESCE(e, 0) AS enhanced
+FROM nation LEFT JOIN (
+  SELECT c_nationkey, count(*) FILTER (WHERE o_orderstatus = 'O') AS v, count(*) FILTER (WHERE o_orderstatus = 'F') AS e
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey
+) c ON c.c_nationkey = n_nationkey"""
+
+SQL["q_active_routes"] = """
+WITH r AS (SELECT n_name AS agency, c_custkey AS route_id FROM customer JOIN nation ON c_nationkey = n_nationkey),
+live AS (SELECT DISTINCT o_custkey FROM orders
+         WHERE CAST(o_orderdate AS DATE) > (SELECT CAST(max(o_orderdate) AS DATE) - 30 FROM orders)),
+act AS (SELECT * FROM r WHERE route_id IN (SELECT o_custkey FROM live))
+SELECT * FROM act UNION ALL SELECT * FROM r WHERE agency NOT IN (SELECT agency FROM act)"""
+
+SQL["q_missing_vehicles"] = with_feed("""
+SELECT k.agency, k.day, k.id FROM (SELECT agency, id, day + 1 AS day FROM f) k
+WHERE k.day IN (SELECT day FROM f)
+  AND NOT EXISTS (SELECT 1 FROM f WHERE f.agency = k.agency AND f.id = k.id AND f.day = k.day)""",
+    "f AS (SELECT DISTINCT agency, id, day FROM feed)")
