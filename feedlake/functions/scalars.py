@@ -44,8 +44,8 @@ def file_date_key(col) -> Column:
 
 
 def file_day(col) -> Column:
-    return F.try_to_date(file_date_key(col), F.lit("MMddyyyy")) if hasattr(F, "try_to_date") \
-        else F.to_date(file_date_key(col), "MMddyyyy")
+    k = file_date_key(col)
+    return F.when(k.rlike(r"^\d{8}$"), F.try_to_timestamp(k, F.lit("MMddyyyy")).cast("date"))
 
 
 def archive_name(prefix, stem, day, extension: str) -> Column:
