@@ -27,7 +27,17 @@ def agency_of_user(col="user_id"):
 
 def feed_envelopes(spark: SparkSession, sf_dir: str, tz: str = DEFAULT_TZ) -> DataFrame:
     """Envelope rows with ``hash_id`` (IDN-03) and local ``day``."""
-    ev = read_table(spark, sf_dir, "events")
+    return envelopes_from_events(read_table(spark, sf_dir, "events"), tz)
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream (only ``events.parquet`` of the folder)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def envelopes_from_events(ev: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Batch or streaming ``events`` -> envelopes."""
     env = ev.select(
         "event_id", "ts", "user_id", "value",
         agency_of_user().alias("agency"),

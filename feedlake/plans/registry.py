@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from feedlake.plans import monitoring, payloads, queries
+from feedlake.plans import monitoring, payloads, queries, storage
 from feedlake.plans.oracle import SQL
 
-QUERIES = {**queries.REGISTRY, **monitoring.QUERIES, **payloads.QUERIES}
-ORACLE = {**SQL, **monitoring.ORACLE, **payloads.ORACLE}
+QUERIES = {**queries.REGISTRY, **monitoring.QUERIES, **payloads.QUERIES, **storage.QUERIES}
+ORACLE = {**SQL, **monitoring.ORACLE, **payloads.ORACLE, **storage.ORACLE}
