@@ -172,8 +172,8 @@ def time_to_seconds(col) -> Column:
 def seconds_to_hms(col) -> Column:
     """Seconds -> ``HH:MM:SS`` modulo one day."""
     t = F.pmod(_c(col).cast("bigint"), F.lit(86400))
-    return F.format_string("%02d:%02d:%02d", (t / 3600).cast("int"), ((t % 3600) / 60).cast("int"),
-                           (t % 60).cast("int"))
+    return F.when(t.isNotNull(), F.format_string("%02d:%02d:%02d", (t / 3600).cast("int"),
+                                                 ((t % 3600) / 60).cast("int"), (t % 60).cast("int")))
 
 
 def service_state(now_seconds, tmin, tmax, wrap: bool = False) -> Column:

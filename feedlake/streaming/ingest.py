@@ -1,9 +1,13 @@
 """Continuous ingest and stateful dedupe (STR-01, STR-02, STR-03, STR-10).
 
 The same envelope transforms as batch, on a file (or Kafka) stream. Dedupe is
-``dropDuplicatesWithinWatermark`` on (agency, stream, day, hash_id): duplicates of
-one local day are at most 25 hours apart, so a 2-day watermark delay keeps the
-result exact while RocksDB state stays bounded. Progress and state live in the
+``dropDuplicatesWithinWatermark`` on (agency, stream, day, hash_id) with the
+watermark on *arrival* time (the micro-batch clock), not on the record's own
+``ts``: a watermark on ``ts`` would silently drop late records (a re-delivered
+old day), while arrival time never runs backwards, so no row is ever dropped as
+late. Repeats that arrive within the delay are removed in-stream with bounded
+RocksDB state; repeats further apart are removed by the day compaction
+(``compact_days``), which dedupes exactly. Progress and state live in the
 checkpoint under the cluster's shared folder, so a restarted or re-scheduled job
 neither loses nor repeats rows.
 """
@@ -18,11 +22,10 @@ from pyspark.sql import functions as F
 DEDUPE_KEYS = ("agency", "stream", "day", "hash_id")
 
 
-def stateful_dedupe(stream: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, ts: str = "ts",
-                    delay: str = "2 days") -> DataFrame:
-    """Drop repeats within scope on a stream (STR-02)."""
-    s = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
-    return s.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+def stateful_dedupe(stream: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, delay: str = "2 days") -> DataFrame:
+    """Drop repeats within scope on a stream, never dropping a late row (STR-02)."""
+    s = stream.withColumn("_arrival", F.current_timestamp())
+    return s.withWatermark("_arrival", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_arrival")
 
 
 def start_ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ("agency", "stream", "day"),
@@ -32,6 +35,10 @@ def start_ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: Se
     ``day`` is a partition column, so files rotate at local midnight and late rows
     land in their own day (STR-10).
     """
+    n = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # One writer per folder and micro-batch (batches are bounded by the source's
+    # maxFilesPerTrigger), instead of every task opening a file in every folder.
+    stream = stream.repartition(n, *partition_by) if partition_by else stream
     w = (stream.writeStream.format(fmt).option("checkpointLocation", checkpoint)
          .partitionBy(*partition_by).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
