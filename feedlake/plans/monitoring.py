@@ -147,10 +147,10 @@ def q_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     only rows where the state changes are kept."""
     st = _stop_times(spark, sf_dir)
     w = monitor.service_window(st, ["agency"])
-    f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "ts")
+    f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "ts", "day")
     j = lookup_join(f, w.select("agency", "tmin_s", "tmax_s"), "agency", "left")
     j = j.withColumn("state", service_state(seconds_since_midnight("ts", TZ), F.col("tmin_s"), F.col("tmax_s")))
-    ch = win.state_transitions(j, ["agency"], ["ts", "event_id"], "state")
+    ch = win.state_transitions(j, ["agency"], ["ts", "event_id"], "state", split_by=["day"])
     return ch.select("agency", "event_id", "state")
 
 
@@ -272,8 +272,8 @@ SELECT agency, stream, count(gap) AS gaps, max(gap) AS max_gap_s, count(*) FILTE
 @register
 def q_failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-06: consecutive error captures per entity, with cooldown and reconnect delay."""
-    f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "id", "ts", "stream")
-    s = win.failure_streaks(f, ["agency", "id"], ["ts", "event_id"], F.col("stream") == "error")
+    f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "id", "ts", "stream", "day")
+    s = win.failure_streaks(f, ["agency", "id"], ["ts", "event_id"], F.col("stream") == "error", split_by=["day"])
     return s.filter(F.col("streak").isNotNull()).select(
         "event_id", F.col("streak").cast("bigint").alias("streak"), "cooldown_s", "reconnect_s")
 
@@ -293,8 +293,9 @@ SELECT event_id, streak, CAST(least(30 * pow(2, streak - 1), 300) AS BIGINT) AS
 def q_unavailable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-10: an entity's endpoint is unavailable for 12 h after an error mark;
     a mark outside such a period is reported."""
-    f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "id", "ts", "stream")
-    u = win.unavailable_marks(f, ["agency", "id"], "ts", ["ts", "event_id"], F.col("stream") == "error")
+    f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "id", "ts", "stream", "day")
+    u = win.unavailable_marks(f, ["agency", "id"], "ts", ["ts", "event_id"], F.col("stream") == "error",
+                              split_by=["day"])
     return u.select("event_id", "unavailable", "reported")
 
 

@@ -152,3 +152,28 @@ def test_lookups(spark):
     assert sorted(r.k for r in changed_sets(new, old, "k", "s").collect()) == ["r2", "r3"]
     cat = spark.createDataFrame([("1: AB , 2:CD,, 3:, :E",)], "t string").select(F.explode(parse_catalog(F.col("t"))))
     assert [(r.col.key, r.col.value) for r in cat.collect()] == [("1", "AB"), ("2", "CD")]
+
+
+def test_split_windows_equal_unsplit(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for k in range(3):
+        t = T0
+        for i in range(300):
+            t = t + dt.timedelta(minutes=rnd.choice([5, 30, 200, 700]))
+            rows.append((k, i, t, t.date(), rnd.random() < 0.45, rnd.choice(["A", "B"])))
+    df = spark.createDataFrame(rows, "k int, i int, ts timestamp_ntz, day date, bad boolean, s string")
+
+    def norm(x, cols):
+        return sorted(tuple(r) for r in x.select(*cols).collect())
+
+    a = W.failure_streaks(df, ["k"], ["ts", "i"], F.col("bad"))
+    b = W.failure_streaks(df, ["k"], ["ts", "i"], F.col("bad"), split_by=["day"])
+    assert norm(a, ["k", "i", "streak", "cooldown_s"]) == norm(b, ["k", "i", "streak", "cooldown_s"])
+    a = W.state_transitions(df, ["k"], ["ts", "i"], "s")
+    b = W.state_transitions(df, ["k"], ["ts", "i"], "s", split_by=["day"])
+    assert norm(a, ["k", "i", "prev_s"]) == norm(b, ["k", "i", "prev_s"])
+    a = W.unavailable_marks(df, ["k"], "ts", ["ts", "i"], F.col("bad"))
+    b = W.unavailable_marks(df, ["k"], "ts", ["ts", "i"], F.col("bad"), split_by=["day"])
+    assert norm(a, ["k", "i", "unavailable", "reported"]) == norm(b, ["k", "i", "unavailable", "reported"])
