@@ -71,7 +71,7 @@ SELECT event_id, 1, '{"id":' || CAST(user_id AS VARCHAR) || '}' FROM events WHER
 
 @register
 def q_sse_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-02, WIN-03: per entity and local day one captured SSE segment (frames in
+    """SRC-02, WIN-03: per entity and local hour one captured SSE segment (frames in
     capture order, multi-line data, list payloads, unnamed frames, a bad frame and
     an unclosed tail), framed back into records."""
     f = feed_envelopes(spark, sf_dir, TZ)
@@ -84,7 +84,10 @@ def q_sse_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(F.lit("data: "), F.col("data"), F.lit("\n"))))
     bad = F.when(F.col("stream") == "click", F.lit("event: click\ndata: {oops\n\n")).otherwise(F.lit(""))
     frame = F.concat(name, data, F.lit("\n"), bad)
-    seg = f.groupBy("agency", "id", "day").agg(
+    # One capture segment per entity and local hour (captures rotate; frames never
+    # span segments), so a segment is bounded by an hour of one entity's stream.
+    f = f.withColumn("hour", F.hour(to_local("ts", TZ)))
+    seg = f.groupBy("agency", "id", "day", "hour").agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id", frame.alias("frame")))).alias("_fr"))
     seg = seg.select("agency", "id", "day",
                      F.concat(F.array_join(F.transform("_fr", lambda e: e["frame"]), ""),
