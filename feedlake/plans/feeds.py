@@ -27,7 +27,8 @@ def agency_of_user(col="user_id"):
 
 def feed_envelopes(spark: SparkSession, sf_dir: str, tz: str = DEFAULT_TZ) -> DataFrame:
     """Envelope rows with ``hash_id`` (IDN-03) and local ``day``."""
-    return envelopes_from_events(read_table(spark, sf_dir, "events"), tz)
+    # Hashing and JSON parsing are per-row CPU work: spread a single-split scan.
+    return envelopes_from_events(read_table(spark, sf_dir, "events", parallel=True), tz)
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the session's parallelism.
+
+    A Parquet row group is the unit of a scan split, so a small table written as
+    one row group is read by one task and every narrow stage after it (JSON
+    parsing, hashing, framing) runs single-threaded. On a cluster reading many
+    files the scan already has more splits than cores and this is a no-op.
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
+def read_table(spark: SparkSession, folder: str, name: str, parallel: bool = False) -> DataFrame:
     """``<folder>/<name>.parquet``; column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spread(df) if parallel else df

@@ -95,18 +95,20 @@ def unwrap_items(v: Column, cfg: UnwrapConfig) -> Column:
 
     The first configured key present decides; without one, a list document is
     its own items, otherwise the document itself is treated as the value (or
-    nothing with ``require_key``).
+    nothing with ``require_key``). The located value is picked once and shaped
+    once, which keeps the generated code small.
     """
     empty = F.array().cast("array<variant>")
     doc_arr = _arr(v)
     fallback = F.when(doc_arr.isNotNull(), doc_arr).otherwise(
         empty if cfg.require_key else _items_of(v, cfg, False))
-    located = None
-    for key in cfg.keys:
-        present, value = _key_value(v, key)
-        located = (F.when(present, _items_of(value, cfg, True)) if located is None
-                   else located.when(present, _items_of(value, cfg, True)))
-    return fallback if located is None else located.otherwise(fallback)
+    if not cfg.keys:
+        return fallback
+    m = _obj(v)
+    keys = F.coalesce(F.map_keys(m), F.array().cast("array<string>"))
+    hit = F.filter(F.array(*[F.lit(k) for k in cfg.keys]), lambda k: F.array_contains(keys, k))
+    value = F.element_at(m, F.try_element_at(hit, F.lit(1)))
+    return F.when(F.size(hit) > 0, _items_of(value, cfg, True)).otherwise(fallback)
 
 
 def unwrap(df: DataFrame, payload: str | Column, cfg: UnwrapConfig, pos: str = "item_no",
