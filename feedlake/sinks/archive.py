@@ -60,16 +60,44 @@ def spread_by_size(df: DataFrame, keys: Sequence[str], salt_col: str, rows_per_f
     return salted.repartition(_writers(df), *[F.col(k) for k in keys], F.col("_salt")).drop("_b", "_salt")
 
 
+def landing_folders(spark: SparkSession, landing_root: str) -> DataFrame:
+    """Landing folders with the time of their newest file, from file metadata only
+    (``binaryFile`` without its ``content`` column reads no data)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(landing_root)
+    return files.groupBy(*PARTITIONS).agg(F.max("modificationTime").alias("landed_at"))
+
+
+def pending_folders(spark: SparkSession, landing_root: str, log_root: str) -> DataFrame:
+    """Landing folders with files newer than their last compaction (STR-04 sweep)."""
+    folders = landing_folders(spark, landing_root)
+    try:
+        log = spark.read.parquet(log_root).groupBy(*PARTITIONS).agg(F.max("landed_at").alias("_done"))
+    except Exception:  # noqa: BLE001 - first sweep: no log yet
+        return folders
+    j = folders.join(log, list(PARTITIONS), "left")
+    return j.filter(F.col("_done").isNull() | (F.col("landed_at") > F.col("_done"))).drop("_done")
+
+
 def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, staging_root: str,
                  as_of: Column, tz: str = DEFAULT_TZ, scope: str = "day",
-                 rows_per_file: int = ROWS_PER_FILE) -> int:
+                 rows_per_file: int = ROWS_PER_FILE, landing_root: str | None = None,
+                 log_root: str | None = None) -> int:
     """Move closed local days of the landing into the archive (SNK-02, FLT-01, STR-04, STR-10).
 
     Rows of days before the local date of ``as_of`` are merged with the archive's
     rows for the same folders, deduplicated (IDN-07), staged, then swapped in.
-    Returns the number of folders written (0 when nothing was closed).
+    With ``landing_root`` and ``log_root`` the sweep is incremental: only folders
+    holding files newer than their last compaction are read and rewritten, and
+    the compacted folders are appended to the log after the swap.
+    Returns the number of folders written (0 when nothing was pending).
     """
     closed = landing.filter(F.col("day") < local_day(as_of, tz))
+    pending = None
+    if landing_root and log_root:
+        pending = pending_folders(spark, landing_root, log_root).filter(F.col("day") < local_day(as_of, tz))
+        from feedlake.operators.lookups import is_small
+        closed = closed.join(F.broadcast(pending.select(*PARTITIONS)) if is_small(pending)
+                             else pending.select(*PARTITIONS), list(PARTITIONS), "left_semi")
     cols = ["hash_id", "ts", "ts_raw", "event", "endpoint", "id", "data", "metadata", *PARTITIONS]
     closed = closed.select(*[F.col(c) if c in closed.columns else F.lit(None).cast("string").alias(c) for c in cols])
     touched = closed.select(*PARTITIONS).distinct()
@@ -87,6 +115,9 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, sta
         return 0
     out = spread_by_size(staged, PARTITIONS, "hash_id", rows_per_file)
     _write_parquet(out, archive_root, "overwrite", PARTITIONS)
+    if pending is not None:
+        done = pending.join(staged.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
+        done.withColumn("compacted_at", F.current_timestamp()).write.mode("append").parquet(log_root)
     return n_folders
 
 
