@@ -53,9 +53,15 @@ def quota_status(calls: DataFrame, limit: int = DAILY_CALL_QUOTA) -> DataFrame:
 
 
 def first_breach(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = DAILY_CALL_QUOTA) -> DataFrame:
-    """The call that first exceeds the daily limit (AGG-08): the (limit+1)-th call of the day."""
+    """The call that first exceeds the daily limit (AGG-08): the (limit+1)-th call of the day.
+
+    Calls are counted per key first (a partial aggregate); only keys over the
+    limit — rare — are ranked, so ordinary days are never sorted.
+    """
+    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > limit).drop("_c")
+    cand = df.join(over, list(keys), "left_semi")
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == limit + 1).drop("_n")
+    return cand.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == limit + 1).drop("_n")
 
 
 def service_window(stop_times: DataFrame, group: Sequence[str],
@@ -122,3 +128,10 @@ def classify_bustime(body_variant: Column) -> Column:
 # BusTime error texts.
 NEEDS_PARAM_TEXTS = ("No parameter provided", "No RTPI Data Feed parameter provided")
 EMPTY_FRAGMENTS = ("No data found", "No vehicles found", "No service", "No arrival times", "No agencies")
+
+
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """Rows per source file of a file-based DataFrame (AGG-19), from the hidden
+    ``_metadata`` column (no extra listing)."""
+    return df.select(F.col("_metadata.file_path").alias("file_path")).groupBy("file_path") \
+        .agg(F.count(F.lit(1)).alias("rows"))

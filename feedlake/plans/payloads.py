@@ -20,6 +20,7 @@ from feedlake.operators.filters import object_rows, reject_html
 from feedlake.operators.lookups import catalog_with_fallback, full_pair, parse_catalog
 from feedlake.operators.monitor import classify_bustime
 from feedlake.operators.projections import infopoint_alert, infopoint_vehicle
+from feedlake.sinks.archive import error_rows
 from feedlake.plans.feeds import feed_envelopes
 from feedlake.plans.oracle import iso_local_sql, local, with_feed
 from feedlake.schema import DEFAULT_TZ
@@ -195,14 +196,11 @@ def q_error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-04, IDN-04, SCL-05: error captures as error envelopes with naive local
     time text, their hash, and the instant parsed back from the text."""
     f = feed_envelopes(spark, sf_dir, TZ).filter(F.col("stream") == "error")
-    ts_text = F.date_format(to_local("ts", TZ), "yyyy-MM-dd HH:mm:ss")
     msg = F.concat(F.lit("poll failed for "), F.col("endpoint"), F.lit(" k="),
                    F.try_variant_get(F.try_parse_json("data"), "$.k", "string"))
-    e = f.select("event_id", "agency", ts_text.alias("ts_text"), msg.alias("message"))
-    return e.select("event_id", "agency", F.lit("Errors").alias("stream"), F.lit("error").alias("event"),
-                    error_hash("agency", "ts_text", "message").alias("hash_id"),
-                    F.to_json(F.struct(F.col("message"))).alias("data"),
-                    F.date_format(parse_envelope_ts("ts_text", TZ), "yyyy-MM-dd HH:mm:ss").alias("ts_utc"))
+    e = error_rows(f, F.col("agency"), msg, F.col("ts"), TZ, keep=["event_id"])
+    return e.select("event_id", "agency", "stream", "event", "hash_id", "data",
+                    F.date_format(parse_envelope_ts("ts_raw", TZ), "yyyy-MM-dd HH:mm:ss").alias("ts_utc"))
 
 
 ORACLE["q_error_rows"] = with_feed(f"""

@@ -134,14 +134,16 @@ def write_gtfs_table(spark: SparkSession, df: DataFrame, root: str, staging_root
     return spark.read.parquet(root)
 
 
-def error_rows(df: DataFrame, agency: Column, message: Column, ts: Column, tz: str = DEFAULT_TZ) -> DataFrame:
+def error_rows(df: DataFrame, agency: Column, message: Column, ts: Column, tz: str = DEFAULT_TZ,
+               keep: Sequence[str] = ()) -> DataFrame:
     """Dead letters as error envelopes: stream ``Errors``, event ``error``,
-    ``data = {"message": …}``, hash IDN-04 over naive local time (SNK-04)."""
+    ``data = {"message": …}``, ``ts_raw`` the naive local time text, hash IDN-04
+    over it (SNK-04). ``keep`` passes input columns through."""
     from feedlake.functions.identity import error_hash
     from feedlake.functions.scalars import to_local
     ts_text = F.date_format(to_local(ts, tz), "yyyy-MM-dd HH:mm:ss")
-    e = df.select(agency.alias("agency"), message.alias("message"), ts.alias("ts"), ts_text.alias("ts_raw"))
-    return e.select(error_hash("agency", "ts_raw", "message").alias("hash_id"), "ts", "ts_raw", "agency",
+    e = df.select(*keep, agency.alias("agency"), message.alias("message"), ts.alias("ts"), ts_text.alias("ts_raw"))
+    return e.select(*keep, error_hash("agency", "ts_raw", "message").alias("hash_id"), "ts", "ts_raw", "agency",
                     F.lit("Errors").alias("stream"), F.lit("error").alias("event"), F.lit("").alias("endpoint"),
                     F.lit(None).cast("string").alias("id"), F.to_json(F.struct("message")).alias("data"),
                     local_day("ts", tz).alias("day"))
