@@ -1,8 +1,9 @@
 """Joins and lookups (JON-01..11, SET-01..04, FLT-02).
 
-Dimension lookups broadcast the small side only after a bounded size check
-(``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows); above the
-bound the join falls back to a shuffle join that AQE can still re-plan.
+Dimension lookups broadcast the small side only after a bounded size check (row
+count and row-text bytes over ``limit(max_rows + 1)``, so the check itself reads
+at most ``max_rows + 1`` rows); above the bound the join falls back to a shuffle
+join that AQE can still re-plan.
 """
 
 from __future__ import annotations
@@ -14,11 +15,16 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.scalars import safe_prefix, split_list
 
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Proof that ``df`` is small enough to broadcast: at most ``max_rows`` rows and
+    at most ``max_bytes`` of row text. Reads at most ``max_rows + 1`` rows."""
+    row_text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_text)).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
 
 def lookup_join(big: DataFrame, dim: DataFrame, on, how: str = "inner",

@@ -19,6 +19,7 @@ from feedlake.sources.tables import read_table
 # Fixed values of the stand-in mapping.
 AGENCIES = 5
 EVENT_NAME = "update"
+STREAM_FILES_PER_TRIGGER = 1000  # bounds a micro-batch (and so one folder's writer per batch)
 
 
 def agency_of_user(col="user_id"):
@@ -34,7 +35,8 @@ def feed_envelopes(spark: SparkSession, sf_dir: str, tz: str = DEFAULT_TZ) -> Da
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream (only ``events.parquet`` of the folder)."""
     schema = read_table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf_dir))
 
 
 def envelopes_from_events(ev: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:

@@ -53,9 +53,10 @@ def spread_by_size(df: DataFrame, keys: Sequence[str], salt_col: str, rows_per_f
     Per-key counts are a small aggregate (one row per folder) joined back by
     broadcast; the salt is a hash of ``salt_col`` modulo the folder's writer count.
     """
+    from feedlake.operators.lookups import lookup_join
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     buckets = counts.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_file)).cast("int").alias("_b"))
-    j = df.join(F.broadcast(buckets), list(keys), "inner")
+    j = lookup_join(df, buckets, list(keys), "inner")
     salted = j.withColumn("_salt", F.pmod(F.xxhash64(salt_col), F.col("_b")))
     return salted.repartition(_writers(df), *[F.col(k) for k in keys], F.col("_salt")).drop("_b", "_salt")
 
@@ -95,14 +96,14 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, sta
     pending = None
     if landing_root and log_root:
         pending = pending_folders(spark, landing_root, log_root).filter(F.col("day") < local_day(as_of, tz))
-        from feedlake.operators.lookups import is_small
-        closed = closed.join(F.broadcast(pending.select(*PARTITIONS)) if is_small(pending)
-                             else pending.select(*PARTITIONS), list(PARTITIONS), "left_semi")
+        from feedlake.operators.lookups import lookup_join
+        closed = lookup_join(closed, pending.select(*PARTITIONS), list(PARTITIONS), "left_semi")
     cols = ["hash_id", "ts", "ts_raw", "event", "endpoint", "id", "data", "metadata", *PARTITIONS]
     closed = closed.select(*[F.col(c) if c in closed.columns else F.lit(None).cast("string").alias(c) for c in cols])
     touched = closed.select(*PARTITIONS).distinct()
     try:
-        existing = spark.read.parquet(archive_root).join(F.broadcast(touched), list(PARTITIONS), "left_semi")
+        from feedlake.operators.lookups import lookup_join
+        existing = lookup_join(spark.read.parquet(archive_root), touched, list(PARTITIONS), "left_semi")
         merged = closed.unionByName(existing.select(*cols))
     except Exception:  # noqa: BLE001 - no archive yet
         merged = closed
