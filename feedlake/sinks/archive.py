@@ -42,8 +42,12 @@ def wal_append(envelopes: DataFrame, root: str, tz: str = DEFAULT_TZ) -> None:
 
 
 def _write_parquet(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
+    """Parquet zstd; an overwrite of a partitioned table replaces only the folders
+    present in ``df`` (dynamic partition overwrite, set per write so it does not
+    depend on the session's default)."""
     (df.write.mode(mode).option("compression", "zstd")
      .option("parquet.compression.codec.zstd.level", str(ZSTD_LEVEL))
+     .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
