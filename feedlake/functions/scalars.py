@@ -21,7 +21,7 @@ def _c(x) -> Column:
 # ---------------------------------------------------------------- names (SCL-01/02, PRJ-14)
 
 def safe_prefix(col, style: str = "main", default: str = "agency") -> Column:
-    """File-safe label.
+    """File-safe label (SCL-01).
 
     ``main``: every run of characters outside ``[A-Za-z0-9_-]`` becomes one ``_``.
     ``unicode``: every single character that is not a letter, digit, ``_`` or
@@ -38,7 +38,7 @@ def safe_prefix(col, style: str = "main", default: str = "agency") -> Column:
 
 
 def file_date_key(col) -> Column:
-    """Text after the last ``_`` up to the first ``.``: ``A_vehicles_01312024.jsonl`` -> ``01312024``."""
+    """Text after the last ``_`` up to the first ``.`` (SCL-02): ``A_x_01312024.jsonl`` -> ``01312024``."""
     last = F.substring_index(_c(col), "_", -1)
     return F.substring_index(last, ".", 1)
 
@@ -49,7 +49,7 @@ def file_day(col) -> Column:
 
 
 def archive_name(prefix, stem, day, extension: str) -> Column:
-    """``<PREFIX>_<stem>_<MMDDYYYY>.<ext>`` for a DATE ``day``."""
+    """``<PREFIX>_<stem>_<MMDDYYYY>.<ext>`` for a DATE ``day`` (PRJ-14)."""
     return F.format_string(f"%s_%s_%s.{extension}", _c(prefix), _c(stem), F.date_format(_c(day), "MMddyyyy"))
 
 
@@ -80,6 +80,7 @@ def from_local(local_ts, tz: str = DEFAULT_TZ) -> Column:
 
 
 def local_day(ts, tz: str = DEFAULT_TZ) -> Column:
+    """Local calendar day of a UTC instant (SCL-03)."""
     return to_local(ts, tz).cast("date")
 
 
@@ -88,11 +89,13 @@ def mmddyyyy(ts, tz: str = DEFAULT_TZ) -> Column:
 
 
 def seconds_since_midnight(ts, tz: str = DEFAULT_TZ) -> Column:
+    """Seconds since local midnight (SCL-08)."""
     lt = to_local(ts, tz)
     return (F.hour(lt) * 3600 + F.minute(lt) * 60 + F.second(lt)).cast("int")
 
 
 def hms_of_ts(ts, tz: str = DEFAULT_TZ) -> Column:
+    """Local ``HH:MM:SS`` of an instant (SCL-21)."""
     return F.date_format(to_local(ts, tz), "HH:mm:ss")
 
 
@@ -160,7 +163,7 @@ def parse_dotnet_date(col, anchored: bool = False, keep_unmatched: bool = True)
 # ---------------------------------------------------------------- GTFS clock (SCL-07/09/12)
 
 def time_to_seconds(col) -> Column:
-    """``H:M:S`` (hours may exceed 24) -> seconds; malformed or blank -> null."""
+    """``H:M:S`` (hours may exceed 24) -> seconds; malformed or blank -> null (SCL-07)."""
     parts = F.split(F.trim(_c(col)), ":")
     ok = (F.size(parts) == 3) & F.trim(_c(col)).rlike(r"^\d+:\d+:\d+$")
     h = F.get(parts, 0).cast("int")
@@ -170,7 +173,7 @@ def time_to_seconds(col) -> Column:
 
 
 def seconds_to_hms(col) -> Column:
-    """Seconds -> ``HH:MM:SS`` modulo one day."""
+    """Seconds -> ``HH:MM:SS`` modulo one day (SCL-09)."""
     t = F.pmod(_c(col).cast("bigint"), F.lit(86400))
     return F.when(t.isNotNull(), F.format_string("%02d:%02d:%02d", (t / 3600).cast("int"),
                                                  ((t % 3600) / 60).cast("int"), (t % 60).cast("int")))
@@ -222,6 +225,7 @@ COVERAGE_LEVEL_BOUNDS = (500, 2000, 10000)
 
 def stream_class(col, platform: str = "gtfsrt",
                  rules: Sequence[tuple[Iterable[str], str]] | None = None, default: str = "general") -> Column:
+    """Stream type by ordered keyword rules per platform (SCL-14)."""
     low = F.lower(_c(col))
     expr = None
     for words, label in (rules or STREAM_CLASS_RULES[platform]):
@@ -234,6 +238,7 @@ def stream_class(col, platform: str = "gtfsrt",
 
 
 def stream_group(col) -> Column:
+    """enhanced / main / custom group of a stream name (SCL-15)."""
     s = _c(col)
     return (F.when(F.lower(s).contains("enhanced"), F.lit("enhanced"))
             .when(s.isin(*MAIN_STREAMS), F.lit("main"))
@@ -241,6 +246,7 @@ def stream_group(col) -> Column:
 
 
 def coverage_level(rows) -> Column:
+    """Calendar colour level 0..4 of a day's row count (SCL-16)."""
     r = _c(rows)
     b1, b2, b3 = COVERAGE_LEVEL_BOUNDS
     return (F.when(r.isNull() | (r == 0), F.lit(0))

@@ -17,7 +17,7 @@ ALL_STREAMS = "*all*"
 
 
 def coverage(df: DataFrame, distinct_col: str | None = None) -> DataFrame:
-    """Rows per (agency, stream, day) (AGG-13). With ``distinct_col`` also distinct count."""
+    """Rows per (agency, stream, day) (AGG-13). With ``distinct_col`` also the distinct count (AGG-05)."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     if distinct_col:
         aggs.append(F.count_distinct(F.col(distinct_col)).alias("unique_rows"))
@@ -101,6 +101,6 @@ def coverage_calendar(cov: DataFrame, stream: str | None = None) -> DataFrame:
 
 
 def streams_by_group(cov: DataFrame) -> DataFrame:
-    """Distinct years and streams per group with data that year (AGG-17, SCL-15)."""
+    """Distinct years and streams per group with data that year (AGG-17, SCL-15, SRT-04)."""
     c = cov.filter(F.col("rows") > 0).select(F.year("day").alias("year"), "stream").distinct()
     return c.withColumn("group", stream_group("stream"))

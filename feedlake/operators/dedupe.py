@@ -29,7 +29,8 @@ def scope_keys(scope: str, keys: Sequence[str] | None = None) -> list[str]:
 
 def dedupe_events(df: DataFrame, scope: str = "day", order: Sequence[str] = ("ts",),
                   keys: Sequence[str] | None = None) -> DataFrame:
-    """Keep the first row per key (earliest by ``order``, ties broken by the next order column).
+    """Keep the first row per key (IDN-07; WIN-02 with keys (poll, entity)), earliest by ``order``,
+    ties broken by the next order column.
 
     ``scope='day'`` dedupes within (agency, stream, local day); ``'all'`` across
     days; ``'none'`` returns the input unchanged.
@@ -47,7 +48,8 @@ def dedupe_events(df: DataFrame, scope: str = "day", order: Sequence[str] = ("ts
 
 def flag_first_occurrence(df: DataFrame, scope: str = "day", order: Sequence[str] = ("ts",),
                           keys: Sequence[str] | None = None, flag: str = "is_new") -> DataFrame:
-    """Add ``is_new``: true on the first row of each key (WIN-01), every row kept."""
+    """Add ``is_new``: true on the first row of each key (WIN-01), every row kept; fetched
+    versus new per poll is a count and a ``count_if`` over it (AGG-06)."""
     k = scope_keys(scope, keys)
     w = Window.partitionBy(*k).orderBy(*[F.col(c) for c in order])
     return df.withColumn(flag, F.row_number().over(w) == 1)

@@ -45,7 +45,7 @@ def reject_html(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def object_rows(df: DataFrame, v: str) -> DataFrame:
-    """Keep rows whose VARIANT is a JSON object (FLT-14)."""
+    """Keep rows whose VARIANT is a JSON object (FLT-14; SRC-19 websocket messages)."""
     return df.filter(F.try_variant_get(F.col(v), "$", "map<string,variant>").isNotNull())
 
 

@@ -2,8 +2,8 @@
 
 A snapshot is every source column as STRING plus ``hash_id``, ``first_logged``
 and ``last_logged``. Merging unions the stored table with a new snapshot and
-folds rows by ``hash_id`` in one hash aggregate (partial aggregation on both
-sides, one shuffle on ``hash_id``). Nothing is sorted globally; output is
+folds rows by ``hash_id`` in one aggregate (partial aggregation map-side, one
+shuffle on ``hash_id``). Nothing is sorted globally; output is
 ordered by hash within each partition.
 """
 
@@ -58,7 +58,7 @@ def backfill_history(df: DataFrame, table: str, logged_at: Column, ignore_null_c
 
 def merge_snapshots(existing: DataFrame | None, new: DataFrame, table: str, logged_at: Column,
                     ignore_null_columns: bool = False, tz: str = DEFAULT_TZ) -> DataFrame:
-    """Fold a new snapshot into the cumulative table (IDN-09, AGG-01, SET-01).
+    """Fold a new snapshot into the cumulative table (IDN-09, AGG-01, SET-01, SRT-05).
 
     Per ``hash_id``: ``min(first_logged)``, ``max(last_logged)``, and for every
     other column the first non-null value, the stored side before the new one.

@@ -62,7 +62,7 @@ def upsert_ids(existing: DataFrame, batch: DataFrame, mode: str = "accumulate",
 
 
 def id_set(df: DataFrame, group: Sequence[str], id_col: str, name: str = "ids") -> DataFrame:
-    """Sorted distinct set per group (AGG-11, AGG-12). Groups are bounded id
+    """Sorted distinct set per group (AGG-11, AGG-12, SRT-03). Groups are bounded id
     dimensions (routes, detours), not event streams."""
     return df.groupBy(*group).agg(F.array_sort(F.collect_set(F.col(id_col))).alias(name))
 

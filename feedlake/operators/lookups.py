@@ -80,7 +80,7 @@ def changed_sets(new: DataFrame, old: DataFrame, key: str, set_col: str) -> Data
 
 
 def full_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Two documents per key, either may be missing (JON-06)."""
+    """Two documents per key, either may be missing (JON-06, PRJ-11)."""
     return left.join(right, key, "full_outer")
 
 

@@ -135,3 +135,27 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     ``_metadata`` column (no extra listing)."""
     return df.select(F.col("_metadata.file_path").alias("file_path")).groupBy("file_path") \
         .agg(F.count(F.lit(1)).alias("rows"))
+
+
+def counts_with_zeros(targets: DataFrame, counts: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Per-target counts with missing targets as 0 (AGG-18)."""
+    j = targets.join(counts, key, "left")
+    return j.select(*targets.columns, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
+
+
+def status_rank(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """Position of each status row in display order (SRT-01). Only for status
+    tables (one row per agency and stream): the window is global."""
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("int"))
+
+
+def pull_audit(pulls: DataFrame, ts: str, expected_hours: Sequence[int], tz: str) -> DataFrame:
+    """Schedule pulls per local day against the expected local hours (STR-06):
+    slots seen, expected slots missing, unexpected slots."""
+    from feedlake.functions.scalars import local_day, to_local
+    p = pulls.select(local_day(ts, tz).alias("day"), F.hour(to_local(ts, tz)).alias("hour"))
+    per = p.groupBy("day").agg(F.array_sort(F.collect_set("hour")).alias("hours"))
+    expected = F.array(*[F.lit(h) for h in expected_hours])
+    return per.select("day", F.size("hours").cast("bigint").alias("n_slots"),
+                      F.array_join(F.array_except(expected, "hours"), ",").alias("missing"),
+                      F.array_join(F.array_except("hours", expected), ",").alias("unexpected"))

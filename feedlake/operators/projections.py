@@ -20,7 +20,8 @@ def _c(x) -> Column:
 
 def to_envelope(df: DataFrame, agency, stream, event, data, endpoint=None, id_=None, ts=None,
                 metadata=None, tz: str | None = None) -> DataFrame:
-    """Build the event envelope with its content hash and local day (PRJ-01)."""
+    """Build the event envelope with its content hash and local day (PRJ-01); ``metadata``
+    such as ``{route_id, direction}`` rides beside the payload and is hashed with it (PRJ-13)."""
     cols = {
         "ts": _c(ts) if ts is not None else F.current_timestamp().cast("timestamp_ntz"),
         "agency": _c(agency), "stream": _c(stream), "event": _c(event),
@@ -107,7 +108,7 @@ INFOPOINT_VEHICLE_FIELDS = (
 
 
 def infopoint_vehicle(route, vehicle) -> list[Column]:
-    """30-column projection of an InfoPoint vehicle with its route context (PRJ-04)."""
+    """30-column projection of an InfoPoint vehicle with its route context (SRC-08, PRJ-04)."""
     r, v = _c(route), _c(vehicle)
     cols = [vget(r, "$.RouteId").alias("route_id"),
             first_truthy(vget(r, "$.RouteAbbreviation"), vget(r, "$.ShortName")).alias("route_abbr"),
@@ -126,7 +127,7 @@ INFOPOINT_ALERT_FIELDS = (
 
 
 def infopoint_alert(alert) -> list[Column]:
-    """13-column projection of an InfoPoint alert (PRJ-05); ``Routes`` defaults to []."""
+    """13-column projection of an InfoPoint alert (SRC-09, PRJ-05); ``Routes`` defaults to []."""
     a = _c(alert)
     cols = [vget(a, f"$.{src}").alias(dst) for src, dst in INFOPOINT_ALERT_FIELDS]
     routes = F.coalesce(F.to_json(vget(a, "$.Routes", "variant")), F.lit("[]"))

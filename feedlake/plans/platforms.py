@@ -10,6 +10,7 @@ from feedlake.functions.identity import json_string
 from feedlake.functions.scalars import from_local, local_day, to_local
 from feedlake.operators.ids import nonempty_id
 from feedlake.operators.lookups import agency_of, gtfs_stem
+from feedlake.operators.monitor import countable_rows, pull_audit, status_rank
 from feedlake.operators.projections import attach_key, canonical_route, occupancy_payload, to_envelope
 from feedlake.plans.feeds import feed_envelopes
 from feedlake.plans.oracle import local, with_feed
@@ -136,9 +137,10 @@ FROM orders"""
 
 @register
 def q_platform_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-15..18, PRJ-10: RouteMatch (scalar, ``data`` list, one-key wrapper), SWIV
-    (named key), TransLoc (``d`` list with a non-object, ``_routeId`` attached) and
-    Logan Express (collection key) answers, one per order, unwrapped by config."""
+    """SRC-14..18, PRJ-10: RouteMatch (scalar, ``data`` list), SWIV (named key),
+    TransLoc (``d`` list with a non-object, ``_routeId`` attached), Logan Express
+    (collection key) and PassioGO alert (``msgs`` list) answers, one per order,
+    unwrapped by platform config."""
     o = _orders(spark, sf_dir)
     kind = (F.col("o_orderkey") % 6).cast("int")
     item = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("s")))
@@ -147,11 +149,13 @@ def q_platform_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(kind == 2, F.concat(F.lit('{"Stops":['), item, F.lit("]}")))
             .when(kind == 3, F.concat(F.lit('{"vehicule":['), item, F.lit("],\"version\":1}")))
             .when(kind == 4, F.concat(F.lit('{"d":['), item, F.lit(",5]}")))
+            .when(F.col("o_orderkey") % 12 == 5, F.concat(F.lit('{"msgs":['), item, F.lit("]}")))
             .otherwise(F.concat(F.lit('{"routes":['), item, F.lit("]}"))))
     v = F.try_parse_json(body)
     items = (F.when(kind <= 2, uw.unwrap_items(v, uw.ROUTEMATCH))
              .when(kind == 3, uw.unwrap_items(v, uw.swiv("vehicule")))
              .when(kind == 4, uw.unwrap_items(v, uw.transloc("arrivals")))
+             .when(F.col("o_orderkey") % 12 == 5, uw.unwrap_items(v, uw.PASSIO_ALERTS))
              .otherwise(uw.unwrap_items(v, uw.massport(("routes", "stops")))))
     x = o.select("o_orderkey", kind.alias("kind"), F.posexplode(items).alias("item_no", "item"))
     route = F.concat(F.lit("R"), (F.col("o_orderkey") % 10).cast("string"))
@@ -209,13 +213,7 @@ def q_gtfs_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     local_ts = F.col("o_orderdate").cast("timestamp_ntz") + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0),
                                                                           hour)
     logged = from_local(local_ts, TZ)
-    p = o.select(logged.alias("logged_at")).withColumn("day", local_day("logged_at", TZ)) \
-        .withColumn("hour", F.hour(to_local("logged_at", TZ)))
-    per = p.groupBy("day").agg(F.array_sort(F.collect_set("hour")).alias("hours"))
-    expected = F.array(*[F.lit(h) for h in PULL_HOURS])
-    return per.select("day", F.size("hours").cast("bigint").alias("n_slots"),
-                      F.array_join(F.array_except(expected, "hours"), ",").alias("missing"),
-                      F.array_join(F.array_except("hours", expected), ",").alias("unexpected"))
+    return pull_audit(o.select(logged.alias("logged_at")), "logged_at", PULL_HOURS, TZ)
 
 
 ORACLE["q_gtfs_audit"] = """
@@ -229,17 +227,15 @@ GROUP BY day"""
 
 @register
 def q_status_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT-01, AGG-02: status rows per (agency, stream) with counts, ordered by
+    """SRT-01, AGG-02, FLT-07: countable status rows per (agency, stream), ordered by
     agency, GTFS stem (default 'z' when the catalog has none) and stream."""
-    f = feed_envelopes(spark, sf_dir, TZ)
+    f = countable_rows(feed_envelopes(spark, sf_dir, TZ))
     st = f.groupBy("agency", "stream").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
     cat = spark.createDataFrame([("view", "vehicle_positions"), ("purchase", "trip_updates")],
                                 "stream string, stem string")
     st = gtfs_stem(st, cat).withColumn("stem", F.when(F.col("stem") == F.lower("stream"), F.lit("z"))
                                        .otherwise(F.col("stem")))
-    # The status table has one row per (agency, stream): a single ordered window is fine here.
-    w = Window.orderBy("agency", "stem", "stream")
-    return st.select("agency", "stream", "stem", "rows", F.row_number().over(w).cast("int").alias("position"))
+    return status_rank(st, ["agency", "stem", "stream"]).select("agency", "stream", "stem", "rows", "position")
 
 
 ORACLE["q_status_order"] = with_feed("""

@@ -18,6 +18,7 @@ from feedlake.operators import coverage as cov_ops
 from feedlake.operators.dedupe import dedupe_events, flag_first_occurrence
 from feedlake.operators.history import merge_snapshots, point_in_time, prepare_snapshot
 from feedlake.operators.lookups import active_only, agency_of, fan_out, gtfs_stem, missing_ids
+from feedlake.operators.monitor import counts_with_zeros
 from feedlake.operators.projections import align_schema
 from feedlake.plans.feeds import feed_envelopes
 from feedlake.schema import DEFAULT_TZ
@@ -185,9 +186,7 @@ def q_fetched_per_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = agency_of(o, cust, "o_custkey").groupBy("n_nationkey").agg(
         F.count_if(F.col("o_orderstatus") == "O").alias("vehicles"),
         F.count_if(F.col("o_orderstatus") == "F").alias("enhanced"))
-    j = nat.join(counts, "n_nationkey", "left")
-    return j.select("agency", F.coalesce("vehicles", F.lit(0)).cast("bigint").alias("vehicles"),
-                    F.coalesce("enhanced", F.lit(0)).cast("bigint").alias("enhanced"))
+    return counts_with_zeros(nat, counts, "n_nationkey", ["vehicles", "enhanced"]).drop("n_nationkey")
 
 
 def q_active_routes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ LARGE_TABLES = ("stop_times", "shapes")
 
 def read_gtfs_table(spark: SparkSession, path: str, table: str | None = None,
                     null_tokens: Sequence[str] = ("",), multiline: bool | None = None) -> DataFrame:
-    """CSV with header, every column STRING (no inference), BOM stripped, quoted
+    """SRC-05: CSV with header, every column STRING (no inference), BOM stripped, quoted
     commas kept; cells equal to a null token become null.
 
     ``multiLine`` keeps quoted newlines but prevents splitting a file; it is off

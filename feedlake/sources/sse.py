@@ -25,7 +25,7 @@ def _strip(c):
 
 
 def sse_frames(df: DataFrame, body_col: str = "body") -> DataFrame:
-    """One row per closed frame: input columns (minus body), ``frame_no``,
+    """SRC-02, WIN-03: one row per closed frame: input columns (minus body), ``frame_no``,
     ``event``, ``payload`` (joined data text), ``ok`` (payload is JSON)."""
     text = F.regexp_replace(F.regexp_replace(F.col(body_col), "\r\n", "\n"), "\r", "\n")
     parts = F.split(text, "\n\n")

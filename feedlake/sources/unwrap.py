@@ -31,6 +31,17 @@ ROUTEMATCH = UnwrapConfig(keys=("data",), one_key_wrapper=True, scalar_mode="dat
 PASSIO_ALERTS = UnwrapConfig(keys=("msgs",), object_mode="drop", scalar_mode="drop", require_key=True)  # SRC-14
 
 
+def passio_alerts() -> UnwrapConfig:
+    """SRC-14: one item per ``msgs`` element; anything but a list gives nothing."""
+    return PASSIO_ALERTS
+
+
+def routematch() -> UnwrapConfig:
+    """SRC-15: a scalar becomes ``{"data": text}``; the ``data`` key, a one-key
+    wrapper object, a list, or the object itself."""
+    return ROUTEMATCH
+
+
 def bustime(keys: tuple[str, ...]) -> UnwrapConfig:
     """SRC-10: first key present; list, object, or one-key wrapper; strings give nothing."""
     return UnwrapConfig(keys=keys, one_key_wrapper=True, scalar_mode="drop", require_key=True)
@@ -91,7 +102,7 @@ def _items_of(x: Column, cfg: UnwrapConfig, opened: bool) -> Column:
 
 
 def unwrap_items(v: Column, cfg: UnwrapConfig) -> Column:
-    """array<variant> of items in a VARIANT document under ``cfg``.
+    """array<variant> of items in a VARIANT document under ``cfg`` (SRC-03/04/07/10/14..18).
 
     The first configured key present decides; without one, a list document is
     its own items, otherwise the document itself is treated as the value (or

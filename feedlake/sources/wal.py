@@ -38,7 +38,7 @@ def iso_ts_text(ts: str = "ts", tz: str = DEFAULT_TZ) -> Column:
 
 
 def read_wal(spark: SparkSession, root: str, tz: str = DEFAULT_TZ) -> DataFrame:
-    """Partitioned landing -> envelopes with ``ts`` (UTC instant), ``ts_raw`` and ``data`` text.
+    """Partitioned landing -> envelopes with ``ts`` (UTC instant), ``ts_raw`` and ``data`` text (SRC-01).
 
     The partition columns ``agency``, ``stream``, ``day`` come from the folder
     names, so filters on them prune folders before any file is opened.
@@ -52,7 +52,7 @@ def read_wal(spark: SparkSession, root: str, tz: str = DEFAULT_TZ) -> DataFrame:
 
 
 def read_wal_files(spark: SparkSession, path: str, tz: str = DEFAULT_TZ) -> DataFrame:
-    """Flat files named ``<AGENCY>_<stream>_<MMDDYYYY>.jsonl``: agency, stream and day
+    """SRC-01 for flat files named ``<AGENCY>_<stream>_<MMDDYYYY>.jsonl``: agency, stream and day
     from the file name (the first ``_`` part, the middle, the last)."""
     raw = (spark.read.schema(WAL_SCHEMA).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt").json(path))
@@ -67,5 +67,5 @@ def read_wal_files(spark: SparkSession, path: str, tz: str = DEFAULT_TZ) -> Data
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame:
-    """The compacted archive (Parquet partitioned by agency, stream, day)."""
+    """The compacted archive (Parquet partitioned by agency, stream, day) (SRC-20)."""
     return spark.read.parquet(root)
