@@ -35,10 +35,11 @@ def batches(df: DataFrame, group: Sequence[str], id_col: str, size: int, order:
 
 
 def _carry_join(df: DataFrame, carry: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Attach a per-(key, split) carry table — one row per key and split value, a
-    small fraction of the rows — broadcast when proven small."""
-    from feedlake.operators.lookups import lookup_join
-    return lookup_join(df, carry, list(on), "left")
+    """Attach a per-(key, split) carry table (one row per key and split value).
+
+    A plain equi-join on (key, split): the row side is already hash-partitioned
+    on exactly those columns by its window, so only the carry side moves."""
+    return df.join(carry, list(on), "left")
 
 
 def failure_streaks(df: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column,

@@ -51,16 +51,28 @@ def _write_parquet(df: DataFrame, path: str, mode: str, partition_by: Sequence[s
      .partitionBy(*partition_by).parquet(path))
 
 
-def spread_by_size(df: DataFrame, keys: Sequence[str], salt_col: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+MAX_FOLDERS_BROADCAST = 200_000   # folder lists: a few short strings and a count per row
+
+
+def _folder_join(df: DataFrame, folders: DataFrame, n_folders: int, how: str) -> DataFrame:
+    """Join on the folder keys; the folder list is broadcast when its counted size
+    (one row per agency/stream/day folder) is under the bound."""
+    side = F.broadcast(folders) if n_folders <= MAX_FOLDERS_BROADCAST else folders
+    return df.join(side, list(PARTITIONS), how)
+
+
+def spread_by_size(df: DataFrame, keys: Sequence[str], salt_col: str, rows_per_file: int = ROWS_PER_FILE,
+                   n_folders: int | None = None) -> DataFrame:
     """Repartition so each key folder gets ``ceil(rows/rows_per_file)`` writers.
 
-    Per-key counts are a small aggregate (one row per folder) joined back by
-    broadcast; the salt is a hash of ``salt_col`` modulo the folder's writer count.
+    Per-key counts are a small aggregate (one row per folder) joined back —
+    broadcast when ``n_folders`` is known to be under the bound; the salt is a hash
+    of ``salt_col`` modulo the folder's writer count.
     """
-    from feedlake.operators.lookups import lookup_join
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     buckets = counts.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_file)).cast("int").alias("_b"))
-    j = lookup_join(df, buckets, list(keys), "inner")
+    small = n_folders is not None and n_folders <= MAX_FOLDERS_BROADCAST
+    j = df.join(F.broadcast(buckets) if small else buckets, list(keys), "inner")
     salted = j.withColumn("_salt", F.pmod(F.xxhash64(salt_col), F.col("_b")))
     return salted.repartition(_writers(df), *[F.col(k) for k in keys], F.col("_salt")).drop("_b", "_salt")
 
@@ -91,23 +103,34 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, sta
 
     Rows of days before the local date of ``as_of`` are merged with the archive's
     rows for the same folders, deduplicated (IDN-07), staged, then swapped in.
-    With ``landing_root`` and ``log_root`` the sweep is incremental: only folders
-    holding files newer than their last compaction are read and rewritten, and
-    the compacted folders are appended to the log after the swap.
+    With ``landing_root`` and ``log_root`` the sweep is incremental: the folders to
+    work on come from a metadata-only listing (files newer than their last
+    compaction), the sweep stops before reading any data when none is pending,
+    and the compacted folders are appended to the log after the swap.
     Returns the number of folders written (0 when nothing was pending).
     """
     closed = landing.filter(F.col("day") < local_day(as_of, tz))
-    pending = None
-    if landing_root and log_root:
-        pending = pending_folders(spark, landing_root, log_root).filter(F.col("day") < local_day(as_of, tz))
-        from feedlake.operators.lookups import lookup_join
-        closed = lookup_join(closed, pending.select(*PARTITIONS), list(PARTITIONS), "left_semi")
     cols = ["hash_id", "ts", "ts_raw", "event", "endpoint", "id", "data", "metadata", *PARTITIONS]
     closed = closed.select(*[F.col(c) if c in closed.columns else F.lit(None).cast("string").alias(c) for c in cols])
-    touched = closed.select(*PARTITIONS).distinct()
+    pending = None
+    if landing_root and log_root:
+        # Freeze the folder list (with each folder's newest file time) as a small
+        # written table: files landing during this sweep must stay pending for the
+        # next one, so the log records exactly what this sweep read.
+        frozen = f"{staging_root.rstrip('/')}_pending"
+        pending_folders(spark, landing_root, log_root).filter(F.col("day") < local_day(as_of, tz)) \
+            .write.mode("overwrite").parquet(frozen)
+        pending = spark.read.parquet(frozen)
+        n_pending = pending.count()
+        if n_pending == 0:
+            return 0
+        touched = pending.select(*PARTITIONS)
+        closed = _folder_join(closed, touched, n_pending, "left_semi")
+    else:
+        touched = closed.select(*PARTITIONS).distinct()
+        n_pending = MAX_FOLDERS_BROADCAST + 1  # unknown: no broadcast
     try:
-        from feedlake.operators.lookups import lookup_join
-        existing = lookup_join(spark.read.parquet(archive_root), touched, list(PARTITIONS), "left_semi")
+        existing = _folder_join(spark.read.parquet(archive_root), touched, n_pending, "left_semi")
         merged = closed.unionByName(existing.select(*cols))
     except Exception:  # noqa: BLE001 - no archive yet
         merged = closed
@@ -116,13 +139,11 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, sta
     _write_parquet(deduped, staging_root, "overwrite", ())
     staged = spark.read.parquet(staging_root)
     n_folders = staged.select(*PARTITIONS).distinct().count()
-    if n_folders == 0:
-        return 0
-    out = spread_by_size(staged, PARTITIONS, "hash_id", rows_per_file)
-    _write_parquet(out, archive_root, "overwrite", PARTITIONS)
+    if n_folders > 0:
+        out = spread_by_size(staged, PARTITIONS, "hash_id", rows_per_file, n_folders)
+        _write_parquet(out, archive_root, "overwrite", PARTITIONS)
     if pending is not None:
-        done = pending.join(staged.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
-        done.withColumn("compacted_at", F.current_timestamp()).write.mode("append").parquet(log_root)
+        pending.withColumn("compacted_at", F.current_timestamp()).write.mode("append").parquet(log_root)
     return n_folders
 
 
