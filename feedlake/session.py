@@ -55,10 +55,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     executor. Only when it is unset (local tests) a temporary folder is created
     and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="feedlake-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no context: use its conf
+        sc = None
+    if sc is None:
+        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedlake-ckpt-")
+    else:
+        base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if not base:
+            base = tempfile.mkdtemp(prefix="feedlake-ckpt-")
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

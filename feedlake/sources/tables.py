@@ -14,8 +14,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     files the scan already has more splits than cores and this is a no-op.
     Filters and column pruning still reach the scan below the repartition.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
     return df.repartition(want) if have < want else df
 
 
