@@ -177,3 +177,22 @@ def test_split_windows_equal_unsplit(spark):
     a = W.unavailable_marks(df, ["k"], "ts", ["ts", "i"], F.col("bad"))
     b = W.unavailable_marks(df, ["k"], "ts", ["ts", "i"], F.col("bad"), split_by=["day"])
     assert norm(a, ["k", "i", "unavailable", "reported"]) == norm(b, ["k", "i", "unavailable", "reported"])
+
+
+def test_payload_helpers(spark):
+    from feedlake.functions.scalars import parse_envelope_ts
+    from feedlake.operators.projections import attach_key, stringify_payload, to_envelope
+    df = spark.createDataFrame([('{"b":1,"a":2}',), ("[1,2]",), ("plain text",), (None,), ('"q"',)], "p string")
+    assert [r[0] for r in df.select(stringify_payload("p")).collect()] == ['{"a":2,"b":1}', "[1,2]", "plain text",
+                                                                             None, '"q"']
+    items = spark.createDataFrame([('{"x":1}',), ("7",), ('{"_routeId":"keep"}',)], "j string")
+    out = [r[0] for r in items.select(attach_key(F.try_parse_json("j"), "_routeId", F.lit("R1"))).collect()]
+    assert out == ['{"_routeId":"R1","x":1}', '{"_routeId":"R1","raw":7}', '{"_routeId":"keep"}']
+    ts = spark.createDataFrame([("2024-01-31T10:00:00-05:00",), ("2024-07-01 10:00:00",), ("bad",)], "t string")
+    assert [r[0] for r in ts.select(parse_envelope_ts("t")).collect()] == [
+        dt.datetime(2024, 1, 31, 15), dt.datetime(2024, 7, 1, 14), None]
+    e = spark.createDataFrame([("A", "s", '{"k":1}', dt.datetime(2024, 1, 1, 3))],
+                              "a string, s string, d string, ts timestamp_ntz")
+    env = to_envelope(e, F.col("a"), F.col("s"), F.lit("update"), F.col("d"), ts=F.col("ts"), tz="America/New_York")
+    r = env.first()
+    assert r.day == dt.date(2023, 12, 31) and r.data == '{"k":1}' and r.metadata is None and len(r.hash_id) == 64
