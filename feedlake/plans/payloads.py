@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.functions.identity import canonical_json, error_hash
 from feedlake.functions.scalars import (archive_name, file_date_key, file_day, iso_local, parse_dotnet_date,
                                         parse_envelope_ts, parse_logged, safe_prefix, split_list, stream_class,
                                         stream_group, to_local)
