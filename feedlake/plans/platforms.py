@@ -242,3 +242,38 @@ ORACLE["q_status_order"] = with_feed("""
 SELECT agency, stream, stem, rows, CAST(row_number() OVER (ORDER BY agency, stem, stream) AS INTEGER) AS position FROM (
   SELECT agency, stream, CASE stream WHEN 'view' THEN 'vehicle_positions' WHEN 'purchase' THEN 'trip_updates' ELSE 'z' END AS stem,
          count(*) AS rows FROM feed GROUP BY agency, stream)""")
+
+
+@register
+def q_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-05/06, SRC-10, PRJ-01, IDN-03/07 as one job (``jobs.capture_envelopes``):
+    one captured BusTime answer per capture (a rejection page, an empty answer,
+    non-JSON text, or a vehicle list of two items), classified, unwrapped, hashed
+    and deduplicated per local day."""
+    from feedlake.jobs import capture_envelopes
+    ev = read_table(spark, sf_dir, "events", parallel=True)
+    vehicles = F.concat(F.lit('{"bustime-response":{"vehicle":['), F.col("props"), F.lit(',{"vid":'),
+                        F.col("user_id").cast("string"), F.lit("}]}}"))
+    body = (F.when(F.col("event_type") == "signup", F.lit("<html><title>Request Rejected</title></html>"))
+            .when(F.col("event_type") == "purchase",
+                  F.lit('{"bustime-response":{"error":[{"msg":"No vehicles found"}]}}'))
+            .when(F.col("event_type") == "click", F.lit("not json"))
+            .otherwise(vehicles))
+    caps = ev.select(F.format_string("A%d", F.col("user_id") % 5).alias("agency"),
+                     F.col("event_type").alias("stream"), F.lit("getvehicles").alias("endpoint"),
+                     F.col("ts").alias("poll_ts"), body.alias("body"))
+    env = capture_envelopes(caps, uw.bustime(("vehicle",)), tz=TZ)
+    return env.select("agency", "stream", "day", "hash_id", "data")
+
+
+ORACLE["q_captures"] = f"""
+SELECT DISTINCT agency, stream, day,
+       sha256('{{"agency":"' || agency || '","data":' || data || ',"endpoint":"getvehicles","event":"update","metadata":null,"stream":"'
+              || stream || '"}}') AS hash_id, data
+FROM (
+  SELECT 'A' || CAST(user_id % 5 AS VARCHAR) AS agency, event_type AS stream,
+         CAST({local('ts')} AS DATE) AS day, CAST(json(props) AS VARCHAR) AS data FROM events
+  WHERE event_type IN ('view', 'error')
+  UNION ALL
+  SELECT 'A' || CAST(user_id % 5 AS VARCHAR), event_type, CAST({local('ts')} AS DATE),
+         '{{"vid":' || CAST(user_id AS VARCHAR) || '}}' FROM events WHERE event_type IN ('view', 'error'))"""

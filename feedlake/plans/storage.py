@@ -181,3 +181,61 @@ def q_stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["q_stream_quota"] = with_feed("""
 SELECT agency, day, count(*) AS calls, count(*) > 10000 AS breached FROM feed GROUP BY agency, day""")
+
+
+@register
+def q_schedule_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05/06, IDN-08..10, SNK-03 as one job (``jobs.update_schedule``): two
+    pulls of a package — ``nation`` at 2024-01-01, then ``nation`` with every fourth
+    name changed plus a new ``region`` table at 2024-02-01 — folded into stored
+    cumulative tables; unchanged rows span both pulls, changed rows split in two."""
+    from feedlake.functions.scalars import iso_local
+    from feedlake.jobs import update_schedule
+    from feedlake.sources.gtfs import gtfs_package_tables as list_tables
+    base = shared_dir(spark, "q_schedule_update")
+    nat = read_table(spark, sf_dir, "nation")
+    reg = read_table(spark, sf_dir, "region")
+    pull1 = {"nation": nat.select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("nation_name"),
+                                  F.col("n_regionkey").alias("region_id"))}
+    pull2 = {"nation": nat.select(F.col("n_nationkey").alias("nation_id"),
+                                  F.when(F.col("n_nationkey") % 4 == 0, F.concat("n_name", F.lit("_v2")))
+                                  .otherwise(F.col("n_name")).alias("nation_name"),
+                                  F.col("n_regionkey").alias("region_id")),
+             "region": reg.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))}
+    for i, (pull, local_time) in enumerate(((pull1, "2024-01-01 03:00:00"), (pull2, "2024-02-01 03:00:00"))):
+        pkg = f"{base}/package{i}"
+        for name, df in pull.items():
+            df.write.mode("overwrite").option("header", True).csv(f"{pkg}/{name}.txt")
+        update_schedule(spark, pkg, f"{base}/store", f"{base}/work{i}", "A0",
+                        from_local(F.lit(local_time).cast("timestamp_ntz"), TZ))
+    out = None
+    for table in list_tables(spark, f"{base}/package1"):
+        t = spark.read.parquet(f"{base}/store/{table}")
+        key, name = (("nation_id", "nation_name") if table == "nation" else ("region_id", "region_name"))
+        part = t.select(F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.col(name).alias("name"),
+                        "hash_id", iso_local("first_logged", TZ).alias("first_logged"),
+                        iso_local("last_logged", TZ).alias("last_logged"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _nation_hash(name_expr: str) -> str:
+    return ("sha256('{\"row\":' || CAST(json_object('nation_id', CAST(n_nationkey AS VARCHAR), 'nation_name', "
+            + name_expr + ", 'region_id', CAST(n_regionkey AS VARCHAR)) AS VARCHAR) || ',\"table\":\"nation\"}')")
+
+
+ORACLE["q_schedule_update"] = f"""
+WITH p AS (
+  SELECT 'nation' AS table_name, CAST(n_nationkey AS VARCHAR) AS row_key, n_name AS name, {_nation_hash('n_name')} AS hash_id,
+         1 AS pull FROM nation
+  UNION ALL
+  SELECT 'nation', CAST(n_nationkey AS VARCHAR), CASE WHEN n_nationkey % 4 = 0 THEN n_name || '_v2' ELSE n_name END,
+         {_nation_hash("CASE WHEN n_nationkey % 4 = 0 THEN n_name || '_v2' ELSE n_name END")}, 2 FROM nation
+  UNION ALL
+  SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name,
+         sha256('{{"row":' || CAST(json_object('region_id', CAST(r_regionkey AS VARCHAR), 'region_name', r_name) AS VARCHAR)
+                || ',"table":"region"}}'), 2 FROM region)
+SELECT table_name, row_key, name, hash_id,
+       CASE WHEN min(pull) = 1 THEN '2024-01-01T03:00:00-0500' ELSE '2024-02-01T03:00:00-0500' END AS first_logged,
+       CASE WHEN max(pull) = 2 THEN '2024-02-01T03:00:00-0500' ELSE '2024-01-01T03:00:00-0500' END AS last_logged
+FROM p GROUP BY table_name, row_key, name, hash_id"""
