@@ -196,3 +196,12 @@ def test_payload_helpers(spark):
     env = to_envelope(e, F.col("a"), F.col("s"), F.lit("update"), F.col("d"), ts=F.col("ts"), tz="America/New_York")
     r = env.first()
     assert r.day == dt.date(2023, 12, 31) and r.data == '{"k":1}' and r.metadata is None and len(r.hash_id) == 64
+
+
+def test_merge_order_does_not_change_first_last(spark):
+    t1, t2 = F.lit("2024-01-01 08:00:00").cast("timestamp_ntz"), F.lit("2024-02-01 08:00:00").cast("timestamp_ntz")
+    a = H.prepare_snapshot(spark.createDataFrame([("1", "x"), ("2", "y")], "id string, name string"), "t", t1)
+    b = H.prepare_snapshot(spark.createDataFrame([("2", "y"), ("3", "z")], "id string, name string"), "t", t2)
+    ab = H.merge_snapshots(a, b, "t", t2).select("hash_id", "first_logged", "last_logged").collect()
+    ba = H.merge_snapshots(b, a, "t", t2).select("hash_id", "first_logged", "last_logged").collect()
+    assert sorted(map(tuple, ab)) == sorted(map(tuple, ba))
