@@ -137,7 +137,7 @@ FROM orders"""
 
 @register
 def q_platform_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-14..18, PRJ-10: RouteMatch (scalar, ``data`` list), SWIV (named key),
+    """SRC-14..18, PRJ-10: RouteMatch (scalar, ``data`` list, one-key document), SWIV (named key),
     TransLoc (``d`` list with a non-object, ``_routeId`` attached), Logan Express
     (collection key) and PassioGO alert (``msgs`` list) answers, one per order,
     unwrapped by platform config."""
@@ -167,7 +167,6 @@ ORACLE["q_platform_unwrap"] = """
 SELECT o_orderkey, 0 AS item_no,
   CASE o_orderkey % 6
     WHEN 0 THEN '{"data":"' || o_orderpriority || '"}'
-    WHEN 2 THEN '{"Stops":[{"id":' || CAST(o_orderkey AS VARCHAR) || ',"s":"' || o_orderstatus || '"}]}'
     WHEN 4 THEN '{"_routeId":"R' || CAST(o_orderkey % 10 AS VARCHAR) || '","id":' || CAST(o_orderkey AS VARCHAR)
                 || ',"s":"' || o_orderstatus || '"}'
     ELSE '{"id":' || CAST(o_orderkey AS VARCHAR) || ',"s":"' || o_orderstatus || '"}' END AS item

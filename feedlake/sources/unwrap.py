@@ -16,19 +16,23 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class UnwrapConfig:
-    keys: tuple[str, ...] = ()          # first key present wins
-    one_key_wrapper: bool = False       # {"routes": {"route": [...]}} -> [...]
-    object_mode: str = "wrap"           # single object: 'wrap' -> [obj], 'drop' -> []
-    scalar_mode: str = "wrap"           # scalar: 'wrap' -> [x], 'drop' -> [], 'data' -> [{"data": "x"}]
-    require_key: bool = False           # no key present -> [] instead of the document
-    nested_keys: tuple[str, ...] = field(default=())  # also look one level down (PassioGO)
+    keys: tuple[str, ...] = ()       # the first key present holds the items
+    list_keys: tuple[str, ...] = ()  # then: the first of these whose value is a non-empty list
+    inner_one_key: bool = False      # a located one-key object is opened: {"routes": {"route": [...]}}
+    doc_one_key: bool = False        # without a key, a one-key document is opened (RouteMatch)
+    value_scalar: str = "wrap"       # located scalar: 'wrap' -> [x], 'drop' -> []
+    value_object: str = "wrap"       # located object: 'wrap' -> [obj], 'drop' -> []
+    doc_scalar: str = "wrap"         # document scalar: 'wrap', 'drop', or 'data' -> [{"data": "x"}]
+    doc_object: str = "wrap"         # document object without a key: 'wrap' -> [doc], 'drop' -> []
+    doc_list: bool = True            # a list document yields its items
+    nested_keys: tuple[str, ...] = field(default=())  # reserved (PassioGO one level down: see passio.py)
 
 
 # Per-platform unwrap rules.
-BULK = UnwrapConfig(keys=("entity",))                                    # SRC-03 / SRC-07
-JSONAPI = UnwrapConfig(keys=("data",))                                   # SRC-04
-ROUTEMATCH = UnwrapConfig(keys=("data",), one_key_wrapper=True, scalar_mode="data")   # SRC-15
-PASSIO_ALERTS = UnwrapConfig(keys=("msgs",), object_mode="drop", scalar_mode="drop", require_key=True)  # SRC-14
+BULK = UnwrapConfig(keys=("entity",))                                       # SRC-03 / SRC-07
+JSONAPI = UnwrapConfig(keys=("data",))                                      # SRC-04
+ROUTEMATCH = UnwrapConfig(keys=("data",), doc_one_key=True, doc_scalar="data")   # SRC-15
+PASSIO_ALERTS = UnwrapConfig(list_keys=("msgs",), doc_object="drop", doc_scalar="drop", doc_list=False)  # SRC-14
 
 
 def passio_alerts() -> UnwrapConfig:
@@ -37,14 +41,15 @@ def passio_alerts() -> UnwrapConfig:
 
 
 def routematch() -> UnwrapConfig:
-    """SRC-15: a scalar becomes ``{"data": text}``; the ``data`` key, a one-key
-    wrapper object, a list, or the object itself."""
+    """SRC-15: a scalar becomes ``{"data": text}``; the ``data`` key, else the single
+    value of a one-key object, as a list or wrapped."""
     return ROUTEMATCH
 
 
 def bustime(keys: tuple[str, ...]) -> UnwrapConfig:
-    """SRC-10: first key present; list, object, or one-key wrapper; strings give nothing."""
-    return UnwrapConfig(keys=keys, one_key_wrapper=True, scalar_mode="drop", require_key=True)
+    """SRC-10: the first key present — a list, a one-key wrapper around a list or an
+    object, or a wrapped value; a document without the key, or text, gives nothing."""
+    return UnwrapConfig(keys=keys, inner_one_key=True, doc_object="drop", doc_scalar="drop")
 
 
 def swiv(key: str) -> UnwrapConfig:
@@ -53,13 +58,15 @@ def swiv(key: str) -> UnwrapConfig:
 
 
 def transloc(key: str) -> UnwrapConfig:
-    """SRC-17: a list, or ``d``, or the named key; anything else gives nothing."""
-    return UnwrapConfig(keys=("d", key), object_mode="drop", scalar_mode="drop")
+    """SRC-17: a list document, or the first non-empty list among ``d`` and the
+    named key; anything else gives nothing."""
+    return UnwrapConfig(list_keys=("d", key), doc_object="drop", doc_scalar="drop")
 
 
 def massport(collection_keys: tuple[str, ...]) -> UnwrapConfig:
-    """SRC-18: ``data`` (list or wrapped), else a known collection key, else the object."""
-    return UnwrapConfig(keys=("data", *collection_keys))
+    """SRC-18: ``data`` (list or wrapped), else the first collection key holding a
+    list, else the object itself."""
+    return UnwrapConfig(keys=("data",), list_keys=collection_keys)
 
 
 def _arr(v: Column) -> Column:
@@ -76,50 +83,72 @@ def _key_value(v: Column, key: str) -> tuple[Column, Column]:
     return F.coalesce(F.array_contains(F.map_keys(m), F.lit(key)), F.lit(False)), F.element_at(m, F.lit(key))
 
 
-def _items_of(x: Column, cfg: UnwrapConfig, opened: bool) -> Column:
-    """Items from a located value ``x`` (array<variant>)."""
-    arr = _arr(x)
+def _empty() -> Column:
+    return F.array().cast("array<variant>")
+
+
+def _falsy(v: Column) -> Column:
+    """Nothing to unwrap: null, JSON null, {}, [] or ""."""
+    return (v.isNull() | F.is_variant_null(v) | (F.size(_obj(v)) == 0) | (F.size(_arr(v)) == 0)
+            | (_obj(v).isNull() & _arr(v).isNull() & (F.try_variant_get(v, "$", "string") == "")))
+
+
+def _value_items(x: Column, cfg: UnwrapConfig) -> Column:
+    """Items of a located value: a list is its items; objects and scalars per config."""
     obj = _obj(x)
     single = F.array(x)
-    if cfg.one_key_wrapper and opened:
+    if cfg.inner_one_key:
         inner = F.element_at(F.map_values(obj), 1)
-        one = (F.size(obj) == 1)
-        wrapped = (F.when(one & _arr(inner).isNotNull(), _arr(inner))
-                   .when(one & _obj(inner).isNotNull(), F.array(inner)))
-        obj_items = F.coalesce(wrapped, single)
+        one = F.size(obj) == 1
+        obj_items = F.coalesce(F.when(one & _arr(inner).isNotNull(), _arr(inner))
+                               .when(one & _obj(inner).isNotNull(), F.array(inner)), single)
     else:
-        obj_items = single if cfg.object_mode == "wrap" else F.array().cast("array<variant>")
-    if cfg.scalar_mode == "wrap":
-        scalar = single
-    elif cfg.scalar_mode == "data":
-        scalar = F.array(F.try_parse_json(F.to_json(F.struct(F.try_variant_get(x, "$", "string").alias("data")))))
+        obj_items = single if cfg.value_object == "wrap" else _empty()
+    scalar = single if cfg.value_scalar == "wrap" else _empty()
+    return (F.when(x.isNull() | F.is_variant_null(x), _empty()).when(_arr(x).isNotNull(), _arr(x))
+            .when(obj.isNotNull(), obj_items).otherwise(scalar))
+
+
+def _doc_items(v: Column, cfg: UnwrapConfig) -> Column:
+    """Items of a document in which no configured key matched."""
+    obj = _obj(v)
+    if cfg.doc_scalar == "data":
+        scalar = F.array(F.to_variant_object(F.create_map(
+            F.lit("data"), F.try_variant_get(F.to_variant_object(F.struct(
+                F.try_variant_get(v, "$", "string").alias("v"))), "$.v", "variant"))))
+    elif cfg.doc_scalar == "wrap":
+        scalar = F.array(v)
     else:
-        scalar = F.array().cast("array<variant>")
-    return (F.when(x.isNull(), F.array().cast("array<variant>"))
-            .when(arr.isNotNull(), arr)
-            .when(obj.isNotNull(), obj_items)
-            .otherwise(scalar))
+        scalar = _empty()
+    obj_items = F.array(v) if cfg.doc_object == "wrap" else _empty()
+    if cfg.doc_one_key:
+        obj_items = F.when(F.size(obj) == 1, _value_items(F.element_at(F.map_values(obj), 1), cfg)) \
+            .otherwise(obj_items)
+    lst = _arr(v) if cfg.doc_list else _empty()
+    return F.when(_arr(v).isNotNull(), lst).when(obj.isNotNull(), obj_items).otherwise(scalar)
 
 
 def unwrap_items(v: Column, cfg: UnwrapConfig) -> Column:
     """array<variant> of items in a VARIANT document under ``cfg`` (SRC-03/04/07/10/14..18).
 
-    The first configured key present decides; without one, a list document is
-    its own items, otherwise the document itself is treated as the value (or
-    nothing with ``require_key``). The located value is picked once and shaped
-    once, which keeps the generated code small.
+    An empty answer gives nothing; then the first configured key present decides,
+    then the first ``list_keys`` entry holding a non-empty list, then the document
+    itself. The located value is picked once and shaped once, which keeps the
+    generated code small.
     """
-    empty = F.array().cast("array<variant>")
-    doc_arr = _arr(v)
-    fallback = F.when(doc_arr.isNotNull(), doc_arr).otherwise(
-        empty if cfg.require_key else _items_of(v, cfg, False))
-    if not cfg.keys:
-        return fallback
+    out = _doc_items(v, cfg)
     m = _obj(v)
-    keys = F.coalesce(F.map_keys(m), F.array().cast("array<string>"))
-    hit = F.filter(F.array(*[F.lit(k) for k in cfg.keys]), lambda k: F.array_contains(keys, k))
-    value = F.element_at(m, F.try_element_at(hit, F.lit(1)))
-    return F.when(F.size(hit) > 0, _items_of(value, cfg, True)).otherwise(fallback)
+    names = F.coalesce(F.map_keys(m), F.array().cast("array<string>"))
+    if cfg.list_keys:
+        lists = F.filter(F.transform(F.array(*[F.lit(k) for k in cfg.list_keys]),
+                                     lambda k: _arr(F.element_at(m, k))),
+                         lambda a: a.isNotNull() & (F.size(a) > 0))
+        out = F.when(F.size(lists) > 0, F.element_at(lists, 1)).otherwise(out)
+    if cfg.keys:
+        hit = F.filter(F.array(*[F.lit(k) for k in cfg.keys]), lambda k: F.array_contains(names, k))
+        value = F.element_at(m, F.try_element_at(hit, F.lit(1)))
+        out = F.when(F.size(hit) > 0, _value_items(value, cfg)).otherwise(out)
+    return F.when(_falsy(v), _empty()).otherwise(out)
 
 
 def unwrap(df: DataFrame, payload: str | Column, cfg: UnwrapConfig, pos: str = "item_no",

@@ -26,6 +26,20 @@ def test_unwrap_configs(spark):
     assert items(spark, '{"msgs":{"x":1}}', uw.PASSIO_ALERTS) == []
     assert items(spark, '{"msgs":[{"x":1}]}', uw.PASSIO_ALERTS) == ['{"x":1}']
     assert items(spark, '{"d":[1,2]}', uw.transloc("routes")) == ["1", "2"]
+    assert items(spark, '{"d":[],"routes":[3]}', uw.transloc("routes")) == ["3"]
+    assert items(spark, '{"d":{"x":1}}', uw.transloc("routes")) == []
+    assert items(spark, '{"only":[{"a":1}]}', uw.ROUTEMATCH) == ['{"a":1}']
+    assert items(spark, '{"only":"x"}', uw.ROUTEMATCH) == ['"x"']
+    assert items(spark, '{"data":{"a":{"b":[1]}}}', uw.ROUTEMATCH) == ['{"a":{"b":[1]}}']
+    assert items(spark, '{"a":1,"b":2}', uw.ROUTEMATCH) == ['{"a":1,"b":2}']
+    assert items(spark, "{}", uw.ROUTEMATCH) == []
+    mp = uw.massport(("routes", "stops"))
+    assert items(spark, '{"routes":{"x":1},"stops":[{"s":1}]}', mp) == ['{"s":1}']
+    assert items(spark, '{"routes":{"x":1}}', mp) == ['{"routes":{"x":1}}']
+    assert items(spark, '{"data":5}', mp) == ["5"]
+    assert items(spark, '[{"m":1}]', uw.PASSIO_ALERTS) == []
+    assert items(spark, '{"routes":{"route":"x"}}', uw.bustime(("routes",))) == ['{"route":"x"}']
+    assert items(spark, '{"routes":"x"}', uw.bustime(("routes",))) == ['"x"']
 
 
 def test_sse_framing_edges(spark):
