@@ -28,7 +28,7 @@ def safe_prefix(col, style: str = "main", default: str = "agency") -> Column:
     ``-`` becomes ``_`` (Unicode letters are kept). Leading/trailing ``_`` are
     stripped; an empty result falls back to ``default``.
     """
-    s = F.trim(_c(col))
+    s = F.regexp_replace(_c(col), r"^\s+|\s+$", "")
     if style == "main":
         cleaned = F.regexp_replace(s, r"[^A-Za-z0-9_-]+", "_")
     else:
@@ -140,23 +140,29 @@ def parse_logged(col, tz: str = DEFAULT_TZ) -> Column:
     return F.when(has_offset, iso_zoned).otherwise(from_local(F.coalesce(naive_dt, mdy), tz))
 
 
-def parse_dotnet_date(col, anchored: bool = False, keep_unmatched: bool = True) -> Column:
-    """``/Date(ms±hhmm)/`` -> instant (offset ignored) (SCL-06).
+def iso_seconds(ts, tz: str = DEFAULT_TZ) -> Column:
+    """``YYYY-MM-DDTHH:MM:SS±HH:MM`` of an instant in ``tz`` (fraction truncated)."""
+    off = utc_offset(ts, tz)
+    return F.concat(F.date_format(to_local(ts, tz), "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.substr(off, F.lit(1), F.lit(3)), F.lit(":"), F.substr(off, F.lit(4), F.lit(2)))
+
+
+def parse_dotnet_date(col, anchored: bool = False, keep_unmatched: bool = True, tz: str = DEFAULT_TZ) -> Column:
+    """``/Date(ms±hhmm)/`` -> instant, the offset ignored (SCL-06).
 
     Empty text gives null. With ``keep_unmatched`` the result is a STRING: the
-    instant as ``yyyy-MM-dd HH:mm:ss.SSS`` (UTC) or the input text when it does not
-    match; otherwise a TIMESTAMP_NTZ that is null on no match.
-    ``anchored`` requires the pattern at the start (the TransLoc form).
+    instant as local ISO text with offset at second precision, or the input text
+    when it does not match; otherwise a TIMESTAMP_NTZ (UTC) that is null on no
+    match. ``anchored`` is the TransLoc form: ``/Date(ms)/`` at the start, no offset.
     """
     s = _c(col).cast("string")
-    pat = (r"^" if anchored else r"") + r"/Date\((-?\d+)([+-]\d{4})?\)/"
-    ms = F.try_cast(F.regexp_extract(s, pat, 1), "bigint") if hasattr(F, "try_cast") else \
-        F.regexp_extract(s, pat, 1).try_cast("bigint")
+    pat = r"^/Date\((\d+)\)/" if anchored else r"/Date\((\d+)([+-]\d{4})?\)/"
+    ms = F.regexp_extract(s, pat, 1).try_cast("bigint")
     ts = F.when(s.rlike(pat), F.timestamp_millis(ms).cast("timestamp_ntz"))
     if not keep_unmatched:
         return F.when(F.trim(s) != "", ts)
-    return (F.when(s.isNull() | (F.trim(s) == ""), F.lit(None).cast("string"))
-            .when(ts.isNotNull(), F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"))
+    return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
+            .when(ts.isNotNull(), iso_seconds(ts, tz))
             .otherwise(s))
 
 
@@ -164,12 +170,13 @@ def parse_dotnet_date(col, anchored: bool = False, keep_unmatched: bool = True)
 
 def time_to_seconds(col) -> Column:
     """``H:M:S`` (hours may exceed 24) -> seconds; malformed or blank -> null (SCL-07)."""
-    parts = F.split(F.trim(_c(col)), ":")
-    ok = (F.size(parts) == 3) & F.trim(_c(col)).rlike(r"^\d+:\d+:\d+$")
-    h = F.get(parts, 0).cast("int")
-    m = F.get(parts, 1).cast("int")
-    s = F.get(parts, 2).cast("int")
-    return F.when(ok, h * 3600 + m * 60 + s)
+    parts = F.split(F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", ""), ":")
+    num = r"^\s*[+-]?\d+\s*$"
+    ok = (F.size(parts) >= 3) & F.get(parts, 0).rlike(num) & F.get(parts, 1).rlike(num) & F.get(parts, 2).rlike(num)
+
+    def part(i):
+        return F.trim(F.get(parts, i)).try_cast("bigint")
+    return F.when(ok, part(0) * 3600 + part(1) * 60 + part(2))
 
 
 def seconds_to_hms(col) -> Column:

@@ -42,11 +42,10 @@ def agency_of(vehicles: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
 def gtfs_stem(df: DataFrame, catalog: DataFrame, stream_col: str = "stream", lower: bool = True) -> DataFrame:
     """Left lookup stream -> GTFS file stem; default is the safe stream name (JON-02)."""
     fallback = safe_prefix(F.col(stream_col), style="unicode", default="stream")
-    if lower:
-        fallback = F.lower(fallback)
     cat = catalog.select(F.col("stream").alias("_cat_stream"), F.col("stem").alias("_cat_stem"))
     j = lookup_join(df, cat, df[stream_col] == cat["_cat_stream"], "left")
-    return j.withColumn("stem", F.coalesce(F.col("_cat_stem"), fallback)).drop("_cat_stream", "_cat_stem")
+    stem = F.coalesce(F.col("_cat_stem"), fallback)
+    return j.withColumn("stem", F.lower(stem) if lower else stem).drop("_cat_stream", "_cat_stem")
 
 
 def fan_out(targets: DataFrame, snapshot: DataFrame, name: str) -> DataFrame:
@@ -98,11 +97,14 @@ def allow_list(df: DataFrame, col: str, targets: Sequence[str]) -> DataFrame:
 
 def parse_catalog(text: Column) -> Column:
     """``id:ABBR, id2:ABBR2`` -> array of (key, value) (JON-09): both sides trimmed,
-    pairs without a key or value dropped; explode it to get one row per entry."""
+    the abbreviation upper-cased, pairs without a key or value dropped, a repeated
+    id keeps its last value; explode it to get one row per entry."""
     pairs = F.filter(split_list(text), lambda p: p.contains(":"))
     kv = F.transform(pairs, lambda p: F.struct(F.trim(F.substring_index(p, ":", 1)).alias("key"),
-                                               F.trim(F.regexp_extract(p, r"^[^:]*:(.*)$", 1)).alias("value")))
-    return F.filter(kv, lambda e: (e["key"] != "") & (e["value"] != ""))
+                                               F.upper(F.trim(F.regexp_extract(p, r"^[^:]*:(.*)$", 1)))
+                                               .alias("value")))
+    kv = F.filter(kv, lambda e: (e["key"] != "") & (e["value"] != ""))
+    return F.filter(kv, lambda e, i: ~F.exists(F.slice(kv, i + 2, F.size(kv)), lambda x: x["key"] == e["key"]))
 
 
 def catalog_with_fallback(catalog: DataFrame, targets: DataFrame, group: str, key: str) -> DataFrame:

@@ -161,8 +161,10 @@ def drop_key(item, name: str) -> Column:
 
 
 def occupancy_payload(bus) -> Column:
-    """Label for a bus object: its own ``gtfsOccupancyStatus`` or one derived from ``paxLoad``."""
+    """Label for a bus object: its own ``gtfsOccupancyStatus`` when the key exists
+    (even if null), else one derived from ``paxLoad`` when that key exists."""
     v = _c(bus)
-    has_pax = vget(v, "$.paxLoad", "variant").isNotNull()
-    derived = F.when(has_pax, derive_occupancy(vget(v, "$.paxLoad")))
-    return F.coalesce(vget(v, "$.gtfsOccupancyStatus"), derived)
+    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    has_status = F.coalesce(F.array_contains(keys, F.lit("gtfsOccupancyStatus")), F.lit(False))
+    has_pax = F.coalesce(F.array_contains(keys, F.lit("paxLoad")), F.lit(False))
+    return F.when(has_status, vget(v, "$.gtfsOccupancyStatus")).when(has_pax, derive_occupancy(vget(v, "$.paxLoad")))

@@ -104,6 +104,14 @@ def iso_local_sql(utc_ts: str) -> str:
             f" || lpad(CAST(abs({d}) // 60 AS VARCHAR), 2, '0') || lpad(CAST(abs({d}) % 60 AS VARCHAR), 2, '0'))")
 
 
+def iso_seconds_sql(utc_ts: str) -> str:
+    """``YYYY-MM-DDTHH:MM:SS±HH:MM`` of a UTC instant in the local zone."""
+    loc = local(utc_ts)
+    d = f"CAST(round((epoch({loc}) - epoch({utc_ts})) / 60) AS INTEGER)"
+    return (f"(strftime({loc}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {d} < 0 THEN '-' ELSE '+' END"
+            f" || lpad(CAST(abs({d}) // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(abs({d}) % 60 AS VARCHAR), 2, '0'))")
+
+
 ORDERS_HIST = """
 o AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
              o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders),

@@ -21,7 +21,7 @@ from feedlake.operators.monitor import classify_bustime
 from feedlake.operators.projections import infopoint_alert, infopoint_vehicle
 from feedlake.sinks.archive import error_rows
 from feedlake.plans.feeds import feed_envelopes
-from feedlake.plans.oracle import iso_local_sql, local, with_feed
+from feedlake.plans.oracle import iso_local_sql, iso_seconds_sql, local, with_feed
 from feedlake.schema import DEFAULT_TZ
 from feedlake.sources import unwrap as uw
 from feedlake.sources.sse import sse_records
@@ -148,10 +148,10 @@ def q_dotnet_date(spark: SparkSession, sf_dir: str) -> DataFrame:
                     parse_dotnet_date(prefixed, anchored=True).alias("parsed_anchored"))
 
 
-ORACLE["q_dotnet_date"] = """
+ORACLE["q_dotnet_date"] = f"""
 SELECT event_id,
   CASE WHEN event_type = 'error' THEN 'n/a' WHEN event_type = 'signup' THEN NULL
-       ELSE strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%d %H:%M:%S.%g') END AS parsed,
+       ELSE {iso_seconds_sql('epoch_ms(epoch_us(ts) // 1000)')} END AS parsed,
   CASE WHEN event_type = 'error' THEN 'at n/a' WHEN event_type = 'signup' THEN 'at '
        ELSE 'at /Date(' || CAST(epoch_us(ts) // 1000 AS VARCHAR) || '-0500)/' END AS parsed_anchored
 FROM events"""
@@ -436,7 +436,7 @@ ORACLE["q_infopoint_vehicles"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS poll_id, CAST(c_custkey AS VARCHAR) AS route_id, 'R' || CAST(c_custkey AS VARCHAR) AS route_abbr,
        c_name AS route_name, CAST(o_orderkey AS VARCHAR) AS vehicle_id, 'V' || CAST(o_orderkey AS VARCHAR) AS vehicle_name,
        o_orderstatus AS op_status, o_orderpriority AS destination,
-       strftime(epoch_ms(epoch_ms(o_orderdate)), '%Y-%m-%d %H:%M:%S.%g') AS last_updated, {_VEH_NULLS}
+       {iso_seconds_sql('epoch_ms(epoch_ms(o_orderdate))')} AS last_updated, {_VEH_NULLS}
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
@@ -456,11 +456,11 @@ def q_infopoint_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select(*infopoint_alert("a"))
 
 
-ORACLE["q_infopoint_alerts"] = """
+ORACLE["q_infopoint_alerts"] = f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS message_id, o_orderpriority AS header, 'status ' || o_orderstatus AS message,
        CAST(NULL AS VARCHAR) AS priority, CAST(NULL AS VARCHAR) AS cause, CAST(NULL AS VARCHAR) AS effect,
        CAST(NULL AS VARCHAR) AS days_of_week, CAST(NULL AS VARCHAR) AS url, CAST(NULL AS VARCHAR) AS published,
        CAST(NULL AS VARCHAR) AS is_primary_record,
        CASE WHEN o_orderstatus <> 'F' THEN '[' || CAST(o_custkey AS VARCHAR) || ']' ELSE '[]' END AS routes,
-       strftime(epoch_ms(epoch_ms(o_orderdate)), '%Y-%m-%d %H:%M:%S.%g') AS from_date, CAST(NULL AS VARCHAR) AS to_date
+       {iso_seconds_sql('epoch_ms(epoch_ms(o_orderdate))')} AS from_date, CAST(NULL AS VARCHAR) AS to_date
 FROM orders"""

@@ -152,6 +152,13 @@ def test_lookups(spark):
     assert sorted(r.k for r in changed_sets(new, old, "k", "s").collect()) == ["r2", "r3"]
     cat = spark.createDataFrame([("1: AB , 2:CD,, 3:, :E",)], "t string").select(F.explode(parse_catalog(F.col("t"))))
     assert [(r.col.key, r.col.value) for r in cat.collect()] == [("1", "AB"), ("2", "CD")]
+    dup = spark.createDataFrame([("1:ab, 2:cd, 1:ef",)], "t string").select(F.explode(parse_catalog(F.col("t"))))
+    assert sorted((r.col.key, r.col.value) for r in dup.collect()) == [("1", "EF"), ("2", "CD")]
+    from feedlake.operators.projections import occupancy_payload
+    buses = spark.createDataFrame([('{"paxLoad":0.5}',), ('{"paxLoad":0.5,"gtfsOccupancyStatus":null}',),
+                                   ('{"gtfsOccupancyStatus":"FULL"}',), ('{"x":1}',)], "b string")
+    assert [r[0] for r in buses.select(occupancy_payload(F.try_parse_json("b"))).collect()] == [
+        "FEW_SEATS_AVAILABLE", None, "FULL", None]
 
 
 def test_split_windows_equal_unsplit(spark):

@@ -25,7 +25,9 @@ def test_file_date_key_and_day(spark):
 def test_time_to_seconds_edges(spark):
     assert one(spark, S.time_to_seconds, "25:10:00") == 25 * 3600 + 600
     assert one(spark, S.time_to_seconds, " 7:05:00") == 7 * 3600 + 300
-    for bad in ("", "abc", "7:05", None):
+    assert one(spark, S.time_to_seconds, "+1: 02 :03") == 3723
+    assert one(spark, S.time_to_seconds, "1:02:03:99") == 3723
+    for bad in ("", "abc", "7:05", "7:x:00", None):
         assert one(spark, S.time_to_seconds, bad) is None
 
 
@@ -57,10 +59,14 @@ def test_levels_groups_classes(spark):
 
 
 def test_dotnet_date(spark):
-    assert one(spark, S.parse_dotnet_date, "/Date(1704067200000-0500)/") == "2024-01-01 00:00:00.000"
+    assert one(spark, S.parse_dotnet_date, "/Date(1704067200999-0500)/") == "2023-12-31T19:00:00-05:00"
+    assert one(spark, S.parse_dotnet_date, "/Date(1719835200000)/") == "2024-07-01T08:00:00-04:00"
     assert one(spark, S.parse_dotnet_date, "") is None
     assert one(spark, S.parse_dotnet_date, "soon") == "soon"
-    assert one(spark, lambda c: S.parse_dotnet_date(c, anchored=True), "x/Date(1)/") == "x/Date(1)/"
+    anchored = lambda c: S.parse_dotnet_date(c, anchored=True)
+    assert one(spark, anchored, "x/Date(1)/") == "x/Date(1)/"
+    assert one(spark, anchored, "/Date(1704067200000-0500)/") == "/Date(1704067200000-0500)/"
+    assert one(spark, anchored, "/Date(1704067200000)/") == "2023-12-31T19:00:00-05:00"
 
 
 def test_parse_logged_and_iso_local(spark):
