@@ -29,8 +29,13 @@ def valid_route_id(col) -> Column:
 
 
 def id_from_keys(item: Column, keys: Sequence[str]) -> Column:
-    """First non-empty value among candidate keys of a VARIANT item (AGG-10)."""
-    return first_truthy(*[F.try_variant_get(item, f"$.{k}", "string") for k in keys])
+    """Id of a VARIANT item (AGG-10): for an object, the first candidate key whose
+    value is not null or empty; a bare string or integer item is its own id."""
+    is_obj = F.try_variant_get(item, "$", "map<string,variant>").isNotNull()
+    scalar_id = F.when(F.schema_of_variant(item).rlike(r"^(STRING|BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$"),
+                       F.try_variant_get(item, "$", "string"))
+    return F.when(is_obj, first_truthy(*[F.try_variant_get(item, f"$.{k}", "string") for k in keys])) \
+        .otherwise(scalar_id)
 
 
 def observed_ids(df: DataFrame, kind: Column, id_col: Column, ts: str = "ts",
@@ -68,10 +73,17 @@ def id_set(df: DataFrame, group: Sequence[str], id_col: str, name: str = "ids")
 
 
 def detour_routes(rt: Column) -> Column:
-    """``rt`` as array of route ids: a string, a list of strings, or a list of ``{rt}`` (AGG-12)."""
+    """``rt`` as array of route ids: a string, a list of strings, or a list of ``{rt}``
+    objects; empty ids are skipped (AGG-12)."""
     arr = F.try_variant_get(rt, "$", "array<variant>")
     from_list = F.transform(arr, lambda e: F.coalesce(F.try_variant_get(e, "$.rt", "string"),
                                                       F.try_variant_get(e, "$", "string")))
     single = F.array(F.try_variant_get(rt, "$", "string"))
     out = F.when(arr.isNotNull(), from_list).when(F.try_variant_get(rt, "$", "string").isNotNull(), single)
-    return F.filter(F.coalesce(out, F.array().cast("array<string>")), lambda x: x.isNotNull())
+    return F.filter(F.coalesce(out, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
+
+
+def detour_id(item: Column) -> Column:
+    """Detour id: ``id``, else ``dtrid``, else '' (AGG-12)."""
+    return F.coalesce(F.try_variant_get(item, "$.id", "string"), F.try_variant_get(item, "$.dtrid", "string"),
+                      F.lit(""))

@@ -377,7 +377,7 @@ def q_detours(spark: SparkSession, sf_dir: str) -> DataFrame:
           .otherwise(F.lit("null")))
     doc = F.concat(F.lit('{"id":"D'), (F.col("event_id") % 50).cast("string"), F.lit('","rt":'), rt, F.lit("}"))
     d = f.select("agency", F.try_parse_json(doc).alias("v"))
-    d = d.select("agency", F.try_variant_get("v", "$.id", "string").alias("detour_id"),
+    d = d.select("agency", id_ops.detour_id(F.col("v")).alias("detour_id"),
                  F.explode(id_ops.detour_routes(F.try_variant_get("v", "$.rt", "variant"))).alias("route"))
     s = id_ops.id_set(d, ["agency", "route"], "detour_id", "detours")
     return s.select("agency", "route", F.array_join("detours", ",").alias("detours"))

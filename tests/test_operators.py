@@ -212,3 +212,13 @@ def test_merge_order_does_not_change_first_last(spark):
     ab = H.merge_snapshots(a, b, "t", t2).select("hash_id", "first_logged", "last_logged").collect()
     ba = H.merge_snapshots(b, a, "t", t2).select("hash_id", "first_logged", "last_logged").collect()
     assert sorted(map(tuple, ab)) == sorted(map(tuple, ba))
+
+
+def test_id_extraction(spark):
+    items = spark.createDataFrame([('{"vehicleId":"","id":"7"}',), ('"42"',), ("13",), ("1.5",), ('{"x":1}',),
+                                   ('{"dtrid":"D9","rt":[{"rt":"5"},"",6]}',)], "j string")
+    got = [r[0] for r in items.select(ID.id_from_keys(F.try_parse_json("j"), ["vehicleId", "id"])).collect()]
+    assert got == ["7", "42", "13", None, None, None]
+    r = items.select(ID.detour_id(F.try_parse_json("j")).alias("d"),
+                     ID.detour_routes(F.try_variant_get(F.try_parse_json("j"), "$.rt", "variant")).alias("r")).collect()
+    assert (r[-1].d, list(r[-1].r)) == ("D9", ["5", "6"])
