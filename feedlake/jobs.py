@@ -14,6 +14,8 @@ never over rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,21 +28,34 @@ from feedlake.schema import DEFAULT_TZ
 from feedlake.sinks.archive import compact_days, wal_append, write_gtfs_table
 from feedlake.sources import unwrap as uw
 from feedlake.sources.gtfs import gtfs_package_tables, read_gtfs_table
-from feedlake.sources.wal import read_wal
+from feedlake.sources.wal import PARTITIONS, iso_ts_text, read_wal, wal_line
 from feedlake.streaming.ingest import start_ingest, stateful_dedupe
 
 
-def ingest_stream(envelopes: DataFrame, landing_root: str, checkpoint: str, available_now: bool = False):
-    """Start the continuous ingest of a streaming envelope DataFrame (STR-01/02)."""
-    return start_ingest(stateful_dedupe(envelopes), landing_root, checkpoint, available_now=available_now)
+def ingest_stream(envelopes: DataFrame, landing_root: str, checkpoint: str, available_now: bool = False,
+                  tz: str = DEFAULT_TZ):
+    """Start the continuous ingest of a streaming envelope DataFrame (STR-01/02/03).
+
+    Repeats are dropped in-stream (arrival-time watermark, never a late-row drop)
+    and the rest lands as JSON-lines envelopes under ``agency=/stream=/day=`` —
+    the same landing format ``archive_sweep`` compacts.
+    """
+    lines = stateful_dedupe(envelopes).select(*PARTITIONS, wal_line(iso_ts_text("ts", tz)).alias("value"))
+    return start_ingest(lines, landing_root, checkpoint, fmt="text", available_now=available_now)
 
 
 def archive_sweep(spark: SparkSession, landing_root: str, archive_root: str, work_root: str, as_of: Column,
                   tz: str = DEFAULT_TZ) -> int:
     """One incremental compaction sweep (STR-04): closed local days with new files
-    are merged into the archive; returns the number of folders written."""
-    return compact_days(spark, read_wal(spark, landing_root, tz), archive_root, f"{work_root}/staging",
-                        as_of, tz, landing_root=landing_root, log_root=f"{work_root}/compaction_log")
+    are merged into the archive; returns the number of folders written.
+
+    The compaction log lives with the archive (``<archive>/_compaction_log``; names
+    starting with ``_`` are hidden from readers of the archive), staging under a
+    fresh folder of ``work_root`` per sweep.
+    """
+    staging = f"{work_root.rstrip('/')}/staging-{uuid.uuid4().hex[:12]}"
+    return compact_days(spark, read_wal(spark, landing_root, tz), archive_root, staging, as_of, tz,
+                        landing_root=landing_root, log_root=f"{archive_root.rstrip('/')}/_compaction_log")
 
 
 def update_schedule(spark: SparkSession, package_dir: str, store_root: str, work_root: str, agency: str,

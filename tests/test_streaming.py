@@ -32,3 +32,22 @@ def test_restart_from_checkpoint(spark):
     want = envelopes_from_events(ev).select("agency", "stream", "day", "hash_id").distinct()
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_live_path_stream_landing_to_archive(spark):
+    """STR-01/02/04: events stream -> JSON-lines landing -> incremental sweep -> archive."""
+    from feedlake.functions.scalars import from_local
+    from feedlake.jobs import archive_sweep, ingest_stream
+    from feedlake.plans.feeds import events_stream
+    from feedlake.sources.wal import read_archive
+    base = shared_dir(spark, "test_live_path")
+    env = envelopes_from_events(events_stream(spark, SF))
+    q = ingest_stream(env, f"{base}/landing", f"{base}/ckpt", available_now=True)
+    q.awaitTermination()
+    as_of = from_local(F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))
+    assert archive_sweep(spark, f"{base}/landing", f"{base}/archive", f"{base}/work1", as_of) > 0
+    assert archive_sweep(spark, f"{base}/landing", f"{base}/archive", f"{base}/work2", as_of) == 0
+    got = read_archive(spark, f"{base}/archive").select("agency", "stream", "day", "hash_id")
+    want = envelopes_from_events(read_table(spark, SF, "events")) \
+        .filter(F.col("day") < F.lit("2024-01-20").cast("date")).select("agency", "stream", "day", "hash_id").distinct()
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
