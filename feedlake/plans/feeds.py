@@ -52,3 +52,22 @@ def envelopes_from_events(ev: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     )
     return env.withColumn("day", local_day("ts", tz)).withColumn(
         "hash_id", event_hash_struct("agency", "stream", "event", "endpoint", "data"))
+
+
+def lineitem_envelopes(spark: SparkSession, sf_dir: str, tz: str = DEFAULT_TZ) -> DataFrame:
+    """A second, larger stand-in feed over ``lineitem``: agency = one of 25 supplier
+    groups, stream = return flag + line status, entity = order, payload = line
+    number and whole quantity, capture instant = ship date + line number hours."""
+    li = read_table(spark, sf_dir, "lineitem", parallel=True)
+    data = F.to_json(F.struct(F.col("l_linenumber").alias("ln"), F.col("l_quantity").cast("int").alias("q")))
+    env = li.select(
+        F.format_string("N%d", F.col("l_suppkey") % 25).alias("agency"),
+        F.concat("l_returnflag", "l_linestatus").alias("stream"),
+        F.concat("l_returnflag", "l_linestatus").alias("endpoint"),
+        F.lit(EVENT_NAME).alias("event"),
+        F.col("l_orderkey").cast("string").alias("id"),
+        data.alias("data"),
+        (F.col("l_shipdate") + F.make_interval(hours=F.col("l_linenumber"))).alias("ts"),
+    )
+    return env.withColumn("day", local_day("ts", tz)).withColumn(
+        "hash_id", event_hash_struct("agency", "stream", "event", "endpoint", "data"))

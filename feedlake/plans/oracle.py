@@ -181,3 +181,38 @@ SELECT k.agency, k.day, k.id FROM (SELECT agency, id, day + 1 AS day FROM f) k
 WHERE k.day IN (SELECT day FROM f)
   AND NOT EXISTS (SELECT 1 FROM f WHERE f.agency = k.agency AND f.id = k.id AND f.day = k.day)""",
     "f AS (SELECT DISTINCT agency, id, day FROM feed)")
+
+LI_FEED = f"""
+li AS (
+  SELECT 'N' || CAST(l_suppkey % 25 AS VARCHAR) AS agency, l_returnflag || l_linestatus AS stream,
+         CAST(l_orderkey AS VARCHAR) AS id,
+         '{{"ln":' || CAST(l_linenumber AS VARCHAR) || ',"q":' || CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || '}}' AS data,
+         l_shipdate + to_hours(l_linenumber) AS ts
+  FROM lineitem),
+lif AS (
+  SELECT *, CAST({local('ts')} AS DATE) AS day,
+         sha256('{{"agency":"' || agency || '","data":' || data || ',"endpoint":"' || stream
+                || '","event":"update","metadata":null,"stream":"' || stream || '"}}') AS hash_id
+  FROM li)"""
+
+SQL["q_li_dedupe"] = f"""WITH {LI_FEED}
+SELECT agency, stream, day, hash_id, id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY agency, stream, day, hash_id ORDER BY ts, id) AS rn FROM lif)
+WHERE rn = 1"""
+
+SQL["q_li_coverage"] = f"""WITH {LI_FEED}
+SELECT agency, CASE WHEN grouping(stream) = 1 THEN '*all*' ELSE stream END AS stream, day, count(*) AS rows
+FROM lif GROUP BY GROUPING SETS ((agency, day, stream), (agency, day))"""
+
+SQL["q_li_merge"] = f"""WITH l AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+         CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey, l_returnflag,
+         strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem),
+h AS (SELECT *, sha256('{{"row":' || CAST(json_object('l_linenumber', l_linenumber, 'l_orderkey', l_orderkey,
+          'l_partkey', l_partkey, 'l_returnflag', l_returnflag, 'l_shipdate', l_shipdate, 'l_suppkey', l_suppkey)
+          AS VARCHAR) || ',"table":"lineitem"}}') AS hash_id FROM l),
+u AS (SELECT *, TIMESTAMP '2024-01-01 08:00:00' AS t FROM h WHERE l_shipdate < '1997-01-01'
+      UNION ALL SELECT *, TIMESTAMP '2024-02-01 08:00:00' AS t FROM h WHERE l_shipdate >= '1996-01-01')
+SELECT hash_id, any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber,
+       {iso_local_sql('min(t)')} AS first_logged, {iso_local_sql('max(t)')} AS last_logged
+FROM u GROUP BY hash_id"""
