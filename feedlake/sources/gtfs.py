@@ -58,3 +58,47 @@ def read_coverage(docs: DataFrame, col: str = "value") -> DataFrame:
     s = d.select("agency", F.explode("streams").alias("stream", "days"))
     return s.select("agency", "stream", F.explode("days").alias("day", "rows")) \
         .withColumn("day", F.to_date("day")).withColumn("rows", F.col("rows").cast("bigint"))
+
+
+def _zip_members(batches):
+    """mapInPandas body: one row per text line of every ``*.txt`` member, in order."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    for pdf in batches:
+        out = []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            package = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
+            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                for name in zf.namelist():
+                    if not name.endswith(".txt") or name.endswith("/"):
+                        continue
+                    table = name.rsplit("/", 1)[-1][:-4]
+                    text = zf.read(name).decode("utf-8", errors="replace")
+                    for i, line in enumerate(text.splitlines()):
+                        out.append((package, table, i, line))
+        yield pd.DataFrame(out, columns=["package", "table", "line_no", "value"])
+
+
+def land_zip_packages(spark: SparkSession, zip_glob: str, out_root: str) -> None:
+    """Unpack zipped schedule packages into ``<out_root>/package=<zip name>/table=<member>/``
+    text files, one task per zip so lines keep their order (header first) (SRC-06).
+
+    Python only opens the archives; the tables are then read by ``read_gtfs_table``.
+    """
+    zips = spark.read.format("binaryFile").load(zip_glob).select("path", "content")
+    lines = zips.mapInPandas(_zip_members, "package string, table string, line_no int, value string")
+    # An explicit per-task sort on (package, table, line_no) keeps each member's lines in
+    # file order (the writer's own grouping sort would not promise order within a group).
+    ordered = lines.sortWithinPartitions("package", "table", "line_no").select("package", "table", "value")
+    ordered.write.mode("overwrite").partitionBy("package", "table").text(out_root)
+
+
+def landed_tables(spark: SparkSession, out_root: str, package: str) -> list[str]:
+    """Table names landed for one package by ``land_zip_packages``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{out_root.rstrip('/')}/package={package}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(p)
+                  if s.isDirectory() and s.getPath().getName().startswith("table="))

@@ -99,3 +99,18 @@ def test_passio_shapes(spark):
     e = spark.createDataFrame([('{"ETAs":{"s1":[{"eta":3,"error":"e"},7],"s2":"none"}}',)], "b string")
     etas = e.select(F.transform(passio.eta_map(F.try_parse_json("b")), lambda x: F.to_json(x))).first()[0]
     assert list(etas) == ['{"_parent_stop_id":"s1","eta":3}']
+
+
+def test_zip_package_landing(spark, tmp_path):
+    import zipfile
+    from feedlake.sources.gtfs import land_zip_packages, landed_tables
+    z = tmp_path / "MBTA_gtfs.zip"
+    with zipfile.ZipFile(z, "w") as zf:
+        zf.writestr("stops.txt", "stop_id,stop_name\n0123,\"Main St, North\"\n7,Elm\n")
+        zf.writestr("feed/routes.txt", "route_id\nR1\n")
+        zf.writestr("readme.md", "x")
+    out = str(tmp_path / "landed")
+    land_zip_packages(spark, str(z), out)
+    assert landed_tables(spark, out, "MBTA_gtfs") == ["routes", "stops"]
+    stops = read_gtfs_table(spark, f"{out}/package=MBTA_gtfs/table=stops", "stops").collect()
+    assert [(r.stop_id, r.stop_name) for r in stops] == [("0123", "Main St, North"), ("7", "Elm")]
