@@ -8,7 +8,7 @@ to scalars and single objects.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,6 @@ class UnwrapConfig:
     doc_scalar: str = "wrap"         # document scalar: 'wrap', 'drop', or 'data' -> [{"data": "x"}]
     doc_object: str = "wrap"         # document object without a key: 'wrap' -> [doc], 'drop' -> []
     doc_list: bool = True            # a list document yields its items
-    nested_keys: tuple[str, ...] = field(default=())  # reserved (PassioGO one level down: see passio.py)
 
 
 # Per-platform unwrap rules.
