@@ -141,6 +141,9 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, sta
     n_folders = staged.select(*PARTITIONS).distinct().count()
     if n_folders > 0:
         out = spread_by_size(staged, PARTITIONS, "hash_id", rows_per_file, n_folders)
+        # Sorted by capture time inside each folder's files: row-group min/max on ``ts``
+        # let time-range reads skip data (the writer sorts by folder keys anyway).
+        out = out.sortWithinPartitions(*PARTITIONS, "ts")
         _write_parquet(out, archive_root, "overwrite", PARTITIONS)
     if pending is not None:
         pending.withColumn("compacted_at", F.current_timestamp()).write.mode("append").parquet(log_root)
