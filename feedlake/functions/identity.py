@@ -26,14 +26,43 @@ def as_variant(col) -> Column:
     return F.try_parse_json(_c(col))
 
 
-def canonical_json(col, style: str = "compact", is_variant: bool = False) -> Column:
+def ascii_escape(text) -> Column:
+    """Escape every character outside printable ASCII as ``\\uXXXX`` (lower-case hex,
+    characters beyond the BMP as a UTF-16 surrogate pair), as ``json.dumps`` does by
+    default. Applied to JSON text, where such characters only occur inside strings.
+    Rows without such characters are returned unchanged without splitting."""
+    t = _c(text)
+    chars = F.regexp_extract_all(t, F.lit(r"(?s)."), 0)
+    escaped = F.transform(chars, lambda ch: F.when(ch.rlike(r"^[ -~]$"), ch).otherwise(
+        F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), r"(.{4})", r"\\u$1")))
+    return F.when(t.rlike(r"[^ -~]"), F.array_join(escaped, "")).otherwise(t)
+
+
+# An unescaped backslash: preceded by the start or a non-backslash and an even run of backslashes.
+_REAL_ESCAPE = r"(?<=(?:^|[^\\])(?:\\\\){0,32})"
+
+
+def lower_unicode_escapes(text) -> Column:
+    """Spark writes control characters as ``\\u001F`` (upper-case hex) where Python
+    writes ``\\u001f``; only ``\\u000B/E/F`` and ``\\u001A``..``F`` differ."""
+    t = _c(text)
+    out = t
+    for letter in "ABCDEF":
+        out = F.regexp_replace(out, _REAL_ESCAPE + r"\\u00([01])" + letter, r"\\u00$1" + letter.lower())
+    return F.when(t.contains("\\u00"), out).otherwise(t)
+
+
+def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure_ascii: bool = True) -> Column:
     """Key-sorted JSON text at every depth (IDN-06).
 
     ``compact`` uses ``,`` and ``:``; ``python`` uses ``, `` and ``: `` like a
-    default ``json.dumps(…, sort_keys=True)``. Text that is not JSON gives null.
+    default ``json.dumps(…, sort_keys=True)``. With ``ensure_ascii`` non-ASCII
+    characters are ``\\u``-escaped like ``json.dumps``. Text that is not JSON gives null.
     """
     v = _c(col) if is_variant else as_variant(col)
-    out = F.to_json(v)
+    out = lower_unicode_escapes(F.to_json(v))
+    if ensure_ascii:
+        out = ascii_escape(out)
     if style == "python":
         out = F.regexp_replace(out, "," + _OUTSIDE_STRINGS, ", ")
         out = F.regexp_replace(out, ":" + _OUTSIDE_STRINGS, ": ")
@@ -71,7 +100,8 @@ def event_hash_struct(agency, stream, event, endpoint, data, metadata=None,
         m = F.lit(None).cast("variant") if metadata is None else as_variant(metadata)
         fields.append(m.alias("metadata"))
     fields.append(_c(stream).cast("string").alias("stream"))
-    return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
+    text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return F.sha2(ascii_escape(lower_unicode_escapes(text)), 256)
 
 
 def error_hash(agency, ts_text, message) -> Column:
@@ -83,8 +113,8 @@ def row_json(columns: Sequence[str], table: str, ignore_null_columns: bool = Fal
     """``{"row":{sorted columns as strings},"table":name}`` compact (IDN-05 payload)."""
     row = F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(columns)])
     opts = {"ignoreNullFields": "true" if ignore_null_columns else "false"}
-    return F.concat(F.lit('{"row":'), F.to_json(row, opts), F.lit(',"table":'), json_string(F.lit(table)),
-                    F.lit("}"))
+    return F.concat(F.lit('{"row":'), ascii_escape(lower_unicode_escapes(F.to_json(row, opts))), F.lit(',"table":'),
+                    json_string(F.lit(table)), F.lit("}"))
 
 
 def row_hash(columns: Sequence[str], table: str, ignore_null_columns: bool = False) -> Column:

@@ -1,4 +1,6 @@
-"""Property tests on generated documents (many documents per Spark job)."""
+"""Property tests on generated documents (many documents per Spark job): canonical
+JSON equals Python's ``json.dumps`` for any text, including non-ASCII and control
+characters (no floats: see README)."""
 
 import json
 
@@ -9,17 +11,18 @@ from pyspark.sql import functions as F
 from feedlake.functions.identity import canonical_json
 
 ascii_text = st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=126), max_size=12)
-scalars = st.one_of(st.none(), st.booleans(), st.integers(-10**12, 10**12), ascii_text)
+any_text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=12)
+scalars = st.one_of(st.none(), st.booleans(), st.integers(-10**12, 10**12), any_text)
 docs = st.recursive(scalars, lambda inner: st.one_of(st.lists(inner, max_size=4),
-                                                     st.dictionaries(ascii_text, inner, max_size=4)),
+                                                     st.dictionaries(any_text, inner, max_size=4)),
                     max_leaves=12)
-objects = st.dictionaries(ascii_text, docs, min_size=1, max_size=5)
+objects = st.dictionaries(any_text, docs, min_size=1, max_size=5)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(objects, min_size=1, max_size=40))
 def test_canonical_json_matches_python(spark, batch):
-    rows = [(json.dumps(d), json.dumps(dict(reversed(list(d.items()))))) for d in batch]
+    rows = [(json.dumps(d, ensure_ascii=False), json.dumps(dict(reversed(list(d.items()))))) for d in batch]
     df = spark.createDataFrame(rows, "a string, b string")
     out = df.select(canonical_json("a").alias("ca"), canonical_json("b").alias("cb"),
                     canonical_json("a", style="python").alias("pa")).collect()
