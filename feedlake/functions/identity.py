@@ -26,16 +26,23 @@ def as_variant(col) -> Column:
     return F.try_parse_json(_c(col))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body`` several times (a lambda binding:
+    ``transform(array(value), body)[0]``), so a costly expression is not repeated."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ascii_escape(text) -> Column:
     """Escape every character outside printable ASCII as ``\\uXXXX`` (lower-case hex,
     characters beyond the BMP as a UTF-16 surrogate pair), as ``json.dumps`` does by
     default. Applied to JSON text, where such characters only occur inside strings.
     Rows without such characters are returned unchanged without splitting."""
-    t = _c(text)
-    chars = F.regexp_extract_all(t, F.lit(r"(?s)."), 0)
-    escaped = F.transform(chars, lambda ch: F.when(ch.rlike(r"^[ -~]$"), ch).otherwise(
-        F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), r"(.{4})", r"\\u$1")))
-    return F.when(t.rlike(r"[^ -~]"), F.array_join(escaped, "")).otherwise(t)
+    def body(t):
+        chars = F.regexp_extract_all(t, F.lit(r"(?s)."), 0)
+        escaped = F.transform(chars, lambda ch: F.when(ch.rlike(r"^[ -~]$"), ch).otherwise(
+            F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), r"(.{4})", r"\\u$1")))
+        return F.when(t.rlike(r"[^ -~]"), F.array_join(escaped, "")).otherwise(t)
+    return let(_c(text), body)
 
 
 # An unescaped backslash: preceded by the start or a non-backslash and an even run of backslashes.
@@ -45,11 +52,12 @@ _REAL_ESCAPE = r"(?<=(?:^|[^\\])(?:\\\\){0,32})"
 def lower_unicode_escapes(text) -> Column:
     """Spark writes control characters as ``\\u001F`` (upper-case hex) where Python
     writes ``\\u001f``; only ``\\u000B/E/F`` and ``\\u001A``..``F`` differ."""
-    t = _c(text)
-    out = t
-    for letter in "ABCDEF":
-        out = F.regexp_replace(out, _REAL_ESCAPE + r"\\u00([01])" + letter, r"\\u00$1" + letter.lower())
-    return F.when(t.contains("\\u00"), out).otherwise(t)
+    def body(t):
+        out = t
+        for letter in "ABCDEF":
+            out = F.regexp_replace(out, _REAL_ESCAPE + r"\\u00([01])" + letter, r"\\u00$1" + letter.lower())
+        return F.when(t.contains("\\u00"), out).otherwise(t)
+    return let(_c(text), body)
 
 
 def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure_ascii: bool = True) -> Column:

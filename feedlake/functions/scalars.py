@@ -18,6 +18,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once for ``body`` (a lambda binding), so it is not recomputed."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # ---------------------------------------------------------------- names (SCL-01/02, PRJ-14)
 
 def safe_prefix(col, style: str = "main", default: str = "agency") -> Column:
@@ -142,9 +147,15 @@ def parse_logged(col, tz: str = DEFAULT_TZ) -> Column:
 
 def iso_seconds(ts, tz: str = DEFAULT_TZ) -> Column:
     """``YYYY-MM-DDTHH:MM:SS±HH:MM`` of an instant in ``tz`` (fraction truncated)."""
-    off = utc_offset(ts, tz)
-    return F.concat(F.date_format(to_local(ts, tz), "yyyy-MM-dd'T'HH:mm:ss"),
-                    F.substr(off, F.lit(1), F.lit(3)), F.lit(":"), F.substr(off, F.lit(4), F.lit(2)))
+    def body(pair):
+        local, utc = pair["l"], pair["u"]
+        secs = F.unix_seconds(local.cast("timestamp")) - F.unix_seconds(utc.cast("timestamp"))
+        a = F.abs(secs)
+        off = F.format_string("%s%02d:%02d", F.when(secs < 0, F.lit("-")).otherwise(F.lit("+")),
+                              (a / 3600).cast("int"), ((a % 3600) / 60).cast("int"))
+        return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), off)
+    t = _c(ts).cast("timestamp_ntz")
+    return _let(F.struct(to_local(t, tz).alias("l"), t.alias("u")), body)
 
 
 def parse_dotnet_date(col, anchored: bool = False, keep_unmatched: bool = True, tz: str = DEFAULT_TZ) -> Column:
@@ -155,15 +166,19 @@ def parse_dotnet_date(col, anchored: bool = False, keep_unmatched: bool = True,
     when it does not match; otherwise a TIMESTAMP_NTZ (UTC) that is null on no
     match. ``anchored`` is the TransLoc form: ``/Date(ms)/`` at the start, no offset.
     """
-    s = _c(col).cast("string")
     pat = r"^/Date\((\d+)\)/" if anchored else r"/Date\((\d+)([+-]\d{4})?\)/"
-    ms = F.regexp_extract(s, pat, 1).try_cast("bigint")
-    ts = F.when(s.rlike(pat), F.timestamp_millis(ms).cast("timestamp_ntz"))
-    if not keep_unmatched:
-        return F.when(F.trim(s) != "", ts)
-    return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
-            .when(ts.isNotNull(), iso_seconds(ts, tz))
-            .otherwise(s))
+
+    def parse(s):
+        digits = F.regexp_extract(s, pat, 1)
+        return F.when(digits != "", F.timestamp_millis(digits.try_cast("bigint")).cast("timestamp_ntz"))
+
+    def body(s):
+        ts = parse(s)
+        if not keep_unmatched:
+            return F.when(F.trim(s) != "", ts)
+        return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
+                .otherwise(F.coalesce(_let(ts, lambda t: F.when(t.isNotNull(), iso_seconds(t, tz))), s)))
+    return _let(_c(col).cast("string"), body)
 
 
 # ---------------------------------------------------------------- GTFS clock (SCL-07/09/12)

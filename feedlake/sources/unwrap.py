@@ -86,35 +86,41 @@ def _empty() -> Column:
     return F.array().cast("array<variant>")
 
 
-def _falsy(v: Column) -> Column:
-    """Nothing to unwrap: null, JSON null, {}, [] or ""."""
-    return (v.isNull() | F.is_variant_null(v) | (F.size(_obj(v)) == 0) | (F.size(_arr(v)) == 0)
-            | (_obj(v).isNull() & _arr(v).isNull() & (F.try_variant_get(v, "$", "string") == "")))
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once for ``body`` (a lambda binding)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _value_items(x: Column, cfg: UnwrapConfig) -> Column:
-    """Items of a located value: a list is its items; objects and scalars per config."""
-    obj = _obj(x)
-    single = F.array(x)
-    if cfg.inner_one_key:
-        inner = F.element_at(F.map_values(obj), 1)
-        one = F.size(obj) == 1
-        obj_items = F.coalesce(F.when(one & _arr(inner).isNotNull(), _arr(inner))
-                               .when(one & _obj(inner).isNotNull(), F.array(inner)), single)
-    else:
-        obj_items = single if cfg.value_object == "wrap" else _empty()
-    scalar = single if cfg.value_scalar == "wrap" else _empty()
-    return (F.when(x.isNull() | F.is_variant_null(x), _empty()).when(_arr(x).isNotNull(), _arr(x))
-            .when(obj.isNotNull(), obj_items).otherwise(scalar))
+def _shapes(v: Column) -> Column:
+    """The document with its object and list views, converted once."""
+    return F.struct(v.alias("v"), _obj(v).alias("o"), _arr(v).alias("a"),
+                    F.try_variant_get(v, "$", "string").alias("s"))
 
 
-def _doc_items(v: Column, cfg: UnwrapConfig) -> Column:
-    """Items of a document in which no configured key matched."""
-    obj = _obj(v)
+def _value_items(x: Column, cfg: UnwrapConfig) -> Column:
+    """Items of a located value: a list is its items; objects and scalars per config."""
+    def body(t):
+        obj, arr, single = t["o"], t["a"], F.array(t["v"])
+        if cfg.inner_one_key:
+            inner = F.element_at(F.map_values(obj), 1)
+            one = F.size(obj) == 1
+            obj_items = _let(F.struct(_obj(inner).alias("o"), _arr(inner).alias("a"), inner.alias("v")),
+                             lambda i: F.coalesce(F.when(one & i["a"].isNotNull(), i["a"])
+                                                  .when(one & i["o"].isNotNull(), F.array(i["v"])), single))
+        else:
+            obj_items = single if cfg.value_object == "wrap" else _empty()
+        scalar = single if cfg.value_scalar == "wrap" else _empty()
+        return (F.when(t["v"].isNull() | F.is_variant_null(t["v"]), _empty()).when(arr.isNotNull(), arr)
+                .when(obj.isNotNull(), obj_items).otherwise(scalar))
+    return _let(_shapes(x), body)
+
+
+def _doc_items(t: Column, cfg: UnwrapConfig) -> Column:
+    """Items of a document (bound shapes ``t``) in which no configured key matched."""
+    v, obj, arr = t["v"], t["o"], t["a"]
     if cfg.doc_scalar == "data":
         scalar = F.array(F.to_variant_object(F.create_map(
-            F.lit("data"), F.try_variant_get(F.to_variant_object(F.struct(
-                F.try_variant_get(v, "$", "string").alias("v"))), "$.v", "variant"))))
+            F.lit("data"), F.try_variant_get(F.to_variant_object(F.struct(t["s"].alias("v"))), "$.v", "variant"))))
     elif cfg.doc_scalar == "wrap":
         scalar = F.array(v)
     else:
@@ -123,8 +129,8 @@ def _doc_items(v: Column, cfg: UnwrapConfig) -> Column:
     if cfg.doc_one_key:
         obj_items = F.when(F.size(obj) == 1, _value_items(F.element_at(F.map_values(obj), 1), cfg)) \
             .otherwise(obj_items)
-    lst = _arr(v) if cfg.doc_list else _empty()
-    return F.when(_arr(v).isNotNull(), lst).when(obj.isNotNull(), obj_items).otherwise(scalar)
+    lst = arr if cfg.doc_list else _empty()
+    return F.when(arr.isNotNull(), lst).when(obj.isNotNull(), obj_items).otherwise(scalar)
 
 
 def unwrap_items(v: Column, cfg: UnwrapConfig) -> Column:
@@ -132,22 +138,25 @@ def unwrap_items(v: Column, cfg: UnwrapConfig) -> Column:
 
     An empty answer gives nothing; then the first configured key present decides,
     then the first ``list_keys`` entry holding a non-empty list, then the document
-    itself. The located value is picked once and shaped once, which keeps the
-    generated code small.
+    itself. The document's object/list views are computed once per row.
     """
-    out = _doc_items(v, cfg)
-    m = _obj(v)
-    names = F.coalesce(F.map_keys(m), F.array().cast("array<string>"))
-    if cfg.list_keys:
-        lists = F.filter(F.transform(F.array(*[F.lit(k) for k in cfg.list_keys]),
-                                     lambda k: _arr(F.element_at(m, k))),
-                         lambda a: a.isNotNull() & (F.size(a) > 0))
-        out = F.when(F.size(lists) > 0, F.element_at(lists, 1)).otherwise(out)
-    if cfg.keys:
-        hit = F.filter(F.array(*[F.lit(k) for k in cfg.keys]), lambda k: F.array_contains(names, k))
-        value = F.element_at(m, F.try_element_at(hit, F.lit(1)))
-        out = F.when(F.size(hit) > 0, _value_items(value, cfg)).otherwise(out)
-    return F.when(_falsy(v), _empty()).otherwise(out)
+    def body(t):
+        m, arr = t["o"], t["a"]
+        falsy = (t["v"].isNull() | F.is_variant_null(t["v"]) | (F.size(m) == 0) | (F.size(arr) == 0)
+                 | (m.isNull() & arr.isNull() & (t["s"] == "")))
+        out = _doc_items(t, cfg)
+        names = F.coalesce(F.map_keys(m), F.array().cast("array<string>"))
+        if cfg.list_keys:
+            lists = F.filter(F.transform(F.array(*[F.lit(k) for k in cfg.list_keys]),
+                                         lambda k: _arr(F.element_at(m, k))),
+                             lambda a: a.isNotNull() & (F.size(a) > 0))
+            out = F.when(F.size(lists) > 0, F.element_at(lists, 1)).otherwise(out)
+        if cfg.keys:
+            hit = F.filter(F.array(*[F.lit(k) for k in cfg.keys]), lambda k: F.array_contains(names, k))
+            value = F.element_at(m, F.try_element_at(hit, F.lit(1)))
+            out = F.when(F.size(hit) > 0, _value_items(value, cfg)).otherwise(out)
+        return F.when(falsy, _empty()).otherwise(out)
+    return _let(_shapes(v), body)
 
 
 def unwrap(df: DataFrame, payload: str | Column, cfg: UnwrapConfig, pos: str = "item_no",
