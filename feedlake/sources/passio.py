@@ -22,6 +22,11 @@ def _arr(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once for ``body`` (a lambda binding)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _is_empty(v: Column) -> Column:
     """An answer with nothing in it: null, JSON null, {}, [] or ""."""
     s = F.try_variant_get(v, "$", "string")
@@ -32,28 +37,32 @@ def _is_empty(v: Column) -> Column:
 def _with_key(item: Column, key: Column) -> Column:
     """A dict member as an item: objects get ``_PASSIOGO_dict_key`` unless they have
     an ``id`` key or any key containing ``Id``; other values become ``{_key, value}``."""
-    m = _obj(item)
-    keys = F.map_keys(m)
-    has_id = F.array_contains(keys, F.lit("id")) | F.exists(keys, lambda k: k.contains("Id"))
-    injected = F.to_variant_object(F.map_concat(m, F.create_map(F.lit(DICT_KEY), to_variant_value(key))))
-    wrapped = F.to_variant_object(F.create_map(F.lit("_key"), to_variant_value(key), F.lit("value"), item))
-    return F.when(m.isNull(), wrapped).when(has_id, item).otherwise(injected)
+    def body(m):
+        keys = F.map_keys(m)
+        has_id = F.array_contains(keys, F.lit("id")) | F.exists(keys, lambda k: k.contains("Id"))
+        injected = F.to_variant_object(F.map_concat(m, F.create_map(F.lit(DICT_KEY), to_variant_value(key))))
+        wrapped = F.to_variant_object(F.create_map(F.lit("_key"), to_variant_value(key), F.lit("value"), item))
+        return F.when(m.isNull(), wrapped).when(has_id, item).otherwise(injected)
+    return _let(_obj(item), body)
 
 
 def passio_items(v: Column, preferred_key: str) -> Column:
     """Items of a PassioGO answer (SRC-11): ``preferred_key`` at the top, or inside the
     first member when that is an object holding it; a dict becomes one item per
     member (key injected), a list is its items, anything else a single item."""
-    top = _obj(v)
-    first_val = F.element_at(F.map_values(top), 1)
-    target = (F.when(F.array_contains(F.map_keys(top), F.lit(preferred_key)), F.element_at(top, F.lit(preferred_key)))
-              .when(F.array_contains(F.map_keys(_obj(first_val)), F.lit(preferred_key)),
-                    F.element_at(_obj(first_val), F.lit(preferred_key)))
-              .otherwise(v))
-    tmap = _obj(target)
-    from_dict = F.transform(F.map_entries(tmap), lambda e: _with_key(e["value"], e["key"]))
-    items = (F.when(tmap.isNotNull(), from_dict).when(_arr(target).isNotNull(), _arr(target))
-             .otherwise(F.array(target)))
+    def pick(top):
+        first = _let(_obj(F.element_at(F.map_values(top), 1)), lambda fm: F.when(
+            F.array_contains(F.map_keys(fm), F.lit(preferred_key)), F.element_at(fm, F.lit(preferred_key))))
+        return F.when(F.array_contains(F.map_keys(top), F.lit(preferred_key)),
+                      F.element_at(top, F.lit(preferred_key))).otherwise(first)
+
+    def shape(t):
+        from_dict = F.transform(F.map_entries(t["o"]), lambda e: _with_key(e["value"], e["key"]))
+        return (F.when(t["o"].isNotNull(), from_dict).when(t["a"].isNotNull(), t["a"])
+                .otherwise(F.array(t["v"])))
+
+    target = F.coalesce(_let(_obj(v), pick), v)
+    items = _let(F.struct(target.alias("v"), _obj(target).alias("o"), _arr(target).alias("a")), shape)
     return F.when(_is_empty(v), F.array().cast("array<variant>")).otherwise(items)
 
 
