@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from feedlake.llm import lines, packing, pieces
+from feedlake.llm import hmm, lines, packing, pieces
 
 QUERIES = {
+    "op1_lm": hmm.q_lm,
     "op3_line_dedup": lines.q_line_dedup,
     "op9_packing": packing.q_packing,
     "op10_pieces": pieces.q_pieces,
