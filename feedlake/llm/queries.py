@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from feedlake.llm import hmm, lines, packing, pieces
+from feedlake.llm import hmm, langid, lines, packing, pieces, quality
 
 QUERIES = {
     "op1_lm": hmm.q_lm,
     "op3_line_dedup": lines.q_line_dedup,
+    "op7_langid": langid.q_langid,
+    "op8_quality": quality.q_quality,
     "op9_packing": packing.q_packing,
     "op10_pieces": pieces.q_pieces,
 }
 ORACLE = {
+    "op8_quality": quality.QUALITY_SQL,
     "op3_line_dedup": lines.LINE_DEDUP_SQL,
 }
