@@ -1,12 +1,12 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
 Documents are tokenised once (ids plus one end id), written to the cluster's shared
-folder, and dealt to *lanes* of about ``lane_tokens`` tokens by a hash of the id. A
-lane is one task: it holds one queue per source and fills windows of ``window``
-tokens. Before each window every source earns ``window * share`` tokens of deficit;
-sources are served by falling deficit, what is left of the window goes to whoever has
-tokens, and the deficit after the window (positive or negative) is carried to the next
-one. Lanes are chained: a lane starts with the deficits that the lanes before it in
+folder, and dealt to *lanes* of about ``lane_tokens`` tokens, each with the same share
+of every source's queue. A lane is one task: it holds one queue per source and fills
+windows of ``window`` tokens. Before each window every source earns ``window * share``
+tokens of deficit; sources that have earned ``QUANTUM`` are served by falling deficit,
+what is left of the window goes to the largest deficits, and the deficit after the
+window (positive or negative) is carried to the next one. Lanes are chained: a lane starts with the deficits that the lanes before it in
 its chain (``CHAIN`` lanes) left behind, which follow from (lane, source) token counts
 alone, so no lane waits for another. The tail of a lane is cut into powers of two, so
 no sequence needs padding.
@@ -31,6 +31,9 @@ from feedlake.llm.common import quiet_threads, tokenizer_path, written
 WINDOW = 2048
 LANE_TOKENS = 1_000_000
 CHAIN = 1024
+QUANTUM = 256
+SPOTS = 4096
+BROADCAST_ROWS = 200_000
 CACHE_WORDS = 1_000_000
 _STATE: dict = {}
 
@@ -115,11 +118,14 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id"
         .mapInArrow(run, "doc_id long, source string, n long, wide boolean, ids binary")
 
 
-def fill_windows(avail: np.ndarray, share: np.ndarray, carry: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Deficit round-robin: tokens taken from each queue for each window, and the windows' sizes.
+def fill_windows(avail: np.ndarray, share: np.ndarray, carry: np.ndarray, window: int,
+                 quantum: int = QUANTUM) -> np.ndarray:
+    """Deficit round-robin: tokens that each window (row) takes from each queue (column).
 
-    ``avail`` tokens per queue, ``share`` target proportions, ``carry`` deficits at the start.
-    The last windows are the powers of two that the remainder is made of.
+    ``avail`` tokens per queue, ``share`` target proportions, ``carry`` deficits at the
+    start. A queue that has earned ``quantum`` tokens is served what it earned; what is
+    left of a window goes by quanta to the largest deficits, which may fall below 0. The last windows are the powers of two that
+    the remainder is made of.
     """
     total = int(avail.sum())
     rest = total % window
@@ -129,23 +135,45 @@ def fill_windows(avail: np.ndarray, share: np.ndarray, carry: np.ndarray, window
     for w, size in enumerate(sizes):
         deficit += size * share
         space = size
-        order = np.argsort(-deficit, kind="stable")
+        order = np.argsort(-deficit, kind="stable").tolist()
         for s in order:
-            take = min(int(left[s]), max(0, int(deficit[s])), space)
-            if take:
+            if left[s] and deficit[s] >= quantum and space:
+                take = min(int(left[s]), space, int(deficit[s]))
                 taken[w, s] += take
                 left[s] -= take
                 deficit[s] -= take
                 space -= take
-        for s in order if space else ():
-            take = min(int(left[s]), space)
-            taken[w, s] += take
-            left[s] -= take
-            deficit[s] -= take
-            space -= take
-            if not space:
-                break
-    return taken, np.array(sizes, np.int64)
+        while space:
+            for s in order:
+                if left[s] and space:
+                    take = min(int(left[s]), space, quantum)
+                    taken[w, s] += take
+                    left[s] -= take
+                    deficit[s] -= take
+                    space -= take
+    return taken
+
+
+def deal_lanes(toks: DataFrame, lanes: int, spots: int = SPOTS) -> DataFrame:
+    """Adds ``lane``: every lane gets the same share of every source, up to a few documents.
+
+    A document's spot in its source's queue is a hash of its id; the tokens of each
+    source by (hash bucket) give the share of the queue before it, and that share picks
+    the lane. The table of (source, bucket) sums is broadcast only if it is small.
+    """
+    spot = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(spots * 1024))
+    rows = toks.withColumn("spot", F.floor(spot / 1024).cast("int")).withColumn("within", F.pmod(spot, F.lit(1024)) / 1024.0)
+    sums = rows.groupBy("source", "spot").agg(F.sum("n").alias("m"))
+    up_to = Window.partitionBy("source").orderBy("spot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = written(sums.withColumn("end", F.sum("m").over(up_to))
+                   .withColumn("whole", F.sum("m").over(Window.partitionBy("source")))
+                   .select(F.col("source").alias("m_source"), F.col("spot").alias("m_spot"), "m", "end", "whole"), "pack-spots")
+    if sums.count() <= BROADCAST_ROWS:
+        sums = F.broadcast(sums)
+    share = (F.col("end") - F.col("m") * (F.lit(1.0) - F.col("within"))) / F.col("whole")
+    return rows.join(sums, F.col("source").eqNullSafe(F.col("m_source")) & (F.col("spot") == F.col("m_spot"))) \
+        .withColumn("lane", F.least(F.floor(share * lanes), F.lit(lanes - 1)).cast("long")) \
+        .select(*toks.columns, "lane")
 
 
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, targets: dict[str, float] | None = None,
@@ -161,7 +189,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, targets: di
     toks = written(tokenise(docs, path, end_id, id_col, text_col, source_col), "pack-ids")
     total = toks.agg(F.sum("n")).first()[0] or 0
     lanes = max(1, -(-total // lane_tokens))
-    laned = toks.withColumn("lane", F.pmod(F.xxhash64("doc_id"), F.lit(lanes)))
+    laned = deal_lanes(toks, lanes)
     counts = laned.groupBy("lane", "source").agg(F.sum("n").alias("n"))
     shares = counts.groupBy("source").agg(F.sum("n").alias("all_n"))
     if targets:
@@ -191,7 +219,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, targets: di
         lane = int(rows["lane"].iloc[0])
         queues = [rows[rows["source"].isna()] if s is None else rows[rows["source"] == s] for s in names]
         avail = np.array([int(q["n"].sum()) for q in queues], np.int64)
-        taken, _ = fill_windows(avail, plan["share"].to_numpy(float), plan["carry"].to_numpy(float), window)
+        taken = fill_windows(avail, plan["share"].to_numpy(float), plan["carry"].to_numpy(float), window)
         offsets = np.cumsum(taken, axis=1) - taken
         parts = []
         for s, q in enumerate(queues):
