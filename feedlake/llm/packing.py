@@ -19,6 +19,7 @@ table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,9 @@ SPOTS = 4096
 BROADCAST_ROWS = 200_000
 CACHE_WORDS = 1_000_000
 _STATE: dict = {}
+# The byte-level alphabet by its rule: printable Latin-1 stands for itself, other bytes follow from U+0100 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 class WordEncoder:
@@ -55,38 +59,50 @@ class WordEncoder:
         self.model = self.tok.model
         self.width = "<u2" if self.tok.get_vocab_size() <= 65536 else "<u4"
         self.limit = cache_words
+        self.kind = "H" if self.width == "<u2" else "I"
         self.cache: dict[bytes, bytes] = {}
-        self.marks: dict[str, list[int]] = {}
+        self.cores: dict[str, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         if len(self.cache) + len(words) > self.limit:
             self.cache = {}
-        rest = []
+        if len(self.cores) > self.limit:
+            self.cores = {}
+        cores, rest = self.cores, []
         for w in words:
-            s = w.decode()
-            core = s.rstrip(".,;:!?")
-            if core.isascii() and core.isalpha():  # one run of letters, then one run of marks
-                ids = [t.id for t in self.model.tokenize(core.lower())]
-                if mark := s[len(core):]:
-                    if mark not in self.marks:
-                        self.marks[mark] = self.tok.encode(mark, add_special_tokens=False).ids
-                    ids = ids + self.marks[mark]
-                self.cache[w] = np.array(ids, self.width).tobytes()
-            else:
-                rest.append((w, s))
-        for (w, _), e in zip(rest, self.tok.encode_batch_fast([s for _, s in rest], add_special_tokens=False)):
-            self.cache[w] = np.array(e.ids, self.width).tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids, little-endian, ``width`` bytes each."""
-        words = text.encode().split() if text else []
-        for _ in range(2):
-            try:
-                return b"".join(map(self.cache.__getitem__, words))
-            except KeyError:
-                self._learn(list(set(words).difference(self.cache)))
-        return b"".join([np.array(self.tok.encode(w.decode(), add_special_tokens=False).ids, self.width).tobytes()
-                         for w in words])
+            core = w.rstrip(b".,;:!?")
+            text = core.decode().lower()
+            found = cores.get(text)
+            if found is None:
+                # One run of Latin letters: no normal form to look for, lower case is letter by letter.
+                if text.isalpha() and max(text) <= "\xff":
+                    seen = text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
+                    found = cores[text] = array(self.kind, [t.id for t in self.model.tokenize(seen)]).tobytes()
+                else:
+                    rest.append(w)
+                    continue
+            if mark := w[len(core):]:
+                if mark not in self.marks:
+                    self.marks[mark] = self._whole([mark])[0]
+                found += self.marks[mark]
+            self.cache[w] = found
+        self.cache.update(zip(rest, self._whole(rest)))
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        found = self.tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [array(self.kind, e.ids).tobytes() for e in found]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, little-endian, ``width`` bytes each."""
+        words = [t.encode().split() if t else [] for t in texts]
+        found = [list(map(self.cache.get, w)) for w in words]
+        new = {w for ws, fs in zip(words, found) if None in fs for w, f in zip(ws, fs) if f is None}
+        if new:
+            self._learn(new)
+            found = [[self.cache[w] if f is None else f for w, f in zip(ws, fs)] if None in fs else fs
+                     for ws, fs in zip(words, found)]
+        return list(map(b"".join, found))
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -107,7 +123,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id"
         for b in it:
             texts, n = b.column(2), len(b)
             for at in range(0, n, 512):
-                ids = [enc.encode(t) + end for t in texts.slice(at, 512).to_pylist()]
+                ids = [x + end for x in enc.encode(texts.slice(at, 512).to_pylist())]
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(at, 512), b.column(1).slice(at, 512),
                     pa.array([len(x) // size for x in ids], pa.int64()), pa.array([size == 4] * len(ids), pa.bool_()),

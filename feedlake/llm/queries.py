@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from feedlake.llm import hmm, langid, lines, packing, pieces, quality
+from feedlake.llm import hmm, langid, lines, packing, pieces, quality, secrets, simhash
 
 QUERIES = {
     "op1_lm": hmm.q_lm,
     "op3_line_dedup": lines.q_line_dedup,
+    "op5_secrets": secrets.q_secrets,
+    "op6_simhash": simhash.q_simhash,
     "op7_langid": langid.q_langid,
     "op8_quality": quality.q_quality,
     "op9_packing": packing.q_packing,
