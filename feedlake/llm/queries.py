@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from feedlake.llm import hmm, langid, lines, packing, pieces, quality, secrets, simhash
+from feedlake.llm import hmm, langid, lines, packing, pieces, quality, secrets, simhash, suffixes
 
 QUERIES = {
     "op1_lm": hmm.q_lm,
+    "op2_suffixes": suffixes.q_suffixes,
     "op3_line_dedup": lines.q_line_dedup,
     "op5_secrets": secrets.q_secrets,
     "op6_simhash": simhash.q_simhash,
