@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from feedlake.llm import hmm, langid, lines, packing, pieces, quality, secrets, simhash, suffixes
+from feedlake.llm import hmm, jaccard, langid, lines, packing, pieces, quality, secrets, simhash, suffixes
 
 QUERIES = {
     "op1_lm": hmm.q_lm,
     "op2_suffixes": suffixes.q_suffixes,
     "op3_line_dedup": lines.q_line_dedup,
+    "op4_jaccard": jaccard.q_jaccard,
     "op5_secrets": secrets.q_secrets,
     "op6_simhash": simhash.q_simhash,
     "op7_langid": langid.q_langid,
