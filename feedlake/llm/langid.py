@@ -172,18 +172,22 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
 def predict(docs: DataFrame, model: Weights, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all others but the text), lang_pred and score."""
     names = keep if keep is not None else [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
-    cols = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).cast("string").alias("__li_text"))
+    if text_col in names:
+        cols, at_text = docs.select(*[F.col(f"`{c}`") for c in names]), names.index(text_col)
+    else:
+        cols = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).cast("string").alias("__li_text"))
+        at_text = len(names)
 
     def run(it):
         for b in it:
             for at in range(0, len(b), 512):
                 part = b.slice(at, 512)
-                found = [model.predict(t) for t in part.column(len(names)).to_pylist()]
+                found = [model.predict(t) for t in part.column(at_text).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([f[0] for f in found], pa.string()),
+                    [*part.columns[:len(names)], pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.float64())], [*names, "lang_pred", "score"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema[:-1]]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema[:len(names)]]
     return cols.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
 
 
