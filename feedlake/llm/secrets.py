@@ -31,9 +31,9 @@ HEX = r"[0-9a-f]{32,}"  # the same as [0-9a-f]+ of 32 or more characters
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_VALUE = 8
-THRESHOLD = 0.5
-#: Prior counts of a transition: random strings lean on all 64 characters alike, identifiers hardly.
-RANDOM_PRIOR, PLAIN_PRIOR = 2.0, 0.05
+THRESHOLD = 1.0
+#: Prior count of each character among ordinary identifiers.
+PLAIN_PRIOR = 0.05
 ALPHABET = 128
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -97,17 +97,25 @@ def train(docs: DataFrame, text_col: str = "text") -> list[float]:
 
 
 def ratios(counts: dict[int, tuple[int, int]]) -> list[float]:
-    """Smoothed first-order chains of both kinds as one table of log ratios."""
+    """First-order chains of both kinds as one table of log ratios.
+
+    Random strings: half learned, half all characters alike. Identifiers: learned, with one
+    count that follows how often each character occurs among identifiers at all.
+    """
     import math
 
     letters = [ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."]
+    total = len(letters)
+    seen = {b: sum(counts.get(a * ALPHABET + b, (0, 0))[1] for a in letters) for b in letters}
+    plain_all = sum(seen.values())
     table = [0.0] * (ALPHABET * ALPHABET)
     for a in letters:
         row = [counts.get(a * ALPHABET + b, (0, 0)) for b in letters]
-        random = sum(r for r, _ in row) + RANDOM_PRIOR * len(letters)
-        plain = sum(p for _, p in row) + PLAIN_PRIOR * len(letters)
+        random, plain = sum(r for r, _ in row), sum(p for _, p in row)
         for b, (r, p) in zip(letters, row):
-            table[a * ALPHABET + b] = math.log((r + RANDOM_PRIOR) / random) - math.log((p + PLAIN_PRIOR) / plain)
+            as_random = 0.5 / total + 0.5 * (r / random if random else 1.0 / total)
+            letter = (seen[b] + PLAIN_PRIOR) / (plain_all + PLAIN_PRIOR * total)
+            table[a * ALPHABET + b] = math.log(as_random) - math.log((p + letter) / (plain + 1.0))
     return table
 
 
