@@ -17,8 +17,9 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# A separator outside JSON strings: followed by an even number of unescaped quotes.
-_OUTSIDE_STRINGS = r'(?=(?:(?:[^"\\]|\\.)*"(?:[^"\\]|\\.)*")*(?:[^"\\]|\\.)*$)'
+# One JSON token: a string literal (escapes taken in pairs) or a stretch without a quote. Possessive, so
+# the matcher never goes back: linear time and no recursion, whatever the length.
+_TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[^"]++'
 
 
 def as_variant(col) -> Column:
@@ -38,28 +39,31 @@ def ascii_escape(text) -> Column:
     default. Applied to JSON text, where such characters only occur inside strings.
     Rows without such characters are returned unchanged without splitting."""
     def body(t):
-        chars = F.regexp_extract_all(t, F.lit(r"(?s)."), 0)
-        escaped = F.transform(chars, lambda ch: F.when(ch.rlike(r"^[ -~]$"), ch).otherwise(
+        parts = F.regexp_extract_all(t, F.lit(r"[ -~]++|[^ -~]"), F.lit(0))
+        escaped = F.transform(parts, lambda ch: F.when(ch.rlike(r"^[ -~]"), ch).otherwise(
             F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), r"(.{4})", r"\\u$1")))
         return F.when(t.rlike(r"[^ -~]"), F.array_join(escaped, "")).otherwise(t)
     return let(_c(text), body)
 
 
-# An unescaped backslash: preceded by the start or a non-backslash and an even run of backslashes.
-_REAL_ESCAPE = r"(?<=(?:^|[^\\])(?:\\\\){0,32})"
-
-
 def lower_unicode_escapes(text) -> Column:
     """Spark writes control characters as ``\\u001F`` (upper-case hex) where Python
-    writes ``\\u001f``; only ``\\u000B/E/F`` and ``\\u001A``..``F`` differ."""
+    writes ``\\u001f``; only ``\\u000B/E/F`` and ``\\u001A``..``F`` differ. Escapes are read in
+    pairs from the left, so a backslash that is itself escaped never starts one."""
     def body(t):
-        out = t
-        for letter in "ABCDEF":
-            out = F.regexp_replace(out, _REAL_ESCAPE + r"\\u00([01])" + letter, r"\\u00$1" + letter.lower())
-        return F.when(t.contains("\\u00"), out).otherwise(t)
+        parts = F.regexp_extract_all(t, F.lit(r"(?s)\\u00[01][A-F]|\\.|[^\\]++"), F.lit(0))
+        lowered = F.transform(parts, lambda x: F.when(x.rlike(r"^\\u00[01][A-F]$"), F.lower(x)).otherwise(x))
+        return F.when(t.rlike(r"\\u00[01][A-F]"), F.array_join(lowered, "")).otherwise(t)
     return let(_c(text), body)
 
 
+def spaced_separators(text) -> Column:
+    """Compact JSON text with ``, `` and ``: `` between values, string literals untouched."""
+    tokens = F.regexp_extract_all(_c(text), F.lit(_TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda x: F.when(x.startswith('"'), x).otherwise(
+        F.replace(F.replace(x, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": ")))), "")
+
+
 def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure_ascii: bool = True) -> Column:
     """Key-sorted JSON text at every depth (IDN-06).
 
@@ -72,8 +76,7 @@ def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure
     if ensure_ascii:
         out = ascii_escape(out)
     if style == "python":
-        out = F.regexp_replace(out, "," + _OUTSIDE_STRINGS, ", ")
-        out = F.regexp_replace(out, ":" + _OUTSIDE_STRINGS, ": ")
+        out = spaced_separators(out)
     return out
 
 
@@ -82,15 +85,23 @@ def json_string(col) -> Column:
     return F.to_json(F.struct(_c(col).alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(_c(col).alias("v")))) - 6)
 
 
+def payload_variant(col) -> Column:
+    """JSON text as its value; any other text (not JSON, or with a repeated key) as a JSON
+    string, so that different payloads never share a hash; null stays null."""
+    c = _c(col)
+    return F.coalesce(as_variant(c), F.try_parse_json(json_string(c)))
+
+
 def event_hash_pipe(endpoint, event, id_, data, agency=None, data_is_variant: bool = False) -> Column:
     """``sha256("[agency|]endpoint|event|id|json(data, sorted, python separators)")`` (IDN-01/02).
 
-    Time is excluded so equal records hash equal across days.
+    Time is excluded so equal records hash equal across days. Null data is ``null``.
     """
     parts = [] if agency is None else [_c(agency)]
+    v = _c(data) if data_is_variant else payload_variant(data)
     parts += [_c(endpoint), _c(event), F.coalesce(_c(id_).cast("string"), F.lit("")),
-              canonical_json(data, style="python", is_variant=data_is_variant)]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+              F.coalesce(canonical_json(v, style="python", is_variant=True), F.lit("null"))]
+    return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
 
 
 def event_hash_struct(agency, stream, event, endpoint, data, metadata=None,
@@ -98,14 +109,14 @@ def event_hash_struct(agency, stream, event, endpoint, data, metadata=None,
     """``sha256(json{agency, data, endpoint, event[, metadata], stream})`` compact, sorted (IDN-03).
 
     This is the default identity of an envelope: it covers everything except the
-    capture time.
+    capture time. Payloads that are not JSON enter as JSON strings.
     """
-    d = _c(data) if data_is_variant else as_variant(data)
+    d = _c(data) if data_is_variant else payload_variant(data)
     fields = [_c(agency).cast("string").alias("agency"), d.alias("data"),
               F.coalesce(_c(endpoint).cast("string"), F.lit("")).alias("endpoint"),
               _c(event).cast("string").alias("event")]
     if with_metadata:
-        m = F.lit(None).cast("variant") if metadata is None else as_variant(metadata)
+        m = F.lit(None).cast("variant") if metadata is None else payload_variant(metadata)
         fields.append(m.alias("metadata"))
     fields.append(_c(stream).cast("string").alias("stream"))
     text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

@@ -51,3 +51,24 @@ def test_error_hash(spark):
     df = spark.createDataFrame([("A", "2024-01-01 10:00:00", "boom")], "a string, t string, m string")
     assert df.select(I.error_hash("a", "t", "m")).first()[0] == hashlib.sha256(
         b"A|error|2024-01-01 10:00:00|boom").hexdigest()
+
+
+def test_long_and_odd_json_equals_json_dumps(spark):
+    """No cap on length, keys or backslashes."""
+    docs = [{"s": "x, y: z" * 150_000}, {f"k{i}": f"v,{i}:" for i in range(10_000)},
+            {"a": "\\" * 100 + "\x1f\x0b" + "\\" * 33 + "\x1a", "b": '\\"quoted, "'},
+            {"é😀": ["\x00\x1e", "漢字, :", {"n": [1, -2, 3.5, True, None]}]}, [], {}, "plain, text: x", 5]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, s string")
+    for r in df.select("i", I.canonical_json("s"), I.canonical_json("s", style="python")).collect():
+        assert r[1] == json.dumps(docs[r[0]], sort_keys=True, separators=(",", ":"))
+        assert r[2] == json.dumps(docs[r[0]], sort_keys=True)
+
+
+def test_different_payloads_never_share_a_hash(spark):
+    rows = ["plain one", "plain two", '{"a":1,"a":2}', '{"a":1,"a":3}', "{broken", None, "null", '"null"', ""]
+    df = spark.createDataFrame([(r,) for r in rows], "d string")
+    pipe = [r[0] for r in df.select(I.event_hash_pipe(F.lit("ep"), F.lit("update"), F.lit("1"), "d")).collect()]
+    struct = [r[0] for r in df.select(I.event_hash_struct(F.lit("A"), F.lit("s"), F.lit("e"), F.lit(""), "d")).collect()]
+    # JSON null and a missing payload are the same record; everything else differs.
+    assert len(set(pipe)) == len(set(struct)) == len(rows) - 1
+    assert pipe[0] == hashlib.sha256(b'ep|update|1|"plain one"').hexdigest()
