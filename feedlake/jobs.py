@@ -14,8 +14,6 @@ never over rows.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +23,11 @@ from feedlake.operators.history import merge_snapshots, prepare_snapshot
 from feedlake.operators.monitor import classify_bustime
 from feedlake.operators.projections import to_envelope
 from feedlake.schema import DEFAULT_TZ
-from feedlake.sinks.archive import compact_days, wal_append, write_gtfs_table
+from feedlake.sinks.archive import compact_days, read_if_exists, wal_append, write_gtfs_table
 from feedlake.sources import unwrap as uw
 from feedlake.sources.gtfs import gtfs_package_tables, read_gtfs_table
-from feedlake.sources.wal import PARTITIONS, iso_ts_text, read_wal, wal_line
-from feedlake.streaming.ingest import start_ingest, stateful_dedupe
+from feedlake.sources.wal import read_wal
+from feedlake.streaming.ingest import stateful_dedupe
 
 
 def ingest_stream(envelopes: DataFrame, landing_root: str, checkpoint: str, available_now: bool = False,
@@ -37,25 +35,27 @@ def ingest_stream(envelopes: DataFrame, landing_root: str, checkpoint: str, avai
     """Start the continuous ingest of a streaming envelope DataFrame (STR-01/02/03).
 
     Repeats are dropped in-stream (arrival-time watermark, never a late-row drop)
-    and the rest lands as JSON-lines envelopes under ``agency=/stream=/day=`` —
-    the same landing format ``archive_sweep`` compacts.
+    and each micro-batch is appended like a batch (``wal_append``: hot folders split by
+    size) under ``agency=/stream=/day=``, which ``archive_sweep`` compacts. A micro-batch
+    that is replayed after a crash may land twice; compaction dedupes exactly. The landing
+    keeps no sink log of its own, so a sweep may remove the files it has compacted.
     """
-    lines = stateful_dedupe(envelopes).select(*PARTITIONS, wal_line(iso_ts_text("ts", tz)).alias("value"))
-    return start_ingest(lines, landing_root, checkpoint, fmt="text", available_now=available_now)
+    writer = stateful_dedupe(envelopes).writeStream.option("checkpointLocation", checkpoint) \
+        .foreachBatch(lambda batch, _epoch: wal_append(batch, landing_root, tz))
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
 
-def archive_sweep(spark: SparkSession, landing_root: str, archive_root: str, work_root: str, as_of: Column,
-                  tz: str = DEFAULT_TZ) -> int:
+def archive_sweep(spark: SparkSession, landing_root: str, archive_root: str, as_of: Column, tz: str = DEFAULT_TZ,
+                  remove_source: bool = True) -> int:
     """One incremental compaction sweep (STR-04): closed local days with new files
     are merged into the archive; returns the number of folders written.
 
     The compaction log lives with the archive (``<archive>/_compaction_log``; names
-    starting with ``_`` are hidden from readers of the archive), staging under a
-    fresh folder of ``work_root`` per sweep.
+    starting with ``_`` are hidden from readers of the archive). Landing files are
+    removed once the archive holds their rows, so the next listing is short.
     """
-    staging = f"{work_root.rstrip('/')}/staging-{uuid.uuid4().hex[:12]}"
-    return compact_days(spark, read_wal(spark, landing_root, tz), archive_root, staging, as_of, tz,
-                        landing_root=landing_root, log_root=f"{archive_root.rstrip('/')}/_compaction_log")
+    return compact_days(spark, read_wal(spark, landing_root, tz), archive_root, as_of, tz, landing_root=landing_root,
+                        log_root=f"{archive_root.rstrip('/')}/_compaction_log", remove_source=remove_source)
 
 
 def update_schedule(spark: SparkSession, package_dir: str, store_root: str, work_root: str, agency: str,
@@ -70,10 +70,11 @@ def update_schedule(spark: SparkSession, package_dir: str, store_root: str, work
         new = read_gtfs_table(spark, f"{package_dir}/{table}.txt", table, null_tokens=null_tokens)
         snap = prepare_snapshot(new, table, logged_at, ignore_null_columns)
         root = f"{store_root}/{table}"
-        try:
-            stored = spark.read.parquet(root).filter(F.col("agency") == agency).drop("agency")
-        except Exception:  # noqa: BLE001 - table not stored yet
-            stored = None
+        stored = read_if_exists(spark, root)
+        if stored is not None:
+            stored = stored.filter(F.col("agency") == agency).drop("agency")
+        elif new.isEmpty():
+            continue  # a header alone, and nothing stored: no table yet (FLT-13)
         merged = merge_snapshots(stored, snap, table, logged_at, ignore_null_columns, tz)
         write_gtfs_table(spark, merged.withColumn("agency", F.lit(agency)), root, f"{work_root}/{table}",
                          partition_by=("agency",))

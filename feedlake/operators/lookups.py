@@ -1,9 +1,8 @@
 """Joins and lookups (JON-01..11, SET-01..04, FLT-02).
 
-Dimension lookups broadcast the small side only after a bounded size check (row
-count and row-text bytes over ``limit(max_rows + 1)``, so the check itself reads
-at most ``max_rows + 1`` rows); above the bound the join falls back to a shuffle
-join that AQE can still re-plan.
+Dimension lookups are plain equi-joins: adaptive execution knows the sides' real
+sizes after their stages and broadcasts a side only under the session's threshold.
+No hint forces a broadcast, and no job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -15,35 +14,16 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.scalars import safe_prefix, split_list
 
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 << 20
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Proof that ``df`` is small enough to broadcast: at most ``max_rows`` rows and
-    at most ``max_bytes`` of row text. Reads at most ``max_rows + 1`` rows."""
-    row_text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_text)).first()
-    return n <= max_rows and (size or 0) <= max_bytes
-
-
-def lookup_join(big: DataFrame, dim: DataFrame, on, how: str = "inner",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension, broadcasting the dimension when proven small."""
-    side = F.broadcast(dim) if is_small(dim, max_rows) else dim
-    return big.join(side, on, how)
-
-
 def agency_of(vehicles: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
     """Inner lookup of the owning agency; unmatched rows are dropped (JON-01)."""
-    return lookup_join(vehicles, catalog, key, "inner")
+    return vehicles.join(catalog, key, "inner")
 
 
 def gtfs_stem(df: DataFrame, catalog: DataFrame, stream_col: str = "stream", lower: bool = True) -> DataFrame:
     """Left lookup stream -> GTFS file stem; default is the safe stream name (JON-02)."""
     fallback = safe_prefix(F.col(stream_col), style="unicode", default="stream")
     cat = catalog.select(F.col("stream").alias("_cat_stream"), F.col("stem").alias("_cat_stem"))
-    j = lookup_join(df, cat, df[stream_col] == cat["_cat_stream"], "left")
+    j = df.join(cat, df[stream_col] == cat["_cat_stream"], "left")
     stem = F.coalesce(F.col("_cat_stem"), fallback)
     return j.withColumn("stem", F.lower(stem) if lower else stem).drop("_cat_stream", "_cat_stem")
 
@@ -118,6 +98,5 @@ def catalog_with_fallback(catalog: DataFrame, targets: DataFrame, group: str, ke
 def work_list(ids: DataFrame, templates: DataFrame) -> DataFrame:
     """Requests derived from discovered ids: equi-join on ``kind`` with endpoint
     templates, ``{id}`` replaced (JON-08)."""
-    t = F.broadcast(templates) if is_small(templates, 100_000) else templates
-    j = ids.join(t, "kind", "inner")
+    j = ids.join(templates, "kind", "inner")
     return j.withColumn("request", F.replace(F.col("template"), F.lit("{id}"), F.col("id"))).drop("template")

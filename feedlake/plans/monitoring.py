@@ -10,7 +10,7 @@ from feedlake.operators import ids as id_ops
 from feedlake.operators import monitor
 from feedlake.operators import windows as win
 from feedlake.operators.dedupe import dedupe_events
-from feedlake.operators.lookups import allow_list, latest, lookup_join, work_list
+from feedlake.operators.lookups import allow_list, latest, work_list
 from feedlake.plans.feeds import feed_envelopes
 from feedlake.plans.oracle import local, with_feed
 from feedlake.schema import DEFAULT_TZ
@@ -148,7 +148,7 @@ def q_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _stop_times(spark, sf_dir)
     w = monitor.service_window(st, ["agency"])
     f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "ts", "day")
-    j = lookup_join(f, w.select("agency", "tmin_s", "tmax_s"), "agency", "left")
+    j = f.join(w.select("agency", "tmin_s", "tmax_s"), "agency", "left")
     j = j.withColumn("state", service_state(seconds_since_midnight("ts", TZ), F.col("tmin_s"), F.col("tmax_s")))
     ch = win.state_transitions(j, ["agency"], ["ts", "event_id"], "state", split_by=["day"])
     return ch.select("agency", "event_id", "state")
@@ -254,7 +254,7 @@ def q_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = feed_envelopes(spark, sf_dir, TZ).select("agency", "stream", "ts", "event_id")
     g = monitor.cadence_gaps(f, ["agency", "stream"], ["ts", "event_id"])
     cat = spark.createDataFrame(list(EXPECTED_INTERVAL_S.items()), "stream string, expected_s int")
-    g = lookup_join(g, cat, "stream", "left").withColumn("expected_s", F.coalesce("expected_s", F.lit(3600)))
+    g = g.join(cat, "stream", "left").withColumn("expected_s", F.coalesce("expected_s", F.lit(3600)))
     return g.groupBy("agency", "stream").agg(
         F.count("gap_s").cast("bigint").alias("gaps"), F.max("gap_s").cast("bigint").alias("max_gap_s"),
         F.count_if(F.col("gap_s") > F.col("expected_s")).cast("bigint").alias("late"))

@@ -44,13 +44,11 @@ def q_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     wal_append(env, landing, TZ)
     as_of = from_local(F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"), TZ)
     log = f"{base}/compaction_log"
-    for i in range(2):  # the second sweep finds nothing pending and writes nothing
-        compact_days(spark, read_wal(spark, landing, TZ), archive, f"{base}/staging{i}", as_of, TZ,
-                     landing_root=landing, log_root=log)
+    for _ in range(2):  # the second sweep finds nothing pending and writes nothing
+        compact_days(spark, read_wal(spark, landing, TZ), archive, as_of, TZ, landing_root=landing, log_root=log)
     late = env.filter(F.col("day").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-12").cast("date")))
     wal_append(late, landing, TZ)  # a re-delivery lands in the same folders as new files
-    compact_days(spark, read_wal(spark, landing, TZ), archive, f"{base}/staging2", as_of, TZ,
-                 landing_root=landing, log_root=log)
+    compact_days(spark, read_wal(spark, landing, TZ), archive, as_of, TZ, landing_root=landing, log_root=log)
     a = read_archive(spark, archive)
     return a.groupBy("agency", "stream", "day").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
                                                     F.count_distinct("hash_id").cast("bigint").alias("unique_rows"))

@@ -37,6 +37,18 @@ ARCHIVE_SCHEMA = T.StructType([
 
 ENVELOPE_COLUMNS = ["hash_id", "ts", "agency", "stream", "endpoint", "event", "id", "data", "metadata"]
 
+# The log of landing files that a finished compaction has read.
+COMPACTION_LOG_SCHEMA = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("agency", T.StringType()),
+    T.StructField("stream", T.StringType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("landed_at", T.TimestampType()),
+    T.StructField("bytes", T.LongType()),
+    T.StructField("folder_rows", T.LongType()),
+    T.StructField("compacted_at", T.TimestampType()),
+])
+
 # Captured poll response: the landing form for request/response sources.
 CAPTURE_SCHEMA = T.StructType([
     T.StructField("agency", T.StringType()),

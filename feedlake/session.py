@@ -19,7 +19,6 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -51,19 +50,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage reachable by every
-    executor. Only when it is unset (local tests) a temporary folder is created
-    and registered as the checkpoint dir.
+    executor. Only a local session (tests) may go without: it gets a temporary
+    folder, registered as the checkpoint dir; any other session is refused.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote session has no context: use its conf
         sc = None
-    if sc is None:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedlake-ckpt-")
-    else:
-        base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-        if not base:
-            base = tempfile.mkdtemp(prefix="feedlake-ckpt-")
-            sc.setCheckpointDir(base)
-            base = sc.getCheckpointDir() or base
+    base = spark.conf.get("spark.checkpoint.dir", None) if sc is None else \
+        sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="feedlake-ckpt-")
+        sc.setCheckpointDir(base)
+        base = sc.getCheckpointDir() or base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

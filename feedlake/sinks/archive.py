@@ -1,44 +1,60 @@
 """Sinks: WAL landing, day compaction, schedule tables, coverage (SNK-01..06).
 
-Compaction is idempotent: closed days of the landing are unioned with what the
-archive already holds for those days, deduplicated by content hash, written to
-a staging folder, and only then swapped into the archive with dynamic partition
-overwrite (only the touched ``agency/stream/day`` folders are replaced). The
-final write spreads each day over ``ceil(rows / rows_per_file)`` tasks keyed by
-the row hash, so a stream-day holding a third of all rows is written by many
-tasks instead of one.
+Compaction is idempotent and lossless: the landing's new files of closed days are
+unioned with what the archive holds in the same folders, deduplicated by content
+hash and written once with dynamic partition overwrite (only the touched
+``agency/stream/day`` folders are replaced, each by one rename when the whole write
+is done). An archive that cannot be read stops the job. Lines that do not parse go to
+the ``Errors`` stream with their text. Rows are rebalanced by folder before they are
+written, so a folder that holds a third of all rows is split over many tasks by size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedlake.functions.scalars import local_day
+from feedlake.functions.identity import error_hash
+from feedlake.functions.scalars import from_local, local_day, to_local
 from feedlake.operators.dedupe import dedupe_events
-from feedlake.schema import DEFAULT_TZ
-from feedlake.sources.wal import PARTITIONS, iso_ts_text, wal_line
+from feedlake.operators.filters import closed_days
+from feedlake.schema import ARCHIVE_SCHEMA, COMPACTION_LOG_SCHEMA, DEFAULT_TZ
+from feedlake.sources.wal import PARTITIONS, iso_ts_text, read_archive, wal_line
 
 ZSTD_LEVEL = 10              # Fixed value: archive codec level.
-ROWS_PER_FILE = 1_000_000
 
 
-def _writers(df: DataFrame) -> int:
-    """Writer task count: the session's shuffle parallelism (explicit, so AQE keeps it)."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """A Parquet table, or None when the path does not exist; any other failure is raised."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def same_folder(a: str, b: str) -> Column:
+    """Null-safe match of the folder keys of two aliased frames."""
+    out = F.lit(True)
+    for c in PARTITIONS:
+        out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return out
 
 
 def wal_append(envelopes: DataFrame, root: str, tz: str = DEFAULT_TZ) -> None:
     """Append envelopes as JSON Lines under ``agency=/stream=/day=`` (SNK-01).
 
-    Rows are hashed on the folder keys plus the row hash, so folders are written
-    in parallel and a hot stream-day is split across tasks.
+    Rows are rebalanced by folder: small folders share tasks, a hot stream-day is cut
+    into tasks of the session's advisory partition size.
     """
-    lines = envelopes.select(*PARTITIONS, "hash_id", wal_line(iso_ts_text("ts", tz)).alias("value"))
-    lines = lines.repartition(_writers(envelopes), *PARTITIONS).drop("hash_id")
-    lines.write.mode("append").partitionBy(*PARTITIONS).text(root)
+    lines = envelopes.select(*PARTITIONS, wal_line(iso_ts_text("ts", tz), envelopes.columns).alias("value"))
+    lines.hint("rebalance", *[F.col(c) for c in PARTITIONS]).write.mode("append").partitionBy(*PARTITIONS).text(root)
 
 
 def _write_parquet(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
@@ -51,103 +67,103 @@ def _write_parquet(df: DataFrame, path: str, mode: str, partition_by: Sequence[s
      .partitionBy(*partition_by).parquet(path))
 
 
-MAX_FOLDERS_BROADCAST = 200_000   # folder lists: a few short strings and a count per row
-
-
-def _folder_join(df: DataFrame, folders: DataFrame, n_folders: int, how: str) -> DataFrame:
-    """Join on the folder keys; the folder list is broadcast when its counted size
-    (one row per agency/stream/day folder) is under the bound."""
-    side = F.broadcast(folders) if n_folders <= MAX_FOLDERS_BROADCAST else folders
-    return df.join(side, list(PARTITIONS), how)
-
-
-def spread_by_size(df: DataFrame, keys: Sequence[str], salt_col: str, rows_per_file: int = ROWS_PER_FILE,
-                   n_folders: int | None = None) -> DataFrame:
-    """Repartition so each key folder gets ``ceil(rows/rows_per_file)`` writers.
-
-    Per-key counts are a small aggregate (one row per folder) joined back —
-    broadcast when ``n_folders`` is known to be under the bound; the salt is a hash
-    of ``salt_col`` modulo the folder's writer count.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    buckets = counts.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_file)).cast("int").alias("_b"))
-    small = n_folders is not None and n_folders <= MAX_FOLDERS_BROADCAST
-    j = df.join(F.broadcast(buckets) if small else buckets, list(keys), "inner")
-    salted = j.withColumn("_salt", F.pmod(F.xxhash64(salt_col), F.col("_b")))
-    return salted.repartition(_writers(df), *[F.col(k) for k in keys], F.col("_salt")).drop("_b", "_salt")
-
-
-def landing_folders(spark: SparkSession, landing_root: str) -> DataFrame:
-    """Landing folders with the time of their newest file, from file metadata only
+def landing_files(spark: SparkSession, landing_root: str) -> DataFrame:
+    """Landing files with their folder, name and time, from file metadata only
     (``binaryFile`` without its ``content`` column reads no data)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(landing_root)
-    return files.groupBy(*PARTITIONS).agg(F.max("modificationTime").alias("landed_at"))
-
-
-def pending_folders(spark: SparkSession, landing_root: str, log_root: str) -> DataFrame:
-    """Landing folders with files newer than their last compaction (STR-04 sweep)."""
-    folders = landing_folders(spark, landing_root)
-    try:
-        log = spark.read.parquet(log_root).groupBy(*PARTITIONS).agg(F.max("landed_at").alias("_done"))
-    except Exception:  # noqa: BLE001 - first sweep: no log yet
-        return folders
-    j = folders.join(log, list(PARTITIONS), "left")
-    return j.filter(F.col("_done").isNull() | (F.col("landed_at") > F.col("_done"))).drop("_done")
-
 
-def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, staging_root: str,
-                 as_of: Column, tz: str = DEFAULT_TZ, scope: str = "day",
-                 rows_per_file: int = ROWS_PER_FILE, landing_root: str | None = None,
-                 log_root: str | None = None) -> int:
+    def folder(name: str) -> Column:  # read from the path as text: ``agency=007`` stays ``007``
+        raw = F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+        text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text).alias(name)
+
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), folder("agency"), folder("stream"),
+                        folder("day").cast("date").alias("day"), F.col("modificationTime").alias("landed_at"),
+                        F.col("length").alias("bytes"))
+
+
+def pending_files(spark: SparkSession, landing_root: str, log_root: str) -> DataFrame:
+    """Landing files that no finished compaction has read (STR-04 sweep), told by folder
+    and file name: a file that lands in the same clock tick as another is still new."""
+    files = landing_files(spark, landing_root)
+    log = read_if_exists(spark, log_root, COMPACTION_LOG_SCHEMA)
+    if log is None:
+        return files
+    return files.alias("f").join(log.alias("l"), (F.col("f.file") == F.col("l.file")) & same_folder("f", "l"), "left_anti")
+
+
+def remove_files(spark: SparkSession, paths: DataFrame) -> int:
+    """Delete the files named by the first column; returns how many went."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    for row in paths.toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(row[0])
+        n += bool(path.getFileSystem(conf).delete(path, False))
+    return n
+
+
+def archive_rows(landing: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Landing rows in the archive's columns. A line that does not parse becomes an error
+    envelope with the raw line in its message and the folder's agency and day (SNK-04)."""
+    have = set(landing.columns)
+    row = {f.name: (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType) for f in ARCHIVE_SCHEMA}
+    if "_corrupt" not in have:
+        return landing.select(*[c.alias(n) for n, c in row.items()])
+    message = F.concat(F.lit("unparsable line in "), F.coalesce("stream", F.lit("?")), F.lit(": "), F.col("_corrupt"))
+    error = error_fields(F.col("agency"), message, from_local(F.col("day").cast("timestamp_ntz"), tz), tz)
+    error = {f.name: error.get(f.name, F.lit(None)).cast(f.dataType) for f in ARCHIVE_SCHEMA}
+    bad = F.col("_corrupt").isNotNull()
+    return landing.select(*[F.when(bad, error[n]).otherwise(row[n]).alias(n) for n in ARCHIVE_SCHEMA.names])
+
+
+def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, as_of: Column, tz: str = DEFAULT_TZ,
+                 scope: str = "day", landing_root: str | None = None, log_root: str | None = None,
+                 remove_source: bool = False) -> int:
     """Move closed local days of the landing into the archive (SNK-02, FLT-01, STR-04, STR-10).
 
     Rows of days before the local date of ``as_of`` are merged with the archive's
-    rows for the same folders, deduplicated (IDN-07), staged, then swapped in.
-    With ``landing_root`` and ``log_root`` the sweep is incremental: the folders to
-    work on come from a metadata-only listing (files newer than their last
-    compaction), the sweep stops before reading any data when none is pending,
-    and the compacted folders are appended to the log after the swap.
-    Returns the number of folders written (0 when nothing was pending).
+    rows for the same folders, deduplicated (IDN-07) and swapped in. With
+    ``landing_root`` and ``log_root`` the sweep is incremental: a metadata-only
+    listing less the log gives the files to read, the sweep stops before reading any
+    data when there are none, and after the swap the files are logged with their
+    folder's row count (and deleted, with ``remove_source``). Returns the number of
+    folders written (0 when nothing was pending).
     """
-    closed = landing.filter(F.col("day") < local_day(as_of, tz))
-    cols = ["hash_id", "ts", "ts_raw", "event", "endpoint", "id", "data", "metadata", *PARTITIONS]
-    closed = closed.select(*[F.col(c) if c in closed.columns else F.lit(None).cast("string").alias(c) for c in cols])
+    closed = closed_days(landing, as_of, tz)
     pending = None
     if landing_root and log_root:
-        # Freeze the folder list (with each folder's newest file time) as a small
-        # written table: files landing during this sweep must stay pending for the
-        # next one, so the log records exactly what this sweep read.
-        frozen = f"{staging_root.rstrip('/')}_pending"
-        pending_folders(spark, landing_root, log_root).filter(F.col("day") < local_day(as_of, tz)) \
-            .write.mode("overwrite").parquet(frozen)
+        # Frozen as a small written table: files that land during this sweep stay
+        # pending for the next one, so the log records exactly what this sweep read.
+        frozen = f"{log_root.rstrip('/')}_pending"
+        closed_days(pending_files(spark, landing_root, log_root), as_of, tz).write.mode("overwrite").parquet(frozen)
         pending = spark.read.parquet(frozen)
-        n_pending = pending.count()
-        if n_pending == 0:
+        if pending.isEmpty():
             return 0
-        touched = pending.select(*PARTITIONS)
-        closed = _folder_join(closed, touched, n_pending, "left_semi")
-    else:
-        touched = closed.select(*PARTITIONS).distinct()
-        n_pending = MAX_FOLDERS_BROADCAST + 1  # unknown: no broadcast
-    try:
-        existing = _folder_join(spark.read.parquet(archive_root), touched, n_pending, "left_semi")
-        merged = closed.unionByName(existing.select(*cols))
-    except Exception:  # noqa: BLE001 - no archive yet
-        merged = closed
-    deduped = dedupe_events(merged, scope=scope, order=("ts", "ts_raw"))
-    # Staging is flat (one file per task): the folder layout is made once, below.
-    _write_parquet(deduped, staging_root, "overwrite", ())
-    staged = spark.read.parquet(staging_root)
-    n_folders = staged.select(*PARTITIONS).distinct().count()
-    if n_folders > 0:
-        out = spread_by_size(staged, PARTITIONS, "hash_id", rows_per_file, n_folders)
-        # Sorted by capture time inside each folder's files: row-group min/max on ``ts``
-        # let time-range reads skip data (the writer sorts by folder keys anyway).
-        out = out.sortWithinPartitions(*PARTITIONS, "ts")
-        _write_parquet(out, archive_root, "overwrite", PARTITIONS)
-    if pending is not None:
-        pending.withColumn("compacted_at", F.current_timestamp()).write.mode("append").parquet(log_root)
-    return n_folders
+        closed = closed.alias("c").join(pending.alias("p"), (F.col("c._file") == F.col("p.file")) & same_folder("c", "p"),
+                                        "left_semi")
+    rows = archive_rows(closed, tz)
+    folders = (pending if pending is not None else closed).select(*PARTITIONS)
+    # An unparsable line goes to its agency's Errors folder of the day: that is touched too.
+    folders = folders.unionByName(folders.withColumn("stream", F.lit("Errors"))).distinct()
+    existing = read_if_exists(spark, archive_root, ARCHIVE_SCHEMA)
+    if existing is not None:
+        rows = rows.unionByName(existing.alias("a").join(folders.alias("t"), same_folder("a", "t"), "left_semi")
+                                .select(*ARCHIVE_SCHEMA.names))
+    out = dedupe_events(rows, scope=scope, order=("ts", "ts_raw"))
+    # Sorted by capture time inside each folder's files: row-group min/max on ``ts``
+    # let time-range reads skip data (the writer sorts by folder keys anyway).
+    out = out.hint("rebalance", *[F.col(c) for c in PARTITIONS]).sortWithinPartitions(*PARTITIONS, "ts")
+    _write_parquet(out, archive_root, "overwrite", PARTITIONS)
+    done = read_archive(spark, archive_root).alias("a").join(folders.alias("t"), same_folder("a", "t"), "left_semi") \
+        .groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("folder_rows"))
+    if pending is None:
+        return done.count()
+    logged = pending.alias("p").join(done.alias("d"), same_folder("p", "d"), "left") \
+        .select("p.*", "folder_rows", F.current_timestamp().alias("compacted_at")).select(*COMPACTION_LOG_SCHEMA.names)
+    logged.write.mode("append").parquet(log_root)
+    if remove_source:
+        remove_files(spark, pending.select("path"))
+    return done.count()
 
 
 def write_gtfs_table(spark: SparkSession, df: DataFrame, root: str, staging_root: str,
@@ -155,27 +171,30 @@ def write_gtfs_table(spark: SparkSession, df: DataFrame, root: str, staging_root
     """Rewrite cumulative schedule tables through a staging folder (SNK-03).
 
     The staged copy is read back (the check that it is readable) and swapped into
-    ``root`` with dynamic partition overwrite of the touched (agency, table).
+    ``root`` with dynamic partition overwrite of the touched (agency, table). Both are
+    read with the known schema, so an empty table (a header alone) passes through.
     """
+    last = [f for f in df.schema if f.name in partition_by]
+    schema = T.StructType([f for f in df.schema if f.name not in partition_by] + last)
     _write_parquet(df, staging_root, "overwrite", partition_by)
-    staged = spark.read.parquet(staging_root)
+    staged = spark.read.schema(schema).parquet(staging_root)
     _write_parquet(staged, root, "overwrite", partition_by)
-    return spark.read.parquet(root)
+    return spark.read.schema(schema).parquet(root)
+
+
+def error_fields(agency: Column, message: Column, ts: Column, tz: str = DEFAULT_TZ) -> dict[str, Column]:
+    """The fields of an error envelope: stream ``Errors``, event ``error``, ``data =
+    {"message": …}``, ``ts_raw`` the naive local time text, hash IDN-04 over it (SNK-04)."""
+    ts_text = F.date_format(to_local(ts, tz), "yyyy-MM-dd HH:mm:ss")
+    return {"hash_id": error_hash(agency, ts_text, message), "ts": ts, "ts_raw": ts_text, "agency": agency,
+            "stream": F.lit("Errors"), "event": F.lit("error"), "endpoint": F.lit(""), "id": F.lit(None).cast("string"),
+            "data": F.to_json(F.struct(message.alias("message"))), "day": local_day(ts, tz)}
 
 
 def error_rows(df: DataFrame, agency: Column, message: Column, ts: Column, tz: str = DEFAULT_TZ,
                keep: Sequence[str] = ()) -> DataFrame:
-    """Dead letters as error envelopes: stream ``Errors``, event ``error``,
-    ``data = {"message": …}``, ``ts_raw`` the naive local time text, hash IDN-04
-    over it (SNK-04). ``keep`` passes input columns through."""
-    from feedlake.functions.identity import error_hash
-    from feedlake.functions.scalars import to_local
-    ts_text = F.date_format(to_local(ts, tz), "yyyy-MM-dd HH:mm:ss")
-    e = df.select(*keep, agency.alias("agency"), message.alias("message"), ts.alias("ts"), ts_text.alias("ts_raw"))
-    return e.select(*keep, error_hash("agency", "ts_raw", "message").alias("hash_id"), "ts", "ts_raw", "agency",
-                    F.lit("Errors").alias("stream"), F.lit("error").alias("event"), F.lit("").alias("endpoint"),
-                    F.lit(None).cast("string").alias("id"), F.to_json(F.struct("message")).alias("data"),
-                    local_day("ts", tz).alias("day"))
+    """Dead letters as error envelopes (SNK-04). ``keep`` passes input columns through."""
+    return df.select(*keep, *[c.alias(n) for n, c in error_fields(agency, message, ts, tz).items()])
 
 
 def coverage_documents(cov: DataFrame, agencies: DataFrame | None = None) -> DataFrame:

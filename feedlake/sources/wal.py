@@ -11,21 +11,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlake.functions.identity import json_string
 from feedlake.functions.scalars import file_day, local_day, parse_envelope_ts
-from feedlake.schema import DEFAULT_TZ, WAL_SCHEMA
+from feedlake.schema import ARCHIVE_SCHEMA, DEFAULT_TZ, ENVELOPE_COLUMNS, WAL_SCHEMA
 
 PARTITIONS = ("agency", "stream", "day")
 
-LINE_SCHEMA = T.StructType([f for f in WAL_SCHEMA.fields if f.name not in ("agency", "stream")])
+LINE_SCHEMA = T.StructType([f for f in WAL_SCHEMA.fields if f.name not in PARTITIONS])
 
 
-def wal_line(ts_text: Column, with_platform: bool = False) -> Column:
-    """One JSON line of an envelope; ``data``/``metadata`` embedded as JSON values."""
-    fields = [F.col("hash_id"), ts_text.alias("ts"), F.col("event"), F.col("id"),
-              F.try_parse_json("data").alias("data")]
-    if with_platform:
-        fields = [F.col("hash_id"), ts_text.alias("ts"), F.col("agency"), F.col("stream"), F.col("endpoint"),
-                  F.col("event"), F.try_parse_json("data").alias("data")]
+def json_or_text(col: str) -> Column:
+    """An object or array as its JSON value, any other text as a JSON string: reading the
+    line back gives the same text, whatever it was."""
+    v = F.try_parse_json(F.col(col))
+    box = F.try_variant_get(v, "$", "map<string,variant>").isNotNull() | F.try_variant_get(v, "$", "array<variant>").isNotNull()
+    return F.when(box, v).otherwise(F.try_parse_json(json_string(F.col(col))))
+
+
+def wal_line(ts_text: Column, columns=ENVELOPE_COLUMNS) -> Column:
+    """One JSON line of an envelope with the envelope fields that ``columns`` has; payload
+    and metadata embedded as JSON values. Agency and stream are in it and in the folder name."""
+    have = set(columns)
+    fields = []
+    for name in ENVELOPE_COLUMNS:
+        if name == "ts":
+            fields.append(ts_text.alias("ts"))
+        elif name in have:
+            fields.append((json_or_text(name) if name in ("data", "metadata") else F.col(name)).alias(name))
     return F.to_json(F.struct(*fields))
 
 
@@ -46,8 +58,10 @@ def read_wal(spark: SparkSession, root: str, tz: str = DEFAULT_TZ) -> DataFrame:
     schema = T.StructType(list(LINE_SCHEMA.fields) + [
         T.StructField("agency", T.StringType()), T.StructField("stream", T.StringType()),
         T.StructField("day", T.DateType())])
+    # ``_file`` (the file's name) tells a sweep which files it has read.
     raw = (spark.read.schema(schema).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt").json(root))
+    raw = raw.select("*", F.col("_metadata.file_name").alias("_file"))
     return raw.withColumn("ts_raw", F.col("ts")).withColumn("ts", parse_envelope_ts("ts_raw", tz))
 
 
@@ -67,5 +81,6 @@ def read_wal_files(spark: SparkSession, path: str, tz: str = DEFAULT_TZ) -> Data
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame:
-    """The compacted archive (Parquet partitioned by agency, stream, day) (SRC-20)."""
-    return spark.read.parquet(root)
+    """The compacted archive (Parquet partitioned by agency, stream, day) (SRC-20), with its
+    schema: agency ``007`` stays text, and files of an older layout read as nulls."""
+    return spark.read.schema(ARCHIVE_SCHEMA).parquet(root)

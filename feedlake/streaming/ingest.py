@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEDUPE_KEYS = ("agency", "stream", "day", "hash_id")
+WRITERS = 8
 
 
 def stateful_dedupe(stream: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, delay: str = "2 days") -> DataFrame:
@@ -36,9 +37,10 @@ def start_ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: Se
     land in their own day (STR-10).
     """
     n = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    # One writer per folder and micro-batch (batches are bounded by the source's
-    # maxFilesPerTrigger), instead of every task opening a file in every folder.
-    stream = stream.repartition(n, *partition_by) if partition_by else stream
+    # A folder of a micro-batch goes to at most WRITERS tasks (by row hash), instead of every
+    # task opening a file in every folder or one task writing a hot folder alone.
+    salt = [F.pmod(F.xxhash64("hash_id"), F.lit(WRITERS))] if "hash_id" in stream.columns else []
+    stream = stream.repartition(n, *partition_by, *salt) if partition_by else stream
     w = (stream.writeStream.format(fmt).option("checkpointLocation", checkpoint)
          .partitionBy(*partition_by).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

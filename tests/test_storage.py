@@ -23,16 +23,16 @@ def test_compaction_idempotent_and_late_rows(spark):
     env = feed_envelopes(spark, SF)
     wal_append(env, f"{base}/landing")
     kw = dict(landing_root=f"{base}/landing", log_root=f"{base}/log")
-    n1 = compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", f"{base}/s1", _as_of(), **kw)
+    n1 = compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
     first = sorted(map(tuple, read_archive(spark, f"{base}/archive").select("hash_id", "day", "agency", "stream").collect()))
-    n2 = compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", f"{base}/s2", _as_of(), **kw)
+    n2 = compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
     again = sorted(map(tuple, read_archive(spark, f"{base}/archive").select("hash_id", "day", "agency", "stream").collect()))
     assert n1 > 0 and n2 == 0 and first == again
     want = env.filter(F.col("day") < F.lit("2024-01-20").cast("date")).select("hash_id", "day", "agency", "stream").distinct()
     assert len(first) == want.count()
     # a late re-delivery of already archived days changes nothing
     wal_append(env.filter(F.col("day") == F.lit("2024-01-05").cast("date")), f"{base}/landing")
-    n3 = compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", f"{base}/s3", _as_of(), **kw)
+    n3 = compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
     late = sorted(map(tuple, read_archive(spark, f"{base}/archive").select("hash_id", "day", "agency", "stream").collect()))
     assert n3 > 0 and late == first
     # coverage totals equal archive counts
@@ -114,3 +114,103 @@ def test_zip_package_landing(spark, tmp_path):
     assert landed_tables(spark, out, "MBTA_gtfs") == ["routes", "stops"]
     stops = read_gtfs_table(spark, f"{out}/package=MBTA_gtfs/table=stops", "stops").collect()
     assert [(r.stop_id, r.stop_name) for r in stops] == [("0123", "Main St, North"), ("7", "Elm")]
+
+
+def test_hot_folder_is_written_by_several_tasks(spark):
+    """One stream-day of many rows lands and is archived by several tasks (SNK-01/02)."""
+    base = shared_dir(spark, "test_hot")
+    env = spark.range(40_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("hash_id"), F.lit("2024-01-02 10:00:00").cast("timestamp_ntz").alias("ts"),
+        F.lit("A").alias("agency"), F.lit("s").alias("stream"), F.lit("").alias("endpoint"), F.lit("update").alias("event"),
+        F.col("id").cast("string").alias("id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("data"),
+        F.lit(None).cast("string").alias("metadata"), F.lit("2024-01-02").cast("date").alias("day"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        wal_append(env, f"{base}/landing")
+        compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of())
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    for fmt, path in (("text", "landing"), ("parquet", "archive")):
+        files = spark.read.format(fmt).load(f"{base}/{path}").select(F.input_file_name().alias("f")).distinct().count()
+        assert files > 1
+    assert read_archive(spark, f"{base}/archive").count() == 40_000
+
+
+def test_content_survives_and_old_archives_merge(spark):
+    """Text payloads, repeated keys, metadata, broken lines, a null stream and a numeric agency
+    reach the archive; rows of an archive without ``ts_raw`` stay; an unreadable one stops the job."""
+    import pytest
+    base = shared_dir(spark, "test_content")
+    texts = ["plain, text", '{"a":1,"a":2}', '{"b":[1,2]}', "123", '"quoted"', None, "line\nbreak"]
+    env = spark.createDataFrame(
+        [(f"h{i}", dt.datetime(2024, 1, 2, 15, i), "007", None if i == 2 else "s", "ep", "update", str(i), t,
+          '{"route":"1"}' if i % 2 else None, dt.date(2024, 1, 2)) for i, t in enumerate(texts)],
+        "hash_id string, ts timestamp_ntz, agency string, stream string, endpoint string, event string, id string, "
+        "data string, metadata string, day date")
+    old = env.limit(1).drop("ts_raw", "endpoint", "metadata").withColumn("hash_id", F.lit("old1"))
+    old.write.partitionBy("agency", "stream", "day").parquet(f"{base}/archive")
+    wal_append(env, f"{base}/landing")
+    spark.createDataFrame([("not json at all", "007", "s", dt.date(2024, 1, 2)), ('{"cut', "007", "s", dt.date(2024, 1, 2))],
+                          "value string, agency string, stream string, day date") \
+        .write.mode("append").partitionBy("agency", "stream", "day").text(f"{base}/landing")
+    kw = dict(landing_root=f"{base}/landing", log_root=f"{base}/log", remove_source=True)
+    for _ in range(2):
+        compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
+        got = {r.hash_id: r for r in read_archive(spark, f"{base}/archive").collect() if r.stream != "Errors"}
+        assert {h: (r.agency, r.stream, r.data, r.metadata, r.endpoint, r.id) for h, r in got.items() if h != "old1"} == {
+            f"h{i}": ("007", None if i == 2 else "s", t, '{"route":"1"}' if i % 2 else None, "ep", str(i))
+            for i, t in enumerate(texts)}
+        assert got["old1"].data == texts[0]
+        errors = read_archive(spark, f"{base}/archive").filter("stream = 'Errors'").collect()
+        assert sorted(r.data for r in errors) == ['{"message":"unparsable line in s: not json at all"}',
+                                                  '{"message":"unparsable line in s: {\\"cut"}']
+    assert spark.read.parquet(f"{base}/log").agg(F.max("folder_rows")).first()[0] == 7
+    wal_append(env.limit(1).withColumn("hash_id", F.lit("h9")), f"{base}/landing")
+    (open(next(iter(spark.read.parquet(f"{base}/archive").filter("stream = 's'").select(F.input_file_name()).first()))
+          .removeprefix("file://").replace("file:", ""), "wb")).write(b"broken")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the reader says, the job must stop
+        compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
+
+
+def test_same_clock_tick_is_not_lost(spark):
+    """A file with the time of one already compacted is still picked up (STR-04)."""
+    base = shared_dir(spark, "test_tick")
+    env = feed_envelopes(spark, SF).filter(F.col("day") == F.lit("2024-01-05").cast("date"))
+    kw = dict(landing_root=f"{base}/landing", log_root=f"{base}/log")
+    halves = [env.filter(F.col("event_id") % 2 == k) for k in range(2)]
+    wal_append(halves[0], f"{base}/landing")
+    compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
+    wal_append(halves[1], f"{base}/landing")
+    spark.read.parquet(f"{base}/log").withColumn("landed_at", F.current_timestamp()).write.parquet(f"{base}/log2")
+    kw["log_root"] = f"{base}/log2"  # every logged time is later than the new files'
+    compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), **kw)
+    assert read_archive(spark, f"{base}/archive").select("hash_id").distinct().count() == env.select("hash_id").distinct().count()
+
+
+def test_header_only_table_is_skipped(spark, tmp_path):
+    from feedlake.jobs import update_schedule
+    for name, text in (("agency", "agency_id,agency_name\n"), ("stops", "stop_id,stop_name\n1,Elm\n")):
+        (tmp_path / f"{name}.txt").write_text(text)
+    done = update_schedule(spark, str(tmp_path), f"{tmp_path}/store", f"{tmp_path}/work", "A",
+                           from_local(F.lit("2024-01-01 03:00:00").cast("timestamp_ntz")))
+    assert done == ["stops"] and spark.read.parquet(f"{tmp_path}/store/stops").count() == 1
+
+
+def test_a_cluster_session_needs_a_shared_folder(spark, monkeypatch):
+    import pytest
+    from feedlake import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session(), "x")

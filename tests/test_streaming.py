@@ -45,8 +45,8 @@ def test_live_path_stream_landing_to_archive(spark):
     q = ingest_stream(env, f"{base}/landing", f"{base}/ckpt", available_now=True)
     q.awaitTermination()
     as_of = from_local(F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))
-    assert archive_sweep(spark, f"{base}/landing", f"{base}/archive", f"{base}/work1", as_of) > 0
-    assert archive_sweep(spark, f"{base}/landing", f"{base}/archive", f"{base}/work2", as_of) == 0
+    assert archive_sweep(spark, f"{base}/landing", f"{base}/archive", as_of) > 0
+    assert archive_sweep(spark, f"{base}/landing", f"{base}/archive", as_of) == 0
     got = read_archive(spark, f"{base}/archive").select("agency", "stream", "day", "hash_id")
     want = envelopes_from_events(read_table(spark, SF, "events")) \
         .filter(F.col("day") < F.lit("2024-01-20").cast("date")).select("agency", "stream", "day", "hash_id").distinct()
