@@ -62,9 +62,15 @@ def gtfs_table_name(prefix, table) -> Column:
     return F.format_string("%s_gtfs_%s.parquet", _c(prefix), _c(table))
 
 
+def strip(col) -> Column:
+    """Text without leading and trailing white space of any kind (``str.strip``): line breaks,
+    tabs, Unicode spaces. Spark's ``trim`` takes spaces only."""
+    return F.regexp_replace(_c(col), r"(?U)^[\s\x1c-\x1f]++|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++$", "")
+
+
 def split_list(col) -> Column:
-    """Comma list -> array of trimmed, non-blank items (SCL-18)."""
-    return F.filter(F.transform(F.split(_c(col), ","), lambda x: F.trim(x)), lambda x: x != F.lit(""))
+    """Comma list -> array of stripped, non-blank items (SCL-18)."""
+    return F.filter(F.transform(F.split(_c(col), ","), lambda x: strip(x)), lambda x: x != F.lit(""))
 
 
 def first_truthy(*cols) -> Column:
@@ -72,6 +78,22 @@ def first_truthy(*cols) -> Column:
     return F.coalesce(*[F.nullif(_c(c).cast("string"), F.lit("")) for c in cols])
 
 
+def truthy_text(v, path: str) -> Column:
+    """Text of a VARIANT field, or null where Python calls the value false: missing, null,
+    '', a zero number, false, an empty list or object (SCL-19)."""
+    value = F.try_variant_get(_c(v), path, "variant")
+    text = F.try_variant_get(_c(v), path, "string")
+    kind = F.schema_of_variant(value)
+    zero = kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)") & (F.try_variant_get(value, "$", "double") == 0)
+    empty = text.isin("", "[]", "{}") | ((kind == "BOOLEAN") & (text == "false"))
+    return F.when(F.coalesce(zero | empty, F.lit(False)), F.lit(None).cast("string")).otherwise(text)
+
+
+def first_truthy_field(v, *paths: str) -> Column:
+    """Python ``a or b or …`` over fields of a VARIANT (SCL-19)."""
+    return F.coalesce(*[truthy_text(v, p) for p in paths])
+
+
 # ---------------------------------------------------------------- local clock (SCL-03/05/08/21)
 
 def to_local(ts, tz: str = DEFAULT_TZ) -> Column:
@@ -233,6 +255,15 @@ STREAM_CLASS_RULES = {
              (("topo",), "topo")],
 }
 
+# Exact stream names per platform and their type; any other stream is ``Streamed``.
+STREAM_CLASS_NAMES = {
+    "bustime": {"Bi-Weekly": ("Agencies", "Locales", "RealTimeDataFeeds"),
+                "Hourly": ("Routes", "Directions", "Stops", "Patterns", "ServiceBulletins", "BusBridges")},
+    "passiogo": {"Hourly": ("FeedInfo", "Routes", "Stops")},
+    "routematch": {"Hourly": ("Version", "Timezone", "MasterRoute", "MasterRouteNames", "StopKeywords")},
+    "massport": {"Hourly": ("Routes", "Stops", "Trips", "Collections"), "Live": ("Predictions",)},
+}
+
 # Streams the coverage page counts as the main group.
 MAIN_STREAMS = (
     "vehicles", "alerts", "predictions", "stop_events",
@@ -247,7 +278,12 @@ COVERAGE_LEVEL_BOUNDS = (500, 2000, 10000)
 
 def stream_class(col, platform: str = "gtfsrt",
                  rules: Sequence[tuple[Iterable[str], str]] | None = None, default: str = "general") -> Column:
-    """Stream type by ordered keyword rules per platform (SCL-14)."""
+    """Stream type by ordered keyword rules, or by exact names, per platform (SCL-14)."""
+    if rules is None and platform in STREAM_CLASS_NAMES:
+        expr = F.lit("Streamed")
+        for label, names in STREAM_CLASS_NAMES[platform].items():
+            expr = F.when(_c(col).isin(*names), F.lit(label)).otherwise(expr)
+        return expr
     low = F.lower(_c(col))
     expr = None
     for words, label in (rules or STREAM_CLASS_RULES[platform]):

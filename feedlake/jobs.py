@@ -41,10 +41,18 @@ def ingest_stream(envelopes: DataFrame, landing_root: str, checkpoint: str, avai
     keeps no sink log of its own, so a sweep may remove the files it has compacted.
     """
     writer = stateful_dedupe(envelopes).writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda batch, _epoch: wal_append(batch, landing_root, tz))
+        .foreachBatch(lambda batch, _epoch: _land(batch, landing_root, tz))
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
 
+def _land(batch: DataFrame, landing_root: str, tz: str) -> None:
+    batch.persist()  # counted and written: the stateful dedupe runs once
+    try:
+        wal_append(batch, landing_root, tz)
+    finally:
+        batch.unpersist()
+
+
 def archive_sweep(spark: SparkSession, landing_root: str, archive_root: str, as_of: Column, tz: str = DEFAULT_TZ,
                   remove_source: bool = True) -> int:
     """One incremental compaction sweep (STR-04): closed local days with new files

@@ -25,15 +25,17 @@ def coverage(df: DataFrame, distinct_col: str | None = None) -> DataFrame:
 
 
 def coverage_with_totals(df: DataFrame) -> DataFrame:
-    """Per stream and all-stream totals per (agency, day) in one aggregate (AGG-14).
+    """Per stream and all-stream totals per (agency, day) (AGG-14).
 
-    Grouping sets ((agency, day, stream), (agency, day)); the total row carries
-    ``stream = '*all*'``.
+    Rows are counted per (agency, day, stream) once; the totals (``stream = '*all*'``) are
+    summed from that small cube, so the raw rows are never doubled.
     """
-    g = df.groupingSets([["agency", "day", "stream"], ["agency", "day"]], "agency", "day", "stream") \
-        .agg(F.count(F.lit(1)).alias("rows"), F.grouping("stream").alias("_g"))
-    return g.select("agency", F.when(F.col("_g") == 1, F.lit(ALL_STREAMS)).otherwise(F.col("stream")).alias("stream"),
-                    "day", F.col("rows").cast("bigint").alias("rows"))
+    cube = df.groupBy("agency", "day", "stream").agg(F.count(F.lit(1)).alias("rows"))
+    both = cube.select("agency", "day", "rows", F.explode(F.array(
+        F.struct(F.col("stream").alias("s"), F.lit(0).alias("g")),
+        F.struct(F.lit(ALL_STREAMS).alias("s"), F.lit(1).alias("g")))).alias("e"))
+    return both.groupBy("agency", F.col("e.s").alias("stream"), "day", F.col("e.g").alias("_g")) \
+        .agg(F.sum("rows").cast("bigint").alias("rows")).select("agency", "stream", "day", "rows")
 
 
 def agency_totals(cov: DataFrame) -> DataFrame:
@@ -101,6 +103,8 @@ def coverage_calendar(cov: DataFrame, stream: str | None = None) -> DataFrame:
 
 
 def streams_by_group(cov: DataFrame) -> DataFrame:
-    """Distinct years and streams per group with data that year (AGG-17, SCL-15, SRT-04)."""
+    """Distinct years and streams per group with data that year; ``is_default`` marks the
+    latest year, the one shown when none is chosen (AGG-17, SCL-15, SRT-04)."""
     c = cov.filter(F.col("rows") > 0).select(F.year("day").alias("year"), "stream").distinct()
-    return c.withColumn("group", stream_group("stream"))
+    latest = c.agg(F.max("year").alias("year")).scalar()
+    return c.withColumn("group", stream_group("stream")).withColumn("is_default", F.col("year") == latest)

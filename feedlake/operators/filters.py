@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.scalars import local_day
+from feedlake.functions.scalars import local_day, strip
 from feedlake.schema import DEFAULT_TZ
 
 # Markers of an HTML rejection page instead of data.
@@ -19,7 +19,7 @@ def closed_days(df: DataFrame, as_of: Column, tz: str = DEFAULT_TZ, day: str = "
 
 
 def is_rejection_page(body: Column) -> Column:
-    t = F.lower(F.trim(body))
+    t = F.lower(strip(body))
     cond = None
     for p in HTML_PREFIXES:
         c = t.startswith(p)
@@ -35,25 +35,15 @@ def reject_html(df: DataFrame, body: str = "body") -> DataFrame:
     """
     b = F.col(body)
     v = F.try_parse_json(b)
-    outcome = (F.when(b.isNull() | (F.trim(b) == ""), F.lit("empty"))
+    outcome = (F.when(b.isNull() | (strip(b) == ""), F.lit("empty"))
                .when(is_rejection_page(b), F.lit("rejected"))
                .when(v.isNotNull(), F.lit("json"))
                .otherwise(F.lit("text")))
     payload = (F.when(outcome == "json", F.to_json(v))
-               .when(outcome == "text", F.to_json(F.struct(b.alias("data")))))
+               .when(outcome == "text", F.to_json(F.struct(strip(b).alias("data")))))
     return df.withColumn("outcome", outcome).withColumn("payload", payload)
 
 
 def object_rows(df: DataFrame, v: str) -> DataFrame:
     """Keep rows whose VARIANT is a JSON object (FLT-14; SRC-19 websocket messages)."""
     return df.filter(F.try_variant_get(F.col(v), "$", "map<string,variant>").isNotNull())
-
-
-def has_coverage(df: DataFrame) -> DataFrame:
-    """Real-time agencies with at least one day (FLT-11)."""
-    return df.filter(F.col("is_rt") & (F.col("n_days") > 0))
-
-
-def year_filter(df: DataFrame, year: int, day: str = "day") -> DataFrame:
-    """Rows of one calendar year (FLT-12)."""
-    return df.filter(F.year(day) == year)

@@ -89,8 +89,3 @@ def point_in_time(history: DataFrame, at: Column) -> DataFrame:
 def nonempty_tables(union_counts: DataFrame) -> DataFrame:
     """Tables whose union of stored and new rows is not empty (FLT-13)."""
     return union_counts.filter(F.col("rows") > 0)
-
-
-def align_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Select ``columns`` in order, adding missing ones as null strings."""
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])

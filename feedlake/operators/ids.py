@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.scalars import first_truthy
+from feedlake.functions.scalars import first_truthy_field, strip
 
 MODES = ("replace", "replace_nonempty", "accumulate")
 
@@ -19,13 +19,13 @@ MODES = ("replace", "replace_nonempty", "accumulate")
 def nonempty_id(col) -> Column:
     """Not null and not blank (FLT-03)."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.isNotNull() & (F.length(F.trim(c.cast("string"))) > 0)
+    return c.isNotNull() & (F.length(strip(c.cast("string"))) > 0)
 
 
 def valid_route_id(col) -> Column:
     """Not blank and not an integer equal to 0 (FLT-04)."""
     c = (F.col(col) if isinstance(col, str) else col).cast("string")
-    return nonempty_id(c) & (F.coalesce(F.trim(c).try_cast("bigint"), F.lit(1)) != 0)
+    return nonempty_id(c) & (F.coalesce(strip(c).try_cast("bigint"), F.lit(1)) != 0)
 
 
 def id_from_keys(item: Column, keys: Sequence[str]) -> Column:
@@ -34,7 +34,7 @@ def id_from_keys(item: Column, keys: Sequence[str]) -> Column:
     is_obj = F.try_variant_get(item, "$", "map<string,variant>").isNotNull()
     scalar_id = F.when(F.schema_of_variant(item).rlike(r"^(STRING|BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$"),
                        F.try_variant_get(item, "$", "string"))
-    return F.when(is_obj, first_truthy(*[F.try_variant_get(item, f"$.{k}", "string") for k in keys])) \
+    return F.when(is_obj, first_truthy_field(item, *[f"$.{k}" for k in keys])) \
         .otherwise(scalar_id)
 
 
@@ -47,18 +47,21 @@ def observed_ids(df: DataFrame, kind: Column, id_col: Column, ts: str = "ts",
 
 
 def upsert_ids(existing: DataFrame, batch: DataFrame, mode: str = "accumulate",
-               group: Sequence[str] = ("agency", "kind")) -> DataFrame:
+               group: Sequence[str] = ("agency", "kind"), polled: DataFrame | None = None) -> DataFrame:
     """Persist discovered ids (SNK-05).
 
-    ``replace``: the batch is the new set. ``replace_nonempty``: groups present in
-    the batch are replaced, others keep their stored ids. ``accumulate``: union
-    with min ``first_seen`` and max ``last_seen`` per id (SET-02).
+    ``replace``: agencies that were polled get the batch as their set, an empty one
+    included; ``polled`` names them (default: those in the batch), and an agency that
+    was not polled keeps its stored ids. ``replace_nonempty``: groups present in the
+    batch are replaced, others keep their stored ids. ``accumulate``: union with min
+    ``first_seen`` and max ``last_seen`` per id (SET-02).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     b = batch.filter(nonempty_id("id"))
     if mode == "replace":
-        return b
+        done = (batch if polled is None else polled).select(group[0]).distinct()
+        return b.unionByName(existing.join(done, group[0], "left_anti").select(*b.columns))
     if mode == "replace_nonempty":
         kept = existing.join(b.select(*group).distinct(), list(group), "left_anti")
         return b.unionByName(kept)
@@ -72,6 +75,18 @@ def id_set(df: DataFrame, group: Sequence[str], id_col: str, name: str = "ids")
     return df.groupBy(*group).agg(F.array_sort(F.collect_set(F.col(id_col))).alias(name))
 
 
+def active_sets(stored: DataFrame, buses: DataFrame, group: str, id_col: str) -> DataFrame:
+    """Active ids per group from one poll (AGG-11): every group of the poll takes its new
+    set, the empty one too; a poll whose sets are all empty leaves the stored sets as they
+    are. ``stored`` has (group, ids); ``buses`` one row per bus, ids null or blank to skip."""
+    good = nonempty_id(id_col)
+    new = buses.groupBy(group).agg(F.array_sort(F.collect_set(F.when(good, strip(F.col(id_col).cast("string"))))).alias("ids"))
+    parsed = buses.agg(F.coalesce(F.max(good), F.lit(False)).alias("any")).scalar()
+    both = stored.select(group, F.col("ids").alias("_old")).join(new, group, "full_outer").withColumn("_parsed", parsed)
+    return both.select(group, F.when(F.col("_parsed") & F.col("ids").isNotNull(), F.col("ids")).otherwise(
+        F.coalesce("_old", F.array().cast("array<string>"))).alias("ids"))
+
+
 def detour_routes(rt: Column) -> Column:
     """``rt`` as array of route ids: a string, a list of strings, or a list of ``{rt}``
     objects; empty ids are skipped (AGG-12)."""

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.scalars import safe_prefix, split_list
+from feedlake.functions.scalars import safe_prefix, split_list, strip
 
 def agency_of(vehicles: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
     """Inner lookup of the owning agency; unmatched rows are dropped (JON-01)."""
@@ -58,6 +58,12 @@ def changed_sets(new: DataFrame, old: DataFrame, key: str, set_col: str) -> Data
     return j.filter(~F.array_sort(F.col(set_col)).eqNullSafe(F.col("_old"))).drop("_old")
 
 
+def version_text(doc) -> Column:
+    """Version of a document: its ``version`` field, or the document when it is a bare string (PRJ-11)."""
+    v = F.try_parse_json(F.col(doc) if isinstance(doc, str) else doc)
+    return F.coalesce(F.try_variant_get(v, "$.version", "string"), F.try_variant_get(v, "$", "string"))
+
+
 def full_pair(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Two documents per key, either may be missing (JON-06, PRJ-11)."""
     return left.join(right, key, "full_outer")
@@ -80,8 +86,8 @@ def parse_catalog(text: Column) -> Column:
     the abbreviation upper-cased, pairs without a key or value dropped, a repeated
     id keeps its last value; explode it to get one row per entry."""
     pairs = F.filter(split_list(text), lambda p: p.contains(":"))
-    kv = F.transform(pairs, lambda p: F.struct(F.trim(F.substring_index(p, ":", 1)).alias("key"),
-                                               F.upper(F.trim(F.regexp_extract(p, r"^[^:]*:(.*)$", 1)))
+    kv = F.transform(pairs, lambda p: F.struct(strip(F.substring_index(p, ":", 1)).alias("key"),
+                                               F.upper(strip(F.regexp_extract(p, r"(?s)^[^:]*:(.*)$", 1)))
                                                .alias("value")))
     kv = F.filter(kv, lambda e: (e["key"] != "") & (e["value"] != ""))
     return F.filter(kv, lambda e, i: ~F.exists(F.slice(kv, i + 2, F.size(kv)), lambda x: x["key"] == e["key"]))

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.functions.scalars import seconds_to_hms, time_to_seconds
+from feedlake.functions.scalars import seconds_to_hms, strip, time_to_seconds, to_local
+from feedlake.schema import DEFAULT_TZ
 
 # Daily call quota of the BusTime platform.
 DAILY_CALL_QUOTA = 10_000
@@ -52,16 +53,22 @@ def quota_status(calls: DataFrame, limit: int = DAILY_CALL_QUOTA) -> DataFrame:
         .withColumn("breached", F.col("calls") > limit)
 
 
-def first_breach(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = DAILY_CALL_QUOTA) -> DataFrame:
+def first_breach(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = DAILY_CALL_QUOTA,
+                 bucket: Column | None = None) -> DataFrame:
     """The call that first exceeds the daily limit (AGG-08): the (limit+1)-th call of the day.
 
-    Calls are counted per key first (a partial aggregate); only keys over the
-    limit — rare — are ranked, so ordinary days are never sorted.
+    Calls are counted per key and ``bucket`` (a Column that rises with ``order``, such as
+    the hour) first; running counts tell the one bucket that holds the breach, and only
+    that bucket is ranked, so neither an ordinary nor a breached day is sorted whole.
     """
-    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > limit).drop("_c")
-    cand = df.join(over, list(keys), "left_semi")
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return cand.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == limit + 1).drop("_n")
+    rows = df.withColumn("_b", bucket if bucket is not None else F.lit(0))
+    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c")).withColumn("_to", F.sum("_c").over(w))
+    spot = counts.filter((F.col("_to") > limit) & (F.col("_to") - F.col("_c") <= limit)) \
+        .select(*keys, "_b", (F.col("_to") - F.col("_c")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order))
+    return rows.join(spot, [*keys, "_b"]).withColumn("_n", rank + F.col("_before")) \
+        .filter(F.col("_n") == limit + 1).drop("_n", "_b", "_before")
 
 
 def service_window(stop_times: DataFrame, group: Sequence[str],
@@ -86,19 +93,46 @@ def recent(df: DataFrame, as_of: Column, seconds: int = 180, ts: str = "ts") ->
     return df.filter((F.col(ts) > t - F.expr(f"INTERVAL {seconds} SECONDS")) & (F.col(ts) <= t))
 
 
-def hourly_audit(df: DataFrame, keys=("agency", "stream"), ts: str = "local_ts") -> DataFrame:
-    """Rows per tumbling local hour, then hours with data per day (STR-05)."""
-    hourly = df.groupBy(*keys, F.window(ts, "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("rows"))
-    hourly = hourly.withColumn("day", F.col("w.start").cast("date"))
-    return hourly.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("hours_with_rows"),
-                                           F.sum("rows").alias("rows"))
+def hours_of_day(day, tz: str = DEFAULT_TZ) -> Column:
+    """Hours of a local day: 24, or 23 and 25 on the days of a clock change."""
+    d = F.col(day) if isinstance(day, str) else day
 
+    def instant(x):
+        return F.unix_seconds(F.convert_timezone(F.lit(tz), F.lit("UTC"), x.cast("timestamp_ntz")).cast("timestamp"))
+    return ((instant(F.date_add(d, 1)) - instant(d)) / 3600).cast("bigint")
 
-def cadence_gaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Seconds since the previous row of the key (STR-07)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+
+def hourly_audit(df: DataFrame, keys=("agency", "stream"), ts: str = "ts", tz: str = DEFAULT_TZ) -> DataFrame:
+    """Rows per hour of the clock, then hours with and without data per local day (STR-05).
+
+    Hours are told apart by their instant, so the hour that comes twice when clocks go
+    back counts twice and the one that is skipped is not missing.
+    """
+    hour = F.date_trunc("hour", F.col(ts))
+    hourly = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("rows"))
+    hourly = hourly.withColumn("day", to_local("_hour", tz).cast("date"))
+    per = hourly.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("hours_with_rows"), F.sum("rows").alias("rows"))
+    return per.withColumn("hours_missing", hours_of_day("day", tz) - F.col("hours_with_rows"))
+
+
+def cadence_gaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str = "ts",
+                 split_seconds: int = 3600) -> DataFrame:
+    """Seconds since the previous row of the key (STR-07); ``order`` begins with ``ts``.
+
+    Rows are ordered per key and time bucket; the first row of a bucket compares with
+    the newest of the key's bucket before, from a per-bucket summary, so a stream that
+    holds most rows is spread over as many tasks as it has buckets.
+    """
     secs = F.unix_seconds(F.col(ts).cast("timestamp"))
-    return df.withColumn("gap_s", secs - F.lag(secs).over(w))
+    d = df.withColumn("_s", secs).withColumn("_b", F.floor(F.col("_s") / split_seconds))
+    last = d.groupBy(*keys, "_b").agg(F.max("_s").alias("_last"))
+    carry = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_cb"),
+                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_b")).alias("_carry"))
+    same = F.col("_b").eqNullSafe(F.col("_cb"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    prev = F.coalesce(F.lag("_s").over(Window.partitionBy(*keys, "_b").orderBy(*order)), F.col("_carry"))
+    return d.join(carry, same, "left").withColumn("gap_s", F.col("_s") - prev).select(*df.columns, "gap_s")
 
 
 def classify_bustime(body_variant: Column) -> Column:
@@ -113,7 +147,7 @@ def classify_bustime(body_variant: Column) -> Column:
     err = F.coalesce(F.get(err_list, 0), F.try_variant_get(resp, "$.error", "variant"))
     has_err = err.isNotNull()
     has_msg = F.try_variant_get(err, "$.msg", "variant").isNotNull()
-    msg = F.trim(F.when(has_msg, F.try_variant_get(err, "$.msg", "string")).otherwise(F.lit("Unknown API error")))
+    msg = strip(F.when(has_msg, F.try_variant_get(err, "$.msg", "string")).otherwise(F.lit("Unknown API error")))
     empty = None
     for frag in EMPTY_FRAGMENTS:
         c = msg.contains(frag)

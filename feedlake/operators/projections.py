@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.functions.identity import as_variant, event_hash_struct
-from feedlake.functions.scalars import first_truthy, local_day, parse_dotnet_date
+from feedlake.functions.scalars import first_truthy_field, local_day, parse_dotnet_date, strip
 
 
 def _c(x) -> Column:
@@ -111,8 +111,8 @@ def infopoint_vehicle(route, vehicle) -> list[Column]:
     """30-column projection of an InfoPoint vehicle with its route context (SRC-08, PRJ-04)."""
     r, v = _c(route), _c(vehicle)
     cols = [vget(r, "$.RouteId").alias("route_id"),
-            first_truthy(vget(r, "$.RouteAbbreviation"), vget(r, "$.ShortName")).alias("route_abbr"),
-            first_truthy(vget(r, "$.LongName"), vget(r, "$.GoogleDescription")).alias("route_name")]
+            first_truthy_field(r, "$.RouteAbbreviation", "$.ShortName").alias("route_abbr"),
+            first_truthy_field(r, "$.LongName", "$.GoogleDescription").alias("route_name")]
     cols += [vget(v, f"$.{src}").alias(dst) for src, dst in INFOPOINT_VEHICLE_FIELDS]
     cols.append(parse_dotnet_date(vget(v, "$.LastUpdated")).alias("last_updated"))
     return cols
@@ -138,9 +138,20 @@ def infopoint_alert(alert) -> list[Column]:
 
 
 def canonical_route(item) -> Column:
-    """Route id = ``id`` (trimmed, non-blank) or ``myid`` (PRJ-09)."""
-    v = _c(item)
-    return F.coalesce(F.nullif(F.trim(vget(v, "$.id")), F.lit("")), vget(v, "$.myid"))
+    """Route id = ``id`` or, when that is missing, '' or 0, ``myid``; stripped, and null when
+    nothing is left (PRJ-09)."""
+    return F.nullif(strip(first_truthy_field(item, "$.id", "$.myid")), F.lit(""))
+
+
+def first_per_id(items, path: str) -> Column:
+    """Items of an array of VARIANT, the first of each id kept (WIN-02 inside one answer: no
+    shuffle); items without the id are kept once."""
+    def body(t):
+        ids = F.transform(t, lambda x: F.coalesce(F.try_variant_get(x, path, "string"), F.lit("\x00")))
+        first = F.array_distinct(ids)
+        return F.when(F.size(first) == F.size(ids), t).otherwise(
+            F.transform(first, lambda k: F.element_at(t, F.array_position(ids, k).cast("int"))))
+    return F.element_at(F.transform(F.array(_c(items)), body), 1)
 
 
 def attach_key(item, name: str, value) -> Column:
@@ -154,12 +165,6 @@ def attach_key(item, name: str, value) -> Column:
     return F.to_json(F.to_variant_object(merged))
 
 
-def drop_key(item, name: str) -> Column:
-    """Object payload without ``name`` (JSON text)."""
-    obj = F.try_variant_get(_c(item), "$", "map<string,variant>")
-    return F.to_json(F.to_variant_object(F.map_filter(obj, lambda k, _: k != F.lit(name))))
-
-
 def occupancy_payload(bus) -> Column:
     """Label for a bus object: its own ``gtfsOccupancyStatus`` when the key exists
     (even if null), else one derived from ``paxLoad`` when that key exists."""

@@ -19,14 +19,21 @@ def _cols(xs) -> list[Column]:
 
 
 def batches(df: DataFrame, group: Sequence[str], id_col: str, size: int, order: Sequence = None,
-            sep: str = ",") -> DataFrame:
+            sep: str = ",", bucket: Column | None = None) -> DataFrame:
     """Cut each group's sorted id list into batches of ``size`` joined with ``sep`` (WIN-04).
 
+    ``bucket`` (a Column that rises with the order, such as the id's thousands or first
+    letters) splits a group over tasks: ids are numbered per bucket, and the number of ids
+    in the buckets before is added from a small summary.
     Output: group columns, ``batch_no`` (0-based), ``ids`` text, ``n`` ids.
     """
     order_cols = _cols(order or [id_col])
-    w = Window.partitionBy(*group).orderBy(*order_cols)
-    numbered = df.withColumn("_rn", F.row_number().over(w)) \
+    d = df.withColumn("_b", bucket if bucket is not None else F.lit(0))
+    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = d.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c")) \
+        .select(*group, "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    numbered = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*group, "_b").orderBy(*order_cols)))
+    numbered = numbered.join(offsets, [*group, "_b"]).withColumn("_rn", F.col("_rn") + F.col("_off")) \
         .withColumn("batch_no", F.floor((F.col("_rn") - 1) / size).cast("int"))
     agg = numbered.groupBy(*group, "batch_no").agg(
         F.array_sort(F.collect_list(F.struct("_rn", F.col(id_col).cast("string").alias("v")))).alias("_l"))

@@ -51,7 +51,7 @@ SELECT agency, id, day, detours FROM (
 def q_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-04: each agency's sorted entity ids cut into request batches of 25."""
     ids = feed_envelopes(spark, sf_dir, TZ).select("agency", "user_id").distinct()
-    b = win.batches(ids, ["agency"], "user_id", 25)
+    b = win.batches(ids, ["agency"], "user_id", 25, bucket=F.floor(F.col("user_id") / 1000))
     return b.select("agency", "batch_no", "ids", F.col("n").cast("bigint").alias("n"))
 
 
@@ -150,7 +150,8 @@ def q_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = feed_envelopes(spark, sf_dir, TZ).select("event_id", "agency", "ts", "day")
     j = f.join(w.select("agency", "tmin_s", "tmax_s"), "agency", "left")
     j = j.withColumn("state", service_state(seconds_since_midnight("ts", TZ), F.col("tmin_s"), F.col("tmax_s")))
-    ch = win.state_transitions(j, ["agency"], ["ts", "event_id"], "state", split_by=["day"])
+    j = j.withColumn("hour", F.date_trunc("hour", "ts"))  # an agency's day is cut into hours
+    ch = win.state_transitions(j, ["agency"], ["ts", "event_id"], "state", split_by=["hour"])
     return ch.select("agency", "event_id", "state")
 
 
@@ -227,20 +228,32 @@ SELECT agency, event_id FROM feed WHERE stream = 'error'
   AND ts > TIMESTAMP '2024-01-20 17:00:00' - INTERVAL 6 HOUR AND ts <= TIMESTAMP '2024-01-20 17:00:00'""")
 
 
+def _near_clock_change(f: DataFrame) -> DataFrame:
+    """The feed with signup rows moved to the days around the clock changes of 2024 (10 March,
+    3 November), so that days of 23 and 25 hours are in the input."""
+    shift = F.when(F.col("event_id") % 2 == 0, F.lit("2024-03-08")).otherwise(F.lit("2024-11-01")).cast("timestamp_ntz")
+    moved = shift + F.make_interval(mins=F.pmod(F.col("event_id"), F.lit(5760)).cast("int"))
+    return f.withColumn("ts", F.when(F.col("stream") == "signup", moved).otherwise(F.col("ts").cast("timestamp_ntz")))
+
+
 @register
 def q_hour_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-05: tumbling local hours with rows per (agency, stream, day) and hours missing."""
-    f = feed_envelopes(spark, sf_dir, TZ).withColumn("local_ts", to_local("ts", TZ).cast("timestamp"))
-    a = monitor.hourly_audit(f, ts="local_ts")
+    f = _near_clock_change(feed_envelopes(spark, sf_dir, TZ))
+    a = monitor.hourly_audit(f, tz=TZ)
     return a.select("agency", "stream", "day", F.col("hours_with_rows").cast("bigint").alias("hours_with_rows"),
-                    (F.lit(24) - F.col("hours_with_rows")).cast("bigint").alias("hours_missing"),
-                    F.col("rows").cast("bigint").alias("rows"))
+                    "hours_missing", F.col("rows").cast("bigint").alias("rows"))
 
 
 ORACLE["q_hour_audit"] = with_feed(f"""
-SELECT agency, stream, day, count(DISTINCT hour({local('ts')})) AS hours_with_rows,
-       24 - count(DISTINCT hour({local('ts')})) AS hours_missing, count(*) AS rows
-FROM feed GROUP BY agency, stream, day""")
+SELECT agency, stream, day, hours_with_rows,
+       CASE day WHEN DATE '2024-03-10' THEN 23 WHEN DATE '2024-11-03' THEN 25 ELSE 24 END - hours_with_rows AS hours_missing, rows
+FROM (SELECT agency, stream, CAST({local('t')} AS DATE) AS day, count(DISTINCT date_trunc('hour', t)) AS hours_with_rows,
+             count(*) AS rows
+      FROM (SELECT agency, stream, CASE WHEN stream = 'signup'
+              THEN (CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-08' ELSE TIMESTAMP '2024-11-01' END)
+                   + to_minutes(CAST(event_id % 5760 AS INTEGER)) ELSE ts END AS t FROM feed)
+      GROUP BY agency, stream, CAST({local('t')} AS DATE))""")
 
 # Expected poll interval (seconds) for feed classes; others hourly.
 EXPECTED_INTERVAL_S = {"vehicles_enhanced": 7, "vehiclepositions": 10, "tripupdates": 15, "Predictions": 20,
@@ -367,7 +380,7 @@ def q_route_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-04, FLT-02, SET-04: valid route ids (not blank, not integer 0) of the
     target agencies; error rows carry a blank id."""
     f = feed_envelopes(spark, sf_dir, TZ)
-    rid = F.when(F.col("stream") == "error", F.lit(" ")).otherwise(F.col("id"))
+    rid = F.when(F.col("stream") == "error", F.lit(" \t\n")).otherwise(F.col("id"))
     r = f.select("agency", rid.alias("route_id")).filter(id_ops.valid_route_id("route_id"))
     return allow_list(r, "agency", list(ROUTE_TARGETS)).distinct()
 
@@ -383,7 +396,9 @@ def _id_batches(spark: SparkSession, sf_dir: str):
     idc = F.when(F.col("value") < 1, F.lit("")).otherwise(F.col("id"))
     cut = F.lit("2024-01-15").cast("date")
     b1 = id_ops.observed_ids(f.filter(F.col("day") < cut), F.col("stream"), idc)
-    b2 = id_ops.observed_ids(f.filter((F.col("day") >= cut) & (F.col("stream") != "signup")), F.col("stream"), idc)
+    # Agency A3 is not polled the second time: its stored ids stay.
+    polled = (F.col("day") >= cut) & (F.col("stream") != "signup") & (F.col("agency") != "A3")
+    b2 = id_ops.observed_ids(f.filter(polled), F.col("stream"), idc)
     return b1, b2
 
 
@@ -404,6 +419,7 @@ ORACLE["q_ids_upsert"] = with_feed("""
 SELECT mode, agency, kind, id, strftime(first_seen, '%Y-%m-%d %H:%M:%S') AS first_seen,
        strftime(last_seen, '%Y-%m-%d %H:%M:%S') AS last_seen FROM (
   SELECT 'replace' AS mode, * FROM b2
+  UNION ALL SELECT 'replace', * FROM b1 WHERE agency NOT IN (SELECT DISTINCT agency FROM b2)
   UNION ALL SELECT 'replace_nonempty', * FROM b2
   UNION ALL SELECT 'replace_nonempty', * FROM b1 WHERE (agency, kind) NOT IN (SELECT DISTINCT agency, kind FROM b2)
   UNION ALL SELECT 'accumulate', agency, kind, id, min(first_seen), max(last_seen)
@@ -412,4 +428,4 @@ SELECT mode, agency, kind, id, strftime(first_seen, '%Y-%m-%d %H:%M:%S') AS firs
     """b1 AS (SELECT agency, kind, id, min(ts) AS first_seen, max(ts) AS last_seen FROM ids
             WHERE day < DATE '2024-01-15' AND length(trim(id)) > 0 GROUP BY agency, kind, id)""",
     """b2 AS (SELECT agency, kind, id, min(ts) AS first_seen, max(ts) AS last_seen FROM ids
-            WHERE day >= DATE '2024-01-15' AND stream <> 'signup' AND length(trim(id)) > 0 GROUP BY agency, kind, id)""")
+            WHERE day >= DATE '2024-01-15' AND stream <> 'signup' AND agency <> 'A3' AND length(trim(id)) > 0 GROUP BY agency, kind, id)""")

@@ -14,11 +14,10 @@ from feedlake.functions.scalars import (archive_name, file_date_key, file_day, i
                                         parse_envelope_ts, parse_logged, safe_prefix, split_list, stream_class,
                                         stream_group, to_local)
 from feedlake.operators import ids as id_ops
-from feedlake.operators.dedupe import dedupe_events
 from feedlake.operators.filters import object_rows, reject_html
-from feedlake.operators.lookups import catalog_with_fallback, full_pair, parse_catalog
+from feedlake.operators.lookups import catalog_with_fallback, full_pair, parse_catalog, version_text
 from feedlake.operators.monitor import classify_bustime
-from feedlake.operators.projections import infopoint_alert, infopoint_vehicle
+from feedlake.operators.projections import first_per_id, infopoint_alert, infopoint_vehicle
 from feedlake.sinks.archive import error_rows
 from feedlake.plans.feeds import feed_envelopes
 from feedlake.plans.oracle import iso_local_sql, iso_seconds_sql, local, with_feed
@@ -114,7 +113,10 @@ def q_reject_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer").select(
         F.lit("customer").alias("source"), F.col("c_custkey").alias("key"),
         F.when(F.col("c_acctbal") < 0, F.lit("  ")).otherwise(F.col("c_name")).alias("body"))
-    bodies = pages.unionByName(ev).unionByName(cu)
+    # Pages and names once more behind line breaks and tabs: white space of any kind is stripped.
+    odd = pages.select(F.lit("odd pages").alias("source"), "key", F.concat(F.lit("\n\t"), "body", F.lit("\r\n")).alias("body"))
+    text = cu.select(F.lit("odd names").alias("source"), "key", F.concat(F.lit("\t\n"), "body", F.lit("\n")).alias("body"))
+    bodies = pages.unionByName(ev).unionByName(cu).unionByName(odd).unionByName(text)
     return reject_html(bodies, "body").select("source", "key", "outcome", "payload")
 
 
@@ -130,7 +132,11 @@ SELECT source, key,
        WHEN json_valid(body) THEN CAST(json(body) AS VARCHAR) ELSE CAST(json_object('data', body) AS VARCHAR) END AS payload
 FROM (SELECT 'pages' AS source, page_id AS key, html AS body FROM pages
       UNION ALL SELECT 'events', event_id, props FROM events
-      UNION ALL SELECT 'customer', c_custkey, CASE WHEN c_acctbal < 0 THEN '  ' ELSE c_name END FROM customer)"""
+      UNION ALL SELECT 'customer', c_custkey, CASE WHEN c_acctbal < 0 THEN '  ' ELSE c_name END FROM customer
+      UNION ALL SELECT 'odd pages', page_id, chr(10) || chr(9) || html || chr(13) || chr(10) FROM pages
+      UNION ALL SELECT 'odd names', c_custkey, chr(9) || chr(10) || (CASE WHEN c_acctbal < 0 THEN '  ' ELSE c_name END) || chr(10)
+                FROM customer)""".replace("trim(body)", "trim(body, ' ' || chr(9) || chr(10) || chr(13))") \
+    .replace("json_object('data', body)", "json_object('data', trim(body, ' ' || chr(9) || chr(10) || chr(13)))")
 
 
 @register
@@ -237,26 +243,24 @@ SELECT o_orderkey, CASE WHEN t IS NULL THEN NULL ELSE {iso_local_sql('t')} END A
 
 @register
 def q_config_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JON-06, PRJ-11: per agency (nation) a config document (regions 0-2) and a
+    """JON-06, PRJ-11: per agency (nation) a config document (all regions but 3) and a
     version document (regions 2-3; an object or a bare string), full outer joined."""
     n = read_table(spark, sf_dir, "nation")
-    cfg = n.filter(F.col("n_regionkey").isin(0, 1, 2)).select(
+    cfg = n.filter(F.col("n_regionkey") != 3).select(
         F.col("n_name").alias("agency"),
         F.to_json(F.struct(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("region"))).alias("config"))
     ver_doc = F.when(F.col("n_nationkey") % 2 == 0,
                      F.to_json(F.struct(F.concat(F.lit("v"), F.col("n_nationkey")).alias("version"))))\
         .otherwise(F.concat(F.lit('"v'), F.col("n_nationkey").cast("string"), F.lit('"')))
     ver = n.filter(F.col("n_regionkey").isin(2, 3)).select(F.col("n_name").alias("agency"), ver_doc.alias("doc"))
-    v = F.try_parse_json("doc")
-    ver = ver.select("agency", F.coalesce(F.try_variant_get(v, "$.version", "string"),
-                                          F.try_variant_get(v, "$", "string")).alias("version"))
+    ver = ver.select("agency", version_text("doc").alias("version"))
     return full_pair(cfg, ver, "agency").select("agency", "config", "version")
 
 
 ORACLE["q_config_version"] = """
 SELECT COALESCE(c.agency, v.agency) AS agency, c.config, v.version FROM
   (SELECT n_name AS agency, '{"nation":' || CAST(n_nationkey AS VARCHAR) || ',"region":' || CAST(n_regionkey AS VARCHAR) || '}' AS config
-   FROM nation WHERE n_regionkey IN (0, 1, 2)) c
+   FROM nation WHERE n_regionkey <> 3) c
 FULL OUTER JOIN
   (SELECT n_name AS agency, 'v' || CAST(n_nationkey AS VARCHAR) AS version FROM nation WHERE n_regionkey IN (2, 3)) v
 ON c.agency = v.agency"""
@@ -297,10 +301,14 @@ def q_stream_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("stream") == "error", F.lit("StopArrivalTimes"))
                .otherwise(F.lit("SystemConfig")))
     s = f.select(F.year("day").alias("year"), renamed.alias("stream")).distinct()
+    # The platforms with exact names see other names for the same streams.
+    bus = (F.when(F.col("stream") == "vehicles", F.lit("Stops")).when(F.col("stream") == "TripUpdates", F.lit("Agencies"))
+           .when(F.col("stream") == "StopArrivalTimes", F.lit("Predictions")).otherwise(F.lit("MasterRoute")))
     return s.select("year", "stream", stream_group("stream").alias("group"),
                     stream_class("stream", "gtfsrt").alias("class_gtfsrt"),
                     stream_class("stream", "transloc").alias("class_transloc"),
-                    stream_class("stream", "swiv").alias("class_swiv"))
+                    stream_class("stream", "swiv").alias("class_swiv"),
+                    *[stream_class(bus, p).alias(f"class_{p}") for p in ("bustime", "passiogo", "routematch", "massport")])
 
 
 ORACLE["q_stream_groups"] = with_feed("""
@@ -315,7 +323,11 @@ SELECT year, stream,
        ELSE 'general' END AS class_transloc,
   CASE WHEN contains(lower(stream), 'vehicle') THEN 'vehicle' WHEN contains(lower(stream), 'alert') THEN 'alert'
        WHEN contains(lower(stream), 'config') OR contains(lower(stream), 'version') THEN 'config'
-       WHEN contains(lower(stream), 'topo') THEN 'topo' ELSE 'general' END AS class_swiv
+       WHEN contains(lower(stream), 'topo') THEN 'topo' ELSE 'general' END AS class_swiv,
+  CASE stream WHEN 'vehicles' THEN 'Hourly' WHEN 'TripUpdates' THEN 'Bi-Weekly' ELSE 'Streamed' END AS class_bustime,
+  CASE stream WHEN 'vehicles' THEN 'Hourly' ELSE 'Streamed' END AS class_passiogo,
+  CASE WHEN stream IN ('vehicles', 'TripUpdates', 'StopArrivalTimes') THEN 'Streamed' ELSE 'Hourly' END AS class_routematch,
+  CASE stream WHEN 'vehicles' THEN 'Hourly' WHEN 'StopArrivalTimes' THEN 'Live' ELSE 'Streamed' END AS class_massport
 FROM (SELECT DISTINCT year(day) AS year,
         CASE stream WHEN 'view' THEN 'vehicles' WHEN 'click' THEN 'VehiclePositions_enhanced'
              WHEN 'purchase' THEN 'TripUpdates' WHEN 'error' THEN 'StopArrivalTimes' ELSE 'SystemConfig' END AS stream
@@ -419,11 +431,10 @@ def q_infopoint_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _route_polls(spark, sf_dir)
     routes = p.select("poll_id", F.explode(F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>"))
                       .alias("r"))
-    veh = routes.select("poll_id", "r", F.posexplode(F.try_variant_get("r", "$.Vehicles", "array<variant>"))
-                        .alias("pos", "v"))
-    rows = veh.select("poll_id", "pos", *infopoint_vehicle("r", "v"))
-    first = dedupe_events(rows, keys=["poll_id", "vehicle_id"], order=("pos",))
-    return first.drop("pos")
+    # A vehicle that comes twice in one answer is dropped inside the array: no shuffle.
+    vehicles = first_per_id(F.try_variant_get("r", "$.Vehicles", "array<variant>"), "$.VehicleId")
+    veh = routes.select("poll_id", "r", F.explode(vehicles).alias("v"))
+    return veh.select("poll_id", *infopoint_vehicle("r", "v"))
 
 
 _VEH_NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in (

@@ -5,8 +5,8 @@ unioned with what the archive holds in the same folders, deduplicated by content
 hash and written once with dynamic partition overwrite (only the touched
 ``agency/stream/day`` folders are replaced, each by one rename when the whole write
 is done). An archive that cannot be read stops the job. Lines that do not parse go to
-the ``Errors`` stream with their text. Rows are rebalanced by folder before they are
-written, so a folder that holds a third of all rows is split over many tasks by size.
+the ``Errors`` stream with their text. Rows are dealt to writers by folder, and a folder
+that holds a third of all rows to as many writers as its size asks for (by row hash).
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from feedlake.schema import ARCHIVE_SCHEMA, COMPACTION_LOG_SCHEMA, DEFAULT_TZ
 from feedlake.sources.wal import PARTITIONS, iso_ts_text, read_archive, wal_line
 
 ZSTD_LEVEL = 10              # Fixed value: archive codec level.
+ROWS_PER_WRITER = 1_000_000
+BYTES_PER_WRITER = 256 << 20  # of landing lines
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -47,14 +49,28 @@ def same_folder(a: str, b: str) -> Column:
     return out
 
 
-def wal_append(envelopes: DataFrame, root: str, tz: str = DEFAULT_TZ) -> None:
+def spread(df: DataFrame, writers: DataFrame) -> DataFrame:
+    """Deal rows to writers: ``writers`` has the folder keys and the number ``_w`` of tasks
+    that write the folder; rows of a folder not in it go to one. Small folders are spread
+    over all tasks of the shuffle, since each file costs the same whatever its size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    w = writers.select(*[F.col(c).alias(f"_w_{c}") for c in PARTITIONS], "_w")
+    same = F.lit(True)
+    for c in PARTITIONS:
+        same = same & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
+    salted = df.join(w, same, "left").withColumn("_salt", F.pmod(F.xxhash64("hash_id"), F.coalesce("_w", F.lit(1))))
+    return salted.repartition(n, *[F.col(c) for c in PARTITIONS], F.col("_salt")).select(*df.columns)
+
+
+def wal_append(envelopes: DataFrame, root: str, tz: str = DEFAULT_TZ, rows_per_writer: int = ROWS_PER_WRITER) -> None:
     """Append envelopes as JSON Lines under ``agency=/stream=/day=`` (SNK-01).
 
-    Rows are rebalanced by folder: small folders share tasks, a hot stream-day is cut
-    into tasks of the session's advisory partition size.
+    Rows are counted per folder first (folder keys only); a folder is written by one task
+    for every ``rows_per_writer`` rows, so a hot stream-day is cut into many.
     """
-    lines = envelopes.select(*PARTITIONS, wal_line(iso_ts_text("ts", tz), envelopes.columns).alias("value"))
-    lines.hint("rebalance", *[F.col(c) for c in PARTITIONS]).write.mode("append").partitionBy(*PARTITIONS).text(root)
+    writers = envelopes.groupBy(*PARTITIONS).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).cast("int").alias("_w"))
+    lines = envelopes.select(*PARTITIONS, "hash_id", wal_line(iso_ts_text("ts", tz), envelopes.columns).alias("value"))
+    spread(lines, writers).select(*PARTITIONS, "value").write.mode("append").partitionBy(*PARTITIONS).text(root)
 
 
 def _write_parquet(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
@@ -118,7 +134,8 @@ def archive_rows(landing: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
 
 def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, as_of: Column, tz: str = DEFAULT_TZ,
                  scope: str = "day", landing_root: str | None = None, log_root: str | None = None,
-                 remove_source: bool = False) -> int:
+                 remove_source: bool = False, rows_per_writer: int = ROWS_PER_WRITER,
+                 bytes_per_writer: int = BYTES_PER_WRITER) -> int:
     """Move closed local days of the landing into the archive (SNK-02, FLT-01, STR-04, STR-10).
 
     Rows of days before the local date of ``as_of`` are merged with the archive's
@@ -152,7 +169,15 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, as_
     out = dedupe_events(rows, scope=scope, order=("ts", "ts_raw"))
     # Sorted by capture time inside each folder's files: row-group min/max on ``ts``
     # let time-range reads skip data (the writer sorts by folder keys anyway).
-    out = out.hint("rebalance", *[F.col(c) for c in PARTITIONS]).sortWithinPartitions(*PARTITIONS, "ts")
+    if pending is not None:  # sizes from the listing and the log: no data is read for them
+        writers = pending.groupBy(*PARTITIONS).agg(F.ceil(F.sum("bytes") / bytes_per_writer).cast("int").alias("_w"))
+        log = read_if_exists(spark, log_root, COMPACTION_LOG_SCHEMA)
+        if log is not None:
+            held = log.groupBy(*PARTITIONS).agg(F.ceil(F.max("folder_rows") / rows_per_writer).cast("int").alias("_w"))
+            writers = writers.unionByName(held).groupBy(*PARTITIONS).agg(F.sum("_w").cast("int").alias("_w"))
+    else:
+        writers = closed.groupBy(*PARTITIONS).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).cast("int").alias("_w"))
+    out = spread(out, writers).sortWithinPartitions(*PARTITIONS, "ts")
     _write_parquet(out, archive_root, "overwrite", PARTITIONS)
     done = read_archive(spark, archive_root).alias("a").join(folders.alias("t"), same_folder("a", "t"), "left_semi") \
         .groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("folder_rows"))

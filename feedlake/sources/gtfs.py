@@ -12,18 +12,27 @@ from pyspark.sql import types as T
 PANDAS_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                       "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
+#: Tables worth a look at their quotes: they are the ones that gain from being read in splits.
 LARGE_TABLES = ("stop_times", "shapes")
 
 
+def lines_hold_whole_rows(spark: SparkSession, path: str) -> bool:
+    """True when no line has an odd number of quotes, so no quoted cell spans lines (one
+    distributed pass that stops at the first such line)."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_gtfs_table(spark: SparkSession, path: str, table: str | None = None,
                     null_tokens: Sequence[str] = ("",), multiline: bool | None = None) -> DataFrame:
     """SRC-05: CSV with header, every column STRING (no inference), BOM stripped, quoted
     commas kept; cells equal to a null token become null.
 
-    ``multiLine`` keeps quoted newlines but prevents splitting a file; it is off
-    for the big tables (``stop_times``, ``shapes``) so they read in parallel.
+    ``multiLine`` keeps quoted newlines but prevents splitting a file. The big tables
+    (``stop_times``, ``shapes``) are read in parallel after a check that no quoted cell of
+    theirs spans lines.
     """
-    ml = (table not in LARGE_TABLES) if multiline is None else multiline
+    ml = not (table in LARGE_TABLES and lines_hold_whole_rows(spark, path)) if multiline is None else multiline
     df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", ml)
           .option("escape", '"').option("encoding", "UTF-8").csv(path))
     df = df.toDF(*[c.lstrip("\ufeff").strip() for c in df.columns])
@@ -60,14 +69,21 @@ def read_coverage(docs: DataFrame, col: str = "value") -> DataFrame:
         .withColumn("day", F.to_date("day")).withColumn("rows", F.col("rows").cast("bigint"))
 
 
+ZIP_LINES = 50_000  # lines of a member held at a time
+
+
 def _zip_members(batches):
-    """mapInPandas body: one row per text line of every ``*.txt`` member, in order."""
+    """mapInPandas body: one row per text line of every ``*.txt`` member, in order, a bounded
+    number of lines at a time. Lines end at line feeds only; a member that is not UTF-8
+    stops the job."""
     import io
     import zipfile
 
     import pandas as pd
+
+    def frame(package, table, first, lines):
+        return pd.DataFrame({"package": package, "table": table, "line_no": range(first, first + len(lines)), "value": lines})
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             package = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
@@ -75,10 +91,15 @@ def _zip_members(batches):
                     if not name.endswith(".txt") or name.endswith("/"):
                         continue
                     table = name.rsplit("/", 1)[-1][:-4]
-                    text = zf.read(name).decode("utf-8", errors="replace")
-                    for i, line in enumerate(text.splitlines()):
-                        out.append((package, table, i, line))
-        yield pd.DataFrame(out, columns=["package", "table", "line_no", "value"])
+                    with zf.open(name) as raw, io.TextIOWrapper(raw, encoding="utf-8", newline="\n") as text:
+                        lines, first = [], 0
+                        for line in text:
+                            lines.append(line.rstrip("\n").removesuffix("\r"))
+                            if len(lines) == ZIP_LINES:
+                                yield frame(package, table, first, lines)
+                                lines, first = [], first + ZIP_LINES
+                        if lines:
+                            yield frame(package, table, first, lines)
 
 
 def land_zip_packages(spark: SparkSession, zip_glob: str, out_root: str) -> None:

@@ -46,12 +46,19 @@ def _with_key(item: Column, key: Column) -> Column:
     return _let(_obj(item), body)
 
 
-def passio_items(v: Column, preferred_key: str) -> Column:
+def passio_items(v: Column, preferred_key: str, text: Column | None = None) -> Column:
     """Items of a PassioGO answer (SRC-11): ``preferred_key`` at the top, or inside the
     first member when that is an object holding it; a dict becomes one item per
-    member (key injected), a list is its items, anything else a single item."""
+    member (key injected), a list is its items, anything else a single item.
+
+    VARIANT keeps keys sorted; ``text``, the answer as it came, tells which member is
+    the first of the document."""
     def pick(top):
-        first = _let(_obj(F.element_at(F.map_values(top), 1)), lambda fm: F.when(
+        value = F.element_at(F.map_values(top), 1)
+        if text is not None:
+            key = F.get(F.map_keys(F.from_json(text, "map<string,string>")), 0)
+            value = F.coalesce(F.try_element_at(top, key), value)
+        first = _let(_obj(value), lambda fm: F.when(
             F.array_contains(F.map_keys(fm), F.lit(preferred_key)), F.element_at(fm, F.lit(preferred_key))))
         return F.when(F.array_contains(F.map_keys(top), F.lit(preferred_key)),
                       F.element_at(top, F.lit(preferred_key))).otherwise(first)

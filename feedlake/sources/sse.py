@@ -8,7 +8,10 @@ into frames with higher-order functions only — no window and no shuffle:
 * ``event:`` sets the frame's name (the last one wins, default ``message``);
 * ``data:`` lines are stripped and joined with ``\\n``; a frame without data
   emits nothing;
-* a JSON list payload fans out to one row per element.
+* a JSON list payload fans out to one row per element; an element that is no object
+  is wrapped as ``{"value": element}``;
+* with ``keep_empty_reset`` an empty list under a ``reset`` event gives one row with a
+  null record, so that a consumer sees that the set was emptied.
 
 Frames whose data is not JSON are returned with ``ok = false`` so callers can
 route them to the error sink (SNK-04) instead of losing the rest of the segment.
@@ -43,11 +46,16 @@ def sse_frames(df: DataFrame, body_col: str = "body") -> DataFrame:
     return out.withColumn("ok", F.try_parse_json("payload").isNotNull())
 
 
-def sse_records(df: DataFrame, body_col: str = "body") -> DataFrame:
+def sse_records(df: DataFrame, body_col: str = "body", keep_empty_reset: bool = False) -> DataFrame:
     """Records of closed, parsable frames: a list payload fans out (``item_no``)."""
     fr = sse_frames(df, body_col).filter("ok")
     v = F.try_parse_json("payload")
     arr = F.try_variant_get(v, "$", "array<variant>")
-    items = F.when(arr.isNotNull(), arr).otherwise(F.array(v))
+    items = F.transform(F.when(arr.isNotNull(), arr).otherwise(F.array(v)), lambda x: F.when(
+        F.try_variant_get(x, "$", "map<string,variant>").isNotNull(), x).otherwise(
+        F.to_variant_object(F.create_map(F.lit("value"), x))))
+    if keep_empty_reset:
+        emptied = (F.col("event") == "reset") & (F.size(arr) == 0)
+        items = F.when(emptied, F.array(F.lit(None).cast("variant"))).otherwise(items)
     keep = [c for c in fr.columns if c not in ("payload", "ok")]
     return fr.select(*keep, F.posexplode(items).alias("item_no", "record"))

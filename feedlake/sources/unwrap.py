@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 class UnwrapConfig:
     keys: tuple[str, ...] = ()       # the first key present holds the items
     list_keys: tuple[str, ...] = ()  # then: the first of these whose value is a non-empty list
+    empty_lists: bool = False        # an empty list under a list key decides too: no items
     inner_one_key: bool = False      # a located one-key object is opened: {"routes": {"route": [...]}}
     doc_one_key: bool = False        # without a key, a one-key document is opened (RouteMatch)
     value_scalar: str = "wrap"       # located scalar: 'wrap' -> [x], 'drop' -> []
@@ -64,8 +65,8 @@ def transloc(key: str) -> UnwrapConfig:
 
 def massport(collection_keys: tuple[str, ...]) -> UnwrapConfig:
     """SRC-18: ``data`` (list or wrapped), else the first collection key holding a
-    list, else the object itself."""
-    return UnwrapConfig(keys=("data",), list_keys=collection_keys)
+    list (an empty one gives nothing), else the object itself."""
+    return UnwrapConfig(keys=("data",), list_keys=collection_keys, empty_lists=True)
 
 
 def _arr(v: Column) -> Column:
@@ -149,7 +150,7 @@ def unwrap_items(v: Column, cfg: UnwrapConfig) -> Column:
         if cfg.list_keys:
             lists = F.filter(F.transform(F.array(*[F.lit(k) for k in cfg.list_keys]),
                                          lambda k: _arr(F.element_at(m, k))),
-                             lambda a: a.isNotNull() & (F.size(a) > 0))
+                             lambda a: a.isNotNull() & (F.size(a) > F.lit(-1 if cfg.empty_lists else 0)))
             out = F.when(F.size(lists) > 0, F.element_at(lists, 1)).otherwise(out)
         if cfg.keys:
             hit = F.filter(F.array(*[F.lit(k) for k in cfg.keys]), lambda k: F.array_contains(names, k))
@@ -176,10 +177,3 @@ def bustime_body(v: Column) -> Column:
     """The ``bustime-response`` envelope when present, else the document."""
     present, value = _key_value(v, "bustime-response")
     return F.when(present, value).otherwise(v)
-
-
-def map_entries(v: Column, key: str | None = None) -> Column:
-    """Entries of an object (optionally under ``key``) as array<struct<key, value>>
-    — for dict-keyed collections such as ``buses`` or ``ETAs`` (SRC-11..13)."""
-    target = v if key is None else F.try_variant_get(v, f"$.{key}", "variant")
-    return F.map_entries(_obj(target))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-CHANGE_SCHEMA = "agency string, id string, day date, detours string"
+CHANGE_SCHEMA = "agency string, id string, day date, detours string, late boolean"
 STATE_SCHEMA = "last_day date, last_set string"
 
 
@@ -29,20 +29,23 @@ def _emit_changes(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Itera
     out = []
     for day, s in zip(polls["day"], polls["detours"]):
         if last_day is not None and day <= last_day:
-            continue  # a late or repeated poll: not newer than what the key has seen
+            if s != last_set:  # older than the last one seen: told apart, the state stays
+                out.append((key[0], key[1], day, s, True))
+            continue
         if s != last_set:
-            out.append((key[0], key[1], day, s))
+            out.append((key[0], key[1], day, s, False))
         last_day, last_set = day, s
     state.update((last_day, last_set))
     if out:
-        yield pd.DataFrame(out, columns=["agency", "id", "day", "detours"])
+        yield pd.DataFrame(out, columns=["agency", "id", "day", "detours", "late"])
 
 
 def detour_changes(polls: DataFrame) -> DataFrame:
     """Polls ``(agency, id, day, detours)`` -> the polls whose set changed (STR-08).
 
     A route seen for the first time counts as changed; a route that vanishes is
-    not reported.
+    not reported. A poll older than the last one seen whose set differs from it comes out
+    with ``late`` true and leaves the state as it is, so no poll disappears.
     """
     return polls.groupBy("agency", "id").applyInPandasWithState(
         _emit_changes, CHANGE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)

@@ -124,13 +124,9 @@ def test_hot_folder_is_written_by_several_tasks(spark):
         F.lit("A").alias("agency"), F.lit("s").alias("stream"), F.lit("").alias("endpoint"), F.lit("update").alias("event"),
         F.col("id").cast("string").alias("id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("data"),
         F.lit(None).cast("string").alias("metadata"), F.lit("2024-01-02").cast("date").alias("day"))
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-    try:
-        wal_append(env, f"{base}/landing")
-        compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of())
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    wal_append(env, f"{base}/landing", rows_per_writer=10_000)
+    compact_days(spark, read_wal(spark, f"{base}/landing"), f"{base}/archive", _as_of(), landing_root=f"{base}/landing",
+                 log_root=f"{base}/log", bytes_per_writer=1 << 20)
     for fmt, path in (("text", "landing"), ("parquet", "archive")):
         files = spark.read.format(fmt).load(f"{base}/{path}").select(F.input_file_name().alias("f")).distinct().count()
         assert files > 1
