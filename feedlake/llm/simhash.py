@@ -28,6 +28,7 @@ SHINGLE = 5
 BITS = 64
 RADIUS = 3
 SPREAD = 1 << 12
+NO_ID = -(1 << 62)  # the range of null ids
 PAIR = 0x0000000100000001
 
 
@@ -83,7 +84,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, spread: int = SPREAD)
     the last row of each range is looked up in the first row of the next range that has rows.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("range", F.floor(F.col("doc_id") / spread))
+    base = base.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("range", F.coalesce(
+        F.floor(F.col("doc_id") / spread), F.lit(NO_ID)))
     order = [F.desc_nulls_last("doc_id"), F.desc("key")]
     inside = Window.partitionBy("range").orderBy(*order)
     rows = base.withColumn("next_text", F.lead("text").over(inside)).withColumn("next_key", F.lead("key").over(inside)) \
@@ -92,13 +94,14 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, spread: int = SPREAD)
                                        F.col("doc_id").alias("h_id"), F.col("text").alias("h_text"))
     # One row a range of ``spread`` ids: their order fits one window; texts are joined after it.
     ranges = base.select(F.col("range").alias("h_range")).distinct()
-    whole = Window.orderBy(F.desc_nulls_last("h_range"))
+    whole = Window.orderBy(F.desc("h_range"))
     links = ranges.select(F.col("h_range").alias("l_range"), F.coalesce(
-        F.lead(F.struct("h_range")).over(whole),
-        F.first(F.struct("h_range")).over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))["h_range"].alias("to"))
-    tails = links.join(heads, F.col("to").eqNullSafe(F.col("h_range"))).select("l_range", "h_key", "h_id", "h_text")
+        F.lead("h_range").over(whole),
+        F.first("h_range").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to"))
+    tails = links.join(heads, F.col("to") == F.col("h_range")).select("l_range", "h_key", "h_id", "h_text")
     last = F.col("next_key").isNull()
-    return rows.join(tails, last & F.col("range").eqNullSafe(F.col("l_range")), "left").select(
+    # An equi-join on the window's own partitioning: the texts stay where they are.
+    return rows.join(tails, (F.col("range") == F.col("l_range")) & last, "left").select(
         "doc_id", "key", "nth", "text", F.when(last, F.col("h_text")).otherwise(F.col("next_text")).alias("next_text"),
         F.when(last, F.col("h_key")).otherwise(F.col("next_key")).alias("next_key"),
         F.when(last, F.col("h_id")).otherwise(F.col("next_id")).alias("next_id"))
