@@ -24,6 +24,7 @@ from array import array
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,17 +34,17 @@ WINDOW = 2048
 LANE_TOKENS = 1_000_000
 CHAIN = 1024
 QUANTUM = 256
-SPOTS = 4096
+SPOTS = 1024
 BROADCAST_ROWS = 200_000
 CACHE_WORDS = 1_000_000
 _STATE: dict = {}
-# The byte-level alphabet by its rule: printable Latin-1 stands for itself, other bytes follow from U+0100 on.
+#: The byte-level alphabet by its rule: printable Latin-1 stands for itself, other bytes follow from U+0100 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 class WordEncoder:
-    """Ids of a text by ``tokenizers``, word by word with a bounded cache.
+    """Ids of texts by ``tokenizers``, each distinct word of a batch once, with a bounded cache.
 
     The tokenizer drops white space and never merges across it, so a text's ids are
     its words' ids in a row. Words end at ASCII white space only; whatever else the
@@ -58,51 +59,59 @@ class WordEncoder:
         self.tok.encode_special_tokens = True
         self.model = self.tok.model
         self.width = "<u2" if self.tok.get_vocab_size() <= 65536 else "<u4"
-        self.limit = cache_words
         self.kind = "H" if self.width == "<u2" else "I"
-        self.cache: dict[bytes, bytes] = {}
+        self.limit = cache_words
+        self.cache: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
-        self.marks: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         if len(self.cache) + len(words) > self.limit:
             self.cache = {}
         if len(self.cores) > self.limit:
             self.cores = {}
-        cores, rest = self.cores, []
+        cores, cache, marks, tokenize, rest = self.cores, self.cache, self.marks, self.model.tokenize, []
         for w in words:
-            core = w.rstrip(b".,;:!?")
-            text = core.decode().lower()
+            core = w.rstrip(".,;:!?")
+            text = core.lower()
             found = cores.get(text)
             if found is None:
                 # One run of Latin letters: no normal form to look for, lower case is letter by letter.
-                if text.isalpha() and max(text) <= "\xff":
-                    seen = text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    found = cores[text] = array(self.kind, [t.id for t in self.model.tokenize(seen)]).tobytes()
+                if text.isascii() and text.isalpha():
+                    found = cores[text] = array(self.kind, [t.id for t in tokenize(text)]).tobytes()
+                elif text.isalpha() and max(text) <= "\xff":
+                    seen = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+                    found = cores[text] = array(self.kind, [t.id for t in tokenize(seen)]).tobytes()
                 else:
                     rest.append(w)
                     continue
-            if mark := w[len(core):]:
-                if mark not in self.marks:
-                    self.marks[mark] = self._whole([mark])[0]
-                found += self.marks[mark]
-            self.cache[w] = found
-        self.cache.update(zip(rest, self._whole(rest)))
-
-    def _whole(self, words: list[bytes]) -> list[bytes]:
-        found = self.tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [array(self.kind, e.ids).tobytes() for e in found]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+            mark = w[len(core):]
+            if mark not in marks:
+                marks[mark] = self._whole([mark])[0]
+            cache[w] = found + marks[mark]
+        cache.update(zip(rest, self._whole(rest)))
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [array(self.kind, e.ids).tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, little-endian, ``width`` bytes each."""
-        words = [t.encode().split() if t else [] for t in texts]
-        found = [list(map(self.cache.get, w)) for w in words]
-        new = {w for ws, fs in zip(words, found) if None in fs for w, f in zip(ws, fs) if f is None}
-        if new:
-            self._learn(new)
-            found = [[self.cache[w] if f is None else f for w, f in zip(ws, fs)] if None in fs else fs
-                     for ws, fs in zip(words, found)]
-        return list(map(b"".join, found))
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = words.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist()
+        found = list(map(self.cache.get, names))
+        if None in found:
+            self._learn([w for w, f in zip(names, found) if f is None])
+            found = [self.cache[w] if f is None else f for w, f in zip(names, found)]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.width).itemsize
+        at = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(found), self.width)
+        code = coded.indices.to_numpy()
+        n = size[code]
+        to = np.cumsum(n)
+        ids = flat[np.repeat(at[code] - (to - n), n) + np.arange(int(n.sum()))].tobytes()
+        ends = np.concatenate([[0], to])[words.value_lengths().to_numpy().cumsum()] * np.dtype(self.width).itemsize
+        return [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -122,10 +131,10 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id"
         end, size = np.array([end_id], enc.width).tobytes(), np.dtype(enc.width).itemsize
         for b in it:
             texts, n = b.column(2), len(b)
-            for at in range(0, n, 512):
-                ids = [x + end for x in enc.encode(texts.slice(at, 512).to_pylist())]
+            for at in range(0, n, 2048):
+                ids = [x + end for x in enc.encode(texts.slice(at, 2048))]
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(at, 512), b.column(1).slice(at, 512),
+                    b.column(0).slice(at, 2048), b.column(1).slice(at, 2048),
                     pa.array([len(x) // size for x in ids], pa.int64()), pa.array([size == 4] * len(ids), pa.bool_()),
                     pa.array(ids, pa.binary())], schema=out)
 
