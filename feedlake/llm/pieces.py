@@ -19,6 +19,7 @@ repeated rows are encoded each on their own; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from feedlake.llm.common import documents, tokenizer_path
 
 SPACE = "▁"
 BLANK = "￿"  # stands for a literal U+2581 inside the automaton: in no piece
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 500_000
 _STATE: dict = {}
 
 
@@ -40,84 +41,108 @@ class PieceModel:
 
         sp = SentencePieceProcessor(model_file=path)
         self.automaton = ahocorasick.Automaton()
-        self.bytes_of: list[bytes] = []
+        raw: list[bytes] = []
         self.byte_id: dict[int, int] = {}
-        worst, self.pieces = 0.0, {}
-        self.whole = False
+        self.pieces: dict[str, tuple[int, float]] = {}
+        self.scores = np.zeros(sp.vocab_size())
+        whole = False
         for i in range(sp.vocab_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.byte_id[int(piece[3:5], 16)] = i
-                self.bytes_of.append(bytes([int(piece[3:5], 16)]))
+                raw.append(bytes([int(piece[3:5], 16)]))
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
-                self.bytes_of.append(b"")
+                raw.append(b"")
             else:
-                score = sp.get_score(i)
-                worst = min(worst, score)
-                self.pieces[piece] = (i, score)
-                self.automaton.add_word(piece, (i, len(piece), score))
-                self.bytes_of.append(piece.replace(SPACE, " ").encode())
-                self.whole |= "\n" in piece or bool(re.search(f"[^{SPACE}]{SPACE}", piece))
+                self.scores[i] = sp.get_score(i)
+                self.pieces[piece] = (i, sp.get_score(i))
+                self.automaton.add_word(piece, (i, len(piece), sp.get_score(i)))
+                raw.append(piece.replace(SPACE, " ").encode())
+                whole |= "\n" in piece or bool(re.search(f"[^{SPACE}]{SPACE}", piece))
         self.automaton.make_automaton()
-        self.byte_score = worst - 10.0
-        self.chunk = re.compile(r"(?s).+" if self.whole else r"\n| *[^ \n]+| +")
-        self.limit, self.cache = cache_chunks, {}
-
-    def viterbi(self, text: str) -> tuple[list[int], float]:
-        """Best-scoring ids of one chunk (spaces as spaces) and their score."""
-        n = len(text)
+        self.byte_score = float(self.scores.min()) - 10.0
+        self.scores[list(self.byte_id.values())] = self.byte_score
+        self.sizes = [len(sp.id_to_piece(i)) for i in range(sp.vocab_size())]
+        self.singles = {p for p in self.pieces if len(p) == 1}
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_size = np.array([len(r) for r in raw], np.int64)
+        self.raw_at = np.cumsum(self.raw_size) - self.raw_size
+        self.chunk = re.compile(r"(?s).+" if whole else r"\n| *[^ \n]+| +")
+        self.limit, self.cache, self.old = cache_chunks, {}, {}
+
+    def viterbi(self, text: str) -> list[int]:
+        """Best-scoring ids of one chunk (with its spaces)."""
         seen = text.replace(SPACE, BLANK).replace(" ", SPACE)
-        best, back = [None] * (n + 1), [None] * (n + 1)
+        n = len(seen)
+        best: list = [None] * (n + 1)
+        back: list = [None] * (n + 1)
         best[0] = 0.0
-        at = 0
-
-        def fall_back(upto: int, at: int) -> int:
-            """Positions up to ``upto`` that no piece has reached get there by bytes."""
-            while at < upto:
-                at += 1
-                raw = text[at - 1].encode()
-                score = best[at - 1] + self.byte_score * len(raw)
-                if best[at] is None or score > best[at]:
-                    best[at], back[at] = score, (at - 1, -1)
-            return at
-
-        for end, (i, size, score) in self.automaton.iter(seen):
-            end += 1
-            if end - 1 > at:
-                at = fall_back(end - 1, at)
-            total = best[end - size] + score
-            if best[end] is None or total > best[end]:
-                best[end], back[end] = total, (end - size, i)
-        fall_back(n, at)
+        bare = [k for k, c in enumerate(seen) if c not in self.singles] if not self.singles.issuperset(seen) else []
+        if not bare:  # every character is a piece: each position is reached, bytes never win
+            for end, (i, size, score) in self.automaton.iter(seen):
+                end += 1
+                total = best[end - size] + score
+                if best[end] is None or total > best[end]:
+                    best[end], back[end] = total, i
+        else:
+            ends: dict[int, list] = {}
+            for end, found in self.automaton.iter(seen):
+                ends.setdefault(end + 1, []).append(found)
+            for end in range(1, n + 1):
+                for i, size, score in ends.get(end, ()):
+                    total = best[end - size] + score
+                    if best[end] is None or total > best[end]:
+                        best[end], back[end] = total, i
+                if seen[end - 1] not in self.singles:
+                    total = best[end - 1] + self.byte_score * len(text[end - 1].encode())
+                    if best[end] is None or total > best[end]:
+                        best[end], back[end] = total, -1
         ids: list[int] = []
-        end = n
-        while end:
-            start, i = back[end]
-            ids += [i] if i >= 0 else [self.byte_id[b] for b in reversed(text[start:end].encode())]
-            end = start
-        return ids[::-1], best[n]
-
-    def encode(self, text: str | None) -> tuple[bytes, float]:
-        """Ids as little-endian 32-bit integers, and the segmentation's score."""
+        while n:
+            i = back[n]
+            if i >= 0:
+                ids.append(i)
+                n -= self.sizes[i]
+            else:
+                n -= 1
+                ids += [self.byte_id[b] for b in reversed(text[n].encode())]
+        return ids[::-1]
+
+    def lookup(self, chunk: str) -> bytes:
+        found = self.cache.get(chunk)
+        if found is None:
+            found = self.old.get(chunk)
+            if found is None:
+                found = array("i", self.viterbi(chunk)).tobytes()
+            if len(chunk) <= 64:
+                if len(self.cache) >= self.limit:  # the older half of the cache goes
+                    self.cache, self.old = {}, self.cache
+                self.cache[chunk] = found
+        return found
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids as 32-bit integers."""
         if not text:
-            return b"", 0.0
-        cache, parts, total = self.cache, [], 0.0
-        for c in self.chunk.findall(" " + text):
-            hit = cache.get(c)
-            if hit is None:
-                ids, score = self.viterbi(c)
-                if len(cache) >= self.limit:
-                    cache.clear()
-                hit = (np.array(ids, "<i4").tobytes(), score)
-                if len(c) <= 64:
-                    cache[c] = hit
-            parts.append(hit[0])
-            total += hit[1]
-        return b"".join(parts), total
-
-    def decode(self, ids) -> str:
-        raw = b"".join(map(self.bytes_of.__getitem__, ids))
-        return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
+            return b""
+        chunks = self.chunk.findall(" " + text)
+        found = list(map(self.cache.get, chunks))
+        if None in found:
+            found = [self.lookup(c) if f is None else f for c, f in zip(chunks, found)]
+        return b"".join(found)
+
+    def score(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Summed piece scores of the stretches of ids that end at ``ends``."""
+        total = np.concatenate([[0.0], np.cumsum(self.scores[ids])])[np.concatenate([[0], ends])]
+        return np.diff(total)
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of the stretches of ids that end at ``ends``; bytes that are no UTF-8 become U+FFFD."""
+        size = self.raw_size[ids]
+        to = np.cumsum(size)
+        out = self.raw[np.repeat(self.raw_at[ids] - (to - size), size) + np.arange(int(to[-1]) if len(to) else 0)].tobytes()
+        cuts = np.concatenate([[0], to])[np.concatenate([[0], ends])].tolist()
+        parts = [out[a:b] for a, b in zip(cuts, cuts[1:])]
+        return [(p[1:] if p[:1] == b" " else p).decode("utf-8", "replace") for p in parts]
 
 
 def model(path: str) -> PieceModel:
@@ -135,12 +160,12 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             for at in range(0, len(b), 256):
                 texts = b.column(1).slice(at, 256).to_pylist()
                 found = [m.encode(t) for t in texts]
-                raw = b"".join(x[0] for x in found)
-                ends = np.cumsum([0] + [len(x[0]) // 4 for x in found]).astype("i4")
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(raw, "<i4"), pa.int32()))
+                ids = np.frombuffer(b"".join(found), "i4")
+                ends = np.cumsum([len(x) // 4 for x in found])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, 256), ids, pa.array([x[1] for x in found], pa.float64()),
-                     pa.array([hashlib.sha256((t or "").encode()).hexdigest() for t in texts])],
+                    [b.column(0).slice(at, 256),
+                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int32())),
+                     pa.array(m.score(ids, ends)), pa.array([hashlib.sha256((t or "").encode()).hexdigest() for t in texts])],
                     ["doc_id", "ids", "score", "text_sha256"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
@@ -148,7 +173,7 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
 
 def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
-    """The input with the decoded ``text``, in place of nothing else; null ids decode to the empty text."""
+    """The input and the texts of its ``ids`` as ``decoded``; null ids decode to the empty text."""
     keep = encoded.schema
 
     def run(it):
@@ -158,7 +183,8 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
             for k in range(0, len(b), 256):
                 part = b.slice(k, 256)
                 ids = part.column(at)
-                texts = [m.decode(x or []) for x in ids.to_pylist()]
+                ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy())
+                texts = m.decode(ids.flatten().to_numpy(), ends)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  [*part.schema.names, "decoded"])
 
@@ -171,5 +197,5 @@ def q_pieces(spark, sf_dir):
     path = tokenizer_path("piece_bpe_32k.model")
     return decode_pieces(encode_pieces(documents(spark, sf_dir), path), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"),
-        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), "score", "text_sha256",
+        F.xxhash64("ids").alias("ids_hash"), "score", "text_sha256",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
