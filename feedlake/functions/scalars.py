@@ -1,7 +1,7 @@
 """Scalar Column functions (names, dates, clocks, levels, groups).
 
-All functions return Spark Columns built from built-in expressions, so they stay
-inside whole-stage codegen. Instants are TIMESTAMP/TIMESTAMP_NTZ read as UTC.
+All functions return Spark Columns built from built-in expressions, so rows stay in the
+JVM; those that bind a value with a lambda (``_let``) run outside generated code. Instants are TIMESTAMP/TIMESTAMP_NTZ read as UTC.
 """
 
 from __future__ import annotations

@@ -17,13 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.scalars import strip
 from feedlake.operators.dedupe import dedupe_events
 from feedlake.operators.filters import is_rejection_page
 from feedlake.operators.history import merge_snapshots, prepare_snapshot
 from feedlake.operators.monitor import classify_bustime
 from feedlake.operators.projections import to_envelope
 from feedlake.schema import DEFAULT_TZ
-from feedlake.sinks.archive import compact_days, read_if_exists, wal_append, write_gtfs_table
+from feedlake.sinks.archive import compact_days, error_rows, read_if_exists, wal_append, write_gtfs_table
 from feedlake.sources import unwrap as uw
 from feedlake.sources.gtfs import gtfs_package_tables, read_gtfs_table
 from feedlake.sources.wal import read_wal
@@ -94,13 +95,12 @@ def capture_envelopes(captures: DataFrame, cfg: uw.UnwrapConfig, event: str = "u
                       tz: str = DEFAULT_TZ, scope: str = "day") -> DataFrame:
     """Captured responses ``(agency, stream, endpoint, poll_ts, body)`` -> new envelopes.
 
-    Rejection pages and non-OK BusTime answers are dropped (FLT-05/06), the
-    rest unwrapped by ``cfg`` (SRC-10), one envelope per item with its content
-    hash (PRJ-01, IDN-03), deduplicated within ``scope`` (IDN-07). Returns the
-    envelopes plus ``status`` counts per capture are available from
-    ``classify_captures``.
+    Rejection pages and non-OK BusTime answers are left out (FLT-05/06; ``capture_errors``
+    has them), the rest unwrapped by ``cfg`` (SRC-10), text that is not JSON as ``{"data":
+    text}``; one envelope per item with its content hash (PRJ-01, IDN-03), deduplicated
+    within ``scope`` (IDN-07).
     """
-    c = classify_captures(captures).filter(F.col("status") == "OK")
+    c = classify_captures(captures).filter(F.col("status").isin("OK", "TEXT"))
     items = c.select("agency", "stream", "endpoint", "poll_ts",
                      F.explode(uw.unwrap_items(uw.bustime_body(F.col("_v")), cfg)).alias("item"))
     env = to_envelope(items, F.col("agency"), F.col("stream"), F.lit(event), F.to_json("item"),
@@ -109,13 +109,25 @@ def capture_envelopes(captures: DataFrame, cfg: uw.UnwrapConfig, event: str = "u
 
 
 def classify_captures(captures: DataFrame) -> DataFrame:
-    """Each capture with ``status``: REJECTED (HTML page), INVALID (not JSON), or the
-    BusTime class (UNSUPPORTED, NEEDS_PARAM, EMPTY, ERROR, OK); ``_v`` the parsed body."""
+    """Each capture with ``status``: BLANK, REJECTED (HTML page), TEXT (not JSON), or the
+    BusTime class (UNSUPPORTED, NEEDS_PARAM, EMPTY, ERROR, OK); ``_v`` the parsed body,
+    ``{"data": text}`` for text."""
     v = F.try_parse_json("body")
-    status = (F.when(is_rejection_page(F.col("body")), F.lit("REJECTED"))
-              .when(v.isNull(), F.lit("INVALID"))
+    text = F.try_parse_json(F.to_json(F.struct(strip("body").alias("data"))))
+    blank = F.col("body").isNull() | (strip("body") == "")
+    status = (F.when(blank, F.lit("BLANK"))
+              .when(is_rejection_page(F.col("body")), F.lit("REJECTED"))
+              .when(v.isNull(), F.lit("TEXT"))
               .otherwise(classify_bustime(v)))
-    return captures.withColumn("_v", v).withColumn("status", status)
+    return captures.withColumn("_v", F.coalesce(v, text)).withColumn("status", status)
+
+
+def capture_errors(captures: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Error envelopes of the captures that failed (SNK-04): rejected pages and BusTime answers
+    of class ERROR or UNSUPPORTED, with the endpoint and the start of the body."""
+    bad = classify_captures(captures).filter(F.col("status").isin("REJECTED", "ERROR", "UNSUPPORTED"))
+    message = F.concat_ws(" ", F.col("status"), F.col("stream"), F.col("endpoint"), F.substring(strip("body"), 1, 500))
+    return error_rows(bad, F.col("agency"), message, F.col("poll_ts"), tz)
 
 
 def land_envelopes(envelopes: DataFrame, landing_root: str, tz: str = DEFAULT_TZ) -> None:

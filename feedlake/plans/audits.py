@@ -13,7 +13,7 @@ from feedlake.operators import monitor
 from feedlake.operators.history import nonempty_tables
 from feedlake.operators.lookups import changed_sets
 from feedlake.plans.feeds import feed_envelopes
-from feedlake.plans.oracle import with_feed
+from feedlake.plans.oracle import local, with_feed
 from feedlake.schema import DEFAULT_TZ
 from feedlake.session import shared_dir
 from feedlake.sinks.archive import compact_days, wal_append
@@ -184,3 +184,28 @@ def q_nonempty_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["q_nonempty_tables"] = """
 SELECT 'customer' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM customer
 UNION ALL SELECT 'part', CAST(count(*) AS BIGINT) FROM part"""
+
+
+@register
+def q_capture_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-04, FLT-05/06 (``jobs.capture_errors``): captures that failed — a rejection page behind
+    line breaks, an unsupported call — as error envelopes; text, empty answers and data are none."""
+    from feedlake.jobs import capture_errors
+    ev = read_table(spark, sf_dir, "events")
+    body = (F.when(F.col("event_type") == "signup", F.lit("\n\t<!DOCTYPE html><p>no</p>\n"))
+            .when(F.col("event_type") == "purchase", F.lit('{"bustime-response":{"error":[{"msg":"Unsupported function"}]}}'))
+            .when(F.col("event_type") == "click", F.lit("plain text")).when(F.col("event_type") == "error", F.lit(" \n"))
+            .otherwise(F.col("props")))
+    caps = ev.select("event_id", F.format_string("A%d", F.col("user_id") % 5).alias("agency"), F.col("event_type").alias("stream"),
+                     F.concat(F.lit("get"), (F.col("event_id") % 3).cast("string")).alias("endpoint"), F.col("ts").alias("poll_ts"),
+                     body.alias("body"))
+    return capture_errors(caps, TZ).select("agency", "day", "stream", "hash_id", "data")
+
+
+ORACLE["q_capture_errors"] = with_feed(f"""
+SELECT agency, day, 'Errors' AS stream, sha256(agency || '|error|' || strftime({local('ts')}, '%Y-%m-%d %H:%M:%S') || '|' || msg) AS hash_id,
+       CAST(json_object('message', msg) AS VARCHAR) AS data
+FROM (SELECT *, CASE stream WHEN 'signup' THEN 'REJECTED signup get' || CAST(event_id % 3 AS VARCHAR) || ' <!DOCTYPE html><p>no</p>'
+        ELSE 'UNSUPPORTED purchase get' || CAST(event_id % 3 AS VARCHAR)
+             || ' {{"bustime-response":{{"error":[{{"msg":"Unsupported function"}}]}}}}' END AS msg
+      FROM feed WHERE stream IN ('signup', 'purchase'))""")

@@ -59,9 +59,11 @@ def q_passio_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     polls = _per_customer(o.withColumn("pair", pair), F.col("pair"))
     routes = F.concat(F.lit('{"routes":{'), F.array_join("members", ","), F.lit("}}"))
     body = F.when(F.col("o_custkey") % 2 == 0, routes).otherwise(
-        F.concat(F.lit('{"a'), (F.col("o_custkey") % 3).cast("string"), F.lit('":'), routes, F.lit("}")))
-    p = polls.select(F.col("o_custkey").alias("poll_id"), F.try_parse_json(body).alias("v"))
-    items = p.select("poll_id", F.explode(passio.passio_items(F.col("v"), "routes")).alias("item"))
+        # The first member of the document is not the first by key.
+        F.concat(F.lit('{"z'), (F.col("o_custkey") % 3).cast("string"), F.lit('":'), routes,
+                 F.lit(',"a":{"routes":{"wrong":{"id":"wrong"}}}}')))
+    p = polls.select(F.col("o_custkey").alias("poll_id"), F.try_parse_json(body).alias("v"), body.alias("body"))
+    items = p.select("poll_id", F.explode(passio.passio_items(F.col("v"), "routes", F.col("body"))).alias("item"))
     rid = canonical_route(F.col("item"))
     return items.select("poll_id", F.when(nonempty_id(rid), rid).alias("route_id"),
                         F.to_json(passio.drop_keys(F.col("item"), "myid")).alias("item"))
@@ -150,6 +152,8 @@ def q_platform_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(kind == 3, F.concat(F.lit('{"vehicule":['), item, F.lit("],\"version\":1}")))
             .when(kind == 4, F.concat(F.lit('{"d":['), item, F.lit(",5]}")))
             .when(F.col("o_orderkey") % 12 == 5, F.concat(F.lit('{"msgs":['), item, F.lit("]}")))
+            # An empty list under the first collection key decides: nothing comes of such an answer.
+            .when(F.col("o_orderkey") % 24 == 11, F.concat(F.lit('{"routes":[],"stops":['), item, F.lit("]}")))
             .otherwise(F.concat(F.lit('{"routes":['), item, F.lit("]}"))))
     v = F.try_parse_json(body)
     items = (F.when(kind <= 2, uw.unwrap_items(v, uw.ROUTEMATCH))
@@ -170,7 +174,7 @@ SELECT o_orderkey, 0 AS item_no,
     WHEN 4 THEN '{"_routeId":"R' || CAST(o_orderkey % 10 AS VARCHAR) || '","id":' || CAST(o_orderkey AS VARCHAR)
                 || ',"s":"' || o_orderstatus || '"}'
     ELSE '{"id":' || CAST(o_orderkey AS VARCHAR) || ',"s":"' || o_orderstatus || '"}' END AS item
-FROM orders
+FROM orders WHERE o_orderkey % 24 <> 11
 UNION ALL
 SELECT o_orderkey, 1, '{"_routeId":"R' || CAST(o_orderkey % 10 AS VARCHAR) || '","raw":5}' FROM orders WHERE o_orderkey % 6 = 4"""
 

@@ -1,7 +1,7 @@
 """PassioGO collection shapes (SRC-11..13, PRJ-07/08/09).
 
 Dict-keyed collections (``{"ID1": {...}, "ID2": {...}}``) become rows with the key
-kept; all reshaping is VARIANT/map expressions, so it runs inside codegen.
+kept; all reshaping is VARIANT/map expressions in the JVM (lambdas run outside generated code).
 """
 
 from __future__ import annotations

@@ -51,32 +51,24 @@ def detour_changes(polls: DataFrame) -> DataFrame:
         _emit_changes, CHANGE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
-def daily_calls(stream: DataFrame, bounded: bool = False, delay: str = "2 days") -> DataFrame:
-    """Running call count per (agency, local day) (STR-09).
-
-    Default: exact, for ``complete`` output (state: one row per agency-day, kept).
-    ``bounded=True`` watermarks the day itself, for ``update`` output appended to a
-    log of running counts (read with ``current_calls``): state for days older
-    than ``delay`` behind the newest day is evicted, and calls for such days are
-    left out of this live metric (they still land and are archived).
-    """
-    if not bounded:
-        return stream.groupBy("agency", "day").agg(F.count(F.lit(1)).alias("calls"))
-    s = stream.withColumn("_day_ts", F.col("day").cast("timestamp")).withWatermark("_day_ts", delay)
-    return s.groupBy("agency", "_day_ts").agg(F.count(F.lit(1)).alias("calls")) \
-        .select("agency", F.col("_day_ts").cast("date").alias("day"), "calls")
+def daily_calls(stream: DataFrame) -> DataFrame:
+    """Running call count per (agency, local day) (STR-09): exact, for ``complete`` output,
+    with one state row per agency-day."""
+    return stream.groupBy("agency", "day").agg(F.count(F.lit(1)).alias("calls"))
+
 
+def append_call_counts(path: str):
+    """``foreachBatch`` writer: each micro-batch's own counts are appended with its batch id.
 
-def append_running_counts(path: str):
-    """``foreachBatch`` writer for ``update`` output: append the batch's counts to a
-    Parquet log. A replayed batch appends the same counts again, which
-    ``current_calls`` absorbs (max per key), so the sink is idempotent."""
+    No state and no watermark, so a call counts however late it comes (STR-10); a replayed
+    batch appends the same counts under the same id, which ``current_calls`` takes once.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        daily_calls(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(path)
     return write
 
 
 def current_calls(log: DataFrame) -> DataFrame:
-    """Latest running count per (agency, day) from a log of ``update`` outputs
-    (counts only grow, so the latest is the largest)."""
-    return log.groupBy("agency", "day").agg(F.max("calls").alias("calls"))
+    """Call count per (agency, day) from a log of batch counts, each batch counted once."""
+    once = log.groupBy("agency", "day", "batch_id").agg(F.max("calls").alias("calls"))
+    return once.groupBy("agency", "day").agg(F.sum("calls").alias("calls"))

@@ -4,11 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from feedlake.plans.registry import ORACLE, QUERIES
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-QUERIES = se.queries()
-ORACLE = se.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +19,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(se.queries()) and set(ORACLE) <= set(se.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -26,9 +26,31 @@ def test_dimension_lookups_broadcast(spark):
 
 def test_counts_aggregate_before_the_shuffle(spark):
     p = plan(spark, "q_unique_rows")
-    tree = p.split("\n\n")[0]
-    # partial aggregate below the first exchange
-    assert tree.rindex("HashAggregate") > tree.rindex("Exchange") or "partial_count" in p
+    tree = p.split("\n\n")[0].splitlines()
+    lines = [ln for ln in tree if "Aggregate" in ln or "Exchange" in ln]
+    # Read upwards from the scan (the spread of a single-split scan left out): first an aggregate.
+    kinds = ["A" if "Aggregate" in ln else "E" for ln in reversed(lines)]
+    assert "".join(kinds).lstrip("E").startswith("A") and "partial_count" in p
+
+
+def test_totals_do_not_expand_the_rows(spark):
+    assert "Expand" not in plan(spark, "q_li_coverage").split("\n\n")[0]
+
+
+def test_repeats_in_one_answer_need_no_shuffle_of_vehicles(spark):
+    tree = plan(spark, "q_infopoint_vehicles").split("\n\n")[0].splitlines()
+    first_generate = next(i for i, ln in enumerate(tree) if "Generate" in ln)
+    assert not any("Exchange" in ln or "Aggregate" in ln for ln in tree[:first_generate])
+
+
+def test_building_a_lookup_runs_no_aggregate_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    se.queries()["q_agency_lookup"](spark, SF)
+    stages = [s for j in tracker.getJobIdsForGroup("build") for s in tracker.getJobInfo(j).stageIds]
+    names = {tracker.getStageInfo(s).name.split(" ")[0] for s in stages if tracker.getStageInfo(s)}
+    assert names <= {"parquet"}, names  # schema reads only
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_scans_read_only_needed_columns(spark):
