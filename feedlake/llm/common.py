@@ -34,6 +34,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MAX_BATCH_ROWS = 1024
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches of at most 1024 rows: whole texts in batches of Spark's
+    default 10,000 take hundreds of MB beside the heap of an executor."""
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_ROWS)) > MAX_BATCH_ROWS:
+        conf.set(BATCH_ROWS, str(MAX_BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8 bytes, A-Z lower-cased.
 
@@ -53,5 +66,5 @@ def quiet_threads() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-__all__ = ["TOKENIZER_DIR", "ascii_words", "batches", "documents", "id_bucket", "quiet_threads", "shared_dir",
+__all__ = ["TOKENIZER_DIR", "ascii_words", "batches", "documents", "id_bucket", "map_arrow", "quiet_threads", "shared_dir",
            "tokenizer_path", "written"]

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import ascii_words, documents, id_bucket, written
+from feedlake.llm.common import ascii_words, documents, id_bucket, map_arrow, written
 
 STATES = 8
 HEAD = 20_000
@@ -192,7 +192,7 @@ def count_words(texts: DataFrame, limit: int = 400_000) -> DataFrame:
         if c:
             yield flush()
 
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.transform(map_arrow, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def ending_class(word: bytes, classes: int = CLASSES) -> int:
@@ -291,7 +291,7 @@ def to_symbols(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                      pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.binary()), pa.array(cols[6], rest_type)],
                     ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_log", "word_log", "symbols", "rest"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_arrow, run, schema)
 
 
 # --- training and scoring -------------------------------------------------------------------
@@ -323,7 +323,7 @@ def expected_counts(seqs: DataFrame, model: Hmm) -> Counts:
         yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *(pa.array(values[:, k]) for k in range(states))],
                                          ["key", *names])
 
-    summed = seqs.select("symbols").mapInArrow(run, "key long, " + ", ".join(f"{c} double" for c in names)) \
+    summed = seqs.select("symbols").transform(map_arrow, run, "key long, " + ", ".join(f"{c} double" for c in names)) \
         .groupBy("key").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
     out = Counts.zeros(symbols, states)
     key, values = summed["key"].to_numpy(), summed[names].to_numpy(float)
@@ -375,7 +375,7 @@ def score_sequences(seqs: DataFrame, model: Hmm) -> DataFrame:
                 logs = model.forward(flat, starts, lengths) / LOG10 if len(lengths) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([*part.columns[:7], pa.array(logs, pa.float64())], [*keep, "forward"])
 
-    return seqs.select(*keep, "symbols").mapInArrow(
+    return seqs.select(*keep, "symbols").transform(map_arrow, 
         run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_log double, word_log double, "
              "forward double")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents, id_bucket
+from feedlake.llm.common import documents, id_bucket, map_arrow
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 2400
@@ -141,7 +141,7 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(df[seen])], ["column", "n"])
 
-    df = rows.select("text").mapInArrow(frequencies, "column long, n long").groupBy("column").agg(F.sum("n").alias("n")).toPandas()
+    df = rows.select("text").transform(map_arrow, frequencies, "column long, n long").groupBy("column").agg(F.sum("n").alias("n")).toPandas()
     idf = np.full(buckets, np.log(1.0 + sum(sizes.values())))
     idf[df["column"].to_numpy(int)] = np.log((1.0 + sum(sizes.values())) / (1.0 + df["n"].to_numpy(float))) + 1.0
     if not langs:
@@ -163,7 +163,7 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
                      pa.array([f[1] for f in found], pa.list_(pa.float32()))], ["id", "y", "at", "x"])
 
     sample = rows.where(spot < share).select(F.xxhash64("id").alias("id"), "lang", "text") \
-        .mapInArrow(features, "id long, y int, at array<int>, x array<float>").toPandas() \
+        .transform(map_arrow, features, "id long, y int, at array<int>, x array<float>").toPandas() \
         .sort_values(["id", "y"], kind="stable")
     return fit(langs, idf, [(int(y), np.asarray(a), np.asarray(x, float))
                             for y, a, x in zip(sample["y"], sample["at"], sample["x"])])
@@ -188,7 +188,7 @@ def predict(docs: DataFrame, model: Weights, text_col: str = "text", keep: list[
                      pa.array([f[1] for f in found], pa.float64())], [*names, "lang_pred", "score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema[:len(names)]]
-    return cols.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    return cols.transform(map_arrow, run, ", ".join([*fields, "lang_pred string", "score double"]))
 
 
 def q_langid(spark, sf_dir):

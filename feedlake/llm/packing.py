@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import quiet_threads, tokenizer_path, written
+from feedlake.llm.common import map_arrow, quiet_threads, tokenizer_path, written
 
 WINDOW = 2048
 LANE_TOKENS = 1_000_000
@@ -140,7 +140,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id"
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, source string, n long, wide boolean, ids binary")
+        .transform(map_arrow, run, "doc_id long, source string, n long, wide boolean, ids binary")
 
 
 def fill_windows(avail: np.ndarray, share: np.ndarray, carry: np.ndarray, window: int,

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents, tokenizer_path
+from feedlake.llm.common import documents, map_arrow, tokenizer_path
 
 SPACE = "▁"
 BLANK = "￿"  # stands for a literal U+2581 inside the automaton: in no piece
@@ -169,7 +169,7 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                     ["doc_id", "ids", "score", "text_sha256"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, ids array<int>, score double, text_sha256 string")
+        .transform(map_arrow, run, "doc_id long, ids array<int>, score double, text_sha256 string")
 
 
 def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
@@ -189,7 +189,7 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
                                                  [*part.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return encoded.mapInArrow(run, f"{fields}, decoded string")
+    return encoded.transform(map_arrow, run, f"{fields}, decoded string")
 
 
 def q_pieces(spark, sf_dir):

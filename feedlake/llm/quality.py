@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents
+from feedlake.llm.common import documents, map_arrow
 
 MIN_WORDS = 20
 LOSS = 0.5
@@ -127,7 +127,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     names = {pa.int64(): "long", pa.bool_(): "boolean", pa.string(): "string"}
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, " + ", ".join(f"{x.name} {names[x.type]}" for x in fields))
+        .transform(map_arrow, run, "doc_id long, " + ", ".join(f"{x.name} {names[x.type]}" for x in fields))
 
 
 def q_quality(spark, sf_dir):

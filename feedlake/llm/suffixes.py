@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents, written
+from feedlake.llm.common import documents, map_arrow, written
 
 LENGTH = 200
 GRAM = 32
@@ -237,7 +237,7 @@ def all_runs(rows: DataFrame, length: int, gram: int) -> DataFrame:
                          pa.array(e[w]), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32))],
                         ["anchor", "content", "d", "e", "start", "n"])
 
-    return rows.select("d", "e", "raw").mapInArrow(run, "anchor long, content long, d long, e int, start int, n int")
+    return rows.select("d", "e", "raw").transform(map_arrow, run, "anchor long, content long, d long, e int, start int, n int")
 
 
 def _slices(length: int):
@@ -321,9 +321,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_bytes``, the kept bytes of every document."""
     rows = keyed(docs, id_col, text_col)
     runs = all_runs(rows, length, gram)
-    anchors = runs.groupBy(F.col("anchor").alias("a")).agg(
-        F.count(F.lit(1)).alias("times"), F.min("content").alias("lo"), F.max("content").alias("hi")) \
-        .where("times > 1").select("a", (F.col("lo") != F.col("hi")).alias("varied"))
+    # Written first: a join of two plain shuffles is one whose hot anchors Spark can split.
+    anchors = written(runs.groupBy(F.col("anchor").alias("a")).agg(
+        F.count(F.lit(1)).alias("times"), F.min("content").alias("lo"), F.max("content").alias("hi"))
+        .where("times > 1").select("a", (F.col("lo") != F.col("hi")).alias("varied")), "suffix-anchors")
     repeated = written(runs.join(anchors, F.col("anchor") == F.col("a")).drop("a"), "suffix-runs")
     kinds = repeated.where("varied").groupBy("anchor", "content").agg(
         (F.count(F.lit(1)) > 1).alias("whole"), F.min(F.struct("d", "e", "start", "n")).alias("at"))
@@ -335,14 +336,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         "anchor", "content", F.col("at.start").alias("start"), F.col("at.n").alias("n"), "hot")).alias("runs"))
     # Rows that share a key share the text: their runs come twice, and are marked as a whole anyway.
     pieces = texts.join(wanted, (F.col("d") == F.col("wd")) & (F.col("e") == F.col("we"))) \
-        .select("raw", "runs").mapInArrow(_slices(length), "shard long, anchor long, content long, off int, text binary")
+        .select("raw", "runs").transform(map_arrow, _slices(length), "shard long, anchor long, content long, off int, text binary")
     size = kinds.agg(F.sum(F.when(F.col("hot"), F.col("at.n") * length).otherwise(F.col("at.n") + length))).first()[0] or 0
-    stretches = pieces.repartition(max(1, -(-size // SHARD_BYTES)), "shard").mapInArrow(_index(length), "anchor long, content long, lo int, hi int") \
+    stretches = pieces.repartition(max(1, -(-size // SHARD_BYTES)), "shard").transform(map_arrow, _index(length), "anchor long, content long, lo int, hi int") \
         .groupBy(F.col("anchor").alias("fa"), F.col("content").alias("fc")) \
         .agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
-    marks = kinds.select("anchor", "content", "whole").join(
-        stretches, (F.col("anchor") == F.col("fa")) & (F.col("content") == F.col("fc")), "left") \
-        .select(F.col("anchor").alias("ma"), F.col("content").alias("mc"), "whole", "stretches")
+    marks = written(kinds.select("anchor", "content", "whole").join(
+        stretches, (F.col("anchor") == F.col("fa")) & (F.col("content") == F.col("fc")), "left")
+        .select(F.col("anchor").alias("ma"), F.col("content").alias("mc"), "whole", "stretches"), "suffix-marks")
     all_of_it = F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))
     plain = repeated.where("NOT varied").select("d", "e", "start", all_of_it.alias("w"))
     varied = repeated.where("varied").join(marks, (F.col("anchor") == F.col("ma")) & (F.col("content") == F.col("mc"))) \
@@ -375,7 +376,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds_))], fields)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
-    return joined.mapInArrow(cut, schema)
+    return joined.transform(map_arrow, cut, schema)
 
 
 def q_suffixes(spark, sf_dir):
