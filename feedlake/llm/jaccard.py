@@ -2,22 +2,26 @@
 
 Two documents link when ``100 * |intersection| >= percent * |union|`` of their sets of word
 shingles (A-Z lower-cased; a text of fewer words is one shingle; without words it is empty
-and links with nothing). The result is exact up to 64-bit hashes of shingles.
+and links with nothing). The result is exact up to hashes: 64 bits of a shingle in the global
+order and of a set as a node, 48 bits of a shingle within a block.
 
-1. A table of fixed size (``SKETCH`` counters) counts the shingles of all texts; shingles are
+1. A table of fixed size (``SKETCH`` counters of one byte) counts the shingles of all texts; shingles are
    ordered by (counter, hash), rare ones first. Any one order is right; this one keeps
    common shingles out of the prefixes.
 2. Equal sets become one node. Sets that link share a shingle among their first
-   n - ceil(percent * n / 100) + 1. Nodes that share one are tied to the smallest of them,
-   and the components of these ties are *blocks*: no link leaves a block.
+   n - ceil(percent * n / 100) + 1. Nodes of like size (equal or neighbouring
+   classes) that share one are tied to the smallest of them, and the components of these ties
+   are *blocks*: no link leaves a block.
 3. The sets of a block are read once and stored in a prefix tree (trie) with the block's
    commonest shingles at the top. Each set walks the tree and counts its overlap with a
    path once for all sets below it; subtrees go unvisited when even the shorter of both
    remainders could not reach the overlap that their sizes ask for, when their sizes are out
    of range, or when all sets below belong to the walker's component already. Links found join
    components, so a group of copies never yields all its pairs.
-4. A block of more than ``BLOCK_SHINGLES`` shingles is cut in chunks, and each pair of
-   chunks is one task, so memory stays bounded.
+4. A large block is cut by set size: sets that link are in the same class of sizes or in
+   neighbouring ones, so a set is stored in its own class and walks two. A class of more than
+   ``BLOCK_SHINGLES`` shingles is cut in chunks, and each pair of chunks is one task, so memory
+   stays bounded.
 
 Defined cases: null text is empty; null ids are smallest for no one (a component takes its
 smallest non-null id); rows that share an id are nodes of their own; empty tables give no rows;
@@ -26,20 +30,24 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents, written
+from feedlake.llm.common import documents, map_arrow, written
 from feedlake.llm.components import components
 
 WORDS = 4
 PERCENT = 85
-SKETCH = 1 << 20
-SKETCH_ROW = 4096
+SKETCH = 1 << 24
+SKETCH_ROW = 1 << 16
 BLOCK_SHINGLES = 4_000_000
+BROADCAST_ROWS = 500_000  # rows of about 60 bytes
 _BASE = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SPACE = np.zeros(256, bool)
@@ -90,28 +98,36 @@ def _texts(docs: DataFrame, text_col: str, *cols):
 
 
 def shingle_counters(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
-    """``SKETCH`` counters of all texts' shingles, by the hash's top bits."""
+    """``SKETCH`` one-byte counters (255: or more) of all texts' shingles, by the hash's top bits.
+
+    Tasks count whole; their counters travel in compressed stretches and are summed in Spark.
+    """
     shift = np.uint64(64 - (SKETCH.bit_length() - 1))
 
+    def pack(counts: np.ndarray) -> bytes:
+        return zlib.compress(np.minimum(counts, 65535).astype("<u2").tobytes(), 1)
+
     def count(it):
-        counts = np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.uint32)
         for b in it:
             for at in range(0, len(b), 256):
                 found = [shingles(t, words) for t in b.column(0).slice(at, 256).to_pylist()]
-                counts += np.bincount((np.concatenate(found) >> shift).astype(np.int64), minlength=SKETCH)
+                np.add.at(counts, (np.concatenate(found) >> shift).astype(np.int64), np.uint32(1))
         rows = counts.reshape(-1, SKETCH_ROW)
-        used = np.flatnonzero(rows.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(list(rows[used]), pa.list_(pa.int64()))],
-                                         ["row", "n"])
+        for row in np.flatnonzero(rows.any(1)):
+            yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([pack(rows[row])], pa.binary())], ["row", "n"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"row": rows["row"].iloc[:1], "n": [np.sum(np.stack(rows["n"].to_list()), axis=0)]})
+        total = np.zeros(SKETCH_ROW, np.int64)
+        for n in rows["n"]:
+            total += np.frombuffer(zlib.decompress(n), "<u2")
+        return pd.DataFrame({"row": rows["row"].iloc[:1], "n": [pack(total)]})
 
-    out = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.int64)
-    for r in _texts(docs, text_col).mapInArrow(count, "row int, n array<long>").groupBy("row") \
-            .applyInPandas(add, "row int, n array<long>").toPandas().itertuples():
-        out[r.row] = r.n
-    return np.minimum(out.reshape(-1), (1 << 31) - 1).astype(np.int32)
+    out = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.uint8)
+    for r in _texts(docs, text_col).transform(map_arrow, count, "row int, n binary").groupBy("row") \
+            .applyInPandas(add, "row int, n binary").collect():
+        out[r.row] = np.minimum(np.frombuffer(zlib.decompress(r.n), "<u2"), 255)
+    return out.reshape(-1)
 
 
 def global_order(hashes: np.ndarray, counters: np.ndarray) -> np.ndarray:
@@ -289,17 +305,29 @@ def shingle_sets(docs: DataFrame, counters: np.ndarray, words: int, percent: int
                     ["doc_id", "n", "s1", "s2", "prefix"])
 
     return _texts(docs, text_col, F.col(id_col).cast("long").alias("doc_id")) \
-        .mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
-
-
-def prefix_blocks(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, block) of the nodes whose prefix shares a shingle with another node's."""
-    items = sets.join(nodes.select(F.col("s1").alias("n1"), F.col("s2").alias("n2"), "node", "low"),
-                      (F.col("s1") == F.col("n1")) & (F.col("s2") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("low"))) \
-        .select("node", F.explode("prefix").alias("item"))
-    shared = items.groupBy(F.col("item").alias("i")).agg(F.min("node").alias("first"), F.max("node").alias("last")) \
-        .where("first < last").select("i", "first")
-    ties = items.join(shared, F.col("item") == F.col("i")).where("node <> first").select("node", "first").distinct()
+        .transform(map_arrow, run, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
+
+
+def size_class(n: str, percent: int):
+    """Class of a set size: sizes that link differ by a factor of percent / 100 at most, so by one
+    class (the width is a hair more, for the rounding of logarithms)."""
+    width = -math.log(percent / 100.0) * 1.0001
+    return F.floor(F.log(F.col(n).cast("double")) / F.lit(width)).cast("int")
+
+
+def prefix_blocks(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, block) of the nodes whose prefix shares a shingle with a node of a like size."""
+    items = sets.select(F.col("s1").alias("node"), "n", F.explode("prefix").alias("item"))
+    # Written first: a join of two plain shuffles is one whose hot items Spark can split.
+    shared = written(items.groupBy(F.col("item").alias("i")).agg(F.min("node").alias("first"), F.max("node").alias("last"))
+                     .where("first < last").select("i"), "jaccard-shared")
+    cls = size_class("n", percent)
+    rows = written(items.join(shared, F.col("item") == F.col("i"))
+                   .select("item", "node", F.explode(F.array(cls, cls + 1)).alias("c")).distinct(), "jaccard-items")
+    first = written(rows.groupBy(F.col("item").alias("i"), F.col("c").alias("k")).agg(F.min("node").alias("first"), F.max("node").alias("last"))
+                    .where("first < last").select("i", "k", "first"), "jaccard-first")
+    ties = rows.join(first, (F.col("item") == F.col("i")) & (F.col("c") == F.col("k"))).where("node <> first") \
+        .select("node", "first").distinct()
     return components(ties, "node", "first").withColumnRenamed("root", "block")
 
 
@@ -308,15 +336,23 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
     """Links (a, b) between nodes that span the components of every block."""
     members = nodes.join(blocks.select(F.col("node").alias("b_node"), "block"), F.col("node") == F.col("b_node")) \
         .select("node", "n", "low", "s1", "s2", "block")
-    weight = members.groupBy(F.col("block").alias("w_block")).agg(F.sum("n").alias("weight"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("weight") / F.lit(block_shingles / 2.0)).cast("int") *
-                        (F.col("weight") > block_shingles).cast("int"))
-    members = written(members.join(weight, F.col("block") == F.col("w_block")).withColumn("chunks", chunks)
-                      .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-                      .select("node", "low", "s1", "s2", "block", "chunks", "chunk"), "jaccard-members")
+    heavy = members.groupBy(F.col("block").alias("h_block")).agg(F.sum("n").alias("h_n"))
+    members = members.join(heavy, F.col("block") == F.col("h_block")).withColumn("cls", F.when(
+        F.col("h_n") > block_shingles / 4.0, size_class("n", percent)).otherwise(F.lit(0)).cast("int"))
+    parts = members.groupBy(F.col("block").alias("p_block"), F.col("cls").alias("p_cls")).agg(F.sum("n").alias("p_n")) \
+        .withColumn("chunks", F.when(F.col("p_n") > block_shingles, F.ceil(F.col("p_n") / F.lit(block_shingles / 2.0))).otherwise(1).cast("int"))
+    below = parts.select(F.col("p_block").alias("l_block"), F.col("p_cls").alias("l_cls"), F.col("chunks").alias("lower"))
+    members = written(
+        members.join(parts, (F.col("block") == F.col("p_block")) & (F.col("cls") == F.col("p_cls")))
+        .join(below, (F.col("block") == F.col("l_block")) & (F.col("cls") == F.col("l_cls") + 1), "left")
+        .withColumn("lower", F.coalesce("lower", F.lit(0)))
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+        .select("node", "low", "s1", "s2", "block", "cls", "chunks", "chunk", "lower"), "jaccard-members")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(members, F.col("doc_id").eqNullSafe(F.col("low"))) \
-        .select("node", "s1", "s2", "block", "chunks", "chunk", "text")
+    # Few members: they go to the texts. Many: both sides meet by id.
+    few = members.count() <= BROADCAST_ROWS
+    rows = texts.join(F.broadcast(members) if few else members, F.col("doc_id").eqNullSafe(F.col("low"))) \
+        .select("node", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "text")
 
     def sets_of(it):
         from xxhash import xxh3_128_intdigest as digest
@@ -324,21 +360,26 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
         for b in it:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                found = [shingles(t, words) for t in part.column(6).to_pylist()]
+                found = [shingles(t, words) for t in part.column(8).to_pylist()]
                 # An id that several texts share leads here more than once: keep the node's own text.
                 own = [digest(x.tobytes()) == ((s1 % (1 << 64)) << 64) + s2 % (1 << 64) for x, s1, s2 in
                        zip(found, part.column(1).to_pylist(), part.column(2).to_pylist())]
                 keep = pa.array(own, pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i).filter(keep) for i in (0, 3, 4, 5)),
-                     pa.array([x.tobytes() for x, k in zip(found, own) if k], pa.binary())],
-                    ["node", "block", "chunks", "chunk", "items"])
-
-    sets = rows.mapInArrow(sets_of, "node long, block long, chunks int, chunk int, items binary").dropDuplicates(["node"])
-    # Chunk c of a block meets every chunk j: stored where it is the smaller, walking where the larger.
-    dealt = sets.select("node", "block", "items", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j")) \
-        .select("node", "block", "items", F.least("chunk", "j").alias("i"), F.greatest("chunk", "j").alias("j"),
-                F.when(F.col("chunk") == F.col("j"), 2).when(F.col("chunk") < F.col("j"), 0).otherwise(1).alias("side"))
+                    [*(part.column(i).filter(keep) for i in (0, 3, 4, 5, 6, 7)),
+                     pa.array([_packed(x) for x, k in zip(found, own) if k], pa.binary())],
+                    ["node", "block", "cls", "chunks", "chunk", "lower", "items"])
+
+    sets = rows.transform(map_arrow, sets_of, "node long, block long, cls int, chunks int, chunk int, lower int, items binary")
+    # A chunk of a class meets every chunk of the class: stored where it is the smaller, walking where the
+    # larger. A set also walks the trees of the class below.
+    own = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
+        F.col("cls").alias("cls"), F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j"),
+        F.when(F.col("chunk") == j, 2).when(F.col("chunk") < j, 0).otherwise(1).alias("side")))
+    down = F.transform(F.sequence(F.lit(0), F.col("lower") - 1), lambda j: F.struct(
+        (F.col("cls") - 1).alias("cls"), j.alias("i"), j.alias("j"), F.lit(1).alias("side")))
+    dealt = sets.select("node", "block", "items", F.explode(F.when(F.col("lower") > 0, F.concat(own, down)).otherwise(own)).alias("t")) \
+        .select("node", "block", "items", "t.*")
 
     def links(it):
         key, nodes_, sets_, sides = None, [], [], []
@@ -349,20 +390,33 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
 
         for b in it:
             out = []
-            for node, block, items, i, j, side in zip(*(c.to_pylist() for c in b.columns)):
-                if (block, i, j) != key:
+            for node, block, items, cls, i, j, side in zip(*(c.to_pylist() for c in b.columns)):
+                if (block, cls, i, j) != key:
                     out += done()
-                    key, nodes_, sets_, sides = (block, i, j), [], [], []
+                    key, nodes_, sets_, sides = (block, cls, i, j), [], [], []
+                if nodes_ and nodes_[-1] == node:
+                    continue  # a repeated row: sorted, so right behind the first
                 nodes_.append(node)
-                sets_.append(np.frombuffer(items, np.uint64))
+                sets_.append(_unpacked(items))
                 sides.append(side)
             if out:
                 yield _edges(out)
         if rest := done():
             yield _edges(rest)
 
-    return dealt.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "node") \
-        .select("node", "block", "items", "i", "j", "side").mapInArrow(links, "a long, b long")
+    return dealt.repartition("block", "cls", "i", "j").sortWithinPartitions("block", "cls", "i", "j", "node") \
+        .select("node", "block", "items", "cls", "i", "j", "side").transform(map_arrow, links, "a long, b long")
+
+
+def _packed(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash: they order and tell apart the shingles of a block."""
+    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(">u8").reshape(-1).astype(np.uint64)
 
 
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -376,8 +430,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     counters = shingle_counters(docs, words, text_col)
     sets = written(shingle_sets(docs, counters, words, percent, id_col, text_col), "jaccard-sets")
     nodes = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"))
-                    .withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
-    edges = block_edges(docs, nodes, prefix_blocks(sets, nodes), words, percent, id_col, text_col, block_shingles)
+                    .withColumn("node", F.col("s1")), "jaccard-nodes")
+    edges = block_edges(docs, nodes, prefix_blocks(sets, percent), words, percent, id_col, text_col, block_shingles)
     linked = components(edges, "a", "b")
     rooted = nodes.join(linked.select(F.col("node").alias("l_node"), "root"), F.col("node") == F.col("l_node"), "left") \
         .withColumn("root", F.coalesce("root", "node"))

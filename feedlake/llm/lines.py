@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents
+from feedlake.llm.common import documents, written
 
 WINDOW = 3
 
@@ -35,8 +35,9 @@ def line_marks(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", te
         F.xxhash64(*[F.get(F.col("h"), i + j)["b"] for j in range(window)]).alias("b")))
     wins = hashes.select("__ld_id", "__ld_key", F.posexplode(wins).alias("at", "w")) \
         .select("__ld_id", "__ld_key", "at", F.col("w.a").alias("a"), F.col("w.b").alias("b"))
-    first = wins.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("__ld_id", "__ld_key", "at")).alias("f")) \
-        .where("n > 1").select(F.col("a").alias("fa"), F.col("b").alias("fb"), "f")
+    # Written first: a join of two plain shuffles is one whose hot windows Spark can split.
+    first = written(wins.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("__ld_id", "__ld_key", "at")).alias("f"))
+                    .where("n > 1").select(F.col("a").alias("fa"), F.col("b").alias("fb"), "f"), "line-windows")
     later = wins.join(first, (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))) \
         .where(~F.struct("__ld_id", "__ld_key", "at").eqNullSafe(F.col("f")))
     covered = F.flatten(F.transform(F.collect_set("at"), lambda p: F.sequence(p, p + F.lit(window - 1))))
