@@ -19,9 +19,11 @@ def plan(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_dimension_lookups_broadcast(spark):
-    p = plan(spark, "q_agency_lookup")
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+def test_small_dimensions_are_broadcast_by_their_real_size(spark):
+    df = se.queries()["q_agency_lookup"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "ResolvedHint" not in final
 
 
 def test_counts_aggregate_before_the_shuffle(spark):
