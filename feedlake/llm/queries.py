@@ -11,6 +11,7 @@ QUERIES = {
     "op4_jaccard": jaccard.q_jaccard,
     "op5_secrets": secrets.q_secrets,
     "op6_simhash": simhash.q_simhash,
+    "op6_neighbours": simhash.q_neighbours,
     "op7_langid": langid.q_langid,
     "op8_quality": quality.q_quality,
     "op9_packing": packing.q_packing,

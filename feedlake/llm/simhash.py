@@ -5,10 +5,17 @@ is one term); every occurrence votes with its 64-bit hash, so repeated terms wei
 the sign of each bit's votes is the fingerprint's bit. The votes are counted two bits to a
 64-bit sum, partial sums before the shuffle.
 
-Search: permuted block tables. A fingerprint is cut into ``radius + 3`` blocks; two
-fingerprints within the radius agree in 3 of them at least, so there is one table for
-every choice of 3 blocks, joined on their bits. Equal fingerprints are one entry, and the
-queries are a stated set against all entries.
+The radius comes from the similarity: at Jaccard j two sets of like size lie at the angle
+acos(2 j / (1 + j)), each bit differs with that angle's share of pi, and the radius is the
+smallest that holds ``RECALL`` of such pairs (15 of 64 bits at 0.8 and 0.95).
+
+Search: block tables, complete within the radius. A fingerprint is cut into blocks, each with
+an allowance of bits; the allowances sum to ``radius - blocks + 1``, so two fingerprints within
+the radius are within the allowance in one block at least. An entry stands once in each block's
+table; a query probes each table with every value within its block's allowance. A pair is taken
+at the first such block only, so it comes once. Equal fingerprints are one entry, and the
+queries are a stated set against all entries. At radius 15 a query still meets about 10 % of the
+entries, so the search grows with queries times entries.
 
 Defined cases: null text counts as empty and has the fingerprint 0; equal texts have equal
 fingerprints; the next document of rows that share an id is the next row by (id, hash of
@@ -17,6 +24,7 @@ the text); null ids come last; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,12 +34,28 @@ from feedlake.llm.common import documents, written
 
 SHINGLE = 5
 BITS = 64
-RADIUS = 3
+SIMILARITY = 0.8
+RECALL = 0.95
+BLOCKS = 5
 SPREAD = 1 << 12
 NO_ID = -(1 << 62)  # the range of null ids
 PAIR = 0x0000000100000001
 
 
+def radius_of(similarity: float, recall: float = RECALL) -> int:
+    """The least radius that holds the share ``recall`` of pairs at this Jaccard similarity."""
+    differ = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    held = 0.0
+    for radius in range(BITS):
+        held += math.comb(BITS, radius) * differ ** radius * (1 - differ) ** (BITS - radius)
+        if held >= recall:
+            return radius
+    return BITS
+
+
+RADIUS = radius_of(SIMILARITY)
+
+
 def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
@@ -59,22 +83,46 @@ def likeness(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.bit_count(a.bitwiseXOR(b)) / F.lit(float(BITS))
 
 
+def block_tables(radius: int) -> list[tuple[int, list[int], int]]:
+    """(mask of the block, patterns of at most its allowance of bits, allowance), as signed longs."""
+    blocks = min(BLOCKS, radius + 1)
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    spare = radius - blocks + 1
+    out = []
+    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        # The last blocks are the widest ones: they take what doesn't divide.
+        most = min(hi - lo, spare // blocks + (i >= blocks - spare % blocks))
+        patterns = [sum(1 << b for b in c) for k in range(most + 1) for c in combinations(range(lo, hi), k)]
+        out.append((_signed(((1 << hi) - 1) ^ ((1 << lo) - 1)), [_signed(p) for p in patterns], most))
+    return out
+
+
+def _signed(bits: int) -> int:
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
+
+
 def within_radius(prints: DataFrame, queries: Column, radius: int = RADIUS, key: str = "fingerprint") -> DataFrame:
     """(fingerprint, other, n): all fingerprints within the radius of those of the query rows, and their rows' number.
 
     ``prints`` has one row per document; every fingerprint is its own neighbour.
     """
     entries = prints.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(queries).alias("asked"))
-    blocks = radius + 3
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
-    parts = [F.shiftrightunsigned(key, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(edges, edges[1:])]
-    tables = F.array(*[F.struct(F.lit(i).alias("t"), F.xxhash64(*[parts[p] for p in c]).alias("k"))
-                       for i, c in enumerate(combinations(range(blocks), 3))])
-    keyed = entries.select(key, "n", "asked", F.explode(tables).alias("b")).select(key, "n", "asked", "b.t", "b.k")
-    asked = keyed.where("asked").select(F.col(key).alias("q"), F.col("t").alias("qt"), F.col("k").alias("qk"))
-    return asked.join(keyed, (F.col("qt") == F.col("t")) & (F.col("qk") == F.col("k"))) \
-        .where(F.bit_count(F.col("q").bitwiseXOR(F.col(key))) <= radius) \
-        .select(F.col("q").alias("fingerprint"), F.col(key).alias("other"), "n").distinct()
+    tables = block_tables(radius)
+    long = lambda x: F.lit(x).cast("long")
+    stored = F.array(*[F.struct(F.lit(t).alias("t"), F.col(key).bitwiseAND(long(mask)).alias("k"))
+                       for t, (mask, _, _) in enumerate(tables)])
+    keyed = entries.select(key, "n", F.explode(stored).alias("b")).select(key, "n", "b.t", "b.k")
+    probes = F.array(*[F.struct(F.lit(t).alias("qt"), long(mask).alias("mask"), F.array(*[long(x) for x in patterns]).alias("v"))
+                       for t, (mask, patterns, _) in enumerate(tables)])
+    asked = entries.where("asked").select(F.col(key).alias("q"), F.explode(probes).alias("b")) \
+        .select("q", "b.qt", "b.mask", F.explode("b.v").alias("v")) \
+        .select("q", "qt", F.col("q").bitwiseAND(F.col("mask")).bitwiseXOR(F.col("v")).alias("qk"))
+    differ = F.col("q").bitwiseXOR(F.col(key))
+    first = F.coalesce(*[F.when(F.bit_count(differ.bitwiseAND(long(mask))) <= most, F.lit(t))
+                         for t, (mask, _, most) in enumerate(tables)])
+    return asked.join(keyed, (F.col("qt") == F.col("t")) & (F.col("qk") == F.col("k"))
+                      & (F.bit_count(differ) <= radius) & (first == F.col("t"))) \
+        .select(F.col("q").alias("fingerprint"), F.col(key).alias("other"), "n")
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, spread: int = SPREAD) -> DataFrame:
@@ -107,6 +155,33 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, spread: int = SPREAD)
         F.when(last, F.col("h_id")).otherwise(F.col("next_id")).alias("next_id"))
 
 
+def near_documents(prints: DataFrame, queries: Column, radius: int = RADIUS, id_col: str = "doc_id",
+                   key: str = "fingerprint") -> DataFrame:
+    """(doc_id, near_id, differ): every row within the radius of every query row, one output row a pair.
+
+    The distinct pairs of fingerprints are joined back to the rows of both ends; a query row is
+    its own neighbour, and rows that share an id or have none are pairs of their own.
+    """
+    pairs = written(within_radius(prints, queries, radius, key).select(
+        F.col("fingerprint").alias("q_print"), F.col("other").alias("o_print"),
+        F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))).alias("differ")), "simhash-pairs")
+    asked = prints.where(queries).select(F.col(id_col).alias("doc_id"), F.col(key).alias("a_print"))
+    found = prints.select(F.col(id_col).alias("near_id"), F.col(key).alias("f_print"))
+    return asked.join(pairs, F.col("a_print") == F.col("q_print")).select("doc_id", "o_print", "differ") \
+        .join(found, F.col("o_print") == F.col("f_print")).select("doc_id", "near_id", "differ")
+
+
+def q_neighbours(spark, sf_dir):
+    """Which documents ``n_near`` of ``op6_simhash`` counts: a row for each, for ids divisible by 20."""
+    docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Repeated rows are one key: counted, and given back as rows after the votes.
+    counted = docs.withColumn("key", F.xxhash64("text"))
+    numbers = counted.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    prints = written(fingerprints(numbers, ["doc_id", "key", "n"])
+                     .select("doc_id", "fingerprint", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("col"), "simhash-rows")
+    return near_documents(prints, F.col("doc_id") % 20 == 0)
+
+
 def q_simhash(spark, sf_dir):
     """``n_near``, for ids divisible by 20: documents whose fingerprint lies within the radius, itself included."""
     rows = with_next(documents(spark, sf_dir), "doc_id", "text")

@@ -124,3 +124,62 @@ def test_next_document_edges(edge, empty, spark):
     one = spark.createDataFrame([(7, "alone")], "doc_id long, text string")
     assert [(r.next_id, r.next_text) for r in simhash.with_next(one, "doc_id", "text").collect()] == [(7, "alone")]
     assert simhash.with_next(empty, "doc_id", "text").count() == 0
+
+
+def near_copies(rows, low, high):
+    """Texts with copies whose words were changed until the Jaccard of their five-word shingles lies in [low, high)."""
+    import random
+
+    random.seed(4)
+
+    def shingles(w):
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    out = []
+    for i, t in rows:
+        a = t.split()[:400]
+        if len(shingles(a)) < 100:
+            continue
+        b = list(a)
+        while True:
+            b[random.randrange(len(b))] = f"w{random.getrandbits(40)}"
+            j = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+            if j < high:
+                break
+        if j >= low:
+            out.append((" ".join(a), " ".join(b)))
+    return out
+
+
+def test_simhash_recall_against_exact_jaccard(spark, rows):
+    for low, high, least in ((0.8, 0.85, 0.9), (0.9, 0.95, 0.97)):
+        pairs = near_copies(rows, low, high)
+        df = spark.createDataFrame([(2 * k + e, t) for k, p in enumerate(pairs) for e, t in enumerate(p)], "doc_id long, text string")
+        prints = simhash.written(simhash.fingerprints(df, ["doc_id"]), "t")
+        found = {(r.doc_id, r.near_id) for r in simhash.near_documents(prints, F.col("doc_id") % 2 == 0).collect()}
+        recall = sum((2 * k, 2 * k + 1) in found for k in range(len(pairs))) / len(pairs)
+        print(f"Jaccard {low} to {high}: recall {recall:.3f} of {len(pairs)} pairs")
+        assert len(pairs) >= 100 and recall >= least
+
+
+def test_block_tables_find_each_pair_once(spark):
+    import random
+
+    random.seed(3)
+    prints = [random.getrandbits(64) for _ in range(40)]
+    prints += [p ^ sum(1 << b for b in random.sample(range(64), k)) for p in prints for k in (1, 9, 14, 15, 16, 17)]
+    df = spark.createDataFrame([(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)], "doc_id long, fingerprint long")
+    for radius in (0, 7, simhash.RADIUS, 20):
+        got = [(r.fingerprint % (1 << 64), r.other % (1 << 64)) for r in simhash.within_radius(df, F.col("doc_id") < 40, radius).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(p, q) for p in prints[:40] for q in prints if bin(p ^ q).count("1") <= radius}
+
+
+def test_neighbours_are_the_documents_counted(spark, edge, tmp_path):
+    counted = {r.doc_id: r.n_near for r in queries.QUERIES["op6_simhash"](spark, SF).collect() if r.n_near is not None}
+    named = queries.QUERIES["op6_neighbours"](spark, SF).collect()
+    assert len({(r.doc_id, r.near_id) for r in named}) == len(named)
+    assert counted == {i: sum(r.doc_id == i for r in named) for i in counted} and {r.doc_id for r in named} == set(counted)
+    edge.withColumn("doc_id", F.col("doc_id") * 20).write.parquet(f"{tmp_path}/documents.parquet")
+    same = queries.QUERIES["op6_neighbours"](spark, str(tmp_path)).where("differ = 0").collect()
+    assert sum(r.doc_id == 120 and r.near_id == 120 for r in same) == 4  # two equal rows of one id
+    assert any(r.doc_id == 20 and r.near_id is None for r in same) and all(r.doc_id is not None for r in same)
