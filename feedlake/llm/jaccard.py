@@ -7,7 +7,8 @@ order and of a set as a node, 48 bits of a shingle within a block.
 
 1. A table of fixed size (``SKETCH`` counters of one byte) counts the shingles of all texts; shingles are
    ordered by (counter, hash), rare ones first. Any one order is right; this one keeps
-   common shingles out of the prefixes.
+   common shingles out of the prefixes. The byte holds counts to 63 as they are and larger ones
+   by their logarithm, so common shingles stay apart from rare ones in a corpus of any size.
 2. Equal sets become one node. Sets that link share a shingle among their first
    n - ceil(percent * n / 100) + 1. Nodes of like size (equal or neighbouring
    classes) that share one are tied to the smallest of them, and the components of these ties
@@ -20,8 +21,8 @@ order and of a set as a node, 48 bits of a shingle within a block.
    components, so a group of copies never yields all its pairs.
 4. A large block is cut by set size: sets that link are in the same class of sizes or in
    neighbouring ones, so a set is stored in its own class and walks two. A class of more than
-   ``BLOCK_SHINGLES`` shingles is cut in chunks, and each pair of chunks is one task, so memory
-   stays bounded.
+   ``BLOCK_SHINGLES`` shingles is cut in chunks, and each pair of chunks is one task, in the class
+   as between neighbouring classes, so memory stays bounded.
 
 Defined cases: null text is empty; null ids are smallest for no one (a component takes its
 smallest non-null id); rows that share an id are nodes of their own; empty tables give no rows;
@@ -97,15 +98,25 @@ def _texts(docs: DataFrame, text_col: str, *cols):
     return docs.select(*cols, F.col(text_col).cast("string").alias("text"))
 
 
+def counter_code(counts: np.ndarray) -> np.ndarray:
+    """Counts in one byte, in their order: to 63 exactly, then 191 steps of the logarithm up to 2**38."""
+    wide = 64 + (np.log2(np.maximum(counts, 64)) - 6) * (191 / 32)
+    return np.where(counts < 64, counts, np.minimum(wide, 255)).astype(np.uint8)
+
+
 def shingle_counters(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
-    """``SKETCH`` one-byte counters (255: or more) of all texts' shingles, by the hash's top bits.
+    """``SKETCH`` one-byte counters (``counter_code``) of all texts' shingles, by the hash's top bits.
 
     Tasks count whole; their counters travel in compressed stretches and are summed in Spark.
     """
     shift = np.uint64(64 - (SKETCH.bit_length() - 1))
 
     def pack(counts: np.ndarray) -> bytes:
-        return zlib.compress(np.minimum(counts, 65535).astype("<u2").tobytes(), 1)
+        kind = "<u2" if counts.max() < 1 << 16 else "<i8"
+        return kind.encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+    def unpack(raw: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(raw[3:]), raw[:3].decode())
 
     def count(it):
         counts = np.zeros(SKETCH, np.uint32)
@@ -120,13 +131,13 @@ def shingle_counters(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SKETCH_ROW, np.int64)
         for n in rows["n"]:
-            total += np.frombuffer(zlib.decompress(n), "<u2")
+            total += unpack(n)
         return pd.DataFrame({"row": rows["row"].iloc[:1], "n": [pack(total)]})
 
     out = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.uint8)
     for r in _texts(docs, text_col).transform(map_arrow, count, "row int, n binary").groupBy("row") \
             .applyInPandas(add, "row int, n binary").collect():
-        out[r.row] = np.minimum(np.frombuffer(zlib.decompress(r.n), "<u2"), 255)
+        out[r.row] = counter_code(unpack(r.n))
     return out.reshape(-1)
 
 
@@ -331,6 +342,29 @@ def prefix_blocks(sets: DataFrame, percent: int) -> DataFrame:
     return components(ties, "node", "first").withColumnRenamed("root", "block")
 
 
+def dealt_tasks():
+    """The tasks (cls, i, j, w, side) of a set of chunk ``chunk`` of the ``chunks`` of class ``cls``.
+
+    A chunk of a class meets every chunk of the class: stored where it is the smaller, walking where
+    the larger. It also walks every chunk of the class below: the first chunk where that chunk meets
+    itself, any other (w) in a task of its own, to which that chunk is dealt once more. So no task
+    holds more than two chunks.
+    """
+    def task(cls, i, j, w, side):
+        return F.struct(cls.cast("int").alias("cls"), i.cast("int").alias("i"), j.cast("int").alias("j"),
+                        w.cast("int").alias("w"), side.cast("int").alias("side"))
+
+    def to(n):
+        return F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+
+    chunk, zero, one = F.col("chunk"), F.lit(0), F.lit(1)
+    own = F.transform(to("chunks"), lambda j: task(F.col("cls"), F.least(chunk, j), F.greatest(chunk, j), zero,
+                                                  F.when(chunk == j, 2).when(chunk < j, 0).otherwise(1)))
+    down = F.transform(to("lower"), lambda j: task(F.col("cls") - 1, j, j, chunk, one))
+    up = F.transform(F.filter(to("upper"), lambda w: w > 0), lambda w: task(F.col("cls"), chunk, chunk, w, zero))
+    return F.concat(own, down, up)
+
+
 def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int, percent: int, id_col: str,
                 text_col: str, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Links (a, b) between nodes that span the components of every block."""
@@ -342,17 +376,19 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
     parts = members.groupBy(F.col("block").alias("p_block"), F.col("cls").alias("p_cls")).agg(F.sum("n").alias("p_n")) \
         .withColumn("chunks", F.when(F.col("p_n") > block_shingles, F.ceil(F.col("p_n") / F.lit(block_shingles / 2.0))).otherwise(1).cast("int"))
     below = parts.select(F.col("p_block").alias("l_block"), F.col("p_cls").alias("l_cls"), F.col("chunks").alias("lower"))
+    above = parts.select(F.col("p_block").alias("u_block"), F.col("p_cls").alias("u_cls"), F.col("chunks").alias("upper"))
     members = written(
         members.join(parts, (F.col("block") == F.col("p_block")) & (F.col("cls") == F.col("p_cls")))
         .join(below, (F.col("block") == F.col("l_block")) & (F.col("cls") == F.col("l_cls") + 1), "left")
-        .withColumn("lower", F.coalesce("lower", F.lit(0)))
+        .join(above, (F.col("block") == F.col("u_block")) & (F.col("cls") == F.col("u_cls") - 1), "left")
+        .withColumn("lower", F.coalesce("lower", F.lit(0))).withColumn("upper", F.coalesce("upper", F.lit(0)))
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-        .select("node", "low", "s1", "s2", "block", "cls", "chunks", "chunk", "lower"), "jaccard-members")
+        .select("node", "low", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "upper"), "jaccard-members")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Few members: they go to the texts. Many: both sides meet by id.
     few = members.count() <= BROADCAST_ROWS
     rows = texts.join(F.broadcast(members) if few else members, F.col("doc_id").eqNullSafe(F.col("low"))) \
-        .select("node", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "text")
+        .select("node", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "upper", "text")
 
     def sets_of(it):
         from xxhash import xxh3_128_intdigest as digest
@@ -360,26 +396,18 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
         for b in it:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                found = [shingles(t, words) for t in part.column(8).to_pylist()]
+                found = [shingles(t, words) for t in part.column(9).to_pylist()]
                 # An id that several texts share leads here more than once: keep the node's own text.
                 own = [digest(x.tobytes()) == ((s1 % (1 << 64)) << 64) + s2 % (1 << 64) for x, s1, s2 in
                        zip(found, part.column(1).to_pylist(), part.column(2).to_pylist())]
                 keep = pa.array(own, pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i).filter(keep) for i in (0, 3, 4, 5, 6, 7)),
+                    [*(part.column(i).filter(keep) for i in (0, 3, 4, 5, 6, 7, 8)),
                      pa.array([_packed(x) for x, k in zip(found, own) if k], pa.binary())],
-                    ["node", "block", "cls", "chunks", "chunk", "lower", "items"])
-
-    sets = rows.transform(map_arrow, sets_of, "node long, block long, cls int, chunks int, chunk int, lower int, items binary")
-    # A chunk of a class meets every chunk of the class: stored where it is the smaller, walking where the
-    # larger. A set also walks the trees of the class below.
-    own = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(
-        F.col("cls").alias("cls"), F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j"),
-        F.when(F.col("chunk") == j, 2).when(F.col("chunk") < j, 0).otherwise(1).alias("side")))
-    down = F.transform(F.sequence(F.lit(0), F.col("lower") - 1), lambda j: F.struct(
-        (F.col("cls") - 1).alias("cls"), j.alias("i"), j.alias("j"), F.lit(1).alias("side")))
-    dealt = sets.select("node", "block", "items", F.explode(F.when(F.col("lower") > 0, F.concat(own, down)).otherwise(own)).alias("t")) \
-        .select("node", "block", "items", "t.*")
+                    ["node", "block", "cls", "chunks", "chunk", "lower", "upper", "items"])
+
+    sets = rows.transform(map_arrow, sets_of, "node long, block long, cls int, chunks int, chunk int, lower int, upper int, items binary")
+    dealt = sets.select("node", "block", "items", F.explode(dealt_tasks()).alias("t")).select("node", "block", "items", "t.*")
 
     def links(it):
         key, nodes_, sets_, sides = None, [], [], []
@@ -390,10 +418,10 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
 
         for b in it:
             out = []
-            for node, block, items, cls, i, j, side in zip(*(c.to_pylist() for c in b.columns)):
-                if (block, cls, i, j) != key:
+            for node, block, items, cls, i, j, w, side in zip(*(c.to_pylist() for c in b.columns)):
+                if (block, cls, i, j, w) != key:
                     out += done()
-                    key, nodes_, sets_, sides = (block, cls, i, j), [], [], []
+                    key, nodes_, sets_, sides = (block, cls, i, j, w), [], [], []
                 if nodes_ and nodes_[-1] == node:
                     continue  # a repeated row: sorted, so right behind the first
                 nodes_.append(node)
@@ -404,8 +432,8 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
         if rest := done():
             yield _edges(rest)
 
-    return dealt.repartition("block", "cls", "i", "j").sortWithinPartitions("block", "cls", "i", "j", "node") \
-        .select("node", "block", "items", "cls", "i", "j", "side").transform(map_arrow, links, "a long, b long")
+    return dealt.repartition("block", "cls", "i", "j", "w").sortWithinPartitions("block", "cls", "i", "j", "w", "node") \
+        .select("node", "block", "items", "cls", "i", "j", "w", "side").transform(map_arrow, links, "a long, b long")
 
 
 def _packed(hashes: np.ndarray) -> bytes:

@@ -149,6 +149,30 @@ def test_prefix_tree_against_all_pairs():
         assert [find(i) for i in range(len(sets))] == [seek(i) for i in range(len(sets))]
 
 
+def test_tasks_hold_two_chunks_and_every_pair_of_chunks(spark):
+    chunks = {0: 3, 1: 4, 2: 1, 3: 2}
+    rows = [(f"{c}.{k}", c, n, k, chunks.get(c - 1, 0), chunks.get(c + 1, 0)) for c, n in chunks.items() for k in range(n)]
+    df = spark.createDataFrame(rows, "name string, cls int, chunks int, chunk int, lower int, upper int")
+    tasks = collections.defaultdict(dict)
+    for r in df.select("name", jaccard.F.explode(jaccard.dealt_tasks()).alias("t")).select("name", "t.*").collect():
+        assert r.name not in tasks[r.cls, r.i, r.j, r.w]
+        tasks[r.cls, r.i, r.j, r.w][r.name] = r.side
+    assert max(map(len, tasks.values())) <= 2
+    met = collections.Counter()
+    for task in tasks.values():
+        for a, x in task.items():
+            met[a, a] += x == 2
+            met.update((min(a, b), max(a, b)) for b, y in task.items() if a < b and (x, y) not in ((0, 0), (1, 1)))
+    names = [(r[0], r[1]) for r in rows]
+    assert all(met[a, b] == (abs(c - d) <= 1) for a, c in names for b, d in names if a <= b)
+
+
+def test_counters_never_saturate():
+    counts = np.array([0, 1, 63, 64, 255, 300, 70_000, 1 << 24, 1 << 36])
+    code = jaccard.counter_code(counts)
+    assert code.dtype == np.uint8 and (np.diff(code.astype(int)) > 0).all()
+
+
 def brute_lines(texts, window=3):
     first, gone = set(), []
     order = sorted(range(len(texts)), key=lambda k: (texts[k][0] is not None, texts[k][0] or 0, k))
