@@ -39,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group linked by five-word shingles at 0.8."""
     rows = docs.withColumn("__np_key", F.xxhash64("doc_id", "text"))
-    groups = jaccard.jaccard_components(rows, words=5, percent=80, id_col="__np_key")
+    groups = jaccard.jaccard_components(rows, words=5, percent=80, id_col="__np_key", count_links=False)
     pairs = groups.select(F.col("doc_id").alias("__np_row"), F.col("component_id").alias("__np_group")).distinct()
     kept = rows.select("doc_id", "__np_key").join(pairs, F.col("__np_key") == F.col("__np_row")) \
         .groupBy("__np_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__np_key")).alias("__np_first")) \

@@ -16,9 +16,11 @@ order and of a set as a node, 48 bits of a shingle within a block.
 3. The sets of a block are read once and stored in a prefix tree (trie) with the block's
    commonest shingles at the top. Each set walks the tree and counts its overlap with a
    path once for all sets below it; subtrees go unvisited when even the shorter of both
-   remainders could not reach the overlap that their sizes ask for, when their sizes are out
-   of range, or when all sets below belong to the walker's component already. Links found join
-   components, so a group of copies never yields all its pairs.
+   remainders could not reach the overlap that their sizes ask for, or when their sizes are out
+   of range. Every link between different sets is found once: ``jaccard_links`` gives them all, and
+   ``jaccard_components`` adds them up per document and hands on only those that join components. Asked for
+   labels alone (``count_links=False``), it also skips subtrees whose sets all belong to the
+   walker's component already.
 4. A large block is cut by set size: sets that link are in the same class of sizes or in
    neighbouring ones, so a set is stored in its own class and walks two. A class of more than
    ``BLOCK_SHINGLES`` shingles is cut in chunks, and each pair of chunks is one task, in the class
@@ -48,6 +50,7 @@ PERCENT = 85
 SKETCH = 1 << 24
 SKETCH_ROW = 1 << 16
 BLOCK_SHINGLES = 4_000_000
+EDGE_ROWS = 1 << 16  # links of a record batch
 BROADCAST_ROWS = 500_000  # rows of about 60 bytes
 _BASE = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -164,8 +167,10 @@ class Node:
 class PrefixTree:
     """Sets of small integers (ascending) with their full sizes; finds links and joins components."""
 
-    def __init__(self, universe: int, percent: int):
+    def __init__(self, universe: int, percent: int, every: bool = False):
         self.percent = percent
+        self.every = every  # find all links, not only those that join components
+        self.links: list[tuple[int, int]] = []
         self.root = Node(np.zeros(0, np.int32), -1, 0)
         self.root.same = None
         self.sizes: list[int] = []
@@ -180,6 +185,8 @@ class PrefixTree:
         return x
 
     def join(self, x: int, y: int) -> None:
+        if self.every:
+            self.links.append((x, y))
         a, b = self.find(x), self.find(y)
         if a != b:
             self.parent[max(a, b)] = min(a, b)
@@ -216,7 +223,7 @@ class PrefixTree:
             node, over = stack.pop()
             if 100 * node.high < p * nx or p * node.low > 100 * nx:
                 continue
-            if node.same is not None and self.find(node.same) == self.find(x):
+            if not self.every and node.same is not None and self.find(node.same) == self.find(x):
                 continue
             if len(node.label):
                 over += int(self.seen[node.label].sum())
@@ -229,7 +236,7 @@ class PrefixTree:
             for y in node.ends:
                 if (100 + p) * over >= p * (nx + self.sizes[y]):
                     self.join(x, y)
-            if node.kids and self.uniform(node) != self.find(x):
+            if node.kids and (self.every or self.uniform(node) != self.find(x)):
                 nearest = []
                 for first, kid in node.kids.items():
                     (nearest if self.seen[first] else stack).append((kid, over))
@@ -270,6 +277,24 @@ class PrefixTree:
 
 def block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links that span the components of the sets: side 0 is stored, 1 walks, 2 does both."""
+    tree = None
+    for tree in _walk(sets, sides, percent, False):
+        pass
+    return tree.edges
+
+
+def all_block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int, each) -> list[tuple[int, int]]:
+    """Calls ``each`` with the links of every walker, each link once; returns those that span the components."""
+    tree = None
+    for tree in _walk(sets, sides, percent, True):
+        if tree.links:
+            each(tree.links)
+            tree.links = []
+    return tree.edges
+
+
+def _walk(sets: list[np.ndarray], sides: np.ndarray, percent: int, every: bool):
+    """The tree, after each set."""
     flat = np.concatenate(sets)
     _, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
     rank = np.empty(len(counts), np.int32)
@@ -277,7 +302,7 @@ def block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list
     shared = int((counts > 1).sum())  # elements of one set alone never overlap
     local = rank[inverse]
     ends = np.cumsum([len(s) for s in sets])
-    tree = PrefixTree(len(counts), percent)
+    tree = PrefixTree(len(counts), percent, every)
     items = []
     for end, s in zip(ends, sets):
         mine = np.sort(local[end - len(s):end])
@@ -289,7 +314,7 @@ def block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list
             tree.probe(x, items[x])
         if sides[x] != 1:
             tree.insert(x, items[x])
-    return tree.edges
+        yield tree
 
 
 # --- the corpus -------------------------------------------------------------------------------------
@@ -366,10 +391,14 @@ def dealt_tasks():
 
 
 def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int, percent: int, id_col: str,
-                text_col: str, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """Links (a, b) between nodes that span the components of every block."""
+                text_col: str, block_shingles: int = BLOCK_SHINGLES, found: str = "span") -> DataFrame:
+    """Links (a, b) between nodes, by ``found``.
+
+    "span": those that span the components of every task; "count": these and rows (a, null, n) whose
+    sum over n is the number of rows that node a links with; "every": all links, each once.
+    """
     members = nodes.join(blocks.select(F.col("node").alias("b_node"), "block"), F.col("node") == F.col("b_node")) \
-        .select("node", "n", "low", "s1", "s2", "block")
+        .select("node", "n", "low", "s1", "s2", "copies", "block")
     heavy = members.groupBy(F.col("block").alias("h_block")).agg(F.sum("n").alias("h_n"))
     members = members.join(heavy, F.col("block") == F.col("h_block")).withColumn("cls", F.when(
         F.col("h_n") > block_shingles / 4.0, size_class("n", percent)).otherwise(F.lit(0)).cast("int"))
@@ -383,12 +412,12 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
         .join(above, (F.col("block") == F.col("u_block")) & (F.col("cls") == F.col("u_cls") - 1), "left")
         .withColumn("lower", F.coalesce("lower", F.lit(0))).withColumn("upper", F.coalesce("upper", F.lit(0)))
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-        .select("node", "low", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "upper"), "jaccard-members")
+        .select("node", "low", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "upper", "copies"), "jaccard-members")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Few members: they go to the texts. Many: both sides meet by id.
     few = members.count() <= BROADCAST_ROWS
     rows = texts.join(F.broadcast(members) if few else members, F.col("doc_id").eqNullSafe(F.col("low"))) \
-        .select("node", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "upper", "text")
+        .select("node", "s1", "s2", "block", "cls", "chunks", "chunk", "lower", "upper", "copies", "text")
 
     def sets_of(it):
         from xxhash import xxh3_128_intdigest as digest
@@ -396,44 +425,68 @@ def block_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, words: int
         for b in it:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                found = [shingles(t, words) for t in part.column(9).to_pylist()]
+                found = [shingles(t, words) for t in part.column(10).to_pylist()]
                 # An id that several texts share leads here more than once: keep the node's own text.
                 own = [digest(x.tobytes()) == ((s1 % (1 << 64)) << 64) + s2 % (1 << 64) for x, s1, s2 in
                        zip(found, part.column(1).to_pylist(), part.column(2).to_pylist())]
                 keep = pa.array(own, pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i).filter(keep) for i in (0, 3, 4, 5, 6, 7, 8)),
+                    [*(part.column(i).filter(keep) for i in (0, 3, 4, 5, 6, 7, 8, 9)),
                      pa.array([_packed(x) for x, k in zip(found, own) if k], pa.binary())],
-                    ["node", "block", "cls", "chunks", "chunk", "lower", "upper", "items"])
+                    ["node", "block", "cls", "chunks", "chunk", "lower", "upper", "copies", "items"])
 
-    sets = rows.transform(map_arrow, sets_of, "node long, block long, cls int, chunks int, chunk int, lower int, upper int, items binary")
-    dealt = sets.select("node", "block", "items", F.explode(dealt_tasks()).alias("t")).select("node", "block", "items", "t.*")
+    sets = rows.transform(map_arrow, sets_of, "node long, block long, cls int, chunks int, chunk int, lower int, upper int, copies long, items binary")
+    dealt = sets.select("node", "block", "items", "copies", F.explode(dealt_tasks()).alias("t")).select("node", "block", "items", "copies", "t.*")
 
     def links(it):
-        key, nodes_, sets_, sides = None, [], [], []
+        key, nodes_, sets_, sides, copies = None, [], [], [], []
 
         def done():
-            found = block_links(sets_, np.array(sides), percent) if len(nodes_) > 1 else []
-            return [(nodes_[x], nodes_[y]) for x, y in found]
+            """Record batches of the task that ends here."""
+            if len(nodes_) < 2:
+                return
+            if found == "span":
+                if pairs := block_links(sets_, np.array(sides), percent):
+                    yield _edges([(nodes_[x], nodes_[y], None) for x, y in pairs])
+                return
+            if found == "every":
+                out = []
+                for tree in _walk(sets_, np.array(sides), percent, True):
+                    out += [(nodes_[x], nodes_[y], None) for x, y in tree.links]
+                    tree.links = []
+                    if len(out) > EDGE_ROWS:
+                        yield _edges(out)
+                        out = []
+                if out:
+                    yield _edges(out)
+                return
+            rows, total = np.array(copies), np.zeros(len(nodes_), np.int64)
+
+            def add(pairs):
+                x, y = np.array(pairs).T
+                np.add.at(total, x, rows[y])
+                np.add.at(total, y, rows[x])
+
+            out = [(nodes_[x], nodes_[y], None) for x, y in all_block_links(sets_, np.array(sides), percent, add)]
+            out += [(nodes_[x], None, int(total[x])) for x in np.flatnonzero(total)]
+            if out:
+                yield _edges(out)
 
         for b in it:
-            out = []
-            for node, block, items, cls, i, j, w, side in zip(*(c.to_pylist() for c in b.columns)):
+            for node, block, items, cls, i, j, w, side, n in zip(*(c.to_pylist() for c in b.columns)):
                 if (block, cls, i, j, w) != key:
-                    out += done()
-                    key, nodes_, sets_, sides = (block, cls, i, j, w), [], [], []
+                    yield from done()
+                    key, nodes_, sets_, sides, copies = (block, cls, i, j, w), [], [], [], []
                 if nodes_ and nodes_[-1] == node:
                     continue  # a repeated row: sorted, so right behind the first
                 nodes_.append(node)
                 sets_.append(_unpacked(items))
                 sides.append(side)
-            if out:
-                yield _edges(out)
-        if rest := done():
-            yield _edges(rest)
+                copies.append(n)
+        yield from done()
 
     return dealt.repartition("block", "cls", "i", "j", "w").sortWithinPartitions("block", "cls", "i", "j", "w", "node") \
-        .select("node", "block", "items", "cls", "i", "j", "w", "side").transform(map_arrow, links, "a long, b long")
+        .select("node", "block", "items", "cls", "i", "j", "w", "side", "copies").transform(map_arrow, links, "a long, b long, n long")
 
 
 def _packed(hashes: np.ndarray) -> bytes:
@@ -447,29 +500,63 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return out.view(">u8").reshape(-1).astype(np.uint64)
 
 
-def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*pairs)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _edges(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "n"])
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
-                       text_col: str = "text", block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest id reachable by links) of every row."""
+def jaccard_sets(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """One row per document (``shingle_sets``), and one per distinct set that isn't empty."""
     counters = shingle_counters(docs, words, text_col)
     sets = written(shingle_sets(docs, counters, words, percent, id_col, text_col), "jaccard-sets")
-    nodes = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"))
+    nodes = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"),
+                                                               F.count(F.lit(1)).alias("copies"))
                     .withColumn("node", F.col("s1")), "jaccard-nodes")
-    edges = block_edges(docs, nodes, prefix_blocks(sets, percent), words, percent, id_col, text_col, block_shingles)
-    linked = components(edges, "a", "b")
+    return sets, nodes
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
+                  text_col: str = "text", block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(set_a, set_b): every link between different sets, once, set_a < set_b; ``set_id`` of
+    ``jaccard_components`` names each document's set."""
+    sets, nodes = jaccard_sets(docs, words, percent, id_col, text_col)
+    return block_edges(docs, nodes, prefix_blocks(sets, percent), words, percent, id_col, text_col, block_shingles, "every") \
+        .select(F.least("a", "b").alias("set_a"), F.greatest("a", "b").alias("set_b"))
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
+                       text_col: str = "text", block_shingles: int = BLOCK_SHINGLES, count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest id reachable by links) of every row.
+
+    With ``count_links`` also n_links (the other rows that it links with, those of an equal set
+    included) and set_id (equal for equal sets; null without words).
+    """
+    sets, nodes = jaccard_sets(docs, words, percent, id_col, text_col)
+    edges = block_edges(docs, nodes, prefix_blocks(sets, percent), words, percent, id_col, text_col, block_shingles,
+                        "count" if count_links else "span")
+    if count_links:
+        edges = written(edges, "jaccard-links")
+    linked = components(edges.where("b IS NOT NULL").select("a", "b"), "a", "b")
     rooted = nodes.join(linked.select(F.col("node").alias("l_node"), "root"), F.col("node") == F.col("l_node"), "left") \
         .withColumn("root", F.coalesce("root", "node"))
     lows = rooted.groupBy(F.col("root").alias("r")).agg(F.min("low").alias("component"))
-    labels = rooted.join(lows, F.col("root") == F.col("r")).select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), "component")
+    labels = rooted.join(lows, F.col("root") == F.col("r"))
+    extra = []
+    if count_links:
+        counts = edges.where("b IS NULL").groupBy(F.col("a").alias("c_node")).agg(F.sum("n").alias("others"))
+        labels = labels.join(counts, F.col("node") == F.col("c_node"), "left") \
+            .withColumn("n_links", F.coalesce("others", F.lit(0)) + F.col("copies") - 1)
+        extra = ["n_links"]
+    labels = labels.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), "component", *extra)
     return sets.select("doc_id", "n", "s1", "s2") \
         .join(labels, (F.col("s1") == F.col("l1")) & (F.col("s2") == F.col("l2")), "left") \
         .select("doc_id", F.col("n").alias("n_shingles"),
-                F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+                F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+                *([F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.col("s1")).alias("set_id")] if count_links else []))
 
 
 def q_jaccard(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
+
+
+def q_links(spark, sf_dir):
+    return jaccard_links(documents(spark, sf_dir))

@@ -9,6 +9,7 @@ QUERIES = {
     "op2_suffixes": suffixes.q_suffixes,
     "op3_line_dedup": lines.q_line_dedup,
     "op4_jaccard": jaccard.q_jaccard,
+    "op4_links": jaccard.q_links,
     "op5_secrets": secrets.q_secrets,
     "op6_simhash": simhash.q_simhash,
     "op6_neighbours": simhash.q_neighbours,

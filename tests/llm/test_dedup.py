@@ -167,6 +167,44 @@ def test_tasks_hold_two_chunks_and_every_pair_of_chunks(spark):
     assert all(met[a, b] == (abs(c - d) <= 1) for a, c in names for b, d in names if a <= b)
 
 
+def test_prefix_tree_finds_every_link_once():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 60, np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(40, 60), replace=False),
+                                      rng.integers(0, 1 << 62, rng.integers(0, 9), np.uint64)])) for _ in range(80)]
+    found = []
+    jaccard.all_block_links(sets, np.full(len(sets), 2), 60, found.extend)
+    want = {(i, j) for i in range(80) for j in range(i)
+            if 160 * len(np.intersect1d(sets[i], sets[j])) >= 60 * (len(sets[i]) + len(sets[j]))}
+    assert len(found) == len(want) > 80 and {(max(p), min(p)) for p in found} == want
+
+
+@pytest.mark.parametrize("percent,block", [(50, 4_000_000), (40, 300)])
+def test_jaccard_links_of_near_copies(spark, percent, block):
+    rng = np.random.default_rng(7)
+    base = [f"word{k}" for k in range(60)]
+    texts = []
+    for k in range(30):
+        w = list(base)
+        w[rng.integers(0, 60)] = f"other{k}"
+        texts += [" ".join(w)] * (3 if k < 4 else 1)
+    docs = [(None if k == 5 else k // 2 if k < 4 else k, t) for k, t in enumerate(texts + ["", None, "alone here"])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sets, _ = brute_links([t for _, t in docs], 2, percent)
+
+    def linked(a, b):
+        return len(a & b) > 0 and 100 * len(a & b) >= percent * len(a | b)
+    want = [(i, len(s), sum(k != m and linked(s, o) for m, o in enumerate(sets))) for k, ((i, _), s) in enumerate(zip(docs, sets))]
+    found = jaccard.jaccard_components(df, 2, percent, block_shingles=block).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in found), key=str) == sorted(want, key=str)
+    assert len({r.set_id for r in found} - {None}) == len({s for s in sets if s})
+    links = [tuple(r) for r in jaccard.jaccard_links(df, 2, percent, block_shingles=block).collect()]
+    distinct = list({s for s in sets if s})
+    assert len(links) == len(set(links)) == sum(linked(a, b) for k, a in enumerate(distinct) for b in distinct[:k]) > len(distinct)
+    labels = jaccard.jaccard_components(df, 2, percent, block_shingles=block, count_links=False)
+    assert labels.columns == ["doc_id", "n_shingles", "component_id"] and got_components(labels.collect()) == got_components(found)
+
+
 def test_counters_never_saturate():
     counts = np.array([0, 1, 63, 64, 255, 300, 70_000, 1 << 24, 1 << 36])
     code = jaccard.counter_code(counts)
