@@ -124,9 +124,9 @@ def classify_captures(captures: DataFrame) -> DataFrame:
 
 def capture_errors(captures: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     """Error envelopes of the captures that failed (SNK-04): rejected pages and BusTime answers
-    of class ERROR or UNSUPPORTED, with the endpoint and the start of the body."""
+    of class ERROR or UNSUPPORTED, with the endpoint and the whole body."""
     bad = classify_captures(captures).filter(F.col("status").isin("REJECTED", "ERROR", "UNSUPPORTED"))
-    message = F.concat_ws(" ", F.col("status"), F.col("stream"), F.col("endpoint"), F.substring(strip("body"), 1, 500))
+    message = F.concat_ws(" ", F.col("status"), F.col("stream"), F.col("endpoint"), strip("body"))
     return error_rows(bad, F.col("agency"), message, F.col("poll_ts"), tz)
 
 

@@ -172,3 +172,15 @@ def test_capture_errors_and_text(spark):
     assert [r.status for r in classify_captures(df).select("status").collect()] == [s for _, s in rows]
     assert sorted(r.data for r in capture_envelopes(df, uw.ROUTEMATCH, tz="UTC").collect()) == ['"plain"', '{"a":1}']
     assert sorted(r.data for r in capture_errors(df, "UTC").collect())[0] == '{"message":"REJECTED S ep <html>no"}'
+
+
+def test_capture_errors_keep_long_bodies(spark):
+    import json
+
+    from feedlake.jobs import capture_errors
+    bodies = ["<html>" + "no " * 400 + end for end in ("one", "two")]
+    df = spark.createDataFrame([("A", "S", "ep", dt.datetime(2024, 1, 1, 12), b) for b in bodies],
+                               "agency string, stream string, endpoint string, poll_ts timestamp_ntz, body string")
+    rows = capture_errors(df, "UTC").collect()
+    assert sorted(json.loads(r.data)["message"] for r in rows) == [f"REJECTED S ep {b}" for b in bodies]
+    assert len({r.hash_id for r in rows}) == 2
