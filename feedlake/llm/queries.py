@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedlake.llm import hmm, jaccard, langid, lines, packing, pieces, quality, secrets, simhash, suffixes
+from feedlake.llm import hmm, idfiles, jaccard, langid, lines, packing, pieces, quality, secrets, simhash, suffixes
 
 QUERIES = {
     "op1_lm": hmm.q_lm,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_quality": quality.q_quality,
     "op9_packing": packing.q_packing,
     "op10_pieces": pieces.q_pieces,
+    "op11_tokens": idfiles.q_tokens,
 }
 ORACLE = {
     "op8_quality": quality.QUALITY_SQL,

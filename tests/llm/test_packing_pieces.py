@@ -68,7 +68,7 @@ def test_windows_keep_the_mixture():
 def test_word_encoder_equals_the_tokenizer():
     import pyarrow as pa
 
-    enc = packing.WordEncoder(BPE, cache_words=3)
+    enc = packing.WordEncoder(BPE, cache_bytes=2000)
     texts = ["Ünï ÀÉ ß straße, it's I'M x_1 a\x1cb ª º İst ΣΑΣ ́a ﬁ 漢字 3.14 <|endoftext|> ×÷ µ don't . ,,. !?x", None, "", " a\x0bb\x0c\n"]
     for t, raw in zip(texts, enc.encode(pa.array(texts))):
         assert np.frombuffer(raw, enc.width).tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
