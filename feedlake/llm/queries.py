@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedlake.llm import hmm, idfiles, jaccard, langid, lines, packing, pieces, quality, secrets, simhash, suffixes
+from feedlake.llm import hmm, idfiles, jaccard, langid, lines, packing, pieces, quality, secrets, simhash, suffixes, trie, whitening
 
 QUERIES = {
     "op1_lm": hmm.q_lm,
@@ -18,8 +18,11 @@ QUERIES = {
     "op9_packing": packing.q_packing,
     "op10_pieces": pieces.q_pieces,
     "op11_tokens": idfiles.q_tokens,
+    "op12_trie": trie.q_trie,
+    "op13_whitening": whitening.q_whitening,
 }
 ORACLE = {
     "op8_quality": quality.QUALITY_SQL,
     "op3_line_dedup": lines.LINE_DEDUP_SQL,
+    "op12_trie": trie.TRIE_SQL,
 }
