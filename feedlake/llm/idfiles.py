@@ -33,8 +33,8 @@ from feedlake.llm.common import documents, map_arrow, shared_dir, tokenizer_path
 from feedlake.llm.packing import tokenise
 from feedlake.llm.rangecoder import decode_block, encode_block
 
-BLOCK_IDS = 1 << 21
-TASK_IDS = 1 << 22
+BLOCK_IDS = 1 << 22
+TASK_IDS = 1 << 23
 FIELDS = ("doc_id", "no_id", "first", "n", "total")
 BLOCKS = "part int, seq int, before long, n_ids long, block binary"
 #: CRC-32 in its usual reflected form.

@@ -19,16 +19,15 @@ table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from array import array
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import ByteCache, map_arrow, quiet_threads, tokenizer_path, worker_state, written
+from feedlake.llm.common import map_arrow, tokenizer_path, written
+from feedlake.llm.words import encode_batch, encoder
 
 WINDOW = 2048
 LANE_TOKENS = 1_000_000
@@ -36,102 +35,6 @@ CHAIN = 1024
 QUANTUM = 256
 SPOTS = 1024
 BROADCAST_ROWS = 200_000
-CACHE_BYTES = 48 << 20
-SLICE_CHARS = 4 << 20
-#: The byte-level alphabet by its rule: printable Latin-1 stands for itself, other bytes follow from U+0100 on.
-_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
-BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-
-
-class WordEncoder:
-    """Ids of texts by ``tokenizers``, each distinct word of a batch once, with a bounded cache.
-
-    The tokenizer drops white space and never merges across it, so a text's ids are
-    its words' ids in a row. Words end at ASCII white space only; whatever else the
-    tokenizer takes for white space is left to it.
-    """
-
-    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
-        quiet_threads()
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.model = self.tok.model
-        self.width = "<u2" if self.tok.get_vocab_size() <= 65536 else "<u4"
-        self.kind = "H" if self.width == "<u2" else "I"
-        self.cache, self.cores = ByteCache(cache_bytes // 2), ByteCache(cache_bytes // 2)
-        self.marks = ByteCache(1 << 20)
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Ids of words that the cache lacks."""
-        cores, marks, tokenize, rest, out = self.cores, self.marks, self.model.tokenize, [], []
-        for w in words:
-            core = w.rstrip(".,;:!?")
-            text = core.lower()
-            found = cores.get(text)
-            if found is None:
-                # One run of Latin letters: no normal form to look for, lower case is letter by letter.
-                if text.isascii() and text.isalpha():
-                    found = array(self.kind, [t.id for t in tokenize(text)]).tobytes()
-                elif text.isalpha() and max(text) <= "\xff":
-                    seen = text.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    found = array(self.kind, [t.id for t in tokenize(seen)]).tobytes()
-                else:
-                    rest.append(len(out))
-                    out.append(b"")
-                    continue
-                cores.put(text, found)
-            mark = w[len(core):]
-            tail = marks.get(mark) if mark else b""
-            if tail is None:
-                tail = self._whole([mark])[0]
-                marks.put(mark, tail)
-            out.append(found + tail)
-        for i, ids in zip(rest, self._whole([words[i] for i in rest])):
-            out[i] = ids
-        for w, ids in zip(words, out):
-            self.cache.put(w, ids)
-        return out
-
-    def _whole(self, words: list[str]) -> list[bytes]:
-        return [array(self.kind, e.ids).tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text, little-endian, ``width`` bytes each."""
-        words = pc.ascii_split_whitespace(texts.fill_null(""))
-        coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far faster than to_pylist()
-        found = list(map(self.cache.get, names))
-        if None in found:
-            new = iter(self._learn([w for w, f in zip(names, found) if f is None]))
-            found = [next(new) if f is None else f for f in found]
-        size = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.width).itemsize
-        at = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(found), self.width)
-        code = coded.indices.to_numpy()
-        n = size[code]
-        to = np.cumsum(n)
-        ids = flat[np.repeat(at[code] - (to - n), n) + np.arange(int(n.sum()))].tobytes()
-        ends = np.concatenate([[0], to])[words.value_lengths().to_numpy().cumsum()] * np.dtype(self.width).itemsize
-        return [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-
-
-def _encoder(path: str) -> WordEncoder:
-    return worker_state(("words", path), lambda: WordEncoder(path))
-
-
-def _slices(texts: pa.Array, chars: int = SLICE_CHARS):
-    """Consecutive (start, length) of rows of about ``chars`` characters, one row at least."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-    at, total = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        if i > at and total + n > chars:
-            yield at, i - at
-            at, total = i, 0
-        total += n
-    if len(sizes) > at:
-        yield at, len(sizes) - at
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
@@ -141,11 +44,11 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id"
                      ("ids", pa.binary())])
 
     def run(it):
-        enc = _encoder(path)
+        enc = encoder(path)
         end, size = np.array([end_id], enc.width).tobytes(), np.dtype(enc.width).itemsize
         for b in it:
-            for at, n in _slices(b.column(2)):
-                ids = [x + end for x in enc.encode(b.column(2).slice(at, n))]
+            for at, n, coded in encode_batch(enc, b.column(2)):
+                ids = [x + end for x in coded]
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(at, n), b.column(1).slice(at, n),
                     pa.array([len(x) // size for x in ids], pa.int64()), pa.array([size == 4] * len(ids), pa.bool_()),

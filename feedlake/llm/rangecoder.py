@@ -24,14 +24,14 @@ import zlib
 import numpy as np
 
 STEPS = 512
-MAX_LANES = 4096
+MAX_LANES = 8192
 CONF_BITS = 3
 LEVELS = 12
 TOP, LEAST, WORD = 48, 1 << 32, 16
 MAX_TOTAL = 1 << 18
 GAIN = 24
 #: The model's tables are laid out anew at each of the first steps, then every few steps.
-DENSE, EVERY = 16, 16
+DENSE, EVERY = 16, 32
 MAGIC = b"IDB1"
 HEAD = struct.Struct("<4s9I")
 _MASK = (1 << TOP) - 1

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from tokenizers import Tokenizer
 
-from feedlake.llm import packing, pieces, queries
+from feedlake.llm import packing, pieces, queries, words
 from feedlake.llm.common import tokenizer_path
 from tests.llm.conftest import EDGE, SF
 
@@ -65,13 +65,21 @@ def test_windows_keep_the_mixture():
     assert late[0, 2] > taken[0, 2]  # a deficit carried in is served first
 
 
-def test_word_encoder_equals_the_tokenizer():
+def test_word_encoder_equals_the_tokenizer(rows):
     import pyarrow as pa
 
-    enc = packing.WordEncoder(BPE, cache_bytes=2000)
-    texts = ["Ünï ÀÉ ß straße, it's I'M x_1 a\x1cb ª º İst ΣΑΣ ́a ﬁ 漢字 3.14 <|endoftext|> ×÷ µ don't . ,,. !?x", None, "", " a\x0bb\x0c\n"]
-    for t, raw in zip(texts, enc.encode(pa.array(texts))):
-        assert np.frombuffer(raw, enc.width).tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
+    enc = words.WordEncoder(BPE, table_bits=6)  # emptied again and again
+    texts = ["Ünï ÀÉ ß straße, it's I'M x_1 a\x1cb ª º İst ΣΑΣ ́a ﬁ 漢字 3.14 <|endoftext|> ×÷ µ don't . ,,. !?x", None, "", " a\x0bb\x0c\n",
+             "ÀÈ, ÄÖ;: ŸY ÿ! K̊ A\u030a. I\u0307, " + "x" * 200 + "., " + "Ab" * 40 + "?!", "a\x00b \x00 .\x00, \u212a \xa0 \u3000 x\xa0y"]
+    texts += [t for _, t in rows[:60]]
+    for part in (texts, texts[:3], [None], []):
+        got = enc.encode(pa.array(part, pa.string()))
+        for t, raw in zip(part, got, strict=True):
+            assert np.frombuffer(raw, enc.width).tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
+    text = " ".join(t for t in texts if t)
+    assert np.frombuffer(enc.encode_long(text, 50), enc.width).tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+    for at, n, ids in words.encode_batch(enc, pa.array(texts)):
+        assert len(ids) == n
 
 
 def brute_score(m, text):
