@@ -20,22 +20,25 @@ from __future__ import annotations
 
 import re
 from array import array
+from math import inf
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import documents, map_arrow, tokenizer_path
+from feedlake.llm.common import ByteCache, documents, map_arrow, tokenizer_path, worker_state
 
 SPACE = "▁"
 BLANK = "￿"  # stands for a literal U+2581 inside the automaton: in no piece
-CACHE_CHUNKS = 500_000
-_STATE: dict = {}
+CACHE_BYTES = 32 << 20
+LONG_CHUNK = 4096
 
 
 class PieceModel:
-    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+    """The pieces of a model; the automaton is built only where texts are encoded."""
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES, encodes: bool = True):
         import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
@@ -56,10 +59,12 @@ class PieceModel:
             else:
                 self.scores[i] = sp.get_score(i)
                 self.pieces[piece] = (i, sp.get_score(i))
-                self.automaton.add_word(piece, (i, len(piece), sp.get_score(i)))
+                if encodes:
+                    self.automaton.add_word(piece, (i, len(piece), sp.get_score(i)))
                 raw.append(piece.replace(SPACE, " ").encode())
                 whole |= "\n" in piece or bool(re.search(f"[^{SPACE}]{SPACE}", piece))
-        self.automaton.make_automaton()
+        if encodes:
+            self.automaton.make_automaton()
         self.byte_score = float(self.scores.min()) - 10.0
         self.scores[list(self.byte_id.values())] = self.byte_score
         self.sizes = [len(sp.id_to_piece(i)) for i in range(sp.vocab_size())]
@@ -68,35 +73,39 @@ class PieceModel:
         self.raw_size = np.array([len(r) for r in raw], np.int64)
         self.raw_at = np.cumsum(self.raw_size) - self.raw_size
         self.chunk = re.compile(r"(?s).+" if whole else r"\n| *[^ \n]+| +")
-        self.limit, self.cache, self.old = cache_chunks, {}, {}
+        self.cache = ByteCache(cache_bytes)
 
     def viterbi(self, text: str) -> list[int]:
         """Best-scoring ids of one chunk (with its spaces)."""
         seen = text.replace(SPACE, BLANK).replace(" ", SPACE)
         n = len(seen)
-        best: list = [None] * (n + 1)
-        back: list = [None] * (n + 1)
+        # Lists are faster; a very long chunk takes 12 bytes a character in flat arrays.
+        best, back = (array("d", [-inf]) * (n + 1), array("i", [-1]) * (n + 1)) if n > LONG_CHUNK else ([-inf] * (n + 1), [-1] * (n + 1))
         best[0] = 0.0
-        bare = [k for k, c in enumerate(seen) if c not in self.singles] if not self.singles.issuperset(seen) else []
-        if not bare:  # every character is a piece: each position is reached, bytes never win
+        if self.singles.issuperset(seen):  # every character is a piece: each position is reached, bytes never win
             for end, (i, size, score) in self.automaton.iter(seen):
                 end += 1
                 total = best[end - size] + score
-                if best[end] is None or total > best[end]:
+                if total > best[end]:
                     best[end], back[end] = total, i
         else:
-            ends: dict[int, list] = {}
-            for end, found in self.automaton.iter(seen):
-                ends.setdefault(end + 1, []).append(found)
-            for end in range(1, n + 1):
-                for i, size, score in ends.get(end, ()):
-                    total = best[end - size] + score
-                    if best[end] is None or total > best[end]:
-                        best[end], back[end] = total, i
-                if seen[end - 1] not in self.singles:
-                    total = best[end - 1] + self.byte_score * len(text[end - 1].encode())
-                    if best[end] is None or total > best[end]:
-                        best[end], back[end] = total, -1
+            done = 0  # positions up to here have met all pieces and the bytes of their character
+
+            def bytes_up_to(done: int, to: int) -> int:
+                while done < to:
+                    c = text[done]
+                    if seen[done] not in self.singles:
+                        total = best[done] + self.byte_score * len(c.encode())
+                        if total > best[done + 1]:
+                            best[done + 1], back[done + 1] = total, -1
+                    done += 1
+                return done
+            for end, (i, size, score) in self.automaton.iter(seen):
+                done = bytes_up_to(done, end)
+                total = best[end + 1 - size] + score
+                if total > best[end + 1]:
+                    best[end + 1], back[end + 1] = total, i
+            bytes_up_to(done, n)
         ids: list[int] = []
         while n:
             i = back[n]
@@ -111,13 +120,8 @@ class PieceModel:
     def lookup(self, chunk: str) -> bytes:
         found = self.cache.get(chunk)
         if found is None:
-            found = self.old.get(chunk)
-            if found is None:
-                found = array("i", self.viterbi(chunk)).tobytes()
-            if len(chunk) <= 64:
-                if len(self.cache) >= self.limit:  # the older half of the cache goes
-                    self.cache, self.old = {}, self.cache
-                self.cache[chunk] = found
+            found = array("i", self.viterbi(chunk)).tobytes()
+            self.cache.put(chunk, found)
         return found
 
     def encode(self, text: str | None) -> bytes:
@@ -125,7 +129,7 @@ class PieceModel:
         if not text:
             return b""
         chunks = self.chunk.findall(" " + text)
-        found = list(map(self.cache.get, chunks))
+        found = list(map(self.cache.young.get, chunks))
         if None in found:
             found = [self.lookup(c) if f is None else f for c, f in zip(chunks, found)]
         return b"".join(found)
@@ -145,10 +149,8 @@ class PieceModel:
         return [(p[1:] if p[:1] == b" " else p).decode("utf-8", "replace") for p in parts]
 
 
-def model(path: str) -> PieceModel:
-    if path not in _STATE:
-        _STATE[path] = PieceModel(path)
-    return _STATE[path]
+def model(path: str, encodes: bool = True) -> PieceModel:
+    return worker_state(("pieces", path, encodes), lambda: PieceModel(path, encodes=encodes))
 
 
 def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,7 +179,7 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
     keep = encoded.schema
 
     def run(it):
-        m = model(path)
+        m = model(path, encodes=False)
         for b in it:
             at = b.schema.get_field_index("ids")
             for k in range(0, len(b), 256):

@@ -95,8 +95,8 @@ def brute_score(m, text):
 
 
 def test_pieces_best_score_and_round_trip(spark, rows):
-    m = pieces.PieceModel(PIECES, cache_chunks=50)
-    tricky = ["  a  b\n\n c▁d ▁ 漢字 😀￿ x", "\n", "   ", "é▁", "\t\t", "<s> </s> <0x0A>", "", "▁"]
+    m = pieces.PieceModel(PIECES, cache_bytes=20_000)
+    tricky = ["  a  b\n\n c▁d ▁ 漢字 😀￿ x", "\n", "   ", "é▁", "\t\t", "漢x" * 4000, "ab" * 4000, "<s> </s> <0x0A>", "", "▁"]
     for t in [t[:700] for _, t in rows[:25]] + tricky:
         ids = np.frombuffer(m.encode(t), "i4")
         ends = np.array([len(ids)])
