@@ -2,7 +2,9 @@
 
 Hashes are ``sha2(…, 256)`` over text built with native expressions; no Python
 runs per row. Canonical JSON is ``to_json(parse_json(x))``: variant objects keep
-their keys sorted, and the output is compact.
+their keys sorted, and the output is compact. A variant forgets how a number was
+written, so a text with fractions, exponents or long integers goes through it with its
+numbers held as strings, and each comes out as ``json.dumps`` writes it (``python_number``).
 """
 
 from __future__ import annotations
@@ -64,15 +66,106 @@ def spaced_separators(text) -> Column:
         F.replace(F.replace(x, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": ")))), "")
 
 
+# Characters beyond U+FFFF, as they are or escaped: a variant sorts keys by UTF-16, Python by code point,
+# so each gets U+FFFF in front while keys are sorted.
+_BEYOND = r"[\x{10000}-\x{10FFFF}]"
+_ESCAPED_PAIR = r"(?<!\\)((?:\\\\)*)(\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2})"
+# What a variant may not give back as Python would: a number with a fraction, an exponent or 16 digits and more,
+# -0, and a character beyond U+FFFF. May also hit inside strings, which costs time only.
+_TELLING = r"[0-9][.eE]|[0-9]{16}|-0|\\u[dD][89abAB]|" + _BEYOND
+_NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+# Up to 15 significant digits a decimal is the shortest text of its own double.
+_SURE_DIGITS, _SURE_EXPONENT = 15, 290
+
+
+def _scientific(text: Column, body) -> Column:
+    """``body(digits, exponent)`` of a number's text: significant digits without zeros at either
+    end ('' for zero) and the power of ten of the first; exponent null beyond an int."""
+    whole = F.regexp_extract(text, r"^-?([0-9]+)", 1)
+    fraction = F.regexp_extract(text, r"\.([0-9]+)", 1)
+    power = F.coalesce(F.nullif(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1), F.lit("")), F.lit("0")).try_cast("int")
+
+    def parts(x):
+        head = F.regexp_replace(x["all"], "^0+", "")
+        at = x["whole"] - 1 - (F.length(x["all"]) - F.length(head)) + x["power"].cast("bigint")
+        return let(F.struct(F.regexp_replace(head, "0+$", "").alias("d"), at.alias("n")), lambda y: body(y["d"], y["n"]))
+    return let(F.struct(F.concat(whole, fraction).alias("all"), F.length(whole).alias("whole"), power.alias("power")), parts)
+
+
+def _shortest(text: Column, body) -> Column:
+    """``body(digits, exponent)`` of the shortest text of the double that ``text`` reads as.
+
+    The JVM may write one or two digits too many; a shorter text that reads as the same double is taken.
+    """
+    def shorter(x):
+        def fewer(d, n):
+            def cut(k):
+                digits = F.round(d.cast("decimal(38,0)") / F.lit(10 ** k).cast("decimal(38,0)"), 0).cast("decimal(38,0)").cast("string")
+                return F.concat(digits, F.lit("e"), (n - F.length(d) + 1 + k).cast("string"))
+            same = [F.when((F.length(d) > k) & (F.abs(x) == cut(k).cast("double")), cut(k)) for k in (2, 1)]
+            return F.coalesce(*same, F.concat(d, F.lit("e"), (n - F.length(d) + 1).cast("string")))
+        return _scientific(_scientific(x.cast("string"), fewer), body)
+    return let(text.cast("double"), shorter)
+
+
+def _python_float(digits: Column, n: Column) -> Column:
+    """Text of a positive float as Python's ``repr`` lays it out: plain from 1e-4 to 1e16."""
+    size = F.length(digits)
+    at = n.cast("int")
+    large = F.when(size <= at + 1, F.concat(F.rpad(digits, at + 1, F.lit("0")), F.lit(".0"))) \
+        .otherwise(F.concat(F.substr(digits, F.lit(1), at + 1), F.lit("."), F.substr(digits, at + 2)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -at - 1), digits)
+    mantissa = F.concat(F.substr(digits, F.lit(1), F.lit(1)),
+                        F.when(size > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")))
+    power = F.concat(F.when(n < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                     F.when(F.abs(n) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(n).cast("string"))
+    return F.when((n >= 0) & (n < 16), large).when((n < 0) & (n >= -4), small).otherwise(F.concat(mantissa, power))
+
+
+def python_number(text) -> Column:
+    """A JSON number's text -> the text that Python's ``json`` gives it back as: integers digit by
+    digit, floats as the shortest text of their double (``1.50`` -> ``1.5``, ``1E5`` -> ``100000.0``)."""
+    def body(t):
+        sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+        sure = _scientific(t, lambda d, n: F.when(d == "", F.lit("0.0")).when(
+            (F.length(d) <= _SURE_DIGITS) & (F.abs(n) <= _SURE_EXPONENT), _python_float(d, n)))
+        value = F.abs(t.cast("double"))
+        unsure = F.when(value == float("inf"), F.lit("Infinity")).when(value == 0.0, F.lit("0.0")).otherwise(_shortest(t, _python_float))
+        return F.when(t.rlike("^-?0$"), F.lit("0")).when(t.rlike("^-?[0-9]+$"), t).otherwise(F.concat(sign, F.coalesce(sure, unsure)))
+    return let(_c(text), body)
+
+
+def _tokens(text: Column, body) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), body), "")
+
+
+def _sorted_with_numbers(text: Column) -> Column:
+    """Key-sorted compact JSON with every number as Python writes it. Strings (keys too) are marked
+    ``s`` and numbers become strings marked ``n`` on the way through the variant."""
+    def hold(x):
+        string = F.regexp_replace(F.regexp_replace(F.substr(x, F.lit(2)), _ESCAPED_PAIR, r"$1\\uffff$2"), _BEYOND, "\uffff$0")
+        return F.when(x.startswith('"'), F.concat(F.lit('"s'), string)).otherwise(F.regexp_replace(x, _NUMBER, '"n$0"'))
+
+    def release(x):
+        string = F.regexp_replace(F.substr(x, F.lit(3)), f"\uffff({_BEYOND})", "$1")
+        return F.when(x.startswith('"s'), F.concat(F.lit('"'), string)) \
+            .when(x.startswith('"n'), python_number(F.substr(x, F.lit(3), F.length(x) - 3))).otherwise(x)
+    return _tokens(lower_unicode_escapes(F.to_json(F.try_parse_json(_tokens(text, hold)))), release)
+
+
 def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure_ascii: bool = True) -> Column:
     """Key-sorted JSON text at every depth (IDN-06).
 
     ``compact`` uses ``,`` and ``:``; ``python`` uses ``, `` and ``: `` like a
     default ``json.dumps(…, sort_keys=True)``. With ``ensure_ascii`` non-ASCII
-    characters are ``\\u``-escaped like ``json.dumps``. Text that is not JSON gives null.
+    characters are ``\\u``-escaped like ``json.dumps``. Numbers come out as ``json.dumps``
+    writes what ``json.loads`` read; a variant (``is_variant``) has lost their text, so its
+    floats follow Spark. Text that is not JSON gives null.
     """
     v = _c(col) if is_variant else as_variant(col)
     out = lower_unicode_escapes(F.to_json(v))
+    if not is_variant:
+        out = F.when(v.isNotNull() & _c(col).rlike(_TELLING), _sorted_with_numbers(_c(col))).otherwise(out)
     if ensure_ascii:
         out = ascii_escape(out)
     if style == "python":
@@ -80,6 +173,12 @@ def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure
     return out
 
 
+def payload_json(col, style: str = "compact") -> Column:
+    """Canonical text of a payload: of its JSON value, or of the text as a JSON string; null stays null."""
+    text = F.when(_c(col).isNotNull(), ascii_escape(lower_unicode_escapes(json_string(col))))
+    return F.coalesce(canonical_json(col, style), text)
+
+
 def json_string(col) -> Column:
     """A string value as a JSON string literal (quotes and escapes)."""
     return F.to_json(F.struct(_c(col).alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(_c(col).alias("v")))) - 6)
@@ -98,9 +197,8 @@ def event_hash_pipe(endpoint, event, id_, data, agency=None, data_is_variant: bo
     Time is excluded so equal records hash equal across days. Null data is ``null``.
     """
     parts = [] if agency is None else [_c(agency)]
-    v = _c(data) if data_is_variant else payload_variant(data)
-    parts += [_c(endpoint), _c(event), F.coalesce(_c(id_).cast("string"), F.lit("")),
-              F.coalesce(canonical_json(v, style="python", is_variant=True), F.lit("null"))]
+    text = canonical_json(data, "python", is_variant=True) if data_is_variant else payload_json(data, "python")
+    parts += [_c(endpoint), _c(event), F.coalesce(_c(id_).cast("string"), F.lit("")), F.coalesce(text, F.lit("null"))]
     return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
 
 
@@ -111,16 +209,36 @@ def event_hash_struct(agency, stream, event, endpoint, data, metadata=None,
     This is the default identity of an envelope: it covers everything except the
     capture time. Payloads that are not JSON enter as JSON strings.
     """
-    d = _c(data) if data_is_variant else payload_variant(data)
-    fields = [_c(agency).cast("string").alias("agency"), d.alias("data"),
-              F.coalesce(_c(endpoint).cast("string"), F.lit("")).alias("endpoint"),
-              _c(event).cast("string").alias("event")]
+    def text(data_value: Column, metadata_value: Column) -> Column:
+        fields = [_c(agency).cast("string").alias("agency"), data_value.alias("data"),
+                  F.coalesce(_c(endpoint).cast("string"), F.lit("")).alias("endpoint"),
+                  _c(event).cast("string").alias("event")]
+        if with_metadata:
+            fields.append(metadata_value.alias("metadata"))
+        fields.append(_c(stream).cast("string").alias("stream"))
+        return ascii_escape(lower_unicode_escapes(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})))
+
+    m = F.lit(None).cast("variant") if metadata is None else payload_variant(metadata)
+    if data_is_variant:
+        return F.sha2(text(_c(data), m), 256)
+    plain = text(payload_variant(data), m)
+    telling = F.coalesce(_c(data).rlike(_TELLING), F.lit(False))
+    if metadata is not None:
+        telling = telling | F.coalesce(_c(metadata).rlike(_TELLING), F.lit(False))
+    # Payloads with numbers whose spelling counts enter as text: the rest of the line is built around them.
+    line = [F.lit('{"agency":'), _string_json(_c(agency)), F.lit(',"data":'), F.coalesce(payload_json(data), F.lit("null")),
+            F.lit(',"endpoint":'), _string_json(F.coalesce(_c(endpoint).cast("string"), F.lit(""))),
+            F.lit(',"event":'), _string_json(_c(event))]
     if with_metadata:
-        m = F.lit(None).cast("variant") if metadata is None else payload_variant(metadata)
-        fields.append(m.alias("metadata"))
-    fields.append(_c(stream).cast("string").alias("stream"))
-    text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    return F.sha2(ascii_escape(lower_unicode_escapes(text)), 256)
+        line += [F.lit(',"metadata":'), F.lit("null") if metadata is None else F.coalesce(payload_json(metadata), F.lit("null"))]
+    line += [F.lit(',"stream":'), _string_json(_c(stream)), F.lit("}")]
+    return F.sha2(F.when(telling, F.concat(*line)).otherwise(plain), 256)
+
+
+def _string_json(col: Column) -> Column:
+    """A value as a JSON string literal, null as ``null``."""
+    text = col.cast("string")
+    return F.when(text.isNull(), F.lit("null")).otherwise(ascii_escape(lower_unicode_escapes(json_string(text))))
 
 
 def error_hash(agency, ts_text, message) -> Column:

@@ -28,32 +28,35 @@ from feedlake.sinks.archive import compact_days, error_rows, read_if_exists, wal
 from feedlake.sources import unwrap as uw
 from feedlake.sources.gtfs import gtfs_package_tables, read_gtfs_table
 from feedlake.sources.wal import read_wal
-from feedlake.streaming.ingest import stateful_dedupe
+from feedlake.streaming.ingest import seed_history, stateful_dedupe, stored_history, unseen
 
 
 def ingest_stream(envelopes: DataFrame, landing_root: str, checkpoint: str, available_now: bool = False,
-                  tz: str = DEFAULT_TZ):
+                  tz: str = DEFAULT_TZ, archive_root: str | None = None):
     """Start the continuous ingest of a streaming envelope DataFrame (STR-01/02/03).
 
-    Repeats are dropped in-stream (arrival-time watermark, never a late-row drop)
-    and each micro-batch is appended like a batch (``wal_append``: hot folders split by
+    Repeats are dropped in-stream (arrival-time watermark, never a late-row drop) and, with
+    ``archive_root``, against what the archive and, for a new checkpoint, the landing hold
+    already. Each micro-batch is appended like a batch (``wal_append``: hot folders split by
     size) under ``agency=/stream=/day=``, which ``archive_sweep`` compacts. A micro-batch
     that is replayed after a crash may land twice; compaction dedupes exactly. The landing
     keeps no sink log of its own, so a sweep may remove the files it has compacted.
     """
-    writer = stateful_dedupe(envelopes).writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda batch, _epoch: _land(batch, landing_root, tz))
+    seed = seed_history(envelopes.sparkSession, landing_root, checkpoint) if archive_root else None
+
+    def land(batch: DataFrame, _epoch: int) -> None:
+        known = stored_history(batch.sparkSession, archive_root, seed) if archive_root else None
+        rows = unseen(batch, known)
+        rows.persist()  # counted and written: the stateful dedupe runs once
+        try:
+            wal_append(rows, landing_root, tz)
+        finally:
+            rows.unpersist()
+
+    writer = stateful_dedupe(envelopes).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
 
-def _land(batch: DataFrame, landing_root: str, tz: str) -> None:
-    batch.persist()  # counted and written: the stateful dedupe runs once
-    try:
-        wal_append(batch, landing_root, tz)
-    finally:
-        batch.unpersist()
-
-
 def archive_sweep(spark: SparkSession, landing_root: str, archive_root: str, as_of: Column, tz: str = DEFAULT_TZ,
                   remove_source: bool = True) -> int:
     """One incremental compaction sweep (STR-04): closed local days with new files

@@ -24,6 +24,26 @@ def coverage(df: DataFrame, distinct_col: str | None = None) -> DataFrame:
     return df.groupBy("agency", "stream", "day").agg(*aggs)
 
 
+#: log2 of the buckets of a distinct-count sketch; its relative standard error is 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, col: str = "hash_id", keys=("agency", "stream", "day"), bits: int = SKETCH_BITS) -> DataFrame:
+    """One HyperLogLog sketch of ``col`` per key (AGG-05), a few kilobytes whatever the rows: stored
+    beside the coverage cube, it answers distinct counts of any span without the rows."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(col, bits).alias("sketch"), F.count(F.lit(1)).alias("rows"))
+
+
+def merge_sketches(sketches: DataFrame, keys=("agency", "stream")) -> DataFrame:
+    """Sketches of a span or a coarser key: the union counts what repeats across days once."""
+    return sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"), F.sum("rows").alias("rows"))
+
+
+def approx_distinct(sketches: DataFrame) -> DataFrame:
+    """Adds ``approx_unique``, within 3 standard errors in 99.7 % of cases (4.9 % at 12 bits)."""
+    return sketches.withColumn("approx_unique", F.hll_sketch_estimate("sketch"))
+
+
 def coverage_with_totals(df: DataFrame) -> DataFrame:
     """Per stream and all-stream totals per (agency, day) (AGG-14).
 

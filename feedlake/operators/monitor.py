@@ -93,25 +93,68 @@ def recent(df: DataFrame, as_of: Column, seconds: int = 180, ts: str = "ts") ->
     return df.filter((F.col(ts) > t - F.expr(f"INTERVAL {seconds} SECONDS")) & (F.col(ts) <= t))
 
 
+def _midnight(day: Column, tz: str) -> Column:
+    """Unix second of the start of a local day."""
+    return F.unix_seconds(F.convert_timezone(F.lit(tz), F.lit("UTC"), day.cast("timestamp_ntz")).cast("timestamp"))
+
+
 def hours_of_day(day, tz: str = DEFAULT_TZ) -> Column:
-    """Hours of a local day: 24, or 23 and 25 on the days of a clock change."""
+    """Hours of a local day, begun ones included: 24, or 23 and 25 on the days of a clock change."""
     d = F.col(day) if isinstance(day, str) else day
+    return F.ceil((_midnight(F.date_add(d, 1), tz) - _midnight(d, tz)) / 3600).cast("bigint")
+
+
+def _hourly(df: DataFrame, keys: Sequence[str], ts: str, tz: str) -> DataFrame:
+    """Rows per key, local day and hour of that day. Hours are counted by instants from the
+    day's own midnight: the hour that comes twice when clocks go back is two hours, the one
+    that is skipped is none, and zones that are half an hour off have hours of their own."""
+    day = to_local(ts, tz).cast("date")
+    slot = F.floor((F.unix_seconds(F.col(ts).cast("timestamp")) - _midnight(day, tz)) / 3600)
+    return df.groupBy(*keys, day.alias("day"), slot.cast("int").alias("_slot")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _days(hourly: DataFrame, keys: Sequence[str], first_day: Column | None, last_day: Column | None) -> DataFrame:
+    """Every local day of each key's span: its first to its last day with rows, or the days given."""
+    span = hourly.groupBy(*keys).agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
+    lo, hi = (F.col(c) if given is None else given.cast("date") for c, given in (("_lo", first_day), ("_hi", last_day)))
+    return span.select(*keys, F.explode(F.when(lo <= hi, F.sequence(lo, hi))).alias("day"))
+
 
-    def instant(x):
-        return F.unix_seconds(F.convert_timezone(F.lit(tz), F.lit("UTC"), x.cast("timestamp_ntz")).cast("timestamp"))
-    return ((instant(F.date_add(d, 1)) - instant(d)) / 3600).cast("bigint")
+def _joined(grid: DataFrame, counts: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join, null keys matching."""
+    right = counts.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in counts.columns if c not in on])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return grid.join(right, same, "left").drop(*[f"_r_{c}" for c in on])
 
 
-def hourly_audit(df: DataFrame, keys=("agency", "stream"), ts: str = "ts", tz: str = DEFAULT_TZ) -> DataFrame:
-    """Rows per hour of the clock, then hours with and without data per local day (STR-05).
+def hour_grid(df: DataFrame, keys=("agency", "stream"), ts: str = "ts", tz: str = DEFAULT_TZ,
+              first_day: Column | None = None, last_day: Column | None = None) -> DataFrame:
+    """Every hour of every local day of each key's span with its rows, 0 for the empty ones (STR-05).
 
-    Hours are told apart by their instant, so the hour that comes twice when clocks go
-    back counts twice and the one that is skipped is not missing.
+    ``hour_start`` is the hour's first instant (UTC), ``hour`` its local clock. Rows are
+    counted per hour first, so the grid meets counts and a stream that holds most rows
+    weighs no more than another; the span (or ``first_day`` to ``last_day``) bounds the grid.
     """
-    hour = F.date_trunc("hour", F.col(ts))
-    hourly = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("rows"))
-    hourly = hourly.withColumn("day", to_local("_hour", tz).cast("date"))
+    hourly = _hourly(df, keys, ts, tz)
+    grid = _days(hourly, keys, first_day, last_day) \
+        .select("*", F.explode(F.sequence(F.lit(0), (hours_of_day("day", tz) - 1).cast("int"))).alias("_slot"))
+    start = F.timestamp_seconds(_midnight(F.col("day"), tz) + F.col("_slot") * 3600).cast("timestamp_ntz")
+    return _joined(grid, hourly, [*keys, "day", "_slot"]).withColumn("hour_start", start) \
+        .select(*keys, "day", "hour_start", F.date_format(to_local("hour_start", tz), "HH:mm").alias("hour"),
+                F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+
+
+def hourly_audit(df: DataFrame, keys=("agency", "stream"), ts: str = "ts", tz: str = DEFAULT_TZ, dense: bool = False,
+                 first_day: Column | None = None, last_day: Column | None = None) -> DataFrame:
+    """Hours with and without data per local day (STR-05): of the days with rows, or (``dense``)
+    of every day of each key's span, those without any row included."""
+    hourly = _hourly(df, keys, ts, tz)
     per = hourly.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("hours_with_rows"), F.sum("rows").alias("rows"))
+    if dense:
+        per = _joined(_days(hourly, keys, first_day, last_day), per, [*keys, "day"]) \
+            .select(*keys, "day", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("hours_with_rows", "rows")])
     return per.withColumn("hours_missing", hours_of_day("day", tz) - F.col("hours_with_rows"))
 
 

@@ -255,6 +255,65 @@ FROM (SELECT agency, stream, CAST({local('t')} AS DATE) AS day, count(DISTINCT d
                    + to_minutes(CAST(event_id % 5760 AS INTEGER)) ELSE ts END AS t FROM feed)
       GROUP BY agency, stream, CAST({local('t')} AS DATE))""")
 
+GRID_ZONES = ("America/New_York", "Asia/Kolkata")
+
+
+def _with_empty_days(f: DataFrame) -> DataFrame:
+    """The feed with every odd day of the month moved to the day before (so odd days are empty)
+    and signup rows near the clock changes."""
+    f = _near_clock_change(f)
+    back = F.make_dt_interval(F.pmod(F.dayofmonth("ts") - 1, F.lit(2)))
+    return f.withColumn("ts", F.when(F.col("stream") == "signup", F.col("ts")).otherwise(F.col("ts") - back))
+
+
+_GRID_INPUT = """
+moved AS (SELECT agency, stream, CASE WHEN stream = 'signup'
+              THEN (CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-08' ELSE TIMESTAMP '2024-11-01' END)
+                   + to_minutes(CAST(event_id % 5760 AS INTEGER))
+              ELSE ts - to_days(CAST((day(ts) - 1) % 2 AS INTEGER)) END AS t FROM feed),
+zoned AS (SELECT zone, agency, stream, t, CAST(timezone(zone, timezone('UTC', t)) AS DATE) AS day
+          FROM moved, (SELECT unnest(['America/New_York', 'Asia/Kolkata']) AS zone)),
+span AS (SELECT zone, agency, stream, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d
+         FROM (SELECT zone, agency, stream, min(day) AS lo, max(day) AS hi FROM zoned GROUP BY zone, agency, stream)),
+days AS (SELECT zone, agency, stream, CAST(d AS DATE) AS day, timezone('UTC', timezone(zone, d)) AS from_t,
+                timezone('UTC', timezone(zone, d + INTERVAL 1 DAY)) AS to_t FROM span)"""
+
+
+@register
+def q_hour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-05: every local hour of each stream's span with its rows, in a zone with clock
+    changes and one half an hour off; days without any row are in the grid."""
+    f = _with_empty_days(feed_envelopes(spark, sf_dir, TZ))
+    out = None
+    for zone in GRID_ZONES:
+        part = monitor.hour_grid(f, tz=zone).select(F.lit(zone).alias("zone"), "agency", "stream", "day", "hour_start", "hour", "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+ORACLE["q_hour_grid"] = with_feed("""
+SELECT g.zone, g.agency, g.stream, g.day, g.hour_start, strftime(timezone(g.zone, timezone('UTC', g.hour_start)), '%H:%M') AS hour,
+       count(z.t) AS rows
+FROM (SELECT zone, agency, stream, day, unnest(generate_series(from_t, to_t - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour_start FROM days) g
+LEFT JOIN zoned z ON z.zone = g.zone AND z.agency = g.agency AND z.stream = g.stream
+     AND z.t >= g.hour_start AND z.t < g.hour_start + INTERVAL 1 HOUR
+GROUP BY ALL""", _GRID_INPUT)
+
+
+@register
+def q_dense_hour_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-05: hours with and without rows of every local day of the span; an empty day misses
+    all its 23, 24 or 25 hours."""
+    f = _with_empty_days(feed_envelopes(spark, sf_dir, TZ))
+    return monitor.hourly_audit(f, tz=TZ, dense=True).select("agency", "stream", "day", "hours_with_rows", "hours_missing", "rows")
+
+
+ORACLE["q_dense_hour_audit"] = with_feed("""
+SELECT d.agency, d.stream, d.day, count(DISTINCT date_trunc('hour', z.t)) AS hours_with_rows,
+       CAST(epoch(d.to_t - d.from_t) / 3600 AS BIGINT) - count(DISTINCT date_trunc('hour', z.t)) AS hours_missing, count(z.t) AS rows
+FROM days d LEFT JOIN zoned z ON z.zone = d.zone AND z.agency = d.agency AND z.stream = d.stream AND z.day = d.day
+WHERE d.zone = 'America/New_York' GROUP BY d.agency, d.stream, d.day, d.from_t, d.to_t""", _GRID_INPUT)
+
 # Expected poll interval (seconds) for feed classes; others hourly.
 EXPECTED_INTERVAL_S = {"vehicles_enhanced": 7, "vehiclepositions": 10, "tripupdates": 15, "Predictions": 20,
                        "alerts": 30, "view": 300, "click": 600}

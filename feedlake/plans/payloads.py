@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.identity import canonical_json, event_hash_pipe, event_hash_struct
 from feedlake.functions.scalars import (archive_name, file_date_key, file_day, iso_local, parse_dotnet_date,
                                         parse_envelope_ts, parse_logged, safe_prefix, split_list, stream_class,
                                         stream_group, to_local)
@@ -68,6 +69,32 @@ UNION ALL
 SELECT event_id, 1, '{"id":' || CAST(user_id AS VARCHAR) || '}' FROM events WHERE event_id % 6 <> 2"""
 
 
+@register
+def q_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IDN-06, IDN-01/03: payloads whose numbers have fractions, exponents, signs of zero and thirty
+    digits; canonical text and hashes are those of ``json.dumps``."""
+    f = feed_envelopes(spark, sf_dir, TZ)
+    cents = F.format_string("%.3f", "value")  # 6.55 is written 6.550
+    data = F.concat(F.lit('{"z":[1.0,-0.0,-0,1.5E-7,1e5,1E16,0.00010],"v":'), cents, F.lit(',"s":"1.0 e5","n":'),
+                    (F.col("event_id") + 1).cast("string"), F.lit('000000000000000000000000000001,"k":'), F.col("user_id").cast("string"),
+                    F.lit('e-1,"a":{"b":-2.50e+3}}'))
+    t = f.select("event_id", "endpoint", "event", "id", "agency", "stream", data.alias("data"))
+    return t.select("event_id", canonical_json("data").alias("text"),
+                    event_hash_pipe("endpoint", "event", "id", "data").alias("hash_pipe"),
+                    event_hash_struct("agency", "stream", "event", "endpoint", "data").alias("hash_struct"))
+
+
+ORACLE["q_number_text"] = with_feed("""
+SELECT event_id, t AS text,
+       sha256(endpoint || '|' || event || '|' || id || '|' || replace(replace(t, ',', ', '), '":', '": ')) AS hash_pipe,
+       sha256('{"agency":"' || agency || '","data":' || t || ',"endpoint":"' || endpoint || '","event":"' || event
+              || '","metadata":null,"stream":"' || stream || '"}') AS hash_struct
+FROM (SELECT *, '{"a":{"b":-2500.0},"k":' || (CAST(user_id AS DOUBLE) / 10)::VARCHAR
+             || ',"n":' || (event_id + 1) || '000000000000000000000000000001'
+             || ',"s":"1.0 e5","v":' || CAST(CAST(printf('%.3f', value) AS DOUBLE) AS VARCHAR)
+             || ',"z":[1.0,-0.0,0,1.5e-07,100000.0,1e+16,0.0001]}' AS t FROM feed)""")
+
+
 @register
 def q_sse_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-02, WIN-03: per entity and local hour one captured SSE segment (frames in

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.scalars import from_local
-from feedlake.operators.coverage import coverage
+from feedlake.operators.coverage import approx_distinct, coverage, distinct_sketches, merge_sketches
 from feedlake.operators.history import prepare_snapshot
 from feedlake.operators.ids import id_set
 from feedlake.plans.feeds import envelopes_from_events, events_stream, feed_envelopes
@@ -17,9 +17,11 @@ from feedlake.schema import DEFAULT_TZ
 from feedlake.session import shared_dir
 from feedlake.sinks.archive import coverage_documents, compact_days, wal_append, write_gtfs_table
 from feedlake.sources.gtfs import PANDAS_NULL_TOKENS, gtfs_package_tables, read_coverage, read_gtfs_table
+from feedlake.sources.lines import read_lines
+from feedlake.sources.sse import frame_records, sse_line_frames
 from feedlake.sources.tables import read_table
 from feedlake.sources.wal import read_archive, read_wal
-from feedlake.streaming.changes import daily_calls, detour_changes
+from feedlake.streaming.changes import daily_calls, detour_changes, quota_breaches
 from feedlake.streaming.ingest import start_ingest, stateful_dedupe
 
 TZ = DEFAULT_TZ
@@ -103,6 +105,71 @@ SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name, NULL,
 FROM region"""
 
 
+@register
+def q_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05: every order as a CSV row whose note holds quotes, commas and line feeds, written
+    in many files and read back by record starts; an empty note comes back as null."""
+    base = shared_dir(spark, "q_csv_records")
+    o = read_table(spark, sf_dir, "orders")
+    note = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('said "'), F.col("o_orderpriority"), F.lit('",\n\n then "x"\n')))\
+        .when(F.col("o_orderkey") % 3 == 1, F.concat("o_orderstatus", F.lit(", plain"))).otherwise(F.lit(""))
+    o.select(F.col("o_orderkey").alias("order_id"), note.alias("note"), F.to_date("o_orderdate").alias("day")) \
+        .write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{base}/orders.txt")
+    t = read_gtfs_table(spark, f"{base}/orders.txt", "orders")
+    return t.select("order_id", "note", "day")
+
+
+ORACLE["q_csv_records"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS day,
+       CASE o_orderkey % 3 WHEN 0 THEN 'said "' || o_orderpriority || '",' || chr(10) || chr(10) || ' then "x"' || chr(10)
+                           WHEN 1 THEN o_orderstatus || ', plain' END AS note
+FROM orders"""
+
+
+@register
+def q_sse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-02, WIN-03: the feed as event-stream text, one capture per agency, framed line by line
+    (frames carry entity and day in their ``id:`` line); multi-line data and list payloads."""
+    base = shared_dir(spark, "q_sse_lines")
+    f = feed_envelopes(spark, sf_dir, TZ)
+    name = F.when(F.col("stream") == "signup", F.lit("")).otherwise(F.concat(F.lit("event: "), F.col("stream"), F.lit("\n")))
+    data = (F.when(F.col("stream") == "view", F.concat(F.lit("data: "), F.regexp_replace("data", ": ", ":\ndata: ")))
+            .when(F.col("stream") == "purchase", F.concat(F.lit("data: ["), F.col("data"), F.lit(', {"id":'), F.col("user_id"), F.lit("}]")))
+            .otherwise(F.concat(F.lit("data: "), F.col("data"))))
+    bad = F.when(F.col("stream") == "click", F.lit("event: click\ndata: {oops\n\n")).otherwise(F.lit(""))
+    text = F.concat(bad, F.lit(": comment\nid: "), F.concat_ws("/", "agency", "id", "day"), F.lit("\n"), name, data, F.lit("\n"))
+    f.select("agency", text.alias("value")).write.partitionBy("agency").text(f"{base}/captures")
+    rec = frame_records(sse_line_frames(read_lines(spark, f"{base}/captures")))
+    key = F.split("last_id", "/")
+    return rec.select(key[0].alias("agency"), key[1].alias("id"), key[2].cast("date").alias("day"), "event",
+                      F.to_json("record").alias("record"))
+
+
+ORACLE["q_sse_lines"] = with_feed("""
+SELECT agency, id, day, CASE WHEN stream = 'signup' THEN 'message' ELSE stream END AS event,
+       CAST(json(data) AS VARCHAR) AS record FROM feed
+UNION ALL
+SELECT agency, id, day, stream, '{"id":' || CAST(user_id AS VARCHAR) || '}' FROM feed WHERE stream = 'purchase'""")
+
+
+@register
+def q_distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-05: distinct records per (agency, stream) over all days from stored daily sketches,
+    held to the exact count: within three standard errors."""
+    base = shared_dir(spark, "q_distinct_sketches")
+    f = feed_envelopes(spark, sf_dir, TZ)
+    distinct_sketches(f).write.parquet(f"{base}/sketches")
+    merged = approx_distinct(merge_sketches(spark.read.parquet(f"{base}/sketches")))
+    exact = f.groupBy("agency", "stream").agg(F.count_distinct("hash_id").alias("unique_rows"))
+    return merged.join(exact, ["agency", "stream"]).select(
+        "agency", "stream", F.col("rows").cast("bigint").alias("rows"), "unique_rows",
+        (F.abs(F.col("approx_unique") - F.col("unique_rows")) <= 0.049 * F.col("unique_rows") + 1).alias("within"))
+
+
+ORACLE["q_distinct_sketches"] = with_feed("""
+SELECT agency, stream, count(*) AS rows, count(DISTINCT hash_id) AS unique_rows, true AS within FROM feed GROUP BY agency, stream""")
+
+
 @register
 def q_coverage_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-21, SNK-06: the coverage cube published as nested per-agency JSON and
@@ -135,10 +202,43 @@ ORACLE["q_stream_dedupe"] = with_feed("""
 SELECT DISTINCT agency, stream, day, hash_id FROM feed""")
 
 
+@register
+def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-02: half of the feed lands and its closed days are archived; a stream with a new
+    checkpoint then delivers the whole feed. What the archive or the landing held is not
+    admitted again, so landing and archive together hold every record once."""
+    from feedlake.jobs import ingest_stream
+    base = shared_dir(spark, "q_stream_history")
+    landing, archive = f"{base}/landing", f"{base}/archive"
+    wal_append(feed_envelopes(spark, sf_dir, TZ).where(F.col("event_id") % 2 == 0), landing, TZ)
+    as_of = from_local(F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"), TZ)
+    compact_days(spark, read_wal(spark, landing, TZ), archive, as_of, TZ, landing_root=landing,
+                 log_root=f"{archive}/_compaction_log", remove_source=True)
+    ingest_stream(envelopes_from_events(events_stream(spark, sf_dir), TZ), landing, f"{base}/checkpoint",
+                  available_now=True, tz=TZ, archive_root=archive).awaitTermination()
+    keys = ["agency", "stream", "day"]
+    stored = read_archive(spark, archive).select(*keys, "hash_id", F.lit(1).alias("old"))
+    landed = read_wal(spark, landing, TZ).select(*keys, "hash_id", F.lit(0).alias("old"))
+    return stored.unionByName(landed).groupBy(*keys).agg(
+        F.sum("old").cast("bigint").alias("archived"), F.sum(1 - F.col("old")).cast("bigint").alias("landed"),
+        (F.count(F.lit(1)) - F.count_distinct("hash_id")).cast("bigint").alias("repeats"))
+
+
+ORACLE["q_stream_history"] = with_feed("""
+SELECT agency, stream, day, count(DISTINCT hash_id) FILTER (WHERE day < DATE '2024-01-20' AND event_id % 2 = 0) AS archived,
+       CASE WHEN day < DATE '2024-01-20'
+            THEN count(DISTINCT hash_id) - count(DISTINCT hash_id) FILTER (WHERE event_id % 2 = 0)
+            ELSE count(DISTINCT hash_id) + count(*) FILTER (WHERE event_id % 2 = 0)
+                 - count(DISTINCT hash_id) FILTER (WHERE event_id % 2 = 0) END AS landed,
+       CASE WHEN day < DATE '2024-01-20' THEN 0
+            ELSE count(*) FILTER (WHERE event_id % 2 = 0) - count(DISTINCT hash_id) FILTER (WHERE event_id % 2 = 0) END AS repeats
+FROM feed GROUP BY agency, stream, day""")
+
+
 @register
 def q_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-08: per-route poll sets (entity x local day) landed as files, streamed
-    through stateful change detection (applyInPandasWithState), read back."""
+    through stateful change detection (transformWithStateInPandas), read back."""
     base = shared_dir(spark, "q_stream_changes")
     f = feed_envelopes(spark, sf_dir, TZ).withColumn(
         "k", F.try_variant_get(F.try_parse_json("data"), "$.k", "string"))
@@ -160,6 +260,56 @@ SELECT agency, id, day, detours FROM (
 ) WHERE prev IS DISTINCT FROM detours""")
 
 
+@register
+def q_stream_detours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-08 with a memory of one day: a route that was not polled the day before is forgotten,
+    and its next poll counts as changed. The polls arrive in two runs of one checkpoint."""
+    base = shared_dir(spark, "q_stream_detours")
+    f = feed_envelopes(spark, sf_dir, TZ).withColumn(
+        "k", (F.try_variant_get(F.try_parse_json("data"), "$.k", "int") % 2).cast("string"))
+    polls = id_set(f, ["agency", "id", "day"], "k", "s").select("agency", "id", "day", F.array_join("s", ",").alias("detours"))
+    half = F.col("day") < F.lit("2024-01-15").cast("date")
+    for i, part in enumerate((half, ~half)):
+        polls.where(part).write.parquet(f"{base}/polls/run={i}")
+        src = spark.readStream.schema(polls.schema).option("recursiveFileLookup", True).parquet(f"{base}/polls")
+        detour_changes(src, forget_after_days=1).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint") \
+            .outputMode("append").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("agency", "id", "day", "detours", "late")
+
+
+ORACLE["q_stream_detours"] = with_feed("""
+SELECT agency, id, day, detours, false AS late FROM (
+  SELECT *, lag(detours) OVER w AS prev, lag(day) OVER w AS prev_day FROM (
+    SELECT agency, id, day, array_to_string(list_sort(list(DISTINCT CAST(CAST(json_extract_string(data, '$.k') AS INTEGER) % 2 AS VARCHAR))), ',') AS detours
+    FROM feed GROUP BY agency, id, day) WINDOW w AS (PARTITION BY agency, id ORDER BY day)
+) WHERE prev IS DISTINCT FROM detours OR day - prev_day > 1""")
+
+BREACH_LIMIT = 20
+
+
+@register
+def q_stream_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-09: the feed arrives in three parts cut in the middle of days, each streamed by a
+    query restarted from one checkpoint; every agency-day over 20 calls is told once, with the
+    call that first exceeded them."""
+    base = shared_dir(spark, "q_stream_breach")
+    events = read_table(spark, sf_dir, "events")
+    cuts = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-10 15:00:00", "2024-01-20 18:30:00")]
+    ts = F.col("ts").cast("timestamp_ntz")
+    for i, part in enumerate((ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1])):
+        events.where(part).write.parquet(f"{base}/events/run={i}")
+        s = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{base}/events")
+        quota_breaches(envelopes_from_events(s, TZ), F.col("event_id"), BREACH_LIMIT, tz=TZ).writeStream.format("parquet") \
+            .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True) \
+            .start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("agency", "day", F.col("call_id").alias("event_id"))
+
+
+ORACLE["q_stream_breach"] = with_feed("""
+SELECT agency, day, event_id FROM (
+  SELECT agency, day, event_id, row_number() OVER (PARTITION BY agency, day ORDER BY ts, event_id) AS n FROM feed) WHERE n = 21""")
+
+
 @register
 def q_stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-09: running calls per (agency, local day) on the events stream; each

@@ -49,17 +49,23 @@ def same_folder(a: str, b: str) -> Column:
     return out
 
 
-def spread(df: DataFrame, writers: DataFrame) -> DataFrame:
+def folder_writers(rows: DataFrame, keys: Sequence[str] = PARTITIONS, rows_per_writer: int = ROWS_PER_WRITER) -> DataFrame:
+    """How many tasks write each folder: one for every ``rows_per_writer`` rows (folder keys only are read)."""
+    return rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).cast("int").alias("_w"))
+
+
+def spread(df: DataFrame, writers: DataFrame, keys: Sequence[str] = PARTITIONS) -> DataFrame:
     """Deal rows to writers: ``writers`` has the folder keys and the number ``_w`` of tasks
     that write the folder; rows of a folder not in it go to one. Small folders are spread
     over all tasks of the shuffle, since each file costs the same whatever its size."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    w = writers.select(*[F.col(c).alias(f"_w_{c}") for c in PARTITIONS], "_w")
+    many = writers.where("_w > 1").select(*[F.col(c).alias(f"_w_{c}") for c in keys], "_w")
     same = F.lit(True)
-    for c in PARTITIONS:
+    for c in keys:
         same = same & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
-    salted = df.join(w, same, "left").withColumn("_salt", F.pmod(F.xxhash64("hash_id"), F.coalesce("_w", F.lit(1))))
-    return salted.repartition(n, *[F.col(c) for c in PARTITIONS], F.col("_salt")).select(*df.columns)
+    row = F.xxhash64("hash_id") if "hash_id" in df.columns else F.xxhash64(*df.columns)
+    salted = df.join(many, same, "left").withColumn("_salt", F.pmod(row, F.coalesce("_w", F.lit(1))))
+    return salted.repartition(n, *[F.col(c) for c in keys], F.col("_salt")).select(*df.columns)
 
 
 def wal_append(envelopes: DataFrame, root: str, tz: str = DEFAULT_TZ, rows_per_writer: int = ROWS_PER_WRITER) -> None:
@@ -68,7 +74,7 @@ def wal_append(envelopes: DataFrame, root: str, tz: str = DEFAULT_TZ, rows_per_w
     Rows are counted per folder first (folder keys only); a folder is written by one task
     for every ``rows_per_writer`` rows, so a hot stream-day is cut into many.
     """
-    writers = envelopes.groupBy(*PARTITIONS).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).cast("int").alias("_w"))
+    writers = folder_writers(envelopes, rows_per_writer=rows_per_writer)
     lines = envelopes.select(*PARTITIONS, "hash_id", wal_line(iso_ts_text("ts", tz), envelopes.columns).alias("value"))
     spread(lines, writers).select(*PARTITIONS, "value").write.mode("append").partitionBy(*PARTITIONS).text(root)
 
@@ -176,7 +182,7 @@ def compact_days(spark: SparkSession, landing: DataFrame, archive_root: str, as_
             held = log.groupBy(*PARTITIONS).agg(F.ceil(F.max("folder_rows") / rows_per_writer).cast("int").alias("_w"))
             writers = writers.unionByName(held).groupBy(*PARTITIONS).agg(F.sum("_w").cast("int").alias("_w"))
     else:
-        writers = closed.groupBy(*PARTITIONS).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).cast("int").alias("_w"))
+        writers = folder_writers(closed, rows_per_writer=rows_per_writer)
     out = spread(out, writers).sortWithinPartitions(*PARTITIONS, "ts")
     _write_parquet(out, archive_root, "overwrite", PARTITIONS)
     done = read_archive(spark, archive_root).alias("a").join(folders.alias("t"), same_folder("a", "t"), "left_semi") \

@@ -8,33 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlake.sources.lines import quoted_records, read_lines
+
 # pandas' default missing-value tokens (compat mode of SRC-05).
 PANDAS_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                       "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
-#: Tables worth a look at their quotes: they are the ones that gain from being read in splits.
-LARGE_TABLES = ("stop_times", "shapes")
-
-
-def lines_hold_whole_rows(spark: SparkSession, path: str) -> bool:
-    """True when no line has an odd number of quotes, so no quoted cell spans lines (one
-    distributed pass that stops at the first such line)."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
 
 def read_gtfs_table(spark: SparkSession, path: str, table: str | None = None,
                     null_tokens: Sequence[str] = ("",), multiline: bool | None = None) -> DataFrame:
     """SRC-05: CSV with header, every column STRING (no inference), BOM stripped, quoted
-    commas kept; cells equal to a null token become null.
+    commas and line feeds kept; cells equal to a null token become null.
 
-    ``multiLine`` keeps quoted newlines but prevents splitting a file. The big tables
-    (``stop_times``, ``shapes``) are read in parallel after a check that no quoted cell of
-    theirs spans lines.
+    A file is read in splits whatever its cells hold: record starts follow from the quotes
+    before each line (``quoted_records``), in one pass over the text. ``multiline`` uses
+    Spark's reader instead: ``False`` for files whose cells hold no line feeds, ``True`` for a
+    file read as a whole.
     """
-    ml = not (table in LARGE_TABLES and lines_hold_whole_rows(spark, path)) if multiline is None else multiline
-    df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", ml)
-          .option("escape", '"').option("encoding", "UTF-8").csv(path))
+    options = {"header": True, "inferSchema": False, "escape": '"', "encoding": "UTF-8"}
+    if multiline is None:
+        names = spark.read.options(**options).csv(path).columns
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        # The header is the first record of each file.
+        body = quoted_records(read_lines(spark, path)).where(~F.col("first") & ~F.col("record").rlike(r"^\s*$"))
+        cells = F.from_csv("record", F.lit(schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")),
+                           {"escape": '"', "multiLine": "true"})
+        df = body.select(cells.alias("c")).select("c.*").toDF(*names)
+    else:
+        df = spark.read.options(**options).option("multiLine", multiline).csv(path)
     df = df.toDF(*[c.lstrip("\ufeff").strip() for c in df.columns])
     toks = list(null_tokens)
     return df.select(*[F.when(F.col(c).isin(*toks) | F.col(c).isNull(), F.lit(None).cast("string"))

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.sources.lines import running_total
+
 
 def _strip(c):
     return F.regexp_replace(c, r"^\s+|\s+$", "")
@@ -46,9 +48,41 @@ def sse_frames(df: DataFrame, body_col: str = "body") -> DataFrame:
     return out.withColumn("ok", F.try_parse_json("payload").isNotNull())
 
 
+def sse_line_frames(lines: DataFrame) -> DataFrame:
+    """SRC-02, WIN-03 for segments of any size: one row per closed frame of a text file read
+    line by line (``lines.read_lines``): ``file``, ``frame_no``, ``event``, ``last_id`` (its ``id:``
+    field), ``payload``, ``ok``.
+
+    A frame's number is the count of blank lines before it, carried from split to split, so a
+    frame that a split border cuts is one frame; only the lines of one frame meet in a task.
+    Frames that a blank line does not close are dropped, as are those without data.
+    """
+    blank = F.col("value") == ""
+    numbered = running_total(lines, blank.cast("int"), "frame_no")
+    fields = numbered.where(blank | F.col("value").rlike("^(event|data|id):"))
+    frame = fields.groupBy("file", "frame_no").agg(
+        F.max(blank).alias("_closed"),
+        F.sort_array(F.collect_list(F.when(~blank, F.struct("block", "seq", "value")))).alias("_lines"))
+
+    def field(name: str):
+        hits = F.filter(F.transform("_lines", lambda x: x["value"]), lambda v: v.startswith(f"{name}:"))
+        return F.transform(hits, lambda v: _strip(F.substr(v, F.lit(len(name) + 2))))
+    data = field("data")
+    out = frame.where(F.col("_closed")).select(
+        "file", "frame_no", F.coalesce(F.try_element_at(field("event"), F.lit(-1)), F.lit("message")).alias("event"),
+        F.try_element_at(field("id"), F.lit(-1)).alias("last_id"),
+        F.when(F.size(data) > 0, F.array_join(data, "\n")).alias("payload")).where(F.col("payload").isNotNull())
+    return out.withColumn("ok", F.try_parse_json("payload").isNotNull())
+
+
 def sse_records(df: DataFrame, body_col: str = "body", keep_empty_reset: bool = False) -> DataFrame:
     """Records of closed, parsable frames: a list payload fans out (``item_no``)."""
-    fr = sse_frames(df, body_col).filter("ok")
+    return frame_records(sse_frames(df, body_col), keep_empty_reset)
+
+
+def frame_records(frames: DataFrame, keep_empty_reset: bool = False) -> DataFrame:
+    """Records of frames, whole cells' or lines': a list payload fans out (``item_no``)."""
+    fr = frames.filter("ok")
     v = F.try_parse_json("payload")
     arr = F.try_variant_get(v, "$", "array<variant>")
     items = F.transform(F.when(arr.isNotNull(), arr).otherwise(F.array(v)), lambda x: F.when(

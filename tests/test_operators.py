@@ -222,3 +222,34 @@ def test_id_extraction(spark):
     r = items.select(ID.detour_id(F.try_parse_json("j")).alias("d"),
                      ID.detour_routes(F.try_variant_get(F.try_parse_json("j"), "$.rt", "variant")).alias("r")).collect()
     assert (r[-1].d, list(r[-1].r)) == ("D9", ["5", "6"])
+
+
+def test_hour_grid_has_empty_days_and_hours_of_the_zone(spark):
+    from feedlake.operators.monitor import hour_grid, hourly_audit
+    rows = [("a", "2024-03-09 12:00:00"), ("a", "2024-03-09 12:59:59"), ("a", "2024-03-12 03:30:00"), ("b", "2024-11-03 05:30:00"),
+            ("b", "2024-11-03 06:30:00"), (None, "2024-03-09 00:10:00")]
+    df = spark.createDataFrame(rows, "s string, t string").selectExpr("s", "cast(t as timestamp_ntz) ts")
+    per = {(r.s, str(r.day)): (r.hours_with_rows, r.hours_missing, r.rows)
+           for r in hourly_audit(df, keys=("s",), tz="America/New_York", dense=True).collect()}
+    assert per == {("a", "2024-03-09"): (1, 23, 2), ("a", "2024-03-10"): (0, 23, 0), ("a", "2024-03-11"): (1, 23, 1),
+                   ("b", "2024-11-03"): (2, 23, 2), (None, "2024-03-08"): (1, 23, 1)}
+    grid = hour_grid(df, keys=("s",), tz="America/New_York").collect()
+    fall = [r for r in grid if r.s == "b"]
+    assert len(fall) == 25 and [r.hour for r in fall if r.rows] == ["01:00", "01:00"]
+    india = hour_grid(df.where("s = 'a'"), keys=("s",), tz="Asia/Kolkata").collect()
+    assert len(india) == 4 * 24 and {(str(r.hour_start), r.hour, r.rows) for r in india if r.rows} == {
+        ("2024-03-09 11:30:00", "17:00", 1), ("2024-03-09 12:30:00", "18:00", 1), ("2024-03-12 03:30:00", "09:00", 1)}
+    wide = hour_grid(df, keys=("s",), tz="UTC", first_day=F.lit("2024-01-01"), last_day=F.lit("2024-01-02")).collect()
+    assert len(wide) == 3 * 48 and not sum(r.rows for r in wide)
+    assert hour_grid(df.limit(0), keys=("s",)).count() == 0
+
+
+def test_distinct_sketches_merge_within_their_error(spark):
+    from feedlake.operators.coverage import approx_distinct, distinct_sketches, merge_sketches
+    df = spark.range(40_000).selectExpr("concat('A', id % 2) agency", "'s' stream", "date_add(date'2024-01-01', cast(id % 10 as int)) day",
+                                        "sha2(cast(id % 15000 as string), 256) hash_id")
+    daily = distinct_sketches(df)
+    merged = {r.agency: r.approx_unique for r in approx_distinct(merge_sketches(daily)).collect()}
+    exact = {r.agency: r[1] for r in df.groupBy("agency").agg(F.count_distinct("hash_id")).collect()}
+    assert merged.keys() == exact.keys() and all(abs(merged[a] - exact[a]) <= 0.049 * exact[a] for a in exact)
+    assert daily.count() == 10 and approx_distinct(distinct_sketches(df.limit(0))).count() == 0

@@ -55,3 +55,63 @@ def test_sse_framing_edges(spark):
     rec = sse_records(df).orderBy("frame_no", "item_no").select("event", F.to_json("record").alias("r")).collect()
     assert [(r.event, r.r) for r in rec] == [("reset", '{"id":1}'), ("reset", '{"id":2}'), ("message", '{"a":1}'),
                                              ("update", '{"id":3}')]
+
+
+def _small_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
+def _whole_splits(spark):
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        spark.conf.unset(key)
+
+
+def test_quoted_csv_is_read_in_splits(spark, tmp_path):
+    """Quoted commas, quotes and line feeds over split borders; the header once, blank lines and a
+    record of many lines; the text is scanned once."""
+    import csv
+
+    from feedlake.sources.gtfs import read_gtfs_table
+    rows = [(str(i), f'multi "q", {i}\n\nline\n' if i % 7 == 0 else f"plain {i}", "NA" if i % 5 == 0 else "") for i in range(900)]
+    rows.append(("900", "long\n" * 2000, "x"))
+    with open(tmp_path / "t.txt", "w", newline="", encoding="utf-8-sig") as f:
+        w = csv.writer(f, lineterminator="\r\n")
+        w.writerow(["id", "note ", "z"])
+        w.writerows(rows)
+        f.write("\r\n\r\n")
+    _small_splits(spark, 700)
+    try:
+        t = read_gtfs_table(spark, str(tmp_path / "t.txt"), "t", null_tokens=("", "NA"))
+        found = t.collect()
+        plan = t._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert spark.read.text(str(tmp_path / "t.txt")).rdd.getNumPartitions() > 20
+    finally:
+        _whole_splits(spark)
+    assert t.columns == ["id", "note", "z"]
+    assert sorted(map(tuple, found)) == sorted((i, n, None if z in ("", "NA") else z) for i, n, z in rows)
+    assert plan.count("FileScan text") == 1
+
+
+def test_event_stream_lines_equal_cells(spark, tmp_path):
+    """Frames cut by split borders, CRLF, multi-line data, comments and an unclosed tail."""
+    from feedlake.sources.lines import read_lines
+    from feedlake.sources.sse import frame_records, sse_line_frames, sse_records
+    frames = []
+    for i in range(200):
+        name = "" if i % 4 == 0 else f"event: e{i % 3}\n"
+        data = f'data: {{"i":\ndata: {i}}}\n' if i % 3 == 0 else f'data: [{{"i": {i}}}, {i}]\n' if i % 3 == 1 else "data: {bad\n"
+        frames.append(f": note\n{name}id: {i}\n{data}\n" + ("\n" if i % 11 == 0 else ""))
+    body = "".join(frames) + 'event: tail\ndata: {"tail": 1}\n'
+    (tmp_path / "a.txt").write_bytes(body.replace("\n", "\r\n").encode())
+    (tmp_path / "b.txt").write_bytes(body.encode())
+    _small_splits(spark, 300)
+    try:
+        rows = frame_records(sse_line_frames(read_lines(spark, str(tmp_path)))).collect()
+    finally:
+        _whole_splits(spark)
+    cells = sse_records(spark.createDataFrame([(body,)], "body string")).collect()
+    want = sorted((r.event, str(r.record)) for r in cells)
+    for name in ("a.txt", "b.txt"):
+        assert sorted((r.event, str(r.record)) for r in rows if r.file.endswith(name)) == want
+    assert {r.last_id for r in rows} == {str(i) for i in range(200) if i % 3 != 2}
