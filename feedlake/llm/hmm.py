@@ -7,11 +7,11 @@ probability (c + 1) / (N_class + V_class + 1) there, c its count in the training
 model gives every text a probability.
 
 * Word counts cover all training texts: tasks count, Spark sums by word.
-* The start model comes from a few rounds on a bounded sample (``WARM_TOKENS``); then
-  ``passes`` rounds of Baum-Welch run over all training texts: every task runs the
-  scaled forward-backward recursion on its sequences (cut to ``SEGMENT`` tokens for
-  training) and returns expected counts by symbol and state; Spark sums them, the driver
-  normalises a table of fixed size (symbols x states).
+* ``passes`` rounds of Baum-Welch run over all training texts: every task runs the
+  scaled forward-backward recursion on its whole sequences and returns expected counts by
+  symbol and state; Spark sums them, the driver normalises a table of fixed size (symbols
+  x states). A text of more than ``GROUP_TOKENS`` tokens keeps the forward state at every
+  ``BLOCK``-th token only and runs forward again inside each block on the way back.
 * Scoring runs the scaled forward recursion over the whole sequence in 64-bit floats.
 * Counts of words beyond the bounded dictionary (``DICTIONARY`` words) are looked up
   by a shuffle join, so the vocabulary may grow without limit.
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +41,11 @@ STATES = 8
 HEAD = 20_000
 CLASSES = 1024
 DICTIONARY = 200_000
-PASSES = 4
-WARM_TOKENS = 400_000
-WARM_ROUNDS = 15
-SEGMENT = 256
-GROUP_TOKENS = 200_000
+PASSES = 5
+BLOCK = 8192
+COUNT_BYTES = 24 << 20
+SLICE_BYTES = 1 << 20
+GROUP_TOKENS = 400_000
 KAPPA = 50.0
 END = b""
 LOG10 = math.log(10.0)
@@ -112,6 +113,9 @@ class Hmm:
         ones = np.ones(h)
         for g in groups(lengths):
             size = lengths[g]
+            if size[0] > GROUP_TOKENS:  # a group of its own
+                self.expect_long(flat[starts[g[0]]:starts[g[0]] + size[0]], counts)
+                continue
             active, off = lay_out(size)
             sym = by_step(flat, starts[g], size, off)
             b = self.b[sym]
@@ -138,6 +142,47 @@ class Hmm:
             counts.loglik += float(np.log(scale).sum())
 
 
+    def expect_long(self, sym: np.ndarray, counts: Counts, block: int = BLOCK) -> None:
+        """``expect`` of one very long sequence, in memory for one block of tokens."""
+        h, marks, loglik = len(self.pi), [], 0.0
+        x = self.pi
+        for at in range(0, len(sym), block):
+            marks.append(x)  # the state before the block's first emission
+            alpha, scale = self._along(x, sym[at:at + block])
+            loglik += float(np.log(scale).sum())
+            x = alpha[-1] @ self.a
+        beta, xi = np.ones(h), np.zeros((h, h))
+        for at in range((len(sym) - 1) // block * block, -1, -block):
+            part = sym[at:at + block]
+            alpha, scale = self._along(marks[at // block], part)
+            back = np.empty_like(alpha)
+            for t in range(len(part) - 1, -1, -1):
+                back[t] = beta
+                beta = self.a @ (self.b[part[t]] * beta / scale[t])
+            follow = self.b[part] * back / scale[:, None]
+            xi += alpha[:-1].T @ follow[1:]
+            if at:  # the step into this block
+                before, _ = self._along(marks[at // block - 1], sym[at - block:at])
+                xi += np.outer(before[-1], follow[0])
+            gamma = alpha * back
+            for k in range(h):
+                counts.b[:, k] += np.bincount(part, gamma[:, k], len(self.b))
+            if not at:
+                counts.pi += gamma[0]
+        counts.a += xi * self.a
+        counts.loglik += loglik
+
+    def _along(self, x: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scaled forward states and scales of a stretch that the state ``x`` enters."""
+        alpha, scale = np.empty((len(sym), len(x))), np.empty(len(sym))
+        for t, o in enumerate(sym):
+            y = x * self.b[o]
+            scale[t] = s = y.sum()
+            alpha[t] = y / s
+            x = alpha[t] @ self.a
+        return alpha, scale
+
+
 @dataclass
 class Counts:
     pi: np.ndarray
@@ -156,14 +201,6 @@ class Counts:
         return Hmm((self.pi + 1.0) / (self.pi + 1.0).sum(), a, b)
 
 
-def cut(lengths: np.ndarray, starts: np.ndarray, size: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of segments of at most ``size`` tokens."""
-    parts = -(-lengths // size)
-    k = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-    first = np.repeat(starts, parts) + k * size
-    return first, np.minimum(size, np.repeat(starts + lengths, parts) - first)
-
-
 def start_model(unigram: np.ndarray, states: int, seed: int = 7) -> Hmm:
     rng = np.random.default_rng(seed)
     b = unigram[:, None] * rng.gamma(1.0, 1.0, (len(unigram), states))
@@ -173,8 +210,21 @@ def start_model(unigram: np.ndarray, states: int, seed: int = 7) -> Hmm:
 
 # --- corpus counts ------------------------------------------------------------------------
 
-def count_words(texts: DataFrame, limit: int = 400_000) -> DataFrame:
-    """(word, n) over all rows of the one text column; END counts the texts."""
+def text_slices(texts: pa.Array, limit: int = SLICE_BYTES):
+    """Stretches of rows of about ``limit`` bytes, one row at least, as (start, length)."""
+    at, total = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > at and total + n > limit:
+            yield at, i - at
+            at, total = i, 0
+        total += n
+    if len(texts) > at:
+        yield at, len(texts) - at
+
+
+def count_words(texts: DataFrame, limit: int = COUNT_BYTES) -> DataFrame:
+    """(word, n) over all rows of the one text column; END counts the texts. A task holds
+    counts of about ``limit`` bytes and passes them on when they are full."""
     def run(it):
         c: Counter = Counter()
 
@@ -182,11 +232,11 @@ def count_words(texts: DataFrame, limit: int = 400_000) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())],
                                               ["word", "n"])
         for b in it:
-            for at in range(0, len(b), 512):
-                for t in b.column(0).slice(at, 512).to_pylist():
+            for at, n in text_slices(b.column(0)):
+                for t in b.column(0).slice(at, n).to_pylist():
                     c.update(ascii_words(t))
                     c[END] += 1
-                if len(c) > limit:
+                if 160 * len(c) > limit:
                     yield flush()
                     c.clear()
         if c:
@@ -265,30 +315,33 @@ def to_symbols(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         width = "<u2" if symbols <= 65536 else "<u4"
         ctx = TaskContext.get()
         row = (ctx.partitionId() if ctx else 0) << 36
-        rest_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
         for b in it:
-            for at in range(0, len(b), 512):
-                rows = []
-                for t in b.column(2).slice(at, 512).to_pylist():
+            for at, size in text_slices(b.column(2)):
+                rows, codes, rest_words, rest_n, rest_at = [], [], [], [], [0]
+                for t in b.column(2).slice(at, size).to_pylist():
                     words = ascii_words(t)
                     idx = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
                     sym = symbol_of[idx]
                     beyond = np.flatnonzero(idx < 0)
-                    rest = Counter([words[i] for i in beyond])
                     if len(beyond):
+                        rest = Counter([words[i] for i in beyond])
                         sym[beyond] = [1 + head + ending_class(words[i], classes) for i in beyond]
+                        rest_words += rest.keys()
+                        rest_n += rest.values()
+                    rest_at.append(len(rest_words))
                     in_class = sym[sym > head] - 1 - head
                     base = float(logs[idx].sum()) + end_log
                     word = float(logs[idx[idx >= head]].sum()) - float(class_log[in_class].sum())
-                    rows.append((row, len(words) + 1, int((idx >= 0).sum()) + (ends > 0), base, word,
-                                 np.append(sym, 0).astype(width).tobytes(),
-                                 [{"word": w, "n": k} for w, k in rest.items()]))
+                    rows.append((row, len(words) + 1, int((idx >= 0).sum()) + (ends > 0), base, word))
+                    codes.append(np.append(sym, 0).astype(width).tobytes())
                     row += 1
                 cols = list(zip(*rows))
+                rest = pa.ListArray.from_arrays(pa.array(rest_at, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(rest_words, pa.binary()), pa.array(rest_n, pa.int32())], ["word", "n"]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), b.column(0).slice(at, 512), b.column(1).slice(at, 512),
+                    [pa.array(cols[0], pa.int64()), b.column(0).slice(at, size), b.column(1).slice(at, size),
                      pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64()),
-                     pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.binary()), pa.array(cols[6], rest_type)],
+                     pa.array(cols[4], pa.float64()), pa.array(codes, pa.binary()), rest],
                     ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_log", "word_log", "symbols", "rest"])
 
     return docs.transform(map_arrow, run, schema)
@@ -296,8 +349,8 @@ def to_symbols(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 # --- training and scoring -------------------------------------------------------------------
 
-def flat_symbols(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(x, width) for x in column.to_pylist()]
+def flat_symbols(rows: list[bytes], width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [np.frombuffer(x, width) for x in rows]
     lengths = np.array([len(x) for x in parts], np.int64)
     return np.concatenate(parts) if parts else np.zeros(0, width), np.cumsum(lengths) - lengths, lengths
 
@@ -310,12 +363,22 @@ def expected_counts(seqs: DataFrame, model: Hmm) -> Counts:
 
     def run(it):
         counts = Counts.zeros(symbols, states)
-        for batch in it:
-            for at in range(0, len(batch), 2048):
-                flat, starts, lengths = flat_symbols(batch.column(0).slice(at, 2048), width)
-                if len(lengths):
-                    first, size = cut(lengths, starts)
-                    model.expect(flat, first, size, counts)
+        held: list[bytes] = []
+        size = 0
+
+        def learn():
+            nonlocal held, size
+            flat, starts, lengths = flat_symbols(held, width)
+            model.expect(flat, starts, lengths, counts)
+            held, size = [], 0
+        for batch in it:  # many sequences at once, so that those of like length run side by side
+            for x in batch.column(0).to_pylist():
+                held.append(x)
+                size += len(x)
+                if size > 2 * GROUP_TOKENS * np.dtype(width).itemsize:
+                    learn()
+        if held:
+            learn()
         seen = np.flatnonzero(counts.b.sum(1) > 0)
         extra = np.vstack([counts.a, counts.pi[None, :], np.full((1, states), counts.loglik)])
         key = np.concatenate([seen, -1 - np.arange(len(extra))])
@@ -339,24 +402,13 @@ def expected_counts(seqs: DataFrame, model: Hmm) -> Counts:
     return out
 
 
-def train(seqs: DataFrame, vocab: Vocabulary, states: int = STATES, passes: int = PASSES,
-          warm_tokens: int = WARM_TOKENS) -> Hmm:
-    """Baum-Welch over the training sequences: a warm start on a bounded sample, then whole passes."""
+def train(seqs: DataFrame, vocab: Vocabulary, states: int = STATES, passes: int = PASSES) -> Hmm:
+    """Baum-Welch over all training sequences, from a start that leans on the unigram."""
     unigram = vocab.unigram()
     model = start_model(unigram, states)
     if not vocab.total:
         return Counts.zeros(vocab.symbols, states).model(unigram)
     learn = seqs.where(~F.col("held_out"))
-    share = max(1, -(-vocab.total // warm_tokens))
-    width = "<u2" if vocab.symbols <= 65536 else "<u4"
-    sample = learn.where(F.pmod(F.xxhash64("row"), F.lit(share)) == 0).select("symbols").collect()
-    flat, starts, lengths = flat_symbols(pa.array([bytes(r[0]) for r in sample], pa.binary()), width)
-    if len(lengths):
-        first, size = cut(lengths, starts)
-        for _ in range(WARM_ROUNDS):
-            counts = Counts.zeros(vocab.symbols, states)
-            model.expect(flat, first, size, counts)
-            model = counts.model(unigram)
     for _ in range(passes):
         model = expected_counts(learn, model).model(unigram)
     return model
@@ -371,7 +423,7 @@ def score_sequences(seqs: DataFrame, model: Hmm) -> DataFrame:
         for batch in it:
             for at in range(0, len(batch), 2048):
                 part = batch.slice(at, 2048)
-                flat, starts, lengths = flat_symbols(part.column(7), width)
+                flat, starts, lengths = flat_symbols(part.column(7).to_pylist(), width)
                 logs = model.forward(flat, starts, lengths) / LOG10 if len(lengths) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([*part.columns[:7], pa.array(logs, pa.float64())], [*keep, "forward"])
 

@@ -31,7 +31,7 @@ from feedlake.llm.common import ByteCache, documents, map_arrow, tokenizer_path,
 
 SPACE = "▁"
 BLANK = "￿"  # stands for a literal U+2581 inside the automaton: in no piece
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 96 << 20
 LONG_CHUNK = 4096
 
 

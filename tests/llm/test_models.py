@@ -94,6 +94,11 @@ def test_baum_welch_counts_and_likelihood():
             for o, k in zip(s, z):
                 want[o, k] += p / total
     assert np.allclose(counts.b, want) and math.isclose(counts.a.sum(), (size - 1).sum())
+    long = hmm.Counts.zeros(3, 2)
+    for q in seqs:  # the blockwise form of very long sequences: the same counts
+        model.expect_long(q, long, block=2)
+    assert np.allclose(long.b, want) and np.allclose(long.a, counts.a) and np.allclose(long.pi, counts.pi)
+    assert math.isclose(long.loglik, counts.loglik)
     before = counts.loglik
     for _ in range(5):
         model = counts.model(np.full(3, 1 / 3), kappa=0.0)
