@@ -78,79 +78,128 @@ _NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
 _SURE_DIGITS, _SURE_EXPONENT = 15, 290
 
 
-def _scientific(text: Column, body) -> Column:
+# The rules below are SQL text, not Columns: the tree is large, and the session's parser builds it in one call.
+# Each function takes SQL expressions and gives one; variables of nested lambdas have names of their own.
+
+def _sql_let(value: str, name: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _sql_tokens(text: str, name: str, body: str) -> str:
+    return f"array_join(transform(regexp_extract_all({text}, r'{_TOKEN}', 0), {name} -> {body}), '')"
+
+
+def _sql_scientific(text: str, name: str, body) -> str:
     """``body(digits, exponent)`` of a number's text: significant digits without zeros at either
     end ('' for zero) and the power of ten of the first; exponent null beyond an int."""
-    whole = F.regexp_extract(text, r"^-?([0-9]+)", 1)
-    fraction = F.regexp_extract(text, r"\.([0-9]+)", 1)
-    power = F.coalesce(F.nullif(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1), F.lit("")), F.lit("0")).try_cast("int")
+    whole, fraction = f"regexp_extract({text}, r'^-?([0-9]+)', 1)", f"regexp_extract({text}, r'\\.([0-9]+)', 1)"
+    power = f"try_cast(coalesce(nullif(regexp_extract({text}, r'[eE]([+-]?[0-9]+)$', 1), ''), '0') AS INT)"
+    head = f"regexp_replace({name}a.v, '^0+', '')"
+    at = f"{name}a.w - 1 - (length({name}a.v) - length({head})) + CAST({name}a.p AS BIGINT)"
+    parts = f"named_struct('d', regexp_replace({head}, '0+$', ''), 'n', {at})"
+    return _sql_let(f"named_struct('v', concat({whole}, {fraction}), 'w', length({whole}), 'p', {power})", f"{name}a",
+                    _sql_let(parts, f"{name}b", body(f"{name}b.d", f"{name}b.n")))
 
-    def parts(x):
-        head = F.regexp_replace(x["all"], "^0+", "")
-        at = x["whole"] - 1 - (F.length(x["all"]) - F.length(head)) + x["power"].cast("bigint")
-        return let(F.struct(F.regexp_replace(head, "0+$", "").alias("d"), at.alias("n")), lambda y: body(y["d"], y["n"]))
-    return let(F.struct(F.concat(whole, fraction).alias("all"), F.length(whole).alias("whole"), power.alias("power")), parts)
 
-
-def _shortest(text: Column, body) -> Column:
-    """``body(digits, exponent)`` of the shortest text of the double that ``text`` reads as.
+def _sql_shortest(text: str, name: str, body) -> str:
+    """``body(digits, exponent)`` of the shortest text of the positive double that ``text`` reads as.
 
     The JVM may write one or two digits too many; a shorter text that reads as the same double is taken.
     """
-    def shorter(x):
-        def fewer(d, n):
-            def cut(k):
-                digits = F.round(d.cast("decimal(38,0)") / F.lit(10 ** k).cast("decimal(38,0)"), 0).cast("decimal(38,0)").cast("string")
-                return F.concat(digits, F.lit("e"), (n - F.length(d) + 1 + k).cast("string"))
-            same = [F.when((F.length(d) > k) & (F.abs(x) == cut(k).cast("double")), cut(k)) for k in (2, 1)]
-            return F.coalesce(*same, F.concat(d, F.lit("e"), (n - F.length(d) + 1).cast("string")))
-        return _scientific(_scientific(x.cast("string"), fewer), body)
-    return let(text.cast("double"), shorter)
-
-
-def _python_float(digits: Column, n: Column) -> Column:
+    x = f"{name}x"
+
+    def fewer(d, n):
+        def cut(k):
+            digits = f"CAST(CAST(round(CAST({d} AS DECIMAL(38,0)) / CAST({10 ** k} AS DECIMAL(38,0)), 0) AS DECIMAL(38,0)) AS STRING)"
+            return f"concat({digits}, 'e', CAST({n} - length({d}) + {1 + k} AS STRING))"
+        same = [f"CASE WHEN length({d}) > {k} AND {x} = CAST({cut(k)} AS DOUBLE) THEN {cut(k)} END" for k in (2, 1)]
+        return f"coalesce({', '.join(same)}, concat({d}, 'e', CAST({n} - length({d}) + 1 AS STRING)))"
+    return _sql_let(f"abs(CAST({text} AS DOUBLE))", x,
+                    _sql_let(_sql_scientific(f"CAST({x} AS STRING)", f"{name}s", fewer), f"{name}t",
+                             _sql_scientific(f"{name}t", f"{name}u", body)))
+
+
+def _sql_python_float(d: str, n: str) -> str:
     """Text of a positive float as Python's ``repr`` lays it out: plain from 1e-4 to 1e16."""
-    size = F.length(digits)
-    at = n.cast("int")
-    large = F.when(size <= at + 1, F.concat(F.rpad(digits, at + 1, F.lit("0")), F.lit(".0"))) \
-        .otherwise(F.concat(F.substr(digits, F.lit(1), at + 1), F.lit("."), F.substr(digits, at + 2)))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -at - 1), digits)
-    mantissa = F.concat(F.substr(digits, F.lit(1), F.lit(1)),
-                        F.when(size > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")))
-    power = F.concat(F.when(n < 0, F.lit("e-")).otherwise(F.lit("e+")),
-                     F.when(F.abs(n) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(n).cast("string"))
-    return F.when((n >= 0) & (n < 16), large).when((n < 0) & (n >= -4), small).otherwise(F.concat(mantissa, power))
+    at = f"CAST({n} AS INT)"
+    large = (f"CASE WHEN length({d}) <= {at} + 1 THEN concat(rpad({d}, {at} + 1, '0'), '.0') "
+             f"ELSE concat(substr({d}, 1, {at} + 1), '.', substr({d}, {at} + 2)) END")
+    small = f"concat('0.', repeat('0', -{at} - 1), {d})"
+    wide = (f"concat(substr({d}, 1, 1), CASE WHEN length({d}) > 1 THEN concat('.', substr({d}, 2)) ELSE '' END, "
+            f"CASE WHEN {n} < 0 THEN 'e-' ELSE 'e+' END, CASE WHEN abs({n}) < 10 THEN '0' ELSE '' END, CAST(abs({n}) AS STRING))")
+    return f"CASE WHEN {n} >= 0 AND {n} < 16 THEN {large} WHEN {n} < 0 AND {n} >= -4 THEN {small} ELSE {wide} END"
 
 
-def python_number(text) -> Column:
-    """A JSON number's text -> the text that Python's ``json`` gives it back as: integers digit by
-    digit, floats as the shortest text of their double (``1.50`` -> ``1.5``, ``1E5`` -> ``100000.0``)."""
-    def body(t):
-        sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-        sure = _scientific(t, lambda d, n: F.when(d == "", F.lit("0.0")).when(
-            (F.length(d) <= _SURE_DIGITS) & (F.abs(n) <= _SURE_EXPONENT), _python_float(d, n)))
-        value = F.abs(t.cast("double"))
-        unsure = F.when(value == float("inf"), F.lit("Infinity")).when(value == 0.0, F.lit("0.0")).otherwise(_shortest(t, _python_float))
-        return F.when(t.rlike("^-?0$"), F.lit("0")).when(t.rlike("^-?[0-9]+$"), t).otherwise(F.concat(sign, F.coalesce(sure, unsure)))
-    return let(_c(text), body)
+def _sql_python_number(text: str, name: str) -> str:
+    sure = _sql_scientific(text, f"{name}q", lambda d, n: f"CASE WHEN {d} = '' THEN '0.0' WHEN length({d}) <= {_SURE_DIGITS} "
+                           f"AND abs({n}) <= {_SURE_EXPONENT} THEN {_sql_python_float(d, n)} END")
+    unsure = (f"CASE WHEN abs(CAST({text} AS DOUBLE)) = CAST('Infinity' AS DOUBLE) THEN 'Infinity' WHEN CAST({text} AS DOUBLE) = 0D THEN '0.0' "
+              f"ELSE {_sql_shortest(text, f'{name}r', _sql_python_float)} END")
+    sign = f"CASE WHEN startswith({text}, '-') THEN '-' ELSE '' END"
+    return (f"CASE WHEN {text} RLIKE '^-?0$' THEN '0' WHEN {text} RLIKE '^-?[0-9]+$' THEN {text} "
+            f"ELSE concat({sign}, coalesce({sure}, {unsure})) END")
 
 
-def _tokens(text: Column, body) -> Column:
-    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), body), "")
+def _sql_lower_escapes(text: str, name: str) -> str:
+    """``lower_unicode_escapes`` as SQL."""
+    parts = (f"array_join(transform(regexp_extract_all({name}, r'(?s)\\\\u00[01][A-F]|\\\\.|[^\\\\]++', 0), {name}p -> "
+             f"CASE WHEN {name}p RLIKE r'^\\\\u00[01][A-F]$' THEN lower({name}p) ELSE {name}p END), '')")
+    return _sql_let(text, name, f"CASE WHEN {name} RLIKE r'\\\\u00[01][A-F]' THEN {parts} ELSE {name} END")
 
 
-def _sorted_with_numbers(text: Column) -> Column:
+def _sql_sorted_with_numbers(text: str) -> str:
     """Key-sorted compact JSON with every number as Python writes it. Strings (keys too) are marked
     ``s`` and numbers become strings marked ``n`` on the way through the variant."""
-    def hold(x):
-        string = F.regexp_replace(F.regexp_replace(F.substr(x, F.lit(2)), _ESCAPED_PAIR, r"$1\\uffff$2"), _BEYOND, "\uffff$0")
-        return F.when(x.startswith('"'), F.concat(F.lit('"s'), string)).otherwise(F.regexp_replace(x, _NUMBER, '"n$0"'))
+    string = f"regexp_replace(regexp_replace(substr(h, 2), r'{_ESCAPED_PAIR}', r'$1\\\\uffff$2'), r'{_BEYOND}', '\\uffff$0')"
+    hold = f"CASE WHEN startswith(h, '\"') THEN concat('\"s', {string}) ELSE regexp_replace(h, r'{_NUMBER}', '\"n$0\"') END"
+    back = f"concat('\"', regexp_replace(substr(g, 3), concat('\\uffff', r'({_BEYOND})'), '$1'))"
+    number = _sql_let("substr(g, 3, length(g) - 3)", "m", _sql_python_number("m", "m"))
+    release = f"CASE WHEN startswith(g, '\"s') THEN {back} WHEN startswith(g, '\"n') THEN {number} ELSE g END"
+    sorted_text = _sql_lower_escapes(f"to_json(try_parse_json({_sql_tokens(text, 'h', hold)}))", "e")
+    return _sql_tokens(sorted_text, "g", release)
+
+
+def _sql_ascii(text: str, name: str) -> str:
+    """``ascii_escape`` as SQL."""
+    escaped = (f"array_join(transform(regexp_extract_all({name}, r'[ -~]++|[^ -~]', 0), {name}p -> CASE WHEN {name}p RLIKE r'^[ -~]' THEN {name}p "
+               f"ELSE regexp_replace(lower(hex(encode({name}p, 'UTF-16BE'))), r'(.{{4}})', r'\\\\u$1') END), '')")
+    return _sql_let(text, name, f"CASE WHEN {name} RLIKE r'[^ -~]' THEN {escaped} ELSE {name} END")
+
 
-    def release(x):
-        string = F.regexp_replace(F.substr(x, F.lit(3)), f"\uffff({_BEYOND})", "$1")
-        return F.when(x.startswith('"s'), F.concat(F.lit('"'), string)) \
-            .when(x.startswith('"n'), python_number(F.substr(x, F.lit(3), F.length(x) - 3))).otherwise(x)
-    return _tokens(lower_unicode_escapes(F.to_json(F.try_parse_json(_tokens(text, hold)))), release)
+def _sql_string_json(value: str, name: str) -> str:
+    """A value as a JSON string literal, null as ``null``."""
+    literal = _sql_let(f"to_json(named_struct('v', {value}))", f"{name}j", f"substr({name}j, 6, length({name}j) - 6)")
+    return f"CASE WHEN {value} IS NULL THEN 'null' ELSE {_sql_ascii(_sql_lower_escapes(literal, f'{name}l'), f'{name}a')} END"
+
+
+def _sql_payload(value: str, name: str) -> str:
+    """Canonical text of a payload, of one that is no JSON as a JSON string; null as ``null``."""
+    sorted_text = _sql_ascii(_sql_let(value, "doc", _sql_sorted_with_numbers("doc")), f"{name}s")
+    return f"CASE WHEN try_parse_json({value}) IS NOT NULL THEN {sorted_text} ELSE {_sql_string_json(value, name)} END"
+
+
+def _sql_line(with_metadata: bool) -> str:
+    """The text that IDN-03 hashes, of a struct of its fields."""
+    parts = [("agency", _sql_string_json), ("data", _sql_payload), ("endpoint", _sql_string_json), ("event", _sql_string_json),
+             *([("metadata", _sql_payload)] if with_metadata else []), ("stream", _sql_string_json)]
+    text = ", ".join(f"'{',' if i else '{'}\"{name}\":', {rule(f'r.{name}', f'v{i}')}" for i, (name, rule) in enumerate(parts))
+    return f"r -> concat({text}, '}}')"
+
+
+_NUMBER_RULE = "t -> " + _sql_python_number("t", "t")
+_SORTED_RULE = "doc -> " + _sql_sorted_with_numbers("doc")
+_LINE_RULES = {flag: _sql_line(flag) for flag in (True, False)}
+
+
+def _apply(rule: str, value: Column) -> Column:
+    """A rule (a lambda in SQL text) on one value."""
+    return F.element_at(F.call_function("transform", F.array(value), F.expr(rule)), 1)
+
+
+def python_number(text) -> Column:
+    """A JSON number's text -> the text that Python's ``json`` gives it back as: integers digit by
+    digit, floats as the shortest text of their double (``1.50`` -> ``1.5``, ``1E5`` -> ``100000.0``)."""
+    return _apply(_NUMBER_RULE, _c(text))
 
 
 def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure_ascii: bool = True) -> Column:
@@ -165,7 +214,7 @@ def canonical_json(col, style: str = "compact", is_variant: bool = False, ensure
     v = _c(col) if is_variant else as_variant(col)
     out = lower_unicode_escapes(F.to_json(v))
     if not is_variant:
-        out = F.when(v.isNotNull() & _c(col).rlike(_TELLING), _sorted_with_numbers(_c(col))).otherwise(out)
+        out = F.when(v.isNotNull() & _c(col).rlike(_TELLING), _apply(_SORTED_RULE, _c(col))).otherwise(out)
     if ensure_ascii:
         out = ascii_escape(out)
     if style == "python":
@@ -225,20 +274,11 @@ def event_hash_struct(agency, stream, event, endpoint, data, metadata=None,
     telling = F.coalesce(_c(data).rlike(_TELLING), F.lit(False))
     if metadata is not None:
         telling = telling | F.coalesce(_c(metadata).rlike(_TELLING), F.lit(False))
-    # Payloads with numbers whose spelling counts enter as text: the rest of the line is built around them.
-    line = [F.lit('{"agency":'), _string_json(_c(agency)), F.lit(',"data":'), F.coalesce(payload_json(data), F.lit("null")),
-            F.lit(',"endpoint":'), _string_json(F.coalesce(_c(endpoint).cast("string"), F.lit(""))),
-            F.lit(',"event":'), _string_json(_c(event))]
-    if with_metadata:
-        line += [F.lit(',"metadata":'), F.lit("null") if metadata is None else F.coalesce(payload_json(metadata), F.lit("null"))]
-    line += [F.lit(',"stream":'), _string_json(_c(stream)), F.lit("}")]
-    return F.sha2(F.when(telling, F.concat(*line)).otherwise(plain), 256)
-
-
-def _string_json(col: Column) -> Column:
-    """A value as a JSON string literal, null as ``null``."""
-    text = col.cast("string")
-    return F.when(text.isNull(), F.lit("null")).otherwise(ascii_escape(lower_unicode_escapes(json_string(text))))
+    # Payloads whose numbers must keep their text: the line is built as text around them.
+    fields = {"agency": _c(agency), "data": _c(data), "endpoint": F.coalesce(_c(endpoint).cast("string"), F.lit("")), "event": _c(event),
+              "metadata": F.lit(None) if metadata is None else _c(metadata), "stream": _c(stream)}
+    line = _apply(_LINE_RULES[with_metadata], F.struct(*[c.cast("string").alias(name) for name, c in fields.items()]))
+    return F.sha2(F.when(telling, line).otherwise(plain), 256)
 
 
 def error_hash(agency, ts_text, message) -> Column:
