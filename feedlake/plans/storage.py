@@ -268,7 +268,7 @@ def q_stream_detours(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = feed_envelopes(spark, sf_dir, TZ).withColumn(
         "k", (F.try_variant_get(F.try_parse_json("data"), "$.k", "int") % 2).cast("string"))
     polls = id_set(f, ["agency", "id", "day"], "k", "s").select("agency", "id", "day", F.array_join("s", ",").alias("detours"))
-    half = F.col("day") < F.lit("2024-01-15").cast("date")
+    half = F.coalesce(F.col("day") < F.lit("2024-01-15").cast("date"), F.lit(False))  # no day: second run
     for i, part in enumerate((half, ~half)):
         polls.where(part).write.parquet(f"{base}/polls/run={i}")
         src = spark.readStream.schema(polls.schema).option("recursiveFileLookup", True).parquet(f"{base}/polls")
@@ -296,7 +296,7 @@ def q_stream_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
     cuts = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-10 15:00:00", "2024-01-20 18:30:00")]
     ts = F.col("ts").cast("timestamp_ntz")
-    for i, part in enumerate((ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1])):
+    for i, part in enumerate((ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), (ts >= cuts[1]) | ts.isNull())):
         events.where(part).write.parquet(f"{base}/events/run={i}")
         s = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{base}/events")
         quota_breaches(envelopes_from_events(s, TZ), F.col("event_id"), BREACH_LIMIT, tz=TZ).writeStream.format("parquet") \

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORES = "org.apache.spark.sql.execution.streaming.state."
+
 # Settings every feedlake job relies on. Instants are TIMESTAMP with the session
 # zone pinned to UTC; local days are derived explicitly with a named zone.
 BASE_CONF = {
@@ -19,8 +22,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: f"{STATE_STORES}RocksDBStateStoreProvider",
 }
 
 
@@ -46,6 +48,14 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ensure_keyed_state(spark: SparkSession) -> None:
+    """``transformWithState`` keeps several column families, which Spark's default state store lacks:
+    streams that the session starts from here on keep their state in RocksDB. A store that was
+    chosen is left, and a restarted query keeps the one that its checkpoint names."""
+    if spark.conf.get(STATE_STORE) == f"{STATE_STORES}HDFSBackedStateStoreProvider":
+        spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 

@@ -19,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 from feedlake.functions.scalars import from_local
 from feedlake.operators.monitor import DAILY_CALL_QUOTA
 from feedlake.schema import DEFAULT_TZ
+from feedlake.session import ensure_keyed_state
 
 CHANGE_SCHEMA = "agency string, id string, day date, detours string, late boolean"
 DAY_MS = 86_400_000
@@ -43,6 +44,10 @@ class DetourMemory(StatefulProcessor):
         last_day, last_set, last_ms = self.last.get() if known else (None, None, None)
         polls, out = pd.concat(parts).sort_values("day", kind="stable"), []
         for day, detours, at_ms in zip(polls["day"], polls["detours"], polls["at_ms"]):
+            if pd.isna(day):  # sorted behind the others, told against the last set; the state stays
+                if last_day is None or detours != last_set:
+                    out.append((*key, None, detours, False))
+                continue
             if last_day is not None and day <= last_day:
                 if detours != last_set:  # older than the last one seen: told apart, the state stays
                     out.append((*key, day, detours, True))
@@ -51,8 +56,9 @@ class DetourMemory(StatefulProcessor):
             if last_day is None or gone or detours != last_set:
                 out.append((*key, day, detours, False))
             last_day, last_set, last_ms = day, detours, int(at_ms)
-        self.last.update((last_day, last_set, last_ms))
-        if not known:
+        if last_day is not None:
+            self.last.update((last_day, last_set, last_ms))
+        if last_day is not None and not known:
             self.handle.registerTimer(last_ms)
         if out:
             yield pd.DataFrame(out, columns=["agency", "id", "day", "detours", "late"])
@@ -76,10 +82,12 @@ def detour_changes(polls: DataFrame, forget_after_days: int | None = None, retir
     A route seen for the first time counts as changed; a route that vanishes is not reported,
     and with ``forget_after_days`` one that comes back after a longer gap counts as changed
     whatever its set. A poll older than the last one seen whose set differs from it comes out
-    with ``late`` true and leaves the state as it is. The watermark runs ``retire_days``
+    with ``late`` true and leaves the state as it is, as does a poll without a day, which comes
+    out if its set differs from the last one seen. The watermark runs ``retire_days``
     behind the newest poll: polls before it are left out, and the state of a route whose
     last poll it passes is dropped.
     """
+    ensure_keyed_state(polls.sparkSession)
     at = F.col("day").cast("timestamp")
     timed = polls.select("agency", "id", "day", "detours", at.alias("poll_at"), F.unix_millis(at).alias("at_ms")) \
         .withWatermark("poll_at", f"{retire_days} days")
@@ -106,15 +114,15 @@ class QuotaWatch(StatefulProcessor):
             if not len(part):
                 continue
             total += len(part)
-            end_ms = int(part["end_ms"].iloc[0])
+            end_ms = part["end_ms"].iloc[0]
             if room >= 0:  # the first calls in time order, one more than the room
                 first = part if first is None else pd.concat([first, part])
                 first = first.sort_values(self.order, kind="stable").head(room + 1)
         if not total:
             return
         self.calls.update((before + total,))
-        if not known:
-            self.handle.registerTimer(end_ms + self.delay_ms)
+        if not known and not pd.isna(end_ms):  # calls without a time are a day that does not end
+            self.handle.registerTimer(int(end_ms) + self.delay_ms)
         if room >= 0 and total > room:
             call = first.iloc[[room]]
             yield pd.DataFrame({"agency": [key[0]], "day": [key[1]], "ts": call["ts"].to_numpy(), "call_id": call["call_id"].to_numpy(),
@@ -137,6 +145,7 @@ def quota_breaches(stream: DataFrame, call_id: Column, limit: int = DAILY_CALL_Q
     behind the newest call, passes the day's end by as much again, and calls later than that
     are left out, so a day is told once however often the query is restarted.
     """
+    ensure_keyed_state(stream.sparkSession)
     end = F.unix_millis(from_local(F.date_add("day", 1).cast("timestamp_ntz"), tz).cast("timestamp"))
     calls = stream.select("agency", "day", F.col("ts").cast("timestamp").alias("ts"), call_id.alias("call_id"), end.alias("end_ms"))
     id_type = dict(calls.dtypes)["call_id"]

@@ -132,3 +132,30 @@ def test_breach_is_told_once_over_restarts(spark):
         _run(spark, quota_breaches(s.withColumn("day", F.to_date("ts")), F.col("call"), limit=5, tz="UTC"), base)
     got = sorted((r.agency, str(r.day), r.call_id, r.quota) for r in spark.read.parquet(f"{base}/out").collect())
     assert got == [("A", "2024-01-05", 11, 5), ("B", "2024-01-06", 65, 5)]
+
+
+def test_keyed_state_in_a_session_with_the_default_state_store(spark):
+    """STR-08/09: a session without RocksDB as its state store (Spark's default) runs both monitors;
+    polls without a day and calls without a time are told too."""
+    from feedlake.session import STATE_STORE, STATE_STORES
+    from feedlake.streaming.changes import detour_changes, quota_breaches
+    s = spark.newSession()
+    s.conf.set("spark.sql.session.timeZone", "UTC")
+    s.conf.set("spark.sql.shuffle.partitions", "2")
+    s.conf.set(STATE_STORE, f"{STATE_STORES}HDFSBackedStateStoreProvider")
+    base = shared_dir(spark, "test_default_store")
+    polls = [("A", "1", "2024-01-01", "x"), ("A", "1", "2024-01-02", "x"), ("A", "1", None, "y"), ("B", "2", None, "z")]
+    s.createDataFrame(polls, "agency string, id string, d string, detours string") \
+        .selectExpr("agency", "id", "cast(d as date) day", "detours").write.parquet(f"{base}/polls")
+    src = s.readStream.schema("agency string, id string, day date, detours string").parquet(f"{base}/polls")
+    _run(s, detour_changes(src), f"{base}/detours")
+    got = sorted((r.id, str(r.day), r.detours, r.late) for r in s.read.parquet(f"{base}/detours/out").collect())
+    assert got == [("1", "2024-01-01", "x", False), ("1", "None", "y", False), ("2", "None", "z", False)]
+    s.conf.set(STATE_STORE, f"{STATE_STORES}HDFSBackedStateStoreProvider")
+    calls = [(i, "A", f"2024-01-05 10:00:{i:02d}") for i in range(4)] + [(i, "B", None) for i in range(5, 9)]
+    s.createDataFrame(calls, "call bigint, agency string, t string") \
+        .selectExpr("call", "agency", "cast(t as timestamp) ts").write.parquet(f"{base}/calls")
+    src = s.readStream.schema("call bigint, agency string, ts timestamp").parquet(f"{base}/calls")
+    _run(s, quota_breaches(src.withColumn("day", F.to_date("ts")), F.col("call"), limit=2, tz="UTC"), f"{base}/breach")
+    got = sorted((r.agency, str(r.day), r.call_id) for r in s.read.parquet(f"{base}/breach/out").collect())
+    assert got == [("A", "2024-01-05", 2), ("B", "None", 7)]
