@@ -58,8 +58,8 @@ def sse_line_frames(lines: DataFrame) -> DataFrame:
     Frames that a blank line does not close are dropped, as are those without data.
     """
     blank = F.col("value") == ""
-    numbered = running_total(lines, blank.cast("int"), "frame_no")
-    fields = numbered.where(blank | F.col("value").rlike("^(event|data|id):"))
+    telling = lines.where(blank | F.col("value").rlike("^(event|data|id):"))  # other lines count for no frame
+    fields = running_total(telling, blank.cast("int"), "frame_no")
     frame = fields.groupBy("file", "frame_no").agg(
         F.max(blank).alias("_closed"),
         F.sort_array(F.collect_list(F.when(~blank, F.struct("block", "seq", "value")))).alias("_lines"))

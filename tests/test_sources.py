@@ -115,3 +115,22 @@ def test_event_stream_lines_equal_cells(spark, tmp_path):
     for name in ("a.txt", "b.txt"):
         assert sorted((r.event, str(r.record)) for r in rows if r.file.endswith(name)) == want
     assert {r.last_id for r in rows} == {str(i) for i in range(200) if i % 3 != 2}
+
+
+def test_running_total_deals_a_split_to_many_windows(spark, monkeypatch, tmp_path):
+    """SRC-02/05: a split's lines are numbered in short stretches, each a window of its own; the total
+    runs through them, and one line begins each file."""
+    from pyspark.sql import functions as F
+    from feedlake.sources import lines as L
+    monkeypatch.setattr(L, "STRETCH_BITS", 2)
+    files = {"a.txt": [str(i % 3) for i in range(23)], "b.txt": ["5", "0", "7"], "c.txt": ["1"]}
+    for name, rows in files.items():
+        (tmp_path / name).write_text("\n".join(rows) + "\n")
+    got = L.running_total(L.read_lines(spark, str(tmp_path)), F.col("value").cast("int"), "before", first="first")
+    rows = sorted((r.file.rsplit("/", 1)[1], r.seq, int(r.value), r.before, r.first) for r in got.collect())
+    for name, values in files.items():
+        mine, past = [r for r in rows if r[0] == name], 0
+        assert [r[2] for r in mine] == [int(v) for v in values]
+        for i, r in enumerate(mine):
+            assert (r[3], r[4]) == (past, i == 0)
+            past += r[2]
