@@ -26,7 +26,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import ascii_words, documents, id_bucket, map_arrow, written
+from feedlake.llm.words import _buffers
 
 STATES = 8
 HEAD = 20_000
@@ -43,6 +44,8 @@ CLASSES = 1024
 DICTIONARY = 200_000
 PASSES = 5
 BLOCK = 8192
+#: A state's probability falls by 1e-23 a step at worst (a word of 1 in 1e12 tokens): 8 steps stay far from underflow.
+SCALE_STEPS = 8
 COUNT_BYTES = 24 << 20
 SLICE_BYTES = 1 << 20
 GROUP_TOKENS = 400_000
@@ -80,6 +83,15 @@ def groups(lengths: np.ndarray, limit: int = GROUP_TOKENS):
         at = end
 
 
+def walk(active: np.ndarray, off: np.ndarray):
+    """For each step the number of sequences, where it begins, and the first sequence whose forward states are
+    scaled there: all of them at every ``SCALE_STEPS``-th step, else those that end (they are the last ones)."""
+    first = np.append(active[1:], 0)
+    first[SCALE_STEPS - 1::SCALE_STEPS] = 0
+    for at in range(0, len(active), BLOCK):
+        yield from zip(*(x[at:at + BLOCK].tolist() for x in (active, off[:-1], first)))
+
+
 @dataclass
 class Hmm:
     pi: np.ndarray  # states
@@ -93,18 +105,17 @@ class Hmm:
         for g in groups(lengths):
             size = lengths[g]
             active, off = lay_out(size)
-            sym = by_step(flat, starts[g], size, off)
-            logs = np.empty(len(sym))
-            alpha = None
-            for t, n in enumerate(active):
-                lo = off[t]
-                alpha = (self.pi if alpha is None else alpha[:n] @ self.a) * self.b[sym[lo:lo + n]]
-                scale = alpha @ ones
-                alpha /= scale[:, None]
-                logs[lo:lo + n] = scale
-            np.log(logs, out=logs)
-            rank = np.arange(len(logs)) - np.repeat(off[:-1], active)
-            out[g] = np.bincount(rank, logs, len(g))
+            sym = by_step(flat, starts[g], size, off).astype(np.intp)
+            logs, alpha = np.zeros(len(g)), None
+            for n, lo, first in walk(active, off):
+                x = self.b.take(sym[lo:lo + n], axis=0, mode="clip")
+                x *= self.pi if alpha is None else alpha[:n] @ self.a
+                alpha = x
+                if first < n:
+                    scale = alpha[first:] @ ones
+                    alpha[first:] /= scale[:, None]
+                    logs[first:n] += np.log(scale)
+            out[g] = logs
         return out
 
     def expect(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, counts: Counts) -> None:
@@ -117,30 +128,34 @@ class Hmm:
                 self.expect_long(flat[starts[g[0]]:starts[g[0]] + size[0]], counts)
                 continue
             active, off = lay_out(size)
-            sym = by_step(flat, starts[g], size, off)
-            b = self.b[sym]
-            alpha, scale = np.empty_like(b), np.empty(len(sym))
-            for t, n in enumerate(active):
-                lo = off[t]
-                x = (alpha[off[t - 1]:off[t - 1] + n] @ self.a if t else self.pi) * b[lo:lo + n]
-                scale[lo:lo + n] = s = x @ ones
-                np.divide(x, s[:, None], out=alpha[lo:lo + n])
-            beta = np.ones_like(b)
-            b /= scale[:, None]
-            xi = np.zeros((h, h))
+            sym = by_step(flat, starts[g], size, off).astype(np.intp)
+            b, alpha, beta = (counts.rows(i, len(sym)) for i in range(3))
+            np.take(self.b, sym, axis=0, out=b, mode="clip")
+            steps, last = list(walk(active, off)), None
+            for n, lo, first in steps:
+                x = alpha[lo:lo + n]
+                np.multiply(self.pi if last is None else last[:n] @ self.a, b[lo:lo + n], out=x)
+                last = x
+                if first < n:
+                    scale = x[first:] @ ones
+                    x[first:] /= scale[:, None]
+                    b[lo + first:lo + n] /= scale[:, None]
+                    counts.loglik += float(np.log(scale).sum())
+            beta[:] = 1.0
             back = np.ascontiguousarray(self.a.T)
-            for t in range(len(active) - 1, 0, -1):
-                n, lo, up = active[t], off[t], off[t - 1]
-                x = b[lo:lo + n] * beta[lo:lo + n]
-                xi += alpha[up:up + n].T @ x
-                beta[up:up + n] = x @ back
+            for (n, lo, _), (_, up, _) in zip(steps[:0:-1], steps[-2::-1]):
+                x = b[lo:lo + n]
+                x *= beta[lo:lo + n]
+                np.matmul(x, back, out=beta[up:up + n])
+            xi, before = np.zeros((h, h)), np.arange(off[1], len(sym)) - np.repeat(active[:-1], active[1:])
+            for at in range(0, len(before), BLOCK):
+                prev = alpha.take(before[at:at + BLOCK], axis=0)
+                xi += prev.T @ b[off[1] + at:off[1] + at + len(prev)]
             alpha *= beta
             counts.pi += alpha[:active[0]].sum(0)
             counts.a += xi * self.a
             for k in range(h):
                 counts.b[:, k] += np.bincount(sym, alpha[:, k], len(self.b))
-            counts.loglik += float(np.log(scale).sum())
-
 
     def expect_long(self, sym: np.ndarray, counts: Counts, block: int = BLOCK) -> None:
         """``expect`` of one very long sequence, in memory for one block of tokens."""
@@ -189,6 +204,13 @@ class Counts:
     a: np.ndarray
     b: np.ndarray
     loglik: float = 0.0
+    room: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def rows(self, name: int, n: int) -> np.ndarray:
+        """``n`` rows of states to work in; their memory is kept from group to group."""
+        if len(self.room.get(name, ())) < n:
+            self.room[name] = np.empty((max(n, GROUP_TOKENS), len(self.pi)))
+        return self.room[name][:n]
 
     @staticmethod
     def zeros(symbols: int, states: int) -> Counts:
@@ -222,6 +244,21 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES):
         yield at, len(texts) - at
 
 
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words of all texts in a row (as ``ascii_words``): number of each text, codes, and the distinct words they stand for."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    coded = split.flatten().dictionary_encode()
+    offsets, raw = _buffers(coded.dictionary)
+    cuts, whole = offsets.tolist(), raw.tobytes()
+    words, codes = [whole[a:z] for a, z in zip(cuts, cuts[1:])], coded.indices.to_numpy()
+    lengths = split.value_lengths().to_numpy().astype(np.int64)
+    if b"" in words:  # before or behind white space
+        real = codes != words.index(b"")
+        ends = np.concatenate([[0], np.cumsum(real)])[np.cumsum(lengths)]
+        lengths, codes = np.diff(ends, prepend=0), codes[real]
+    return lengths, codes, words
+
+
 def count_words(texts: DataFrame, limit: int = COUNT_BYTES) -> DataFrame:
     """(word, n) over all rows of the one text column; END counts the texts. A task holds
     counts of about ``limit`` bytes and passes them on when they are full."""
@@ -318,21 +355,26 @@ def to_symbols(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         for b in it:
             for at, size in text_slices(b.column(2)):
                 rows, codes, rest_words, rest_n, rest_at = [], [], [], [], [0]
-                for t in b.column(2).slice(at, size).to_pylist():
-                    words = ascii_words(t)
-                    idx = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
-                    sym = symbol_of[idx]
-                    beyond = np.flatnonzero(idx < 0)
+                lengths, spoken, words = coded_words(b.column(2).slice(at, size))
+                found = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+                symbol = symbol_of[found]
+                unknown = np.flatnonzero(found < 0)
+                symbol[unknown] = [1 + head + ending_class(words[i], classes) for i in unknown.tolist()]
+                to = 0
+                for length in lengths.tolist():
+                    code = spoken[to:to + length]
+                    to += length
+                    idx, sym = found[code], symbol[code]
+                    beyond = code[idx < 0]
                     if len(beyond):
-                        rest = Counter([words[i] for i in beyond])
-                        sym[beyond] = [1 + head + ending_class(words[i], classes) for i in beyond]
-                        rest_words += rest.keys()
+                        rest = Counter(beyond.tolist())
+                        rest_words += [words[i] for i in rest]
                         rest_n += rest.values()
                     rest_at.append(len(rest_words))
                     in_class = sym[sym > head] - 1 - head
                     base = float(logs[idx].sum()) + end_log
                     word = float(logs[idx[idx >= head]].sum()) - float(class_log[in_class].sum())
-                    rows.append((row, len(words) + 1, int((idx >= 0).sum()) + (ends > 0), base, word))
+                    rows.append((row, length + 1, int((idx >= 0).sum()) + (ends > 0), base, word))
                     codes.append(np.append(sym, 0).astype(width).tobytes())
                     row += 1
                 cols = list(zip(*rows))
