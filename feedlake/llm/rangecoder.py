@@ -41,13 +41,15 @@ _STRETCH = np.clip(np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.a
 
 
 class _Writer:
-    """One range coder per lane; carries into words already written are resolved at the end."""
+    """One range coder per lane; carries into words already written are resolved at the end.
+
+    The lanes' words of like place lie side by side: the lanes write at nearly the same place.
+    """
 
     def __init__(self, lanes: int, steps: int):
         self.low, self.span = np.zeros(lanes, np.int64), np.full(lanes, 1 << TOP, np.int64)
-        room = 2 * steps + 4
-        self.out, self.begin = np.zeros(lanes * room, np.uint32), np.arange(lanes) * room
-        self.at = self.begin.copy()
+        self.lanes, self.out = lanes, np.zeros(lanes * (2 * steps + 4), np.uint32)
+        self.at = np.arange(lanes)
 
     def code(self, chance, total, starts, freq, find, lead, ids):
         """Codes ``ids``: the lead with ``chance`` in 4096, any other by its order-0 share of the rest."""
@@ -57,12 +59,12 @@ class _Writer:
         span = np.where(hit, part, unit * freq[ids])
         low = self.low + np.where(hit, 0, part + unit * starts[ids])
         if (over := np.flatnonzero(low > _MASK)).size:
-            self.out[self.at[over] - 1] += 1
+            self.out[self.at[over] - self.lanes] += 1
             low[over] &= _MASK
         while (small := np.flatnonzero(span < LEAST)).size:
             at, rest = self.at[small], low[small]
             self.out[at] = rest >> 32
-            self.at[small] = at + 1
+            self.at[small] = at + self.lanes
             low[small] = (rest & 0xFFFFFFFF) << WORD
             span[small] <<= WORD
         self.low, self.span = low, span
@@ -71,15 +73,14 @@ class _Writer:
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Word counts of the lanes and all words, lane after lane."""
         last = (self.low + LEAST - 1) >> 32
-        self.out[self.at[np.flatnonzero(last >> WORD)] - 1] += 1
+        self.out[self.at[np.flatnonzero(last >> WORD)] - self.lanes] += 1
         self.out[self.at] = last & 0xFFFF
-        counts = self.at + 1 - self.begin
-        for i in range(int(counts.max()) - 1, 0, -1):
-            at = self.begin + i
-            self.out[at - 1] += self.out[at] >> WORD
-            self.out[at] &= 0xFFFF
-        rows = self.out.reshape(len(counts), -1)
-        return counts, rows[np.arange(rows.shape[1]) < counts[:, None]].astype("<u2")
+        counts = self.at // self.lanes + 1
+        rows = self.out.reshape(-1, self.lanes)[:int(counts.max())]
+        for i in range(len(rows) - 1, 0, -1):
+            rows[i - 1] += rows[i] >> WORD
+        rows = rows.astype("<u2").T
+        return counts, rows[np.arange(rows.shape[1]) < counts[:, None]]
 
 
 class _Reader:
@@ -211,7 +212,7 @@ def encode_block(ids: np.ndarray, documents: bytes = b"") -> bytes:
     if steps:
         padded = np.concatenate([dense, np.full(lanes * steps - len(ids), dense[-1])]).astype(np.int32)
         coder = _Writer(lanes, steps)
-        _run(coder, len(letters), lanes, steps, padded.reshape(lanes, steps).T)
+        _run(coder, len(letters), lanes, steps, np.ascontiguousarray(padded.reshape(lanes, steps).T))
         counts, words = coder.words()
     parts = [zlib.compress(np.diff(letters.astype(np.int64), prepend=0).astype("<u4").tobytes()),
              zlib.compress(counts.astype("<u4").tobytes()), zlib.compress(documents), words.tobytes()]

@@ -45,6 +45,13 @@ def _within(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) - np.repeat(ends - lengths, lengths)
 
 
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, … of each of consecutive stretches."""
+    out = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    out += np.arange(len(out))
+    return out
+
+
 class WordTable:
     """Hash table from a word's 128-bit hash to its ids, in flat arrays; emptied when half full."""
 
@@ -128,7 +135,7 @@ class WordEncoder:
         starts, ns = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         pick = np.flatnonzero(short)
         n = size[pick]
-        spots = np.repeat(offsets[:-1][pick], n) + _within(n)
+        spots = _spans(offsets[:-1][pick], n)
         value = raw[spots].astype(np.uint64) + np.uint64(1)
         place = _within(n)
         first = np.cumsum(n) - n
@@ -196,7 +203,7 @@ class WordEncoder:
         seq[place] = units
         if len(marked):
             n = mark[marked]
-            spots = np.repeat(ends[1:][marked] - n, n) + _within(n)
+            spots = _spans(ends[1:][marked] - n, n)
             bounds = np.concatenate([[0], np.cumsum(n)]).astype("<i4")
             tails = pa.StringArray.from_buffers(len(marked), pa.py_buffer(bounds.tobytes()), pa.py_buffer(data[spots].tobytes())) \
                 .dictionary_encode()
@@ -206,7 +213,7 @@ class WordEncoder:
         starts, ns, ids = self._ids(pa.concat_arrays(parts), np.concatenate(kinds))
         n = ns[seq]
         to = np.cumsum(n)
-        out = ids[np.repeat(starts[seq], n) + _within(n)].tobytes()
+        out = ids.take(_spans(starts[seq], n)).tobytes()
         per_word = to[place + each - 1]
         last = np.concatenate([[0], per_word])[np.cumsum(counts)] * np.dtype(self.width).itemsize
         return [out[a:b] for a, b in zip([0, *last.tolist()], last.tolist())]
