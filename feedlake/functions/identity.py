@@ -22,6 +22,8 @@ def _c(x) -> Column:
 # One JSON token: a string literal (escapes taken in pairs) or a stretch without a quote. Possessive, so
 # the matcher never goes back: linear time and no recursion, whatever the length.
 _TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[^"]++'
+# What stands before a separator and the separator, each match where the last one ended (never inside a string).
+_UP_TO_SEPARATOR = r'(?s)\G((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+[,:])'
 
 
 def as_variant(col) -> Column:
@@ -61,9 +63,7 @@ def lower_unicode_escapes(text) -> Column:
 
 def spaced_separators(text) -> Column:
     """Compact JSON text with ``, `` and ``: `` between values, string literals untouched."""
-    tokens = F.regexp_extract_all(_c(text), F.lit(_TOKEN), F.lit(0))
-    return F.array_join(F.transform(tokens, lambda x: F.when(x.startswith('"'), x).otherwise(
-        F.replace(F.replace(x, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": ")))), "")
+    return F.regexp_replace(_c(text), _UP_TO_SEPARATOR, "$1 ")
 
 
 # Characters beyond U+FFFF, as they are or escaped: a variant sorts keys by UTF-16, Python by code point,
@@ -74,6 +74,14 @@ _ESCAPED_PAIR = r"(?<!\\)((?:\\\\)*)(\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F
 # -0, and a character beyond U+FFFF. May also hit inside strings, which costs time only.
 _TELLING = r"[0-9][.eE]|[0-9]{16}|-0|\\u[dD][89abAB]|" + _BEYOND
 _NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+# Number texts that Python writes as they are: integers, and plain floats of up to 15 digits without a zero too many.
+_AS_IS = (r"-?(?:[1-9][0-9]*|0\.0|0\.0{0,3}(?:[1-9][0-9]{0,9})?[1-9]|[1-9][0-9]{0,13}\.0|[1-9][0-9]{0,6}\.[0-9]{0,7}[1-9])|0")
+# A string literal's inside. Numbers are held on the way through a variant as strings, both told by their first character.
+_INSIDE = r'(?:[^"\\]++|\\.)*+'
+_HOLD = rf'(?s)"({_INSIDE})"|({_NUMBER})'
+_RELEASE = rf'(?s)(")s({_INSIDE}")|"({_AS_IS})s"|"([-0-9][^"s]*+)s"'
+# At most 15 digits and an exponent of two.
+_SHORT = r"^-?(?:[0-9]{1,15}|(?=[0-9.]{3,16}(?![0-9.]))[0-9]+\.[0-9]+)(?:[eE][+-]?[0-9]{1,2})?$"
 # Up to 15 significant digits a decimal is the shortest text of its own double.
 _SURE_DIGITS, _SURE_EXPONENT = 15, 290
 
@@ -130,14 +138,24 @@ def _sql_python_float(d: str, n: str) -> str:
     return f"CASE WHEN {n} >= 0 AND {n} < 16 THEN {large} WHEN {n} < 0 AND {n} >= -4 THEN {small} ELSE {wide} END"
 
 
+def _sql_plain_float(text: str, name: str) -> str:
+    """Python's text of a float that is written with at most 15 digits and laid out without an exponent
+    (from 1e-4 to 1e16): that of its exact decimal; null for any other."""
+    d = f"{name}d"
+    digits = _sql_let(f"rtrim('0', CAST({d} AS STRING))", f"{name}z", f"CASE WHEN endswith({name}z, '.') THEN concat({name}z, '0') ELSE {name}z END")
+    plain = f"CASE WHEN abs({d}) >= 0.0001BD AND abs({d}) < 10000000000000000BD THEN {digits} END"
+    return f"CASE WHEN {text} RLIKE r'{_SHORT}' THEN {_sql_let(f'try_cast({text} AS DECIMAL(38,19))', d, plain)} END"
+
+
 def _sql_python_number(text: str, name: str) -> str:
     sure = _sql_scientific(text, f"{name}q", lambda d, n: f"CASE WHEN {d} = '' THEN '0.0' WHEN length({d}) <= {_SURE_DIGITS} "
                            f"AND abs({n}) <= {_SURE_EXPONENT} THEN {_sql_python_float(d, n)} END")
+    plain = _sql_plain_float(text, name)
     unsure = (f"CASE WHEN abs(CAST({text} AS DOUBLE)) = CAST('Infinity' AS DOUBLE) THEN 'Infinity' WHEN CAST({text} AS DOUBLE) = 0D THEN '0.0' "
               f"ELSE {_sql_shortest(text, f'{name}r', _sql_python_float)} END")
     sign = f"CASE WHEN startswith({text}, '-') THEN '-' ELSE '' END"
     return (f"CASE WHEN {text} RLIKE '^-?0$' THEN '0' WHEN {text} RLIKE '^-?[0-9]+$' THEN {text} "
-            f"ELSE concat({sign}, coalesce({sure}, {unsure})) END")
+            f"ELSE coalesce({plain}, concat({sign}, coalesce({sure}, {unsure}))) END")
 
 
 def _sql_lower_escapes(text: str, name: str) -> str:
@@ -148,8 +166,24 @@ def _sql_lower_escapes(text: str, name: str) -> str:
 
 
 def _sql_sorted_with_numbers(text: str) -> str:
-    """Key-sorted compact JSON with every number as Python writes it. Strings (keys too) are marked
-    ``s`` and numbers become strings marked ``n`` on the way through the variant."""
+    """Key-sorted compact JSON with every number as Python writes it."""
+    return f"CASE WHEN {text} RLIKE r'\\\\u[dD][89abAB]|{_BEYOND}' THEN {_sql_sorted_by_token(text)} ELSE {_sql_sorted_in_passes(text)} END"
+
+
+def _sql_sorted_in_passes(text: str) -> str:
+    """That of a text without characters beyond U+FFFF. On the way through the variant a string (a key too) is
+    marked ``s`` in front and a number is a string marked ``s`` behind: one pass holds all, one releases all
+    but the numbers that Python writes otherwise, which are left between control characters (JSON has none)."""
+    held = f"regexp_replace({text}, r'{_HOLD}', '\"$2s$1\"')"
+    sorted_text = _sql_lower_escapes(f"to_json(try_parse_json({held}))", "w")
+    released = f"regexp_replace({sorted_text}, r'{_RELEASE}', '$1$2$3\\u0001$4\\u0001')"
+    pieces = f"split(replace({released}, '\\u0001\\u0001', ''), '\\u0001')"
+    return f"array_join(transform({pieces}, (q, i) -> CASE WHEN i % 2 = 1 THEN {_sql_python_number('q', 'o')} ELSE q END), '')"
+
+
+def _sql_sorted_by_token(text: str) -> str:
+    """That of any text, token by token: characters beyond U+FFFF are marked while keys are sorted, strings
+    (keys too) are marked ``s`` and numbers become strings marked ``n`` on the way through the variant."""
     string = f"regexp_replace(regexp_replace(substr(h, 2), r'{_ESCAPED_PAIR}', r'$1\\\\uffff$2'), r'{_BEYOND}', '\\uffff$0')"
     hold = f"CASE WHEN startswith(h, '\"') THEN concat('\"s', {string}) ELSE regexp_replace(h, r'{_NUMBER}', '\"n$0\"') END"
     back = f"concat('\"', regexp_replace(substr(g, 3), concat('\\uffff', r'({_BEYOND})'), '$1'))"

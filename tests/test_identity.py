@@ -72,3 +72,22 @@ def test_different_payloads_never_share_a_hash(spark):
     # JSON null and a missing payload are the same record; everything else differs.
     assert len(set(pipe)) == len(set(struct)) == len(rows) - 1
     assert pipe[0] == hashlib.sha256(b'ep|update|1|"plain one"').hexdigest()
+
+
+def test_numbers_and_strings_like_held_ones_equal_json_dumps(spark):
+    numbers = ["0", "-0", "0.0", "-0.0", "0e5", "1.0", "1.50", "-2.50e+3", "1e5", "1E16", "1e15", "123456789012345e1", "999999999999999.9",
+               "0.0001", "0.00010", "0.00009", "0.000123456789012345", "9999999999999998", "9999999999999999.0", "0.1e1", "123e-1", "1.5E-7",
+               "100000000000000.0", "1234567.12345678", "12345678.123456789", "1e-400", "5e-324", "3" * 40, "-" + "7" * 20 + ".5"]
+    strings = ["s", "5s", "1.0s", "-0s", "1.0", 'a"s', "\\", "\x01", ", :", "é", "\uffff1.0", "😀1.0", "k, 1e5: "]
+    docs = numbers + [f"[{n}, {n}]" for n in numbers] + [f'{{{json.dumps(a)}: 1.50, {json.dumps(b, ensure_ascii=False)}: [{json.dumps(a)}, -0]}}'
+                                                         for a, b in zip(strings, strings[1:])] + [" [ 1.0 ,{ } , 2.5e3 ] "]
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    for d, compact, py in df.select("d", I.canonical_json("d"), I.canonical_json("d", style="python")).collect():
+        assert compact == json.dumps(json.loads(d), sort_keys=True, separators=(",", ":")), d
+        assert py == json.dumps(json.loads(d), sort_keys=True), d
+
+
+def test_number_texts_that_are_no_json_and_far_exponents(spark):
+    docs = ["01.0", "1.", ".5", "[1.50,]", "{1.0:2.0}", '{"a":1.0,"a":2.0}', "1.5E-2147483640", "1E-2147483640"]
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    assert [r[0] for r in df.select(I.canonical_json("d")).collect()] == [None] * 6 + ["0.0"] * 2

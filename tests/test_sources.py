@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from feedlake.sources import unwrap as uw
 from feedlake.sources.sse import sse_frames, sse_records
+from feedlake.sources.tables import read_table
 
 
 def items(spark, body, cfg, pre=None):
@@ -134,3 +135,18 @@ def test_running_total_deals_a_split_to_many_windows(spark, monkeypatch, tmp_pat
         for i, r in enumerate(mine):
             assert (r[3], r[4]) == (past, i == 0)
             past += r[2]
+
+
+def test_one_row_group_cut_into_byte_ranges_is_spread(spark, tmp_path):
+    """A scan with enough byte ranges, all rows of which lie in one of them."""
+    spark.range(20_000).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS h").coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        scan, dealt = (read_table(spark, str(tmp_path), "t", parallel=p) for p in (False, True))
+        sizes = [[r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()] for d in (scan, dealt)]
+        splits = scan.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert splits > 4 and sizes[0] == [20_000]
+    assert sum(sizes[1]) == 20_000 and max(sizes[1]) <= 2 * 20_000 / splits
