@@ -166,28 +166,27 @@ def _sql_lower_escapes(text: str, name: str) -> str:
 
 
 def _sql_sorted_with_numbers(text: str) -> str:
-    """Key-sorted compact JSON with every number as Python writes it."""
-    return f"CASE WHEN {text} RLIKE r'\\\\u[dD][89abAB]|{_BEYOND}' THEN {_sql_sorted_by_token(text)} ELSE {_sql_sorted_in_passes(text)} END"
+    """Key-sorted compact JSON with every number as Python writes it. The sorted text comes with the numbers
+    that may be written otherwise between control characters (JSON has none), so every second piece is one."""
+    marked = f"CASE WHEN {text} RLIKE r'\\\\u[dD][89abAB]|{_BEYOND}' THEN {_sql_marked_by_token(text)} ELSE {_sql_marked_in_passes(text)} END"
+    return f"array_join(transform(split({marked}, '\\u0001'), (q, i) -> CASE WHEN i % 2 = 1 THEN {_sql_python_number('q', 'o')} ELSE q END), '')"
 
 
-def _sql_sorted_in_passes(text: str) -> str:
-    """That of a text without characters beyond U+FFFF. On the way through the variant a string (a key too) is
-    marked ``s`` in front and a number is a string marked ``s`` behind: one pass holds all, one releases all
-    but the numbers that Python writes otherwise, which are left between control characters (JSON has none)."""
+def _sql_marked_in_passes(text: str) -> str:
+    """Of a text without characters beyond U+FFFF: on the way through the variant a string (a key too) is marked
+    ``s`` in front and a number is a string marked ``s`` behind; one pass holds them and one releases them."""
     held = f"regexp_replace({text}, r'{_HOLD}', '\"$2s$1\"')"
     sorted_text = _sql_lower_escapes(f"to_json(try_parse_json({held}))", "w")
-    released = f"regexp_replace({sorted_text}, r'{_RELEASE}', '$1$2$3\\u0001$4\\u0001')"
-    pieces = f"split(replace({released}, '\\u0001\\u0001', ''), '\\u0001')"
-    return f"array_join(transform({pieces}, (q, i) -> CASE WHEN i % 2 = 1 THEN {_sql_python_number('q', 'o')} ELSE q END), '')"
+    return f"replace(regexp_replace({sorted_text}, r'{_RELEASE}', '$1$2$3\\u0001$4\\u0001'), '\\u0001\\u0001', '')"
 
 
-def _sql_sorted_by_token(text: str) -> str:
-    """That of any text, token by token: characters beyond U+FFFF are marked while keys are sorted, strings
+def _sql_marked_by_token(text: str) -> str:
+    """Of any text, token by token: characters beyond U+FFFF are marked while keys are sorted, strings
     (keys too) are marked ``s`` and numbers become strings marked ``n`` on the way through the variant."""
     string = f"regexp_replace(regexp_replace(substr(h, 2), r'{_ESCAPED_PAIR}', r'$1\\\\uffff$2'), r'{_BEYOND}', '\\uffff$0')"
     hold = f"CASE WHEN startswith(h, '\"') THEN concat('\"s', {string}) ELSE regexp_replace(h, r'{_NUMBER}', '\"n$0\"') END"
     back = f"concat('\"', regexp_replace(substr(g, 3), concat('\\uffff', r'({_BEYOND})'), '$1'))"
-    number = _sql_let("substr(g, 3, length(g) - 3)", "m", _sql_python_number("m", "m"))
+    number = "concat('\\u0001', substr(g, 3, length(g) - 3), '\\u0001')"
     release = f"CASE WHEN startswith(g, '\"s') THEN {back} WHEN startswith(g, '\"n') THEN {number} ELSE g END"
     sorted_text = _sql_lower_escapes(f"to_json(try_parse_json({_sql_tokens(text, 'h', hold)}))", "e")
     return _sql_tokens(sorted_text, "g", release)
