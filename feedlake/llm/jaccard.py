@@ -5,14 +5,19 @@ shingles (A-Z lower-cased; a text of fewer words is one shingle; without words i
 and links with nothing). The result is exact up to hashes: 64 bits of a shingle in the global
 order and of a set as a node, 48 bits of a shingle within a block.
 
-1. A table of fixed size (``SKETCH`` counters of one byte) counts the shingles of all texts; shingles are
-   ordered by (counter, hash), rare ones first. Any one order is right; this one keeps
-   common shingles out of the prefixes. The byte holds counts to 63 as they are and larger ones
-   by their logarithm, so common shingles stay apart from rare ones in a corpus of any size.
+1. Two tables of one-byte counters count the words (``SKETCH``) and the shingles (``SHINGLE_SKETCH``) of
+   all texts. Shingles whose counter stands out of the table's mean load go last, by that counter. The
+   others, which a full table can't tell apart, are ordered by their words: by how often so many common
+   words meet by chance, then by the count of the rarest word (no shingle occurs more often), then by
+   hash. Any one order is right; this one keeps shared shingles out of the prefixes, also of a corpus
+   with many times more shingles than counters, as words are far fewer than shingles. A byte holds counts
+   to 63 as they are and larger ones by their logarithm.
 2. Equal sets become one node. Sets that link share a shingle among their first
    n - ceil(percent * n / 100) + 1. Nodes of like size (equal or neighbouring
    classes) that share one are tied to the smallest of them, and the components of these ties
-   are *blocks*: no link leaves a block.
+   are *blocks*: no link leaves a block. Where chance ties have run together into a large block, its
+   nodes are tied once more, pair by pair and only if their signatures allow a link: a bit is the parity
+   of the shingles of a slot, so two sets differ by at least as many shingles as bits.
 3. The sets of a block are read once and stored in a prefix tree (trie) with the block's
    commonest shingles at the top. Each set walks the tree and counts its overlap with a
    path once for all sets below it; subtrees go unvisited when even the shorter of both
@@ -48,8 +53,11 @@ from feedlake.llm.components import components
 WORDS = 4
 PERCENT = 85
 SKETCH = 1 << 24
-SKETCH_ROW = 1 << 16
+SHINGLE_SKETCH = 1 << 24
+SKETCH_ROW = 1 << 18
 BLOCK_SHINGLES = 4_000_000
+SIGN_BITS = 2048  # most bits of a signature
+GROUP = 256  # most nodes of a shingle whose pairs are compared one by one
 EDGE_ROWS = 1 << 16  # links of a record batch
 BROADCAST_ROWS = 500_000  # rows of about 60 bytes
 _BASE = 0x9E3779B97F4A7C15
@@ -77,8 +85,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The set of word shingles of a text as sorted 64-bit hashes."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text, in their order."""
     buf = np.frombuffer((text or "").encode().lower(), np.uint8)
     if not len(buf):
         return np.zeros(0, np.uint64)
@@ -89,12 +97,23 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
         return np.zeros(0, np.uint64)
     up, down = _powers(len(buf) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((buf + np.uint64(1)) * up[:len(buf)], dtype=np.uint64)])
-    word = _mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    return _mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def shingle_hashes(word: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """64-bit hashes of the shingles of a text's words, in their order, repeated ones too."""
+    if not len(word):
+        return np.zeros(0, np.uint64)
     size = min(words, len(word))
     key = np.full(len(word) - size + 1, np.uint64(size))
     for i in range(size):
         key = _mix(key * np.uint64(_BASE) + word[i:len(word) - size + 1 + i])
-    return np.unique(key)
+    return key
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The set of word shingles of a text as sorted 64-bit hashes."""
+    return np.unique(shingle_hashes(word_hashes(text), words))
 
 
 def _texts(docs: DataFrame, text_col: str, *cols):
@@ -103,30 +122,53 @@ def _texts(docs: DataFrame, text_col: str, *cols):
 
 def counter_code(counts: np.ndarray) -> np.ndarray:
     """Counts in one byte, in their order: to 63 exactly, then 191 steps of the logarithm up to 2**38."""
-    wide = 64 + (np.log2(np.maximum(counts, 64)) - 6) * (191 / 32)
-    return np.where(counts < 64, counts, np.minimum(wide, 255)).astype(np.uint8)
+    code = np.minimum(counts, 64).astype(np.uint8)
+    many = code == 64
+    code[many] = np.minimum(64 + (np.log2(counts[many]) - 6) * (191 / 32), 255).astype(np.uint8)
+    return code
 
 
-def shingle_counters(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
-    """``SKETCH`` one-byte counters (``counter_code``) of all texts' shingles, by the hash's top bits.
+def decoded_counts(codes: np.ndarray) -> np.ndarray:
+    """About the counts that ``counter_code`` was given."""
+    code = codes.astype(float)
+    return np.where(codes < 64, code, np.exp2(6 + (code - 64) * (32 / 191)))
+
+
+def _slots(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The counter of each hash: its top bits."""
+    return (hashes >> np.uint64(64 - (size.bit_length() - 1))).astype(np.int64)
+
+
+def text_counters(docs: DataFrame, words: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """One-byte counters (``counter_code``) of all texts' words and of their shingles.
 
     Tasks count whole; their counters travel in compressed stretches and are summed in Spark.
     """
-    shift = np.uint64(64 - (SKETCH.bit_length() - 1))
+    sizes = SKETCH, SHINGLE_SKETCH
 
     def pack(counts: np.ndarray) -> bytes:
+        at = np.flatnonzero(counts)
+        if 8 * len(at) < len(counts):  # positions and counts
+            return b"few" + zlib.compress(np.stack([at, counts[at]]).astype("<i8").tobytes(), 1)
         kind = "<u2" if counts.max() < 1 << 16 else "<i8"
         return kind.encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
 
-    def unpack(raw: bytes) -> np.ndarray:
-        return np.frombuffer(zlib.decompress(raw[3:]), raw[:3].decode())
+    def put(total: np.ndarray, raw: bytes) -> None:
+        kind, raw = raw[:3], zlib.decompress(raw[3:])
+        if kind == b"few":
+            at, counts = np.frombuffer(raw, "<i8").reshape(2, -1)
+            total[at] += counts
+        else:
+            total += np.frombuffer(raw, kind.decode())
 
     def count(it):
-        counts = np.zeros(SKETCH, np.uint32)
+        counts = np.zeros(sum(sizes), np.uint32)
+        of_words, of_shingles = counts[:sizes[0]], counts[sizes[0]:]
         for b in it:
             for at in range(0, len(b), 256):
-                found = [shingles(t, words) for t in b.column(0).slice(at, 256).to_pylist()]
-                np.add.at(counts, (np.concatenate(found) >> shift).astype(np.int64), np.uint32(1))
+                found = [word_hashes(t) for t in b.column(0).slice(at, 256).to_pylist()]
+                np.add.at(of_words, _slots(np.concatenate(found), sizes[0]), np.uint32(1))
+                np.add.at(of_shingles, _slots(np.concatenate([shingle_hashes(w, words) for w in found]), sizes[1]), np.uint32(1))
         rows = counts.reshape(-1, SKETCH_ROW)
         for row in np.flatnonzero(rows.any(1)):
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([pack(rows[row])], pa.binary())], ["row", "n"])
@@ -134,20 +176,49 @@ def shingle_counters(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SKETCH_ROW, np.int64)
         for n in rows["n"]:
-            total += unpack(n)
-        return pd.DataFrame({"row": rows["row"].iloc[:1], "n": [pack(total)]})
+            put(total, n)
+        return pd.DataFrame({"row": rows["row"].iloc[:1], "code": [zlib.compress(counter_code(total).tobytes(), 1)]})
 
-    out = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.uint8)
+    out = np.zeros((sum(sizes) // SKETCH_ROW, SKETCH_ROW), np.uint8)
     for r in _texts(docs, text_col).transform(map_arrow, count, "row int, n binary").groupBy("row") \
-            .applyInPandas(add, "row int, n binary").collect():
-        out[r.row] = counter_code(unpack(r.n))
-    return out.reshape(-1)
-
-
-def global_order(hashes: np.ndarray, counters: np.ndarray) -> np.ndarray:
-    """The set in the one order that all tasks share: rare counters first."""
-    shift = np.uint64(64 - (SKETCH.bit_length() - 1))
-    return hashes[np.argsort(counters[(hashes >> shift).astype(np.int64)], kind="stable")]
+            .applyInPandas(add, "row int, code binary").collect():
+        out[r.row] = np.frombuffer(zlib.decompress(r.code), np.uint8)
+    out = out.reshape(-1)
+    return out[:sizes[0]], out[sizes[0]:]
+
+
+class GlobalOrder:
+    """The one order of shingles that all tasks share, those that few texts have first."""
+
+    def __init__(self, word_codes: np.ndarray, shingle_codes: np.ndarray):
+        counts = decoded_counts(np.arange(256, dtype=np.uint8))
+        times = lambda codes: float(np.bincount(codes, minlength=256) @ counts)
+        load = times(shingle_codes) / len(shingle_codes)
+        self.words = word_codes
+        self.common = np.maximum(shingle_codes, counter_code(np.array([load + 4 * math.sqrt(load) + 1])))
+        # Whole numbers, sixteenths of a power of two: the same sum for a shingle wherever it stands.
+        self.logs = np.round(16 * np.log2(np.maximum(counts, 1))).astype(np.int32)
+        self.log_all = round(16 * math.log2(max(times(word_codes), 1)))
+
+    def ranks(self, word: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The rank of each shingle of a text's words."""
+        size, code = len(word) - len(keys) + 1, self.words[_slots(word, len(self.words))]
+        log = self.logs[code]
+        met, least = np.full(len(keys), -(size - 1) * self.log_all, np.int32), np.full(len(keys), 255, np.uint8)
+        for i in range(size):
+            met += log[i:len(keys) + i]
+            least = np.minimum(least, code[i:len(keys) + i])
+        chance = np.clip(met // 16 + 6, 0, 255)  # below 1/64 expected by chance: all alike
+        return self.common[_slots(keys, len(self.common))].astype(np.int32) << 16 | chance << 8 | least
+
+    def ordered(self, text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The set of a text's shingles as sorted hashes (``shingles``), and in the global order."""
+        word = word_hashes(text)
+        if not len(word):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        keys = shingle_hashes(word, words)
+        found, first = np.unique(keys, return_index=True)
+        return found, found[np.argsort(self.ranks(word, keys)[first], kind="stable")]
 
 
 # --- the prefix tree of one block -----------------------------------------------------------------
@@ -317,31 +388,73 @@ def _walk(sets: list[np.ndarray], sides: np.ndarray, percent: int, every: bool):
         yield tree
 
 
+# --- signatures ---------------------------------------------------------------------------------------
+
+def signature(hashes: np.ndarray) -> bytes:
+    """The parity of the set's shingles in each of 64 to ``SIGN_BITS`` slots (by the hash's lowest bits)."""
+    bits = min(max(64, 1 << max(0, 3 * len(hashes) // 4 - 1).bit_length()), SIGN_BITS)
+    slots = (hashes & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def may_link(x: tuple[int, int, int], y: tuple[int, int, int], percent: int) -> bool:
+    """False only for sets that can't link: each is (size, signature as a number, its bits)."""
+    (nx, sx, bx), (ny, sy, by) = x, y
+    if 100 * min(nx, ny) < percent * max(nx, ny):
+        return False
+    while bx > by:
+        bx >>= 1
+        sx = sx & (1 << bx) - 1 ^ sx >> bx
+    while by > bx:
+        by >>= 1
+        sy = sy & (1 << by) - 1 ^ sy >> by
+    return (100 + percent) * (sx ^ sy).bit_count() <= (100 - percent) * (nx + ny)
+
+
+def group_ties(group: list[tuple[int, int, int, int]], percent: int) -> list[tuple[int, int]]:
+    """Pairs of nodes that span the components of the pairs that may link; a node is (node, size, signature, bits)."""
+    top, out = list(range(len(group))), []
+
+    def find(k):
+        while top[k] != k:
+            top[k] = k = top[top[k]]
+        return k
+
+    for i, x in enumerate(group):
+        for j in range(i - 1, -1, -1):
+            a, b = find(i), find(j)
+            if a != b and may_link(x[1:], group[j][1:], percent):
+                top[a] = b
+                out.append((x[0], group[j][0]))
+    return out
+
+
 # --- the corpus -------------------------------------------------------------------------------------
 
-def shingle_sets(docs: DataFrame, counters: np.ndarray, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: doc_id, set size, the set's 128-bit hash and its prefix."""
+def shingle_sets(docs: DataFrame, order: GlobalOrder, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, set size, the set's 128-bit hash, its prefix and its signature."""
     def run(it):
         from xxhash import xxh3_128_intdigest as digest
 
         for b in it:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                n, s1, s2, prefix = [], [], [], []
+                n, s1, s2, prefix, sign = [], [], [], [], []
                 for t in part.column(1).to_pylist():
-                    x = shingles(t, words)
+                    x, ordered = order.ordered(t, words)
                     d = digest(x.tobytes())
                     n.append(len(x))
                     s1.append(d >> 64)
                     s2.append(d & ((1 << 64) - 1))
-                    prefix.append(global_order(x, counters)[:len(x) - -(-percent * len(x) // 100) + 1].view(np.int64))
+                    sign.append(signature(x))
+                    prefix.append(ordered[:len(x) - -(-percent * len(x) // 100) + 1].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)),
-                     pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(prefix, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "s1", "s2", "prefix"])
+                     pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(prefix, pa.list_(pa.int64())),
+                     pa.array(sign, pa.binary())], ["doc_id", "n", "s1", "s2", "prefix", "sign"])
 
     return _texts(docs, text_col, F.col(id_col).cast("long").alias("doc_id")) \
-        .transform(map_arrow, run, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
+        .transform(map_arrow, run, "doc_id long, n long, s1 long, s2 long, prefix array<long>, sign binary")
 
 
 def size_class(n: str, percent: int):
@@ -351,20 +464,59 @@ def size_class(n: str, percent: int):
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(width)).cast("int")
 
 
-def prefix_blocks(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, block) of the nodes whose prefix shares a shingle with a node of a like size."""
-    items = sets.select(F.col("s1").alias("node"), "n", F.explode("prefix").alias("item"))
-    # Written first: a join of two plain shuffles is one whose hot items Spark can split.
-    shared = written(items.groupBy(F.col("item").alias("i")).agg(F.min("node").alias("first"), F.max("node").alias("last"))
-                     .where("first < last").select("i"), "jaccard-shared")
+def class_ties(items: DataFrame, percent: int) -> DataFrame:
+    """(node, first): the nodes of like size that share an item, tied to the smallest of them."""
     cls = size_class("n", percent)
-    rows = written(items.join(shared, F.col("item") == F.col("i"))
-                   .select("item", "node", F.explode(F.array(cls, cls + 1)).alias("c")).distinct(), "jaccard-items")
+    rows = items.select("item", "node", F.explode(F.array(cls, cls + 1)).alias("c"))
     first = written(rows.groupBy(F.col("item").alias("i"), F.col("c").alias("k")).agg(F.min("node").alias("first"), F.max("node").alias("last"))
                     .where("first < last").select("i", "k", "first"), "jaccard-first")
-    ties = rows.join(first, (F.col("item") == F.col("i")) & (F.col("c") == F.col("k"))).where("node <> first") \
+    return rows.join(first, (F.col("item") == F.col("i")) & (F.col("c") == F.col("k"))).where("node <> first") \
         .select("node", "first").distinct()
-    return components(ties, "node", "first").withColumnRenamed("root", "block")
+
+
+def pair_ties(items: DataFrame, signs: DataFrame, percent: int, group: int = GROUP) -> DataFrame:
+    """(node, first): as ``class_ties``, but of items of at most ``group`` nodes only pairs whose signatures allow a link."""
+    many = written(items.groupBy(F.col("item").alias("i")).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > group).select("i"), "jaccard-many")
+    few = items.join(many, F.col("item") == F.col("i"), "left_anti") \
+        .join(signs, F.col("node") == F.col("s_node")).select("item", "node", "n", "sign")
+
+    def ties(it):
+        key, rows, out = None, [], []
+        for b in it:
+            for item, node, n, sign in zip(*(c.to_pylist() for c in b.columns)):
+                if item != key:
+                    out += group_ties(rows, percent)
+                    key, rows = item, []
+                rows.append((node, n, int.from_bytes(sign, "little"), 8 * len(sign)))
+            if len(out) > EDGE_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["node", "first"])
+                out = []
+        if out := out + group_ties(rows, percent):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["node", "first"])
+
+    near = few.repartition("item").sortWithinPartitions("item", "n", "node").transform(map_arrow, ties, "node long, first long")
+    return near.unionByName(class_ties(items.join(many, F.col("item") == F.col("i"), "left_semi"), percent)).distinct()
+
+
+def prefix_blocks(sets: DataFrame, nodes: DataFrame, percent: int, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(node, block): no link leaves a block. Nodes whose prefix shares a shingle with a node of a like size make
+    one; those of a block of over ``block_shingles`` / 4 are tied again, by pairs that may link."""
+    prefixes = sets.select(F.col("s1").alias("node"), "n", F.explode("prefix").alias("item"))
+    # Written first: a join of two plain shuffles is one whose hot items Spark can split.
+    shared = written(prefixes.groupBy(F.col("item").alias("i")).agg(F.min("node").alias("first"), F.max("node").alias("last"))
+                     .where("first < last").select("i"), "jaccard-shared")
+    items = written(prefixes.join(shared, F.col("item") == F.col("i")).select("item", "node", "n").distinct(), "jaccard-items")
+    blocks = written(components(class_ties(items, percent), "node", "first").withColumnRenamed("root", "block"), "jaccard-blocks")
+    sizes = nodes.select(F.col("node").alias("n_node"), F.col("n").alias("size"))
+    large = written(blocks.join(sizes, F.col("node") == F.col("n_node")).groupBy(F.col("block").alias("l_block"))
+                    .agg(F.sum("size").alias("size")).where(F.col("size") > block_shingles / 4.0).select("l_block"), "jaccard-large")
+    if large.isEmpty():
+        return blocks
+    within = written(blocks.join(large, F.col("block") == F.col("l_block"), "left_semi").select(F.col("node").alias("w_node")), "jaccard-within")
+    signs = sets.join(within, F.col("s1") == F.col("w_node"), "left_semi").select(F.col("s1").alias("s_node"), "sign").dropDuplicates(["s_node"])
+    ties = pair_ties(items.join(within, F.col("node") == F.col("w_node"), "left_semi"), signs, percent)
+    return blocks.join(large, F.col("block") == F.col("l_block"), "left_anti").select("node", "block") \
+        .unionByName(components(ties, "node", "first").withColumnRenamed("root", "block"))
 
 
 def dealt_tasks():
@@ -506,8 +658,8 @@ def _edges(rows: list[tuple]) -> pa.RecordBatch:
 
 def jaccard_sets(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """One row per document (``shingle_sets``), and one per distinct set that isn't empty."""
-    counters = shingle_counters(docs, words, text_col)
-    sets = written(shingle_sets(docs, counters, words, percent, id_col, text_col), "jaccard-sets")
+    order = GlobalOrder(*text_counters(docs, words, text_col))
+    sets = written(shingle_sets(docs, order, words, percent, id_col, text_col), "jaccard-sets")
     nodes = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"),
                                                                F.count(F.lit(1)).alias("copies"))
                     .withColumn("node", F.col("s1")), "jaccard-nodes")
@@ -519,7 +671,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, i
     """(set_a, set_b): every link between different sets, once, set_a < set_b; ``set_id`` of
     ``jaccard_components`` names each document's set."""
     sets, nodes = jaccard_sets(docs, words, percent, id_col, text_col)
-    return block_edges(docs, nodes, prefix_blocks(sets, percent), words, percent, id_col, text_col, block_shingles, "every") \
+    return block_edges(docs, nodes, prefix_blocks(sets, nodes, percent, block_shingles), words, percent, id_col, text_col, block_shingles, "every") \
         .select(F.least("a", "b").alias("set_a"), F.greatest("a", "b").alias("set_b"))
 
 
@@ -531,7 +683,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     included) and set_id (equal for equal sets; null without words).
     """
     sets, nodes = jaccard_sets(docs, words, percent, id_col, text_col)
-    edges = block_edges(docs, nodes, prefix_blocks(sets, percent), words, percent, id_col, text_col, block_shingles,
+    edges = block_edges(docs, nodes, prefix_blocks(sets, nodes, percent, block_shingles), words, percent, id_col, text_col, block_shingles,
                         "count" if count_links else "span")
     if count_links:
         edges = written(edges, "jaccard-links")

@@ -211,6 +211,79 @@ def test_counters_never_saturate():
     assert code.dtype == np.uint8 and (np.diff(code.astype(int)) > 0).all()
 
 
+def test_order_puts_shared_shingles_last_in_a_full_table():
+    rng = np.random.default_rng(8)
+    common, rare = [f"c{k}" for k in range(12)], [f"r{k}" for k in range(40_000)]
+    texts = [" ".join(rng.choice(common, 40).tolist() + rng.choice(rare, 12).tolist()) for _ in range(600)]
+    seen = collections.Counter(h for t in texts for h in set(jaccard.shingles(t, 3).tolist()))
+    words, full = np.zeros(1 << 18, np.int64), np.zeros(1 << 8, np.int64)  # some 110 shingles a counter
+    for t in texts:
+        word = jaccard.word_hashes(t)
+        np.add.at(words, jaccard._slots(word, len(words)), 1)
+        np.add.at(full, jaccard._slots(jaccard.shingle_hashes(word, 3), len(full)), 1)
+    order = jaccard.GlobalOrder(jaccard.counter_code(words), jaccard.counter_code(full))
+    shared = 0
+    for t in texts:
+        found, ordered = order.ordered(t, 3)
+        assert (found == jaccard.shingles(t, 3)).all() and (np.sort(ordered) == found).all()
+        shared += sum(seen[h] > 1 for h in ordered[:8].tolist())
+    assert shared < 0.02 * 8 * len(texts)
+
+
+def test_signatures_never_part_a_link():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 62, 3000, np.uint64)
+    parted = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 3000))
+        a = np.unique(base[:n])
+        b = np.unique(np.concatenate([a[rng.random(n) > rng.random() * 0.4], rng.integers(0, 1 << 62, rng.integers(1, 2 + n // 5), np.uint64)]))
+        x, y = ((len(s), int.from_bytes(jaccard.signature(s), "little"), 8 * len(jaccard.signature(s))) for s in (a, b))
+        for percent in (20, 50, 85):
+            both = len(np.intersect1d(a, b))
+            assert jaccard.may_link(x, y, percent) or 100 * both < percent * (len(a) + len(b) - both)
+            parted += not jaccard.may_link(x, y, percent)
+    assert parted > 100
+
+
+def hand_sets(spark, texts, words, prefixes):
+    """The tables of ``jaccard_sets`` for texts of distinct sets with these prefixes; the nodes by text."""
+    own = [jaccard.shingles(t, words) for t in texts]
+    rows = [(k + 1, len(x), 0, [int(h) for h in p.view(np.int64)], bytearray(jaccard.signature(x))) for k, (x, p) in enumerate(zip(own, prefixes(own)))]
+    sets = spark.createDataFrame(rows, "s1 long, n long, s2 long, prefix array<long>, sign binary")
+    return sets, sets.select("n", sets.s1.alias("node"))
+
+
+def test_chance_ties_do_not_join_large_blocks(spark):
+    """A chain of texts that share a phrase with the next: one block by ties, but only two texts are alike."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join([f"a{k} b{k}", *(f"w{w}" for w in rng.integers(0, 5000, 100)), f"a{k + 1} b{k + 1}"]) for k in range(12)]
+    texts += [texts[7] + " more"]
+
+    def shared_first(own):
+        seen = collections.Counter(h for x in own for h in x.tolist())
+        return [x[np.argsort([-seen[h] for h in x.tolist()], kind="stable")][:25] for x in own]
+    sets, nodes = hand_sets(spark, texts, 2, shared_first)
+    assert jaccard.prefix_blocks(sets, nodes, 80).groupBy("block").count().collect()[0]["count"] == 13
+    blocks = collections.defaultdict(set)
+    for r in jaccard.prefix_blocks(sets, nodes, 80, block_shingles=1200).collect():
+        blocks[r.block].add(r.node - 1)
+    assert list(blocks.values()) == [{7, 12}]
+
+
+@pytest.mark.parametrize("group", [4, 256])
+def test_pair_ties_keep_links_of_groups_of_any_size(spark, group):
+    rng = np.random.default_rng(10)
+    texts = list({" ".join(f"word{k}" if rng.random() > 0.02 else f"o{k}" for k in range(40)): 0 for _ in range(30)})
+    sets, _ = hand_sets(spark, texts, 2, lambda own: own)
+    items = sets.select(sets.s1.alias("node"), "n", jaccard.F.explode("prefix").alias("item"))
+    ties = jaccard.pair_ties(items, sets.select(sets.s1.alias("s_node"), "sign"), 70, group)
+    block = {r.node - 1: r.root for r in jaccard.components(ties, "node", "first").collect()}
+    own, _ = brute_links(texts, 2, 70)
+    linked = [(i, j) for i in range(len(own)) for j in range(i) if 100 * len(own[i] & own[j]) >= 70 * len(own[i] | own[j])]
+    assert len(linked) > 15 and all(block[i] == block[j] for i, j in linked)
+
+
 def brute_lines(texts, window=3):
     first, gone = set(), []
     order = sorted(range(len(texts)), key=lambda k: (texts[k][0] is not None, texts[k][0] or 0, k))
