@@ -120,7 +120,8 @@ def within_radius(prints: DataFrame, queries: Column, radius: int = RADIUS, key:
     differ = F.col("q").bitwiseXOR(F.col(key))
     first = F.coalesce(*[F.when(F.bit_count(differ.bitwiseAND(long(mask))) <= most, F.lit(t))
                          for t, (mask, _, most) in enumerate(tables)])
-    return asked.join(keyed, (F.col("qt") == F.col("t")) & (F.col("qk") == F.col("k"))
+    # Merged in any session: Spark sizes what comes out of an explode by its input, and would broadcast millions of probes.
+    return asked.hint("merge").join(keyed.hint("merge"), (F.col("qt") == F.col("t")) & (F.col("qk") == F.col("k"))
                       & (F.bit_count(differ) <= radius) & (first == F.col("t"))) \
         .select(F.col("q").alias("fingerprint"), F.col(key).alias("other"), "n")
 

@@ -174,6 +174,17 @@ def test_block_tables_find_each_pair_once(spark):
         assert set(got) == {(p, q) for p in prints[:40] for q in prints if bin(p ^ q).count("1") <= radius}
 
 
+def test_probes_are_never_broadcast(spark, capsys):
+    """A query row becomes some 750 probes after the explode, which Spark's size of the table does not tell."""
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("fingerprint"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) >= 10 << 20
+    found = simhash.within_radius(df, F.col("doc_id") % 20 == 0)
+    found.collect()
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_neighbours_are_the_documents_counted(spark, edge, tmp_path):
     counted = {r.doc_id: r.n_near for r in queries.QUERIES["op6_simhash"](spark, SF).collect() if r.n_near is not None}
     named = queries.QUERIES["op6_neighbours"](spark, SF).collect()
